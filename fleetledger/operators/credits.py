@@ -101,9 +101,10 @@ def apply_payments(credits: DataFrame, payments: DataFrame, hot_rows: int = HOT_
     that was never issued owes nothing. Without negative amounts the clamped
     balance is max(total - running sum, 0), which needs no row-by-row state.
     """
+    valid = acceptable(payments)
     summed = running_total(
-        dedup_payments(acceptable(payments)), "credit_id", ["payment_date", "payment_id"], "amount", "_paid",
-        leading=F.expr("payment_date div 86400"), sliced="payment_id", hot_rows=hot_rows)
+        dedup_payments(valid), "credit_id", ["payment_date", "payment_id"], "amount", "_paid",
+        leading=F.expr("payment_date div 86400"), sliced="payment_id", hot_rows=hot_rows, counted=valid)
     left = F.col("_total") - F.col("_paid")
     return (
         summed.join(credits.select("credit_id", F.col("total_repayment").alias("_owed")), "credit_id", "left")

@@ -73,10 +73,16 @@ def assign_nonces(sent: DataFrame, base: int, order: Sequence[str] = ("date", "s
     return number_rows(sent, order, "_index").withColumn("nonce", F.col("_index") + base).drop("_index")
 
 
-def merge(ledger: DataFrame, results: DataFrame, key: str = "route_id", order: Sequence[str] = ("seq",)) -> DataFrame:
-    """Ledger plus newly done items. Known keys keep their entry, a repeated key its first result."""
+def merge(ledger: DataFrame, results: DataFrame, key: str = "route_id", order: Sequence[str] = ("seq",),
+          new_only: bool = False) -> DataFrame:
+    """Ledger plus newly done items. Known keys keep their entry, a repeated key its first result.
+
+    ``new_only`` states that ``results`` come from ``pending`` items, which saves
+    looking them up in the ledger again.
+    """
     done = results.where(F.col("status").isin(*DONE)).select(*[c for c in results.columns if c in (*ledger.columns, *order)])
-    fresh = first_per_key(done, key, order).join(ledger.select(key), key, "left_anti")
+    fresh = first_per_key(done, key, order)
+    fresh = fresh if new_only else pending(fresh, ledger, key)
     return ledger.unionByName(fresh.select([c for c in fresh.columns if c in ledger.columns]), allowMissingColumns=True)
 
 

@@ -22,17 +22,14 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], index: str) -> Dat
 
     A global sort range-partitions by sampled bounds, so its partitions stay even
     under any key distribution; copies that tie on every key still spread, because
-    the reading partition is the last sort key. The sorted rows are pinned with
-    their place inside the partition; one offset per sort partition (their number
-    is a session setting, so that side is small whatever the data) completes it.
+    the reading partition is the last sort key. With no order given, rows keep the
+    order they are read in and nothing is shuffled. The rows are pinned with their
+    place inside the partition; one offset per partition (one number each, whatever
+    the data) completes it.
     """
-    placed = (
-        df.withColumn("_from", F.spark_partition_id())
-        .orderBy(*order, "_from")
-        .drop("_from")
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    placed = pin(placed)
+    if order:
+        df = df.withColumn("_from", F.spark_partition_id()).orderBy(*order, "_from").drop("_from")
+    placed = pin(df.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", _POSITION_BITS)
     within = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,6 +56,7 @@ def running_total(
     leading: Column,
     sliced: str,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``total``: the sum of ``value`` up to and including each row, per group.
 
@@ -66,10 +64,12 @@ def running_total(
     cut into blocks that follow the order: one per ``leading`` value (a day number),
     each again in equal slices of the ``sliced`` number, the next order key. Blocks
     are summed separately and each gets the sum of the blocks before it. The list
-    of hot groups holds at most rows/hot_rows entries, hence its broadcast.
+    of hot groups holds at most rows/hot_rows entries, hence its broadcast. Where
+    ``df`` is costly to compute, group sizes can be taken from ``counted``, a cheaper
+    table holding at least the same groups and rows.
     """
     size = (
-        df.groupBy(group)
+        (df if counted is None else counted).groupBy(group)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(sliced).alias("_lo"), F.max(sliced).alias("_hi"))
         .where(F.col("_n") > hot_rows)
         .withColumn("_slices", F.least(F.lit(MAX_SLICES), F.expr(f"_n div {int(hot_rows)}") + 1))

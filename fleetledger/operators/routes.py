@@ -29,10 +29,20 @@ def require_columns(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+def replace_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Replace columns by costly expressions that later filters must not repeat.
+
+    Catalyst pushes a filter below a projection by copying the projection's
+    expressions into it; it does not push one through a generator.
+    """
+    once = F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], once).select(*[f"`{c}`" for c in df.columns])
+
+
 def parse_times(df: DataFrame, fmt: str = INPUT_DATETIME_FORMAT, columns: Sequence[str] = (START, END),
                 strict: bool = True) -> DataFrame:
     """Time text columns to timestamps, in place."""
-    return df.withColumns({c: times.parse_time(c, fmt, strict) for c in columns})
+    return replace_once(df, {c: times.parse_time(c, fmt, strict) for c in columns})
 
 
 def filter_distance(df: DataFrame, low: float = MIN_DISTANCE, high: float | None = None,

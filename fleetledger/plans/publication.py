@@ -26,5 +26,5 @@ def reconcile(items: DataFrame, ledger: DataFrame, attempts: DataFrame, environm
     """
     tried = ops.classify(ops.pending(attempts, ledger))
     completed = ops.prefix_until_failure(tried)
-    merged = ops.merge(ledger, completed.withColumn("environment", F.lit(environment)))
+    merged = ops.merge(ledger, completed.withColumn("environment", F.lit(environment)), new_only=True)
     return PublicationRun(completed, merged, ops.outcome(items, merged))
