@@ -1,4 +1,7 @@
-"""Number, text and record expressions."""
+"""Number, text and record expressions.
+
+Arguments are SQL text: a column name or any expression.
+"""
 
 from __future__ import annotations
 
@@ -18,111 +21,103 @@ OVERFLOW = "Panic error 0x11"
 REVERT = "revert"
 
 
-def col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def double(value: float) -> str:
+    """A number as a DOUBLE literal."""
+    return f"{float(value)!r}D"
 
 
-def is_missing(number: Column | str) -> Column:
+def is_missing(number: str) -> Column:
     """Null or NaN: Spark orders NaN above every number, so it needs its own test."""
-    return col(number).isNull() | F.isnan(col(number))
+    return F.expr(f"({number}) is null or isnan({number})")
 
 
-def in_range(number: Column | str, low: float, high: float | None = None) -> Column:
+def in_range(number: str, low: float, high: float | None = None) -> Column:
     """``low < x <= high``; a missing or zero high means unbounded; missing x fails."""
-    inside = (col(number) > float(low)) & ~F.isnan(col(number))
-    return inside & (col(number) <= float(high)) if high else inside
+    top = f" and ({number}) <= {double(high)}" if high else ""
+    return F.expr(f"({number}) > {double(low)} and not isnan({number}){top}")
 
 
-def duration_minutes(start: Column | str, end: Column | str) -> Column:
-    micros = F.unix_micros(col(end)) - F.unix_micros(col(start))
-    return micros / F.lit(1e6) / F.lit(60.0)
+def duration_minutes(start: str, end: str) -> Column:
+    return F.expr(f"(unix_micros({end}) - unix_micros({start})) / 1e6D / 60D")
 
 
-def plausible_distance(minutes: Column, max_per_hour: float) -> Column:
-    return minutes / F.lit(60.0) * F.lit(float(max_per_hour))
+def plausible_distance(minutes: str, max_per_hour: float) -> Column:
+    return F.expr(f"({minutes}) / 60D * {double(max_per_hour)}")
 
 
-def capped(distance: Column, cap: Column) -> Column:
+def capped(distance: str, cap: str) -> Column:
     """Lower to the cap; a missing distance or cap changes nothing (``least`` would invent a value)."""
-    return F.when(~F.isnan(distance) & (distance > cap), cap).otherwise(distance)
+    return F.expr(f"case when not isnan({distance}) and ({distance}) > ({cap}) then ({cap}) else ({distance}) end")
 
 
-def segment_count(distance: Column | str, max_distance: float, avg_distance: float) -> Column:
+def segment_count(distance: str, max_distance: float, avg_distance: float) -> Column:
     """How many segments a trip is cut into: by exact remainder, since a division may round up."""
-    d, avg = col(distance), F.lit(float(avg_distance))
-    rest = d % avg
-    whole = F.rint((d - rest) / avg).cast("bigint")
-    over = ~F.isnan(d) & (d > F.lit(float(max_distance)))
-    return F.when(over, whole + F.when(rest != 0, F.lit(1)).otherwise(F.lit(0))).otherwise(F.lit(1)).cast("bigint")
+    d, avg = f"({distance})", double(avg_distance)
+    return F.expr(
+        f"case when not isnan({d}) and {d} > {double(max_distance)} "
+        f"then cast(rint(({d} - {d} % {avg}) / {avg}) as bigint) + if({d} % {avg} <> 0D, 1, 0) else 1L end")
 
 
-def round_half_even(number: Column | str) -> Column:
-    return F.bround(col(number), 0).cast("bigint")
+def round_half_even(number: str) -> Column:
+    return F.expr(f"cast(bround({number}, 0) as bigint)")
 
 
-def whole_number(number: Column | str) -> Column:
+def whole_number(number: str) -> Column:
     """Toward zero, as an integer."""
-    return col(number).cast("bigint")
+    return F.expr(f"cast({number} as bigint)")
 
 
-def first_of(items: Column | str) -> Column:
+def first_of(items: str) -> Column:
     """First element of a link field; null when the field is absent or empty."""
-    return F.try_element_at(col(items), F.lit(1))
+    return F.expr(f"try_element_at({items}, 1)")
 
 
-def non_empty(text: Column | str) -> Column:
-    return F.when(col(text) != "", col(text))
+def non_empty(text: str) -> Column:
+    return F.expr(f"nullif({text}, '')")
 
 
-def term_days(text: Column | str, strict: bool = True) -> Column:
+def term_days(text: str, strict: bool = True) -> Column:
     """First digit run, in weeks, as days. No digits raises when strict, else gives null."""
-    digits = F.regexp_extract(col(text), r"(\d+)", 1)
-    weeks = F.when(digits != "", digits.cast("bigint"))
-    if strict:
-        weeks = F.when(digits == "", F.raise_error(F.lit("no digits in the repayment term")).cast("bigint")).otherwise(weeks)
-    return weeks * DAYS_PER_WEEK
+    digits = f"regexp_extract({text}, '([0-9]+)', 1)"
+    none = "cast(raise_error('no digits in the repayment term') as bigint)" if strict else "null"
+    return F.expr(f"case when {digits} <> '' then cast({digits} as bigint) * {DAYS_PER_WEEK} "
+                  f"when {digits} = '' then {none} end")
 
 
-def location(lng: Column | str, lat: Column | str) -> Column:
-    return F.struct(
-        (col(lng) / F.lit(float(LOCATION_SCALE))).alias("lng"),
-        (col(lat) / F.lit(float(LOCATION_SCALE))).alias("lat"))
+def location(lng: str, lat: str) -> Column:
+    scale = double(LOCATION_SCALE)
+    return F.expr(f"struct({lng} / {scale} as lng, {lat} / {scale} as lat)")
 
 
 def published_flag(env: str) -> Column:
     """The record's flag for one environment; an absent flag is false."""
-    return F.coalesce(F.col(f"fields.published_{env}"), F.lit(False))
+    return F.expr(f"coalesce(fields.published_{env}, false)")
 
 
-def route_status(message: Column | str) -> Column:
+def route_status(message: str) -> Column:
     """Outcome of one route attempt."""
-    return (F.when(col(message).contains(ALREADY_MINTED), "already_minted")
-            .when(col(message) == "ok", "sent")
-            .otherwise("failed"))
+    return F.expr(f"case when contains({message}, '{ALREADY_MINTED}') then 'already_minted' "
+                  f"when {message} = 'ok' then 'sent' else 'failed' end")
 
 
-def payment_status(message: Column | str) -> Column:
+def payment_status(message: str) -> Column:
     """Outcome of one payment attempt; the overflow text also says revert, so it is tested first."""
-    return (F.when(col(message) == "ok", "sent")
-            .when(col(message).contains(OVERFLOW), "overflow")
-            .when(F.lower(col(message)).contains(REVERT), "revert")
-            .otherwise("error"))
+    return F.expr(f"case when {message} = 'ok' then 'sent' when contains({message}, '{OVERFLOW}') then 'overflow' "
+                  f"when contains(lower({message}), '{REVERT}') then 'revert' else 'error' end")
 
 
 def placeholder_address(client_id: Column | str) -> Column:
     """Default address hook: a hash of the client id, not a wallet."""
-    text = F.concat(F.lit("client|"), col(client_id).cast("string"))
+    text = F.concat(F.lit("client|"), (F.col(client_id) if isinstance(client_id, str) else client_id).cast("string"))
     return F.concat(F.lit("0x"), F.substring(F.sha2(text, 256), 1, 40))
 
 
-def pair_jitter(key: Column | str, pair: Column, seed: int) -> Column:
-    """Uniform integer in [-SHARE_JITTER, SHARE_JITTER] from a trip id and a pair number.
+def pair_jitter(key: str, pair: str, seed: int) -> str:
+    """Uniform integer in [-SHARE_JITTER, SHARE_JITTER] from a trip id and a pair number, as SQL text.
 
-    Two rounds of a multiplicative congruential generator modulo 2^31-1 in plain
-    bigint arithmetic, so that any retry, engine or partitioning gives the same draw.
+    Rounds of a multiplicative congruential generator modulo 2^31-1 in plain bigint
+    arithmetic, so that any retry, engine or partitioning gives the same draw.
     """
-    prime = F.lit(2_147_483_647)
-    x = F.pmod(col(key), prime) * 48_271 + (F.pmod(pair, prime) + 1) * 69_621 + int(seed)
-    x = F.pmod(F.pmod(x, prime) * 16_807, prime)
-    x = F.pmod(x * 48_271, prime)
-    return x % (2 * SHARE_JITTER + 1) - SHARE_JITTER
+    prime = 2_147_483_647
+    x = f"pmod(pmod({key}, {prime}L) * 48271L + (pmod({pair}, {prime}L) + 1L) * 69621L + {int(seed)}L, {prime}L)"
+    return f"(pmod(pmod({x} * 16807L, {prime}L) * 48271L, {prime}L) % {2 * SHARE_JITTER + 1}L - {SHARE_JITTER}L)"

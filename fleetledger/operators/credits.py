@@ -28,7 +28,7 @@ def flatten_credits(raw: DataFrame, env: str, strict: bool = True) -> DataFrame:
         scalars.whole_number("fields.initial_debt").alias("total_repayment"),
         times.epoch_seconds(times.strip_zulu("fields.disbursed"), DISBURSED_FORMAT, strict).alias("issuance_date"),
         scalars.term_days("fields.term_text", strict).alias("term_days"),
-        scalars.non_empty(scalars.first_of("fields.client_address")).alias("own_address"),
+        scalars.non_empty("try_element_at(fields.client_address, 1)").alias("own_address"),
         scalars.published_flag(env).alias("is_published"),
     )
 

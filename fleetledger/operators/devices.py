@@ -39,7 +39,7 @@ def build_map(contacts: DataFrame, derive: Derive = scalars.placeholder_address)
     A device claimed more than once is in the conflicts and not in the map.
     """
     claims = owned_devices(contacts, derive).groupBy(DEVICE).agg(
-        F.count(F.lit(1)).alias("claims"), F.min(ADDRESS).alias(ADDRESS))
+        F.expr("count(1) as claims"), F.expr(f"min({ADDRESS}) as {ADDRESS}"))
     device_map = claims.where("claims = 1").select(DEVICE, ADDRESS)
     conflicts = claims.where("claims > 1").select(DEVICE, "claims")
     updates = contacts.where(
@@ -93,7 +93,7 @@ def unassigned(routes: DataFrame, known: DataFrame, *by: str) -> DataFrame:
 
 def alert_texts(devices: DataFrame, *by: str, per_text: int = ALERT_DEVICES) -> DataFrame:
     """Join device names into alert texts of at most ``per_text`` names, all names kept."""
-    named = devices.select(*by, DEVICE).distinct()
+    named = devices.select(*by, DEVICE).where(F.col(DEVICE).isNotNull()).distinct()
     order = Window.partitionBy(*by).orderBy(DEVICE)
     part = F.floor((F.row_number().over(order) - 1) / per_text).cast("bigint")
     return (
@@ -106,14 +106,11 @@ def device_table(device_map: DataFrame, prototypes: DataFrame | None, known: Dat
 
     Lets a route table meet all device lists in one join instead of three.
     """
-    parts = [device_map.select(DEVICE, ADDRESS, F.lit(False).alias("is_prototype"), F.lit(False).alias("is_known"))]
-    no_address = F.lit(None).cast("string").alias(ADDRESS)
+    every = device_map.selectExpr(DEVICE, ADDRESS, "false as is_prototype", "false as is_known")
+    none = f"cast(null as string) as {ADDRESS}"
     if prototypes is not None:
-        parts.append(prototypes.select(DEVICE, no_address, F.lit(True).alias("is_prototype"), F.lit(False).alias("is_known")))
+        every = every.union(prototypes.selectExpr(DEVICE, none, "true as is_prototype", "false as is_known"))
     if known is not None:
-        parts.append(known.select(DEVICE, no_address, F.lit(False).alias("is_prototype"), F.lit(True).alias("is_known")))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+        every = every.union(known.selectExpr(DEVICE, none, "false as is_prototype", "true as is_known"))
     return every.groupBy(DEVICE).agg(
-        F.max(ADDRESS).alias(ADDRESS), F.max("is_prototype").alias("is_prototype"), F.max("is_known").alias("is_known"))
+        *[F.expr(f"max({c}) as {c}") for c in (ADDRESS, "is_prototype", "is_known")])

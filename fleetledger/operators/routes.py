@@ -63,12 +63,11 @@ def filter_reference(df: DataFrame, column: str = "Referencia") -> DataFrame:
     return df.where(F.col(column).isNotNull())
 
 
-def cap_distance(df: DataFrame, max_per_hour: float | Column) -> DataFrame:
+def cap_distance(df: DataFrame, max_per_hour: float) -> DataFrame:
     """Lower distances no vehicle can reach in the trip's time; adds the duration and the bound."""
-    minutes = scalars.duration_minutes(START, END)
-    timed = df.withColumn("durationMinutes", minutes).withColumn(
-        "maxExpectedDistance", F.col("durationMinutes") / F.lit(60.0) * max_per_hour)
-    return timed.withColumn(DISTANCE, scalars.capped(F.col(DISTANCE), F.col("maxExpectedDistance")))
+    timed = df.withColumn("durationMinutes", scalars.duration_minutes(START, END))
+    bound = timed.withColumn("maxExpectedDistance", scalars.plausible_distance("durationMinutes", max_per_hour))
+    return bound.withColumn(DISTANCE, scalars.capped(DISTANCE, "maxExpectedDistance"))
 
 
 def count_segments(df: DataFrame, max_distance: float, avg_distance: float) -> DataFrame:
@@ -86,46 +85,38 @@ def split(df: DataFrame, seed: int = 0, key: str = TRIP_ID) -> DataFrame:
     integer microseconds; the last segment ends at the trip's end by construction.
     """
     require_columns(df, key, START, END, DISTANCE, "segments")
-    unit = scalars.SHARE_UNIT
-    run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(segments - 1) div {_RUN}")))
-    first = F.col("_run") * _RUN
-    each = F.explode(F.sequence(first, F.least(first + (_RUN - 1), F.col("segments") - 1)))
-    cut = df.withColumn("_run", run).withColumn("segment", each).drop("_run")
-
-    i, n = F.col("segment"), F.col("segments")
-    odd = i % 2 == 1
-    u = scalars.pair_jitter(key, F.expr("segment div 2"), seed)
-    last_u = scalars.pair_jitter(key, F.expr("segments div 2"), seed)
-    cut = (
-        cut.withColumn("_u", F.when(n > 1, u).otherwise(F.lit(0)))
-        .withColumn("_w", F.when(odd, unit - F.col("_u")).otherwise(unit + F.col("_u")))
-        .withColumn("_before", i * unit + F.when(odd, F.col("_u")).otherwise(F.lit(0)))
-        .withColumn("_all", n * unit + F.when((n > 1) & (n % 2 == 1), last_u).otherwise(F.lit(0)))
-        .withColumn("_t0", F.unix_micros(START))
-        .withColumn("_t", F.unix_micros(END) - F.col("_t0"))
-    )
-
-    def share(cum: str) -> Column:
+    unit = f"{scalars.SHARE_UNIT}L"
+    odd, own = "segment % 2 = 1", scalars.pair_jitter(key, "segment div 2", seed)
+    last = scalars.pair_jitter(key, "segments div 2", seed)
+    kept = [f"`{c}`" for c in df.columns if c not in (START, END, DISTANCE)]
+    each = (
+        df.selectExpr("*", f"explode(sequence(0L, (segments - 1) div {_RUN})) as _run")
+        .selectExpr("*", f"explode(sequence(_run * {_RUN}, least(_run * {_RUN} + {_RUN - 1}, segments - 1))) as segment",
+                    f"unix_micros({START}) as _t0", f"unix_micros({END}) - unix_micros({START}) as _t"))
+    drawn = each.selectExpr(
+        "*", f"if(segments > 1, {own}, 0L) as _u",
+        f"segments * {unit} + if(segments > 1 and segments % 2 = 1, {last}, 0L) as _all")
+    weighted = drawn.selectExpr(
+        "*", f"if({odd}, {unit} - _u, {unit} + _u) as _w", f"segment * {unit} + if({odd}, _u, 0L) as _before")
+
+    def moment(cum: str) -> str:
         # _t * cum div _all without the large product, which only a decimal holds for very long trips
-        small = F.expr(f"(_t div _all) * ({cum}) + ((_t % _all) * ({cum})) div _all")
-        large = F.expr(f"(cast(_t as decimal(20,0)) * cast({cum} as decimal(18,0))) div cast(_all as decimal(18,0))")
-        return F.when(n <= _EXACT_SEGMENTS, small).otherwise(large)
+        return (f"timestamp_micros(_t0 + if(segments <= {_EXACT_SEGMENTS}, "
+                f"(_t div _all) * ({cum}) + ((_t % _all) * ({cum})) div _all, "
+                f"(cast(_t as decimal(20,0)) * cast({cum} as decimal(18,0))) div cast(_all as decimal(18,0))))")
 
-    whole = n == 1
-    return cut.withColumns({
-        START: F.when(whole, F.col(START)).otherwise(F.timestamp_micros(F.col("_t0") + share("_before"))),
-        END: F.when(whole, F.col(END)).otherwise(F.timestamp_micros(F.col("_t0") + share("_before + _w"))),
-        DISTANCE: F.when(whole, F.col(DISTANCE)).otherwise(
-            F.col(DISTANCE) * F.col("_w").cast("double") / F.col("_all").cast("double")),
-    }).drop("_u", "_w", "_before", "_all", "_t0", "_t")
+    return weighted.selectExpr(
+        *kept, "segment",
+        f"if(segments = 1, {START}, {moment('_before')}) as {START}",
+        f"if(segments = 1, {END}, {moment('_before + _w')}) as {END}",
+        f"if(segments = 1, {DISTANCE}, {DISTANCE} * cast(_w as double) / cast(_all as double)) as {DISTANCE}")
 
 
 def split_summary(df: DataFrame, *by: str) -> DataFrame:
     """Trips before the split, segments after it, and how many the split adds."""
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("original_routes"),
-        F.coalesce(F.sum("segments"), F.lit(0)).alias("new_routes"),
-    ).withColumn("extra_routes", F.col("new_routes") - F.col("original_routes"))
+        F.expr("count(1) as original_routes"), F.expr("coalesce(sum(segments), 0) as new_routes"),
+        F.expr("coalesce(sum(segments), 0) - count(1) as extra_routes"))
 
 
 def over_long_segments(df: DataFrame, max_distance: float) -> DataFrame:
@@ -136,9 +127,10 @@ def over_long_segments(df: DataFrame, max_distance: float) -> DataFrame:
 def gps_points(df: DataFrame, start: tuple[str, str] = ("lng_inicial", "lat_inicial"),
                end: tuple[str, str] = ("lng_final", "lat_final")) -> DataFrame:
     """Scale integer coordinates to degrees and add start and end location pairs."""
+    scale = scalars.double(scalars.LOCATION_SCALE)
     return df.withColumns({
         "startLocation": scalars.location(*start), "endLocation": scalars.location(*end),
-    }).withColumns({c: F.col(c) / F.lit(float(scalars.LOCATION_SCALE)) for c in (*start, *end)})
+        **{c: F.expr(f"{c} / {scale}") for c in (*start, *end)}})
 
 
 def format_output(df: DataFrame, rename: Mapping[str, str] | Sequence[tuple[str, str]] = COLUMN_RENAME_MAP,

@@ -18,6 +18,17 @@ MAX_PER_HOUR = 60_000
 SPLIT = SplitRule(max_distance=4_200, avg_distance=2_000)
 PROTOTYPE_ADDRESS = "0x" + "9" * 40
 
+# Declared, so that opening a table reads no file footers.
+_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
+
 _ROUTES_RAW = """
 select event_id as k_ruta, concat('GPS', lpad(cast(user_id as string), 5, '0')) as k_dispositivo,
   date_format(cast(ts as timestamp), 'yyyy-MM-dd HH:mm:ss') as o_fecha_inicial,
@@ -118,9 +129,12 @@ class Fixtures:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = configure(spark)
         self.folder = folder
+        self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.tables:
+            self.tables[name] = self.spark.read.schema(_TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self.tables[name]
 
     def _adapt(self, sql: str, *tables: str) -> DataFrame:
         return self.spark.sql(sql, **{t: self.table(t) for t in tables})
