@@ -104,14 +104,11 @@ def apply_payments(credits: DataFrame, payments: DataFrame, hot_rows: int = HOT_
     valid = acceptable(payments)
     summed = running_total(
         dedup_payments(valid), "credit_id", ["payment_date", "payment_id"], "amount", "_paid",
-        leading=F.expr("payment_date div 86400"), sliced="payment_id", hot_rows=hot_rows, counted=valid)
-    left = F.col("_total") - F.col("_paid")
-    return (
-        summed.join(credits.select("credit_id", F.col("total_repayment").alias("_owed")), "credit_id", "left")
-        .withColumn("_total", F.coalesce("_owed", F.lit(0)))
-        .withColumn("balance", F.greatest(left, F.lit(0)))
-        .withColumn("applied", F.greatest(left + F.col("amount"), F.lit(0)) - F.col("balance"))
-        .drop("_paid", "_owed", "_total"))
+        leading=F.expr("payment_date div 86400"), sliced="payment_id", hot_rows=hot_rows, counted=valid,
+        per_group=credits.select("credit_id", F.col("total_repayment").alias("_owed")))
+    return summed.withColumn("_left", F.expr("coalesce(_owed, 0) - _paid")).selectExpr(
+        *[c for c in summed.columns if not c.startswith("_")],
+        "greatest(_left, 0) as balance", "greatest(_left + amount, 0) - greatest(_left, 0) as applied")
 
 
 def outstanding(credits: DataFrame, applied: DataFrame) -> DataFrame:

@@ -57,6 +57,7 @@ def running_total(
     sliced: str,
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
+    per_group: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``total``: the sum of ``value`` up to and including each row, per group.
 
@@ -67,6 +68,9 @@ def running_total(
     of hot groups holds at most rows/hot_rows entries, hence its broadcast. Where
     ``df`` is costly to compute, group sizes can be taken from ``counted``, a cheaper
     table holding at least the same groups and rows.
+
+    ``per_group`` (one row per group) adds its columns, null for a group it lacks. It
+    is spread over the blocks instead of gathering the rows by group once more.
     """
     size = (
         (df if counted is None else counted).groupBy(group)
@@ -91,10 +95,13 @@ def running_total(
         .agg(F.sum(value).alias("_block"))
         .select(*keys, F.sum("_block").over(earlier).alias("_offset"))
     )
+    if per_group is not None:
+        offsets = per_group.join(offsets, group, "full").withColumns(
+            {c: F.coalesce(c, F.lit(0)) for c in ("_lead", "_slice")})
     return (
         blocked.withColumn("_inside", F.sum(value).over(inside))
         .join(offsets, keys, "left")
-        .withColumn(total, F.col("_inside") + F.coalesce(F.col("_offset"), F.lit(0)))
+        .withColumn(total, F.col("_inside") + F.coalesce("_offset", F.lit(0)))
         .drop("_lo", "_width", "_lead", "_slice", "_inside", "_offset")
     )
 

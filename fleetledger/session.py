@@ -10,11 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dir: dict[str, str] = {}
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Set what the operators' results depend on (UTC) and what their plans rely on (AQE)."""
+# Shuffle partitions are sized for this many bytes each, up to a count the driver can track;
+# adaptive execution joins small ones.
+PARTITION_BYTES = 256 << 20
+MAX_PARTITIONS = 50_000
+
+
+def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+    """Set what the operators' results depend on (UTC) and what their plans rely on (AQE).
+
+    With ``shuffled_bytes``, the size of the largest table that gets sorted or
+    grouped, shuffles get enough partitions for one to fit a task's memory.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    if shuffled_bytes:
+        wanted = min(MAX_PARTITIONS, -(-shuffled_bytes // PARTITION_BYTES))
+        spark.conf.set("spark.sql.shuffle.partitions", max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return spark
 
 
