@@ -16,8 +16,12 @@ _DIRECTIVES = {
 # Directives that strptime reads with or without a leading zero.
 _UNPADDED = {"%m", "%d", "%H", "%I", "%M", "%S"}
 
-PLAIN_FORMAT = "%Y-%m-%d %H:%M:%S"
-_PLAIN_TEXT = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
+# Text padded in full, for formats that a cast reads to the same value several times faster.
+_PADDED = {
+    "%Y-%m-%d %H:%M:%S": r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$",
+    "%Y-%m-%dT%H:%M:%S.%f": r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{1,6}$",
+    "%Y-%m-%d": r"^\d{4}-\d\d-\d\d$",
+}
 
 
 def to_pattern(fmt: str, parsing: bool = False) -> str:
@@ -44,9 +48,9 @@ def parse_time(text: Column | str, fmt: str, strict: bool = True) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     pattern = to_pattern(fmt, parsing=True)
     parsed = F.to_timestamp(text, pattern) if strict else F.try_to_timestamp(text, F.lit(pattern))
-    if fmt == PLAIN_FORMAT:  # text padded in full casts to the same value, several times faster
+    if fmt in _PADDED:
         cast = text.cast("timestamp") if strict else text.try_cast("timestamp")
-        return F.when(text.rlike(_PLAIN_TEXT), cast).otherwise(parsed)
+        return F.when(text.rlike(_PADDED[fmt]), cast).otherwise(parsed)
     if "%y" in fmt:  # strptime reads two-digit years 69-99 as 19xx
         return F.when(F.year(parsed) >= 2069, parsed - F.expr("interval 100 years")).otherwise(parsed)
     return parsed

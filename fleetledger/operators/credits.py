@@ -83,6 +83,12 @@ def issue(credits: DataFrame, address: str = "address") -> DataFrame:
     return first_per_key(events, "credit_id", ["issuance_date", "id"]).drop("id")
 
 
+def issued_totals(credits: DataFrame) -> DataFrame:
+    """What each credit owed when it was first issued, one row per credit."""
+    events = credits.select("credit_id", "issuance_date", "id", "total_repayment")
+    return first_per_key(events, "credit_id", ["issuance_date", "id"]).select("credit_id", "total_repayment")
+
+
 def dedup_payments(payments: DataFrame) -> DataFrame:
     """The first record of each payment id, over all credits."""
     columns = [c for c in payments.columns if c in (*PAYMENT_ORDER, "credit_id")]

@@ -47,7 +47,7 @@ def publish_credits(raw: DataFrame, contacts: DataFrame, env: str, derive: ops.D
 def publish_payments(raw: DataFrame, credits_raw: DataFrame, env: str, strict: bool = True) -> PaymentRun:
     """Record unpublished payments of published credits; duplicates count as published."""
     credits = ops.flatten_credits(credits_raw, env, strict)
-    state = credits.select("credit_id", "total_repayment")
+    state = ops.issued_totals(credits)
     pending = ops.payments_pending(ops.flatten_payments(raw, env, strict), credits)
     outcomes = ops.payment_outcomes(state, pending)
     applied = ops.apply_payments(state, pending)

@@ -68,6 +68,9 @@ select concat('rec', cast(o_orderkey as varchar)) as id, o_orderkey + 1 as credi
   case when o_orderkey % 3 = 0 then concat('0x', md5(cast(o_custkey as varchar)), '11111111') end as own_address,
   o_orderstatus = 'F' as is_published
 from orders"""),
+    "totals": (("credits",), """
+select credit_id, issuance_date, client_record_id, own_address, principal, total_repayment, term_days
+from (select *, row_number() over (partition by credit_id order by issuance_date, id) as rn from credits) where rn = 1"""),
     "payments": ((), """
 select concat('rec', cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar), '-', cast(l_partkey as varchar), '-', cast(l_suppkey as varchar)) as id,
   cast(l_orderkey * 10 + l_linenumber + 1 as bigint) as payment_id, l_orderkey + 1 as credit_id,
@@ -141,10 +144,10 @@ select 'staging', date, route_id, status, null, null from completed where status
 select * from (select *, row_number() over (partition by payment_id order by payment_date, payment_id, amount, id) as rn from payments) where rn = 1"""),
     "summed": (("accepted",), """
 select *, sum(amount) over (partition by credit_id order by payment_date, payment_id rows unbounded preceding) as paid from accepted"""),
-    "applied": (("summed", "credits"), """
+    "applied": (("summed", "totals"), """
 select s.id, s.payment_id, s.credit_id, s.amount, s.payment_date, cast(greatest(total_repayment - paid, 0) as bigint) as balance,
   cast(greatest(total_repayment - paid + amount, 0) - greatest(total_repayment - paid, 0) as bigint) as applied
-from summed s join credits c using (credit_id)"""),
+from summed s join totals c using (credit_id)"""),
     "dated": (("publish_log",), """
 select *, coalesce(last_value(mark ignore nulls) over (partition by stream order by line_no rows between unbounded preceding and current row), '') as date
 from (select *, case when line like '%Parameters:%' then string_split_regex(trim(line), '\\s+')[9] end as mark from publish_log)"""),
@@ -208,7 +211,7 @@ from counted group by date, source""", "counted"),
     "route_over_long_segments": _with("select count(*) as over_long_segments from segments where seg_d > 4200", "segments"),
     "route_ids": _with('select 100000 + rn as "newID", k_ruta, i as segment from numbered', "numbered"),
     "route_ids_stable": _with("""
-select 100000 + row_number() over (order by case when source = 'motorbike' then 0 else 1 end, k_ruta, i) as "newID",
+select 100000 + dense_rank() over (order by case when source = 'motorbike' then 0 else 1 end, k_ruta, i) as "newID",
   source, k_ruta, i as segment from segments""", "segments"),
     "route_gps_points": _with("""
 select k_ruta, lng_inicial / 1e8 as start_lng, lat_inicial / 1e8 as start_lat, lng_final / 1e8 as end_lng, lat_final / 1e8 as end_lat
@@ -316,7 +319,7 @@ from credits c left join contacts k on c.client_record_id = k.id""", "credits",
     "credits_state": _with(f"""
 select credit_id, issuance_date, coalesce(own_address, celo_address, {_DERIVED.format('client_id')}) as owner, principal,
   total_repayment as outstanding, term_days
-from credits c left join contacts k on c.client_record_id = k.id""", "credits", "contacts"),
+from totals c left join contacts k on c.client_record_id = k.id""", "totals", "contacts"),
     "payments_pending": _with("""
 select id, payment_id, credit_id, amount, payment_date from payments
 where not is_published and credit_id in (select credit_id from credits where is_published)""", "payments", "credits"),
@@ -337,14 +340,14 @@ running as (select *, sum(amount) over (partition by credit_id order by payment_
 results as (select case when greatest(total_repayment - paid + amount, 0) - greatest(total_repayment - paid, 0) = amount then 'applied_full'
     else 'clamped' end as outcome,
     greatest(total_repayment - paid + amount, 0) - greatest(total_repayment - paid, 0) as applied
-  from running join credits using (credit_id)
+  from running join totals using (credit_id)
   union all select 'duplicate', 0 from ranked where rn > 1)
 select outcome, count(*) as records, cast(sum(applied) as bigint) as applied from results group by outcome""",
-        "payments", "credits").replace("\n, waiting as", ",\nwaiting as", 1),
+        "payments", "totals").replace("\n, waiting as", ",\nwaiting as", 1),
     "credit_outstanding": _with("""
 select credit_id, total_repayment, coalesce(paid, 0) as paid, coalesce(payments, 0) as payments, total_repayment - coalesce(paid, 0) as outstanding
-from credits left join (select credit_id, cast(sum(applied) as bigint) as paid, count(*) as payments from applied group by credit_id) using (credit_id)""",
-        "credits", "applied"),
+from totals left join (select credit_id, cast(sum(applied) as bigint) as paid, count(*) as payments from applied group by credit_id) using (credit_id)""",
+        "totals", "applied"),
     "publish_log_stats": _with(_STATS, "dated"),
     "publish_log_dates": _with("select stream, line_no, date from dated", "dated"),
     "publish_log_files": _with(_STATS, "dated"),

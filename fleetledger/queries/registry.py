@@ -68,6 +68,10 @@ def _credits(fx: Fixtures) -> DataFrame:
     return credits.flatten_credits(fx.credits_raw(), "staging")
 
 
+def _totals(fx: Fixtures) -> DataFrame:
+    return credits.issued_totals(_credits(fx))
+
+
 def _payments(fx: Fixtures) -> DataFrame:
     return credits.flatten_payments(fx.payments_raw(), "staging")
 
@@ -387,12 +391,12 @@ def payment_dedup(fx: Fixtures) -> DataFrame:
 
 @query
 def payment_balances(fx: Fixtures) -> DataFrame:
-    return credits.apply_payments(_credits(fx), _payments(fx))
+    return credits.apply_payments(_totals(fx), _payments(fx))
 
 
 @query
 def payment_outcomes(fx: Fixtures) -> DataFrame:
-    return credits.payment_outcomes(_credits(fx), _payments(fx)).drop("balance")
+    return credits.payment_outcomes(_totals(fx), _payments(fx)).drop("balance")
 
 
 @query
@@ -405,7 +409,7 @@ def payment_run_outcome(fx: Fixtures) -> DataFrame:
 
 @query
 def credit_outstanding(fx: Fixtures) -> DataFrame:
-    state = _credits(fx)
+    state = _totals(fx)
     return credits.outstanding(state, credits.apply_payments(state, _payments(fx)))
 
 
@@ -448,7 +452,7 @@ def landing_envelope(fx: Fixtures) -> DataFrame:
     path = _scratch(fx, "landing")
     fields = [f.name for f in schemas.ROUTES_RAW.fields if f.name not in ("date", "source")]
     row = F.struct(*[F.col(c) for c in fields])
-    documents = fx.routes_raw().groupBy("date", F.expr("k_ruta div 1000")).agg(F.collect_list(row).alias("body"))
+    documents = fx.routes_raw().groupBy(F.expr("monotonically_increasing_id() div 1000").alias("document")).agg(F.collect_list(row).alias("body"))
     writers.write_table(documents.select("body"), path, "json")
     record = T.StructType([f for f in schemas.ROUTES_RAW.fields if f.name in fields])
     return readers.land_envelope(fx.spark, path, record)

@@ -21,11 +21,16 @@ Day = str | datetime.date | None
 
 def as_date(day: Day) -> Column:
     """A ``YYYY-MM-DD`` processing date, yesterday when none is given. Other text raises."""
+    return times.yesterday() if day is None else F.lit(datetime.date.fromisoformat(day_text(day)))
+
+
+def day_text(day: Day) -> str:
+    """The same as text, for a partition's folder."""
     if day is None:
-        return times.yesterday()
+        day = datetime.datetime.now(datetime.timezone.utc).date() - datetime.timedelta(days=1)
     if isinstance(day, str):
         day = datetime.datetime.strptime(day, "%Y-%m-%d").date()
-    return F.lit(day)
+    return day.isoformat()
 
 
 def on_date(df: DataFrame, day: Day = None, column: str = "date") -> DataFrame:
@@ -45,31 +50,37 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").schema(kept).csv(path)
 
 
-def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "parquet",
-                     day: Day = None, source: str | None = None, every_day: bool = False) -> DataFrame:
-    """A ``date=/source=`` table: one date (default yesterday), all its sources or one."""
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", root: str | None = None) -> DataFrame:
+    """A table that may not exist yet; ``root`` names the table when the path is one of its partitions."""
     reader = spark.read.schema(schema).option("header", True).format(fmt)
-    if fmt == "csv":  # the files hold the columns that are not partition keys
-        reader = reader.option("enforceSchema", True)
-    df = reader.load(root)
-    df = df if every_day else on_date(df, day)
-    return df if source is None else df.where(F.col("source") == source)
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A table that may not exist yet."""
+    if root is not None:
+        reader = reader.option("basePath", root)
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
+        return reader.load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "parquet",
+                     day: Day = None, source: str | None = None, every_day: bool = False) -> DataFrame:
+    """A ``date=/source=`` table: one date (default yesterday), all its sources or one.
+
+    One date is opened by its folder, so no other date is even listed; a date that
+    was never written is empty.
+    """
+    root = root.rstrip("/")
+    path = root if every_day else f"{root}/date={day_text(day)}"
+    df = read_or_empty(spark, path, schema, fmt, root)
+    return df if source is None else df.where(F.col("source") == source)
+
+
 def read_ledger(spark: SparkSession, path: str, environment: str, day: Day = None, every_day: bool = False) -> DataFrame:
     """One environment's publication ledger; empty before the first run."""
-    df = read_or_empty(spark, path, schemas.LEDGER).where(F.col("environment") == environment)
-    return df if every_day else on_date(df, day)
+    path = path.rstrip("/")
+    part = f"{path}/environment={environment}"
+    return read_or_empty(spark, part if every_day else f"{part}/date={day_text(day)}", schemas.LEDGER, root=path)
 
 
 def land_envelope(spark: SparkSession, path: str, record: T.StructType, body: str = "body") -> DataFrame:
