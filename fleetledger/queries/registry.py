@@ -148,7 +148,8 @@ def route_ids(fx: Fixtures) -> DataFrame:
 def route_ids_stable(fx: Fixtures) -> DataFrame:
     """A rerun where motorbike trips already have ids: they keep them, bicycle trips get the next."""
     cut = routes.split(_counted(fx))
-    first = ids.assign(cut.where("source = 'motorbike'").select(*ids.KEY), ids.KEY, column="route_id")
+    none = fx.spark.createDataFrame([], schemas.ID_ASSIGNMENTS)
+    _, first = ids.assign_stable(cut.where("source = 'motorbike'"), none)
     return ids.assign_stable(cut, first)[0].select("newID", "source", "k_ruta", "segment")
 
 
@@ -428,12 +429,11 @@ def publish_log_dates(fx: Fixtures) -> DataFrame:
 
 @query
 def publish_log_files(fx: Fixtures) -> DataFrame:
-    """The same statistics from delimited log files, one file per part of the table."""
+    """The same statistics from delimited log files that hold many streams each."""
     path = _scratch(fx, "log")
     lines = fx.publish_log().repartitionByRange("stream").sortWithinPartitions("stream", "line_no")
-    lines.select(F.concat(F.lit("EVENTS|1|2024|stream|0|"), "line").alias("value")).write.text(path)
-    read = readers.read_log_lines(fx.spark, path)
-    return logs.publish_stats(read, block=F.col("block"))
+    writers.write_table(lines.selectExpr("concat('EVENTS|1|2024|', stream, '|0|', line) as value"), path, "text")
+    return logs.publish_stats(readers.read_log_lines(fx.spark, path, stream_field=4), block=F.col("block"))
 
 
 @query

@@ -117,19 +117,20 @@ def read_events(spark: SparkSession, path: str, name: str, from_block: int = 0,
     return df.select("block", "seq", "args.*")
 
 
-def read_log_lines(spark: SparkSession, path: str, field: int = 6, start: str | None = None, end: str | None = None,
-                   time_field: int | None = None) -> DataFrame:
-    """Log files as (stream, line_no, line, block), one stream per file.
+def read_log_lines(spark: SparkSession, path: str, field: int = 6, stream_field: int | None = None,
+                   start: str | None = None, end: str | None = None, time_field: int | None = None) -> DataFrame:
+    """Log files as (stream, block, line_no, line), the line being one ``|``-separated field.
 
+    A stream is a file, or the value of ``stream_field`` where a file holds several.
     ``line_no`` follows the file's order without reading it in one task: a split's
     offset orders the splits, the row's place orders lines inside one. ``block`` is
-    that offset, so each split is one block of ``logs.publish_stats``.
+    that offset, so each split is one block of ``logs.publish_stats``. ``start`` and
+    ``end`` keep lines whose ``time_field`` is in that half-open range.
     """
+    stream = F.col("_metadata.file_path") if stream_field is None else logs.cut_field("value", stream_field)
     raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("stream"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_no"),
-        "value")
+        stream.alias("stream"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_no"), "value")
     if time_field is not None:
         at = F.to_timestamp(F.split_part("value", F.lit("|"), F.lit(time_field)))
         raw = raw if start is None else raw.where(at >= F.lit(start).cast("timestamp"))
