@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetledger.functions import scalars, times
 from fleetledger.operators.ordering import HOT_ROWS, first_per_key, running_total
+from fleetledger.session import require_utc
 
 # Date formats of the record tables.
 DISBURSED_FORMAT = "%Y-%m-%dT%H:%M:%S.%f"
@@ -20,6 +21,7 @@ PAYMENT_ORDER = ("payment_date", "payment_id", "amount", "id")
 
 def flatten_credits(raw: DataFrame, env: str, strict: bool = True) -> DataFrame:
     """Nested credit records to typed columns."""
+    require_utc(raw.sparkSession)
     return raw.select(
         "id",
         F.col("fields.credit_id").cast("bigint").alias("credit_id"),
@@ -35,6 +37,7 @@ def flatten_credits(raw: DataFrame, env: str, strict: bool = True) -> DataFrame:
 
 def flatten_payments(raw: DataFrame, env: str, strict: bool = True) -> DataFrame:
     """Nested payment records to typed columns."""
+    require_utc(raw.sparkSession)
     return raw.select(
         "id",
         scalars.whole_number("fields.payment_id").alias("payment_id"),
@@ -159,3 +162,12 @@ def payment_outcomes(credits: DataFrame, payments: DataFrame, hot_rows: int = HO
         distinct.join(winners, "payment_id", "left")
         .select(*[F.col(c) for c in columns], F.explode(parts).alias("_part"))
         .select(*columns, "_part.*"))
+
+
+def repeated_outcomes(payments: DataFrame) -> DataFrame:
+    """Outcomes of records whose id was taken in an earlier run."""
+    columns = ["id", "payment_id", "credit_id", "amount", "payment_date"]
+    status = F.expr("if(amount >= 0 and credit_id is not null, 'duplicate', 'error')")
+    return payments.groupBy(*columns).agg(F.count(F.lit(1)).alias("records")).select(
+        *columns, status.alias("outcome"), F.lit(0).cast("bigint").alias("applied"),
+        F.lit(None).cast("bigint").alias("balance"), "records")

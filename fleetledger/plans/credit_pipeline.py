@@ -44,13 +44,28 @@ def publish_credits(raw: DataFrame, contacts: DataFrame, env: str, derive: ops.D
         writers.upsert_fields(raw, flags, [f"published_{env}"]))
 
 
-def publish_payments(raw: DataFrame, credits_raw: DataFrame, env: str, strict: bool = True) -> PaymentRun:
-    """Record unpublished payments of published credits; duplicates count as published."""
+def publish_payments(raw: DataFrame, credits_raw: DataFrame, env: str, strict: bool = True,
+                     recorded: DataFrame | None = None) -> PaymentRun:
+    """Record unpublished payments of published credits; duplicates count as published.
+
+    ``recorded`` are the outcomes of earlier runs: their ids are taken, and what they
+    applied is no longer owed.
+    """
     credits = ops.flatten_credits(credits_raw, env, strict)
     state = ops.issued_totals(credits)
     pending = ops.payments_pending(ops.flatten_payments(raw, env, strict), credits)
-    outcomes = ops.payment_outcomes(state, pending)
-    applied = ops.apply_payments(state, pending)
+    outcomes, fresh = None, pending
+    if recorded is not None:
+        accepted = recorded.where("outcome in ('applied_full', 'clamped')")
+        paid = accepted.groupBy("credit_id").agg(F.sum("applied").alias("_paid"))
+        state = state.join(paid, "credit_id", "left").selectExpr(
+            "credit_id", "total_repayment - coalesce(_paid, 0) as total_repayment")
+        taken = accepted.select("payment_id")
+        fresh = pending.join(taken, "payment_id", "left_anti")
+        outcomes = ops.repeated_outcomes(pending.join(taken, "payment_id", "left_semi"))
+    applied = ops.apply_payments(state, fresh)
+    new = ops.payment_outcomes(state, fresh)
+    outcomes = new if outcomes is None else new.unionByName(outcomes)
     done = outcomes.where("outcome <> 'error'").select("id").distinct().withColumn(f"published_{env}", F.lit(True))
     return PaymentRun(
         applied, outcomes, ops.outstanding(state, applied), writers.upsert_fields(raw, done, [f"published_{env}"]))

@@ -148,6 +148,21 @@ select *, sum(amount) over (partition by credit_id order by payment_date, paymen
 select s.id, s.payment_id, s.credit_id, s.amount, s.payment_date, cast(greatest(total_repayment - paid, 0) as bigint) as balance,
   cast(greatest(total_repayment - paid + amount, 0) - greatest(total_repayment - paid, 0) as bigint) as applied
 from summed s join totals c using (credit_id)"""),
+    "waiting": (("payments", "credits"), """
+select * from payments where not is_published and credit_id in (select credit_id from credits where is_published)"""),
+    "recorded": (("payments", "totals"), """
+select payment_id, credit_id, greatest(total_repayment - paid + amount, 0) - greatest(total_repayment - paid, 0) as applied
+from (select *, sum(amount) over (partition by credit_id order by payment_date, payment_id rows unbounded preceding) as paid
+  from (select *, row_number() over (partition by payment_id order by payment_date, payment_id, amount, id) as rn
+    from payments where is_published) where rn = 1) join totals using (credit_id)"""),
+    "later": (("waiting", "recorded", "totals"), """
+select *, greatest(owed - paid + amount, 0) - greatest(owed - paid, 0) as later_applied
+from (select r.*, owed, case when rn = 1 then sum(case when rn = 1 then amount end)
+    over (partition by r.credit_id order by payment_date, payment_id, rn rows unbounded preceding) end as paid
+  from (select *, row_number() over (partition by payment_id order by payment_date, payment_id, amount, id) as rn
+    from waiting where payment_id not in (select payment_id from recorded)) r
+  join (select credit_id, total_repayment - coalesce(s, 0) as owed from totals
+    left join (select credit_id, sum(applied) as s from recorded group by credit_id) using (credit_id)) t using (credit_id))"""),
     "dated": (("publish_log",), """
 select *, coalesce(last_value(mark ignore nulls) over (partition by stream order by line_no rows between unbounded preceding and current row), '') as date
 from (select *, case when line like '%Parameters:%' then string_split_regex(trim(line), '\\s+')[9] end as mark from publish_log)"""),
@@ -344,6 +359,14 @@ results as (select case when greatest(total_repayment - paid + amount, 0) - grea
   union all select 'duplicate', 0 from ranked where rn > 1)
 select outcome, count(*) as records, cast(sum(applied) as bigint) as applied from results group by outcome""",
         "payments", "totals").replace("\n, waiting as", ",\nwaiting as", 1),
+    "payment_later_run": _with("""
+select id, payment_id, outcome, cast(applied as bigint) as applied, count(*) as records from (
+  select id, payment_id, 'duplicate' as outcome, 0 as applied from waiting where payment_id in (select payment_id from recorded)
+  union all
+  select id, payment_id, case when rn > 1 then 'duplicate' when later_applied = amount then 'applied_full' else 'clamped' end,
+    case when rn > 1 then 0 else later_applied end
+  from later)
+group by id, payment_id, outcome, applied""", "waiting", "recorded", "later"),
     "credit_outstanding": _with("""
 select credit_id, total_repayment, coalesce(paid, 0) as paid, coalesce(payments, 0) as payments, total_repayment - coalesce(paid, 0) as outstanding
 from totals left join (select credit_id, cast(sum(applied) as bigint) as paid, count(*) as payments from applied group by credit_id) using (credit_id)""",

@@ -408,6 +408,15 @@ def payment_run_outcome(fx: Fixtures) -> DataFrame:
         F.sum("records").alias("records"), F.sum("applied").alias("applied"))
 
 
+@query
+def payment_later_run(fx: Fixtures) -> DataFrame:
+    """A run after the flagged payments were recorded: their ids are taken and their amounts no longer owed."""
+    earlier = _payments(fx).where("is_published")
+    recorded = credits.payment_outcomes(_totals(fx), earlier)
+    run = credit_pipeline.publish_payments(fx.payments_raw(), fx.credits_raw(), "staging", recorded=recorded)
+    return run.outcomes.select("id", "payment_id", "outcome", "applied", "records")
+
+
 @query
 def credit_outstanding(fx: Fixtures) -> DataFrame:
     state = _totals(fx)

@@ -60,3 +60,13 @@ PAYMENTS_RAW = _struct(
         ("payment_id", LONG), ("credit_id", LONG), ("amount", REAL), ("payment_date", TEXT),
         ("published_staging", FLAG), ("published_production", FLAG))),
 )
+
+CREDITS_STATE = _struct(
+    ("credit_id", LONG), ("issuance_date", LONG), ("owner", TEXT), ("principal", LONG), ("outstanding", LONG),
+    ("term_days", LONG),
+)
+
+PAYMENT_OUTCOMES = _struct(
+    ("id", TEXT), ("payment_id", LONG), ("credit_id", LONG), ("amount", LONG), ("payment_date", LONG),
+    ("outcome", TEXT), ("applied", LONG), ("balance", LONG), ("records", LONG),
+)

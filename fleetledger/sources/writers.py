@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetledger.session import pin
+from fleetledger.sources import readers
 
 
 class EmptyInput(ValueError):
@@ -42,6 +43,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").option("header", True).format(fmt).save(path)
 
 
+def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Add rows to a table that only grows."""
+    df.write.mode("append").option("header", True).format(fmt).save(path)
+
+
+def write_day(df: DataFrame, root: str, day: readers.Day = None, fmt: str = "parquet") -> None:
+    """Replace one date of a ``date=/source=`` table as a whole: a source without rows ends up empty."""
+    rows = readers.on_date(df, day).drop("date")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("header", True)
+     .partitionBy("source").format(fmt).save(f"{root.rstrip('/')}/date={readers.day_text(day)}"))
+
+
 def write_ledger(ledger: DataFrame, path: str) -> None:
     """Overwrite the ledger's ``environment, date`` partitions with the merged entries."""
     write_partitioned(pin(ledger), path, ("environment", "date"))

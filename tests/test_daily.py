@@ -1,0 +1,110 @@
+import datetime
+import json
+
+import pytest
+
+from fleetledger import schemas
+from fleetledger.plans import daily
+from fleetledger.sources import readers, writers
+from fleetledger.sources.fixtures import Fixtures
+from test_credits import record
+
+DAY = "2024-01-15"
+D = datetime.date.fromisoformat(DAY)
+
+
+def document(keys, device):
+    return json.dumps({"body": [
+        {"k_ruta": k, "k_dispositivo": device, "o_fecha_inicial": f"{DAY} 10:00:00", "o_fecha_final": f"{DAY} 11:00:00",
+         "f_distancia": 1500.0 * (k % 5 + 1)} for k in keys]})
+
+
+@pytest.fixture(scope="module")
+def lake(tmp_path_factory):
+    return tmp_path_factory.mktemp("lake")
+
+
+def test_route_day(spark, lake):
+    path = lambda name: str(lake / name)
+    (lake / "m.json").write_text(document(range(10), "A") + "\n" + document(range(10, 14), "Z"))
+    (lake / "b.json").write_text(document(range(20, 25), "B"))
+    (lake / "none.json").write_text('{"body": []}')
+    daily.land(spark, path("m.json"), path("raw"), "motorbike", DAY)
+    daily.land(spark, path("b.json"), path("raw"), "bicycle", DAY)
+    with pytest.raises(writers.EmptyInput):
+        daily.land(spark, path("none.json"), path("raw"), "bicycle", DAY)
+
+    contacts = [("r1", (1, ["A"], None)), ("r2", (2, ["B"], "0xB"))]
+    writers.write_table(spark.createDataFrame(contacts, schemas.CONTACTS), path("contacts"))
+    daily.sync_devices(spark, path("contacts"), path("map"))
+    address = {r.k_dispositivo: r.celo_address for r in spark.read.parquet(path("map")).collect()}
+    stored = {r.id: r.fields.celo_address for r in spark.read.parquet(path("contacts")).collect()}
+    assert stored == {"r1": address["A"], "r2": "0xB"} and len(address["A"]) == 42
+
+    def process():
+        run = daily.process(spark, path("raw"), path("routes"), Fixtures.params(), path("map"),
+                            assignments_path=path("ids"), day=DAY)
+        rows = readers.read_partitioned(spark, path("routes"), schemas.ROUTES_FINAL, day=DAY)
+        return run, sorted(map(tuple, rows.collect()), key=str)
+
+    run, first = process()
+    assert {r[-1] for r in first} == {"motorbike", "bicycle"}
+    assert [r.device_list for r in run.alerts.collect()] == ["Z"]
+    assert process()[1] == first  # a rerun keeps ids and rows
+
+    ready, held = daily.pending(spark, path("routes"), path("ledger"), "staging", DAY)
+    todo = sorted(r.routeid for r in ready.collect())
+    assert {r.gpsid for r in held.collect()} == {"Z"}
+
+    def attempt(ids, message="ok"):
+        rows = [(D, i, key, message if i == len(ids) - 1 else "ok", 1) for i, key in enumerate(ids)]
+        return spark.createDataFrame(rows, schemas.ATTEMPTS)
+
+    with pytest.raises(daily.Incomplete, match=f"only 3 of {len(first)}"):
+        daily.record(spark, path("routes"), path("ledger"), "staging", attempt(todo[:4], "nonce too low"), DAY)
+    left = sorted(r.routeid for r in daily.pending(spark, path("routes"), path("ledger"), "staging", DAY)[0].collect())
+    assert left == todo[3:]
+    everything = left + [r.routeid for r in held.collect()]
+    daily.record(spark, path("routes"), path("ledger"), "staging", attempt(everything), DAY)
+    assert readers.read_ledger(spark, path("ledger"), "staging", DAY).count() == len(first)
+    assert readers.read_ledger(spark, path("ledger"), "production", DAY).count() == 0
+
+
+def test_a_source_without_rows_is_emptied(spark, tmp_path):
+    root = str(tmp_path / "routes")
+    rows = [(1, "A", 0, 1, 2, None, D, "m"), (2, "B", 0, 1, 2, None, D, "b")]
+    df = spark.createDataFrame(rows, schemas.ROUTES_FINAL)
+    writers.write_day(df, root, DAY)
+    other = df.selectExpr("routeid", "gpsid", "timestampstart", "timestampend", "measureddistance", "celo_address",
+                          "date_add(date, 1) as date", "source")
+    writers.write_day(other, root, "2024-01-16")
+    writers.write_day(df.where("source = 'm'"), root, DAY)
+    assert [r.source for r in readers.read_partitioned(spark, root, schemas.ROUTES_FINAL, day=DAY).collect()] == ["m"]
+    assert readers.read_partitioned(spark, root, schemas.ROUTES_FINAL, every_day=True).count() == 3
+
+
+def test_credit_and_payment_runs(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    writers.write_table(spark.createDataFrame(
+        [record("c1", 1, ["k1"], None, None, debt=100.0), record("c2", 2, ["k1"], None, False, debt=50.0)],
+        schemas.CREDITS_RAW), path("credits"))
+    writers.write_table(spark.createDataFrame([("k1", (7, [], None))], schemas.CONTACTS), path("contacts"))
+    for _ in range(2):  # the second run finds nothing to do
+        daily.publish_credits(spark, path("credits"), path("contacts"), path("state"), "staging")
+    state = spark.read.parquet(path("state")).collect()
+    owner = spark.read.parquet(path("contacts")).first().fields.celo_address
+    assert sorted((r.credit_id, r.owner, r.outstanding) for r in state) == [(1, owner, 100), (2, owner, 50)]
+    assert all(r.fields.published_staging for r in spark.read.parquet(path("credits")).collect())
+
+    def payments(*rows):
+        table = spark.createDataFrame([(f"p{i}", (pid, cid, amount, day, None, None)) for i, pid, cid, amount, day in rows],
+                                      schemas.PAYMENTS_RAW)
+        writers.append_table(table, path("payments"))
+        daily.publish_payments(spark, path("payments"), path("credits"), path("outcomes"), "staging")
+        return sorted((r.id, r.outcome, r.applied) for r in spark.read.parquet(path("outcomes")).collect())
+
+    first = payments((1, 1, 1, 70.0, "2024-02-01"), (2, 2, 2, 10.0, "2024-02-01"))
+    assert first == [("p1", "applied_full", 70), ("p2", "applied_full", 10)]
+    second = payments((3, 3, 1, 70.0, "2024-02-02"), (4, 2, 2, 10.0, "2024-02-03"), (5, 5, 2, 40.0, "2024-02-04"))
+    assert second == first + [("p3", "clamped", 30), ("p4", "duplicate", 0), ("p5", "applied_full", 40)]
+    assert all(r.fields.published_staging for r in spark.read.parquet(path("payments")).collect())
