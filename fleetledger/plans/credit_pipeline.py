@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetledger.functions import scalars
 from fleetledger.operators import credits as ops
+from fleetledger.session import pin
 from fleetledger.sources import writers
 
 
@@ -49,23 +50,25 @@ def publish_payments(raw: DataFrame, credits_raw: DataFrame, env: str, strict: b
     """Record unpublished payments of published credits; duplicates count as published.
 
     ``recorded`` are the outcomes of earlier runs: their ids are taken, and what they
-    applied is no longer owed.
+    applied is no longer owed. The pending payments, usually a small part of all, and
+    their outcomes are pinned, as several later steps read them.
     """
     credits = ops.flatten_credits(credits_raw, env, strict)
     state = ops.issued_totals(credits)
-    pending = ops.payments_pending(ops.flatten_payments(raw, env, strict), credits)
-    outcomes, fresh = None, pending
-    if recorded is not None:
+    pending = ops.payments_pending(ops.flatten_payments(raw, env, strict), credits).drop("is_published")
+    if recorded is None:
+        outcomes = ops.payment_outcomes(state, pin(pending))
+    else:
         accepted = recorded.where("outcome in ('applied_full', 'clamped')")
         paid = accepted.groupBy("credit_id").agg(F.sum("applied").alias("_paid"))
         state = state.join(paid, "credit_id", "left").selectExpr(
             "credit_id", "total_repayment - coalesce(_paid, 0) as total_repayment")
-        taken = accepted.select("payment_id")
-        fresh = pending.join(taken, "payment_id", "left_anti")
-        outcomes = ops.repeated_outcomes(pending.join(taken, "payment_id", "left_semi"))
-    applied = ops.apply_payments(state, fresh)
-    new = ops.payment_outcomes(state, fresh)
-    outcomes = new if outcomes is None else new.unionByName(outcomes)
+        taken = accepted.select("payment_id", F.lit(True).alias("_taken"))  # an id is accepted once
+        pending = pin(pending.join(taken, "payment_id", "left"))
+        fresh, repeated = (pending.where(f"_taken is {test}").drop("_taken") for test in ("null", "not null"))
+        outcomes = ops.payment_outcomes(state, fresh).unionByName(ops.repeated_outcomes(repeated))
+    outcomes = pin(outcomes)
+    applied = outcomes.where("outcome in ('applied_full', 'clamped')").drop("outcome", "records")
     done = outcomes.where("outcome <> 'error'").select("id").distinct().withColumn(f"published_{env}", F.lit(True))
     return PaymentRun(
         applied, outcomes, ops.outstanding(state, applied), writers.upsert_fields(raw, done, [f"published_{env}"]))

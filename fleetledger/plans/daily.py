@@ -114,6 +114,6 @@ def publish_payments(spark: SparkSession, payments_path: str, credits_path: str,
     credits = spark.read.schema(schemas.CREDITS_RAW).parquet(credits_path)
     recorded = readers.read_or_empty(spark, outcomes_path, schemas.PAYMENT_OUTCOMES)
     run = credit_pipeline.publish_payments(raw, credits, env, recorded=recorded)
-    outcomes, records = pin(run.outcomes), pin(run.records)
-    writers.append_table(outcomes, outcomes_path)
+    records = pin(run.records)
+    writers.append_table(run.outcomes, outcomes_path)
     writers.write_table(records, payments_path)

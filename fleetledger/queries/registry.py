@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetledger import schemas
-from fleetledger.functions import scalars, times
+from fleetledger.functions import scalars
 from fleetledger.operators import credits, devices, ids, ledger, logs, metrics, routes
 from fleetledger.params import ParamSet, Range, SourceParams
 from fleetledger.plans import credit_pipeline, delivery_extract, device_sync, publication, route_pipeline
-from fleetledger.session import work_dir
+from fleetledger.session import pin, work_dir
 from fleetledger.sources import readers, writers
 from fleetledger.sources.fixtures import DISTANCE, DURATION, MAX_PER_HOUR, PROTOTYPE_ADDRESS, SPLIT, Fixtures
 
@@ -356,7 +356,7 @@ def credit_dates(fx: Fixtures) -> DataFrame:
 @query
 def credit_addresses(fx: Fixtures) -> DataFrame:
     resolved = credits.resolve_addresses(_credits(fx), fx.contacts())[0]
-    return resolved.select("credit_id", "client_record_id", "client_id", "address", F.col("is_derived").cast("int").alias("is_derived"))
+    return resolved.selectExpr("credit_id", "client_record_id", "client_id", "address", "int(is_derived) as is_derived")
 
 
 @query
@@ -412,7 +412,7 @@ def payment_run_outcome(fx: Fixtures) -> DataFrame:
 def payment_later_run(fx: Fixtures) -> DataFrame:
     """A run after the flagged payments were recorded: their ids are taken and their amounts no longer owed."""
     earlier = _payments(fx).where("is_published")
-    recorded = credits.payment_outcomes(_totals(fx), earlier)
+    recorded = pin(credits.payment_outcomes(_totals(fx), earlier))
     run = credit_pipeline.publish_payments(fx.payments_raw(), fx.credits_raw(), "staging", recorded=recorded)
     return run.outcomes.select("id", "payment_id", "outcome", "applied", "records")
 

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dir: dict[str, str] = {}
+_local_dir: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 # Shuffle partitions are sized for this many bytes each, up to a count the driver can track;
@@ -46,8 +46,8 @@ def work_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dir:
-        _local_dir[app] = tempfile.mkdtemp(prefix="fleetledger-")
-    return _local_dir[app]
+        _local_dir[app] = tempfile.TemporaryDirectory(prefix="fleetledger-", ignore_cleanup_errors=True)
+    return _local_dir[app].name
 
 
 def pin(df: DataFrame) -> DataFrame:
