@@ -62,9 +62,9 @@ def round_half_even(number: str) -> Column:
     return F.expr(f"cast(bround({number}, 0) as bigint)")
 
 
-def whole_number(number: str) -> Column:
-    """Toward zero, as an integer."""
-    return F.expr(f"cast({number} as bigint)")
+def whole_number(number: str, strict: bool = True) -> Column:
+    """Toward zero, as an integer. What is no number raises when strict, else gives null."""
+    return F.expr(f"{'cast' if strict else 'try_cast'}({number} as bigint)")
 
 
 def first_of(items: str) -> Column:

@@ -24,10 +24,10 @@ def flatten_credits(raw: DataFrame, env: str, strict: bool = True) -> DataFrame:
     require_utc(raw.sparkSession)
     return raw.select(
         "id",
-        F.col("fields.credit_id").cast("bigint").alias("credit_id"),
+        scalars.whole_number("fields.credit_id", strict).alias("credit_id"),
         scalars.first_of("fields.client_link").alias("client_record_id"),
-        scalars.whole_number("fields.investment").alias("principal"),
-        scalars.whole_number("fields.initial_debt").alias("total_repayment"),
+        scalars.whole_number("fields.investment", strict).alias("principal"),
+        scalars.whole_number("fields.initial_debt", strict).alias("total_repayment"),
         times.epoch_seconds(times.strip_zulu("fields.disbursed"), DISBURSED_FORMAT, strict).alias("issuance_date"),
         scalars.term_days("fields.term_text", strict).alias("term_days"),
         scalars.non_empty("try_element_at(fields.client_address, 1)").alias("own_address"),
@@ -40,9 +40,9 @@ def flatten_payments(raw: DataFrame, env: str, strict: bool = True) -> DataFrame
     require_utc(raw.sparkSession)
     return raw.select(
         "id",
-        scalars.whole_number("fields.payment_id").alias("payment_id"),
-        scalars.whole_number("fields.credit_id").alias("credit_id"),
-        scalars.whole_number("fields.amount").alias("amount"),
+        scalars.whole_number("fields.payment_id", strict).alias("payment_id"),
+        scalars.whole_number("fields.credit_id", strict).alias("credit_id"),
+        scalars.whole_number("fields.amount", strict).alias("amount"),
         times.epoch_seconds("fields.payment_date", PAYMENT_DATE_FORMAT, strict).alias("payment_date"),
         scalars.published_flag(env).alias("is_published"),
     )

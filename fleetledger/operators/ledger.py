@@ -49,9 +49,9 @@ def within_budget(items: DataFrame, budget: float, cost: str = "cost", day: str
                   block: int = BLOCK) -> DataFrame:
     """Rows of each day whose preceding rows cost at most 90 % of the budget.
 
-    Sums per block of the sequence come first; blocks that start beyond the limit
-    are gone before any row is shuffled into a window, and a day's rows are spread
-    over its blocks.
+    Sums per block of the sequence come first. Rows behind the last block that starts
+    within the limit are dropped where they are read (one bound per calendar day is
+    broadcast); only the rest is shuffled, a day's rows spread over its blocks.
     """
     limit = BUDGET_SHARE * budget
     blocked = items.withColumn("_block", F.expr(f"{order} div {int(block)}"))
@@ -60,9 +60,11 @@ def within_budget(items: DataFrame, budget: float, cost: str = "cost", day: str
         blocked.groupBy(day, "_block").agg(F.sum(cost).alias("_cost"))
         .select(day, "_block", F.coalesce(F.sum("_cost").over(earlier), F.lit(0)).alias("_start"))
         .where(F.col("_start") <= limit))
+    bounds = starts.groupBy(day).agg(F.max("_block").alias("_last"))
     before = Window.partitionBy(day, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        blocked.join(starts, [day, "_block"])
+        blocked.join(F.broadcast(bounds), day).where("_block <= _last").drop("_last")
+        .join(starts, [day, "_block"])
         .withColumn("spent", F.col("_start") + F.coalesce(F.sum(cost).over(before), F.lit(0)))
         .where(F.col("spent") <= limit)
         .drop("_block", "_start"))

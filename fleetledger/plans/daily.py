@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from fleetledger import schemas
 from fleetledger.functions import scalars
 from fleetledger.operators import credits as credit_ops
-from fleetledger.operators import ids, ledger
+from fleetledger.operators import ids, ledger, metrics
 from fleetledger.params import ParamSet
 from fleetledger.plans import credit_pipeline, device_sync, publication, route_pipeline
 from fleetledger.session import configure, pin
@@ -108,12 +108,18 @@ def publish_credits(spark: SparkSession, credits_path: str, contacts_path: str,
 
 
 def publish_payments(spark: SparkSession, payments_path: str, credits_path: str, outcomes_path: str, env: str) -> None:
-    """Record unpublished payments against what earlier ones left; outcomes table and record flags."""
+    """Record unpublished payments against what earlier ones left: outcomes table and record flags.
+
+    Raises when some could not be recorded; the others are, and those stay pending.
+    """
     configure(spark)
     raw = spark.read.schema(schemas.PAYMENTS_RAW).parquet(payments_path)
     credits = spark.read.schema(schemas.CREDITS_RAW).parquet(credits_path)
     recorded = readers.read_or_empty(spark, outcomes_path, schemas.PAYMENT_OUTCOMES)
     run = credit_pipeline.publish_payments(raw, credits, env, recorded=recorded)
     records = pin(run.records)
-    writers.append_table(run.outcomes, outcomes_path)
+    writers.append_table(run.outcomes.where("outcome <> 'error'"), outcomes_path)
     writers.write_table(records, payments_path)
+    row = metrics.run_outcome(run.outcomes, "outcome <> 'error'", "records").first()
+    if not row.all_success:
+        raise Incomplete(f"only {row.published} of {row.total} payments are published")

@@ -359,6 +359,9 @@ results as (select case when greatest(total_repayment - paid + amount, 0) - grea
   union all select 'duplicate', 0 from ranked where rn > 1)
 select outcome, count(*) as records, cast(sum(applied) as bigint) as applied from results group by outcome""",
         "payments", "totals").replace("\n, waiting as", ",\nwaiting as", 1),
+    "payment_run_total": _with(
+        "select count(*) as total, count(*) filter (where amount >= 0) as published, (bool_and(amount >= 0))::int as all_success from waiting",
+        "waiting"),
     "payment_later_run": _with("""
 select id, payment_id, outcome, cast(applied as bigint) as applied, count(*) as records from (
   select id, payment_id, 'duplicate' as outcome, 0 as applied from waiting where payment_id in (select payment_id from recorded)

@@ -408,6 +408,14 @@ def payment_run_outcome(fx: Fixtures) -> DataFrame:
         F.sum("records").alias("records"), F.sum("applied").alias("applied"))
 
 
+@query
+def payment_run_total(fx: Fixtures) -> DataFrame:
+    """The same run in one row: payments, recorded ones, and whether that is all."""
+    run = credit_pipeline.publish_payments(fx.payments_raw(), fx.credits_raw(), "staging")
+    total = metrics.run_outcome(run.outcomes, "outcome <> 'error'", "records")
+    return total.withColumn("all_success", F.col("all_success").cast("int"))
+
+
 @query
 def payment_later_run(fx: Fixtures) -> DataFrame:
     """A run after the flagged payments were recorded: their ids are taken and their amounts no longer owed."""
@@ -461,7 +469,8 @@ def landing_envelope(fx: Fixtures) -> DataFrame:
     path = _scratch(fx, "landing")
     fields = [f.name for f in schemas.ROUTES_RAW.fields if f.name not in ("date", "source")]
     row = F.struct(*[F.col(c) for c in fields])
-    documents = fx.routes_raw().groupBy(F.expr("monotonically_increasing_id() div 1000").alias("document")).agg(F.collect_list(row).alias("body"))
+    numbered = fx.routes_raw().groupBy(F.expr("monotonically_increasing_id() div 1000").alias("document"))
+    documents = numbered.agg(F.collect_list(row).alias("body"))
     writers.write_table(documents.select("body"), path, "json")
     record = T.StructType([f for f in schemas.ROUTES_RAW.fields if f.name in fields])
     return readers.land_envelope(fx.spark, path, record)

@@ -108,3 +108,7 @@ def test_credit_and_payment_runs(spark, tmp_path):
     second = payments((3, 3, 1, 70.0, "2024-02-02"), (4, 2, 2, 10.0, "2024-02-03"), (5, 5, 2, 40.0, "2024-02-04"))
     assert second == first + [("p3", "clamped", 30), ("p4", "duplicate", 0), ("p5", "applied_full", 40)]
     assert all(r.fields.published_staging for r in spark.read.parquet(path("payments")).collect())
+    with pytest.raises(daily.Incomplete, match="only 1 of 2"):
+        payments((6, 6, 1, -1.0, "2024-02-05"), (7, 7, 1, 0.0, "2024-02-05"))
+    flags = {r.id: r.fields.published_staging for r in spark.read.parquet(path("payments")).collect()}
+    assert flags["p6"] is None and flags["p7"] is True
