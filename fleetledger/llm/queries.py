@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality, simhash
 from .frames import table
 
 
+def quality_model(spark: SparkSession, folder: str) -> list[quality.Pair]:
+    """Fitted on the labelled rows that are not held out."""
+    docs, labels = (table(spark, folder, t).filter(~quality.held_out(F.col("doc_id"))) for t in ("documents", "labels"))
+    return quality.train(docs, labels)
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = quality.score(docs, quality_model(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "score",
+                        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"),
@@ -18,6 +31,7 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
