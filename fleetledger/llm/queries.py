@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import decontaminate, quality, simhash
 from .frames import table
 
 
@@ -30,10 +30,43 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.size("hits").cast("long").alias("n_hit"),
+                        F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.size("hits") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 # Only what SQL can express; the others are held against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_benchmark_decontamination": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+bi AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM bi),
+lengths AS (SELECT DISTINCT n FROM bw),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k FROM di),
+hit AS (SELECT dw.doc_id, dw.n, dw.i, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.k = bw.k),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
