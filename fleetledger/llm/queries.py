@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash
+from . import decontaminate, pii, quality, simhash
 from .frames import table
 
 
@@ -24,6 +24,13 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_pii_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.spans(docs, pii.train(docs))
+    return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"),
@@ -40,6 +47,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_pii_skip_chain": op2_pii_skip_chain,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
