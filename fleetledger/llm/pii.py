@@ -324,9 +324,10 @@ def masked(text: str, found: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def redact(docs: DataFrame, model: Field, text_col: str = "text") -> DataFrame:
-    """``docs`` with the spans of the text column masked."""
+def redact(docs: DataFrame, model: Field, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with the spans of the text column masked; ``length_col``, if there, follows a masked text's length."""
     at, schema = docs.columns.index(text_col), docs.schema
+    length_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(at)
@@ -334,8 +335,13 @@ def redact(docs: DataFrame, model: Field, text_col: str = "text") -> DataFrame:
         if not any(every for _, every in found.values()):
             return batch
         text = column.to_pylist()
+        length = batch.column(length_at).to_pylist() if length_at is not None else []
         for k, (_, every) in found.items():
             text[k] = masked(text[k], every)
+            if every and length:
+                length[k] = len(text[k])
+        if length:
+            batch = batch.set_column(length_at, batch.schema.field(length_at), pa.array(length, batch.schema.field(length_at).type))
         return batch.set_column(at, batch.schema.field(at), pa.array(text, column.type))
 
     return map_batches(docs, rows, schema)

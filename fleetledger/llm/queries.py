@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii, quality, simhash
+from . import decontaminate, pieces, pii, quality, simhash
 from .frames import table
 
 
@@ -31,6 +32,15 @@ def op2_pii_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def piece_vocabulary() -> pieces.Vocabulary:
+    return pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    found = pieces.round_trips(table(spark, folder, "documents"), piece_vocabulary())
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"),
@@ -48,6 +58,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii_skip_chain": op2_pii_skip_chain,
+    "op5_sentencepiece_viterbi": op5_sentencepiece_viterbi,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
