@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Arrow batches hold at most so many rows and bytes, and tasks work on so many bytes of text at once.
 BATCH_ROWS = 2_000
@@ -40,6 +41,17 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def least_hashes(df: DataFrame, draw: str, wanted: int, total: int) -> DataFrame:
+    """The ``wanted`` rows of least ``draw`` (a 64-bit hash) of about ``total``, or a few less.
+
+    Rows far beyond them are dropped where they are read, so what meets on the driver
+    does not grow with the number of tasks.
+    """
+    share = (wanted + 4 * wanted ** 0.5) / max(total, 1)
+    near = df if share >= 1 else df.filter(F.col(draw) <= int(-2 ** 63 + share * 2 ** 64))
+    return near.orderBy(draw).limit(wanted)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

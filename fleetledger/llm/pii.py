@@ -8,8 +8,9 @@ every token its label probabilities; tokens that are surely of a kind, and in no
 span, become further spans of that kind. Each batch's documents are one graph, so
 messages are whole numpy arrays, and a text of n tokens has at most 3n edges.
 
-The field's weights are fitted here by pseudo-likelihood on at most ``TRAIN_TOKENS``
-tokens (those of least hash over all documents), labelled by the base spans.
+The field's weights are fitted here by pseudo-likelihood on a bounded sample, labelled
+by the base spans: at most ``TRAIN_TOKENS`` tokens of least hash, out of the about
+``TRAIN_DOCS`` documents of least id hash.
 
 Defined cases: null counts as empty and has no spans; without a token to train on,
 the field adds nothing; spans of different kinds may overlap, those of one kind don't.
@@ -38,6 +39,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+TRAIN_DOCS = 100_000
 TRAIN_TOKENS = 20_000
 FEATURES = 1 << 12
 ROUNDS = 12
@@ -265,7 +267,7 @@ def find(column: pa.Array, model: Field) -> dict[int, tuple[list[Span], list[Spa
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """Fit the field on the tokens of ``docs`` of least hash."""
+    """Fit the field on a sample of the tokens of ``docs``."""
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         graph = Graph()
         for k, text in _marked(batch.column(1)):
@@ -286,6 +288,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
 
     plain = docs.select(F.xxhash64(F.col(id_col).cast("string"), F.lit("pii")).alias("draw"),
                         F.col(text_col).cast("string").alias("text"))
+    share = TRAIN_DOCS / max(1, docs.count())
+    if share < 1:
+        plain = plain.filter(F.col("draw") <= int(-2 ** 63 + share * 2 ** 64))
     tokens = map_batches(plain, rows, "draw long, at long, label long, before long, after long, linked array<long>, features array<long>")
     sample = (tokens.orderBy(F.xxhash64("draw", "at"), "draw", "at", "label", "before", "after").limit(TRAIN_TOKENS).collect())
     label, before, after = (np.array([r[c] for r in sample], np.int64) for c in ("label", "before", "after"))
