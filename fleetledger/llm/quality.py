@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import bounded_batches, map_batches, utf8
+from .frames import bounded_batches, least_hashes, map_batches, utf8
 
 SAMPLE_TEXTS = 6_000
 FOLDS = 3
@@ -111,7 +111,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on the rows of ``labels``; ``docs`` holds their texts."""
     bounded_batches(docs.sparkSession)
     ids = _labelled_ids(labels, id_col, label_col)
-    sides = [ids.filter(F.col("train_label") == c).orderBy("draw").limit(SAMPLE_TEXTS) for c in (0, 1)]
+    total = {r.train_label: r["count"] for r in ids.groupBy("train_label").count().collect()}  # two rows
+    sides = [least_hashes(ids.filter(F.col("train_label") == c), "draw", SAMPLE_TEXTS, total.get(c, 0)) for c in (0, 1)]
     # At most 2 * SAMPLE_TEXTS narrow rows are broadcast.
     sample = (docs.select(F.col(id_col).cast("long").alias("train_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
               .join(F.broadcast(sides[0].unionByName(sides[1])), "train_id")
