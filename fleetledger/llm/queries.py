@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pieces, pii, quality, simhash
+from . import decontaminate, packed, pieces, pii, quality, simhash
 from .frames import table
 
 
@@ -41,6 +41,13 @@ def op5_sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op8_packed_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    files = packed.write(table(spark, folder, "documents"), tokenizer, end_id=1)
+    return packed.read(spark, files).withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"),
@@ -59,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii_skip_chain": op2_pii_skip_chain,
     "op5_sentencepiece_viterbi": op5_sentencepiece_viterbi,
+    "op8_packed_token_ids": op8_packed_token_ids,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
