@@ -169,9 +169,11 @@ def splits_at_spaces(tokenizer: str) -> bool:
     spec = json.loads(tokenizer)
     parts = spec.get("pre_tokenizer") or {}
     first = (parts.get("pretokenizers") or [parts])[0]
+    # A split that keeps only its matches drops white space if no part of its pattern can match any.
+    kept = (first.get("pattern") or {}).get("Regex", r"\s")
     dropped = first.get("type") in ("Whitespace", "WhitespaceSplit") or (
         first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-        and "[^\\s" in str(first.get("pattern")) and ".*" not in str(first.get("pattern")))
+        and not re.search(r"\\s|\.|\[\^| ", kept.replace(r"[^\s", "")))
     rules = spec.get("normalizer") or {}
     local = all(r.get("type") in ("NFC", "Lowercase") or (r.get("type") == "Replace" and r.get("pattern") == {"Regex": "\\s+"})
                 for r in rules.get("normalizers", [rules] if rules else []))
@@ -186,6 +188,7 @@ class Encoder:
     # Words of these characters are split into letters, single digits and runs of other marks.
     _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\\[-`{-~]+")
     _PARTS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
+    _MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -193,6 +196,8 @@ class Encoder:
         self.word_wise = splits_at_spaces(tokenizer)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        rules = json.loads(tokenizer).get("normalizer") or {}
+        self.lowers = any(r.get("type") == "Lowercase" for r in rules.get("normalizers", [rules]))
         end = json.loads(tokenizer)["model"].get("end_of_word_suffix") if self.word_wise else None
         self.ends = None
         if end:
@@ -232,8 +237,17 @@ class Encoder:
             self.young.setdefault(word, self.old[word])
         fresh = sorted(distinct - self.young.keys())
         plain = [w for w in fresh if self.ends is not None and self._PLAIN.fullmatch(w.decode())]
-        for k in range(0, len(plain), JOINED_WORDS):
-            self.young.update(self._joined(plain[k:k + JOINED_WORDS]))
+        # Of a plain word, the marks at its end are a part of their own, and capitals may be all the same.
+        halves = {}
+        for word in plain:
+            same = word.lower() if self.lowers else word
+            core = same.rstrip(self._MARKS)
+            halves[word] = core, same[len(core):]
+        parts = sorted({h for pair in halves.values() for h in pair} - self.young.keys() - {b""})
+        for k in range(0, len(parts), JOINED_WORDS):
+            self.young.update(self._joined(parts[k:k + JOINED_WORDS]))
+        self.young[b""] = b""
+        self.young.update((word, self.young[core] + self.young[marks]) for word, (core, marks) in halves.items())
         self.young.update(self._alone([w for w in fresh if w not in self.young]))
         found = [b"".join(map(self.young.__getitem__, own)) for own in words]
         for word in distinct:
@@ -274,11 +288,11 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
                         F.xxhash64(text_col).alias("text_key"), F.monotonically_increasing_id().alias("at"))
     order = ["id", "text_key", "at"]
     listed = pin(keyed.repartitionByRange(files or shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-                 .select("id", "text").mapInArrow(task, "part int, path string, n_docs long, n_ids long"))
+                 .select("id", "text").mapInArrow(task, "part long, path string, n_docs long, n_ids long"))
     rows = sorted(listed.collect())  # one row per file
     starts = np.cumsum([0, *(r.n_ids for r in rows)]).tolist()
     return spark.createDataFrame([(*r, s) for r, s in zip(rows, starts)],
-                                 "part int, path string, n_docs long, n_ids long, start long")
+                                 "part long, path string, n_docs long, n_ids long, start long")
 
 
 def read(spark: SparkSession, listed: DataFrame) -> DataFrame:
