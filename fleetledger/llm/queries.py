@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packed, pieces, pii, quality, simhash
+from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash
 from .frames import table
 
 
@@ -32,6 +32,11 @@ def op2_pii_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op4_maxscore_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    found = maxscore.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def piece_vocabulary() -> pieces.Vocabulary:
     return pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -65,6 +70,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii_skip_chain": op2_pii_skip_chain,
+    "op4_maxscore_top_k": op4_maxscore_top_k,
     "op5_sentencepiece_viterbi": op5_sentencepiece_viterbi,
     "op8_packed_token_ids": op8_packed_token_ids,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
@@ -73,6 +79,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Only what SQL can express; the others are held against brute force in tests/llm.
 ORACLE: dict[str, str] = {
+    "op4_maxscore_top_k": """
+WITH sound AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS (
+    SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS at,
+           CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS v
+    FROM sound),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.v * c.v) AS BIGINT) AS score
+    FROM part q JOIN part c ON q.at = c.at AND q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+    GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op10_benchmark_decontamination": r"""
 WITH d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
