@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash
+from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash, substrings
 from .frames import table
 
 
@@ -32,6 +32,11 @@ def op2_pii_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_maxscore_top_k(spark: SparkSession, folder: str) -> DataFrame:
     found = maxscore.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
     return found.withColumnRenamed("id", "vec_id")
@@ -70,6 +75,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii_skip_chain": op2_pii_skip_chain,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_maxscore_top_k": op4_maxscore_top_k,
     "op5_sentencepiece_viterbi": op5_sentencepiece_viterbi,
     "op8_packed_token_ids": op8_packed_token_ids,
@@ -79,6 +85,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Only what SQL can express; the others are held against brute force in tests/llm.
 ORACLE: dict[str, str] = {
+    "op3_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM starts),
+least AS (SELECT k, min(doc_id) AS least FROM windows GROUP BY k),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+    FROM windows JOIN least USING (k) WHERE least < doc_id),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+kept AS (
+    SELECT words.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY words.i) AS text
+    FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i
+    WHERE gone.i IS NULL GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
     "op4_maxscore_top_k": """
 WITH sound AS (
     SELECT vec_id, embedding FROM embeddings
