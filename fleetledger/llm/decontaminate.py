@@ -57,6 +57,7 @@ class Scanner:
         self.numbers: dict[bytes, int] = {}
         self.items = [sorted({i for i in ids if i is not None}) for ids in found.values()]
         self.sizes = [len(window) for window in found]
+        self.shortest = min(self.sizes, default=0)
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for k, window in enumerate(found):
             self.automaton.add_word(tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in window), k)
@@ -68,10 +69,15 @@ class Scanner:
         if not own or not self.numbers:
             return np.empty(0, np.int64), []
         number = self.numbers.get
+        numbers = np.array([0, *(number(w, 0) for w in own), 0])
         ends, windows = [], []
-        for end, window in self.automaton.iter(tuple([number(w, 0) for w in own])):
-            ends.append(end)
-            windows.append(window)
+        # A word of no window ends every match: only runs of known words as long as some window are walked.
+        breaks = np.flatnonzero(numbers == 0)
+        for run in np.flatnonzero(np.diff(breaks) > self.shortest).tolist():
+            first = int(breaks[run])
+            for end, window in self.automaton.iter(tuple(numbers[first + 1:breaks[run + 1]].tolist())):
+                ends.append(first + end)
+                windows.append(window)
         if not ends:
             return np.empty(0, np.int64), []
         last = np.array(ends) + 1

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash, substrings
+from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash, substrings, urls
 from .frames import table
 
 
@@ -51,6 +51,17 @@ def op5_sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+# Verdict, host and path.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rows = urls.judged(table(spark, folder, "pages"), URL_RULES)
+    model = urls.train(rows.filter(F.col("decided").isNotNull()))
+    return urls.verdicts(rows, model).withColumnRenamed("id", "page_id")
+
+
 def op8_packed_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         tokenizer = file.read()
@@ -78,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_maxscore_top_k": op4_maxscore_top_k,
     "op5_sentencepiece_viterbi": op5_sentencepiece_viterbi,
+    "op6_url_filter": op6_url_filter,
     "op8_packed_token_ids": op8_packed_token_ids,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
