@@ -112,9 +112,8 @@ IS_SPACE = byte_class(SPACES)
 class Words:
     """The words of a range of rows: byte bounds, and for each row its first word (one more than rows)."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
-        self.raw, self.offsets = raw, offsets
-        inner = ~IS_SPACE[raw]
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE):
+        inner = ~between[raw]
         fresh = np.empty(len(raw) + 1, bool)
         fresh[0] = fresh[-1] = True
         np.logical_not(inner[:-1], out=fresh[1:-1])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash, substrings, urls
+from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash, substrings, toxicity, urls
 from .frames import table
 
 
@@ -62,6 +62,16 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.verdicts(rows, model).withColumnRenamed("id", "page_id")
 
 
+def op7_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (table(spark, folder, t) for t in ("documents", "labels"))
+    marked = labels.filter(~quality.held_out(F.col("doc_id"))).select(
+        "doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic", (F.col("toxic") * (1 - F.col("quality"))).alias("toxic_low_quality"))
+    chain = toxicity.train(docs, marked, ("low_quality", "toxic", "toxic_low_quality"), stratum="toxic")
+    return toxicity.score(docs, chain).select(
+        F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), F.col("toxic").alias("score"),
+        (F.col("toxic") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "low_quality", "toxic_low_quality")
+
+
 def op8_packed_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         tokenizer = file.read()
@@ -90,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_maxscore_top_k": op4_maxscore_top_k,
     "op5_sentencepiece_viterbi": op5_sentencepiece_viterbi,
     "op6_url_filter": op6_url_filter,
+    "op7_toxicity_chain": op7_toxicity_chain,
     "op8_packed_token_ids": op8_packed_token_ids,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
