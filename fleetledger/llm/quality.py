@@ -13,7 +13,8 @@ whole text. Scoring reads every text whole, in tasks that hold one batch.
 
 Defined cases: null text counts as empty; an empty text gets the score of its length.
 Ids that are null or labelled both ways, and labels that are null, don't train. A
-class without texts has an empty dictionary; without any labels every score is 0.5.
+class without texts has an empty dictionary, and labels of one class give every text
+their smoothed share; without any labels every score is 0.5.
 Repeated rows each get a row, other columns are ignored.
 """
 
@@ -78,6 +79,8 @@ def calibrate(found: np.ndarray, label: np.ndarray, ridge: float = 0.3, steps: i
     """Weights of a ridge logistic fit; damped Newton steps on standardised features."""
     if not len(label):
         return ()
+    if len(set(label.tolist())) == 1:  # nothing to tell apart: the smoothed share alone
+        return (float(np.log((label.sum() + 1) / (len(label) - label.sum() + 1))), *[0.0] * (features(found).shape[1] - 1))
     plain = features(found)
     mean, spread = plain.mean(axis=0), plain.std(axis=0) + 1e-9
     mean[0], spread[0] = 0, 1

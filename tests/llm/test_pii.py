@@ -1,0 +1,122 @@
+"""Base spans against the plain patterns, and what the field adds to them."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from fleetledger.llm import pii
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+
+def digits(text):
+    return re.sub("[^0-9]", "", text)
+
+
+def luhn(text):
+    total = 0
+    for k, c in enumerate(text[::-1]):
+        v = int(c) * (2 if k % 2 else 1)
+        total += v // 10 + v % 10
+    return total % 10 == 0
+
+
+def plain(text):
+    """The four patterns as they are stated."""
+    found = [(m.start(), m.end(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [(m.start(), m.end(), 1) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+              if max(map(int, m[0].split("."))) <= 255]
+    found += [(m.start(), m.end(), 2) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text)
+              if 14 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    found += [(m.start(), m.end(), 3) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(digits(m[0])) <= 15]
+    return sorted(found, key=lambda s: (s[0], s[2]))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a.@-+0159 ()é%_2\n", max_size=60))
+def test_base_spans_equal_the_patterns(text):
+    assert pii.base_spans(text) == plain(text)
+
+
+@pytest.mark.parametrize("text", ["4111 1111-1111 1111 and 4111111111111112", "1.2.3.4.5.6.7.8 300.1.1.1 0000255.1.1.1",
+                                  "a@b.c@d.e x@y.z.%k@l.m @n.o", "+1 (802) 555-9869. +1+2345678901 +12345", "é a.b+c@d-e.f-g. 😀 1.1.1.1"])
+def test_chosen_texts(text):
+    assert pii.base_spans(text) == plain(text)
+
+
+def test_long_runs_take_linear_time():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" * 100_000, "a@" * 100_000, "+1(" + "(" * 200_000):
+        pii.base_spans(text)
+
+
+def corpus(n=250):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 8)))
+    rows = []
+    for k in range(n):
+        words = [word() for _ in range(60)]
+        for make in (lambda: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}",
+                     lambda: f"{word()}.{rng.randint(1, 99)}@mail.example.com", lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4)),
+                     lambda: "4111111111111111", lambda: f"token={rng.getrandbits(80):020x}", lambda: f"v{rng.randint(1, 9)}.0"):
+            if rng.random() < 0.5:
+                words.insert(rng.randrange(len(words)), make())
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model(spark, docs):
+    return pii.train(docs(corpus()))
+
+
+def found(spark, docs, model, text):
+    row = pii.spans(docs([(1, text)]), model).first()
+    return [text[int(a):int(b)] for k, a, b in (s.split(":") for s in row.spans.split(",") if s)], row
+
+
+def test_clean_tokens_stay_out_and_base_spans_stay_in(spark, docs, model):
+    for i, text in corpus(40):
+        row = pii.spans(docs([(i, text)]), model).first()
+        base = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, b, k in plain(text))
+        assert row.base == base and set(filter(None, base.split(","))) <= set(row.spans.split(","))
+        assert "token=" not in "".join(text[int(s.split(":")[1]):int(s.split(":")[2])] for s in row.spans.split(",") if s)
+
+
+def test_a_distant_token_that_resembles_a_base_span_is_added(spark, docs, model):
+    text = "call +1 (802) 555-9869 now " + "words " * 300 + "or just (802) 555-9869 later"
+    parts, row = found(spark, docs, model, text)
+    assert row.n_phone == 1 and "+1 (802) 555-9869" in parts
+    assert any("555-9869" in p and "+1" not in p for p in parts)
+
+
+def test_linked_tokens_agree():
+    """A shared edge pulls an undecided token to its certain twin."""
+    field = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), 4 * np.eye(pii.LABELS))
+    graph = pii.Graph()
+    graph.add(0, "1.2.3.4 x y z 1.2.3.4.", [(0, 7, 1)])
+    assert graph.skip == [(0, 1)]
+    assert pii.marginals(graph, field)[1].argmax() == 2 and pii.marginals(graph, field)[1, 2] > 0.9
+
+
+def test_many_copies_of_a_token_make_few_edges():
+    graph = pii.Graph()
+    graph.add(0, "555-123456 " * 5_000, [])
+    assert len(graph.owner) == 5_000 and len(graph.skip) + len(graph.chain) <= 15_000
+
+
+def test_null_empty_and_repeated_rows(spark, docs, model):
+    got = pii.spans(docs([(1, None), (1, None), (None, ""), (2, "a@b.c")]), model).collect()
+    assert sorted((str(r.id), r.n_email, r.base) for r in got) == [("1", 0, ""), ("1", 0, ""), ("2", 1, "email:0:5"), ("None", 0, "")]
+    assert pii.spans(docs([]), model).count() == 0
+    nothing = pii.train(docs([(1, "no marks at all"), (2, None)]))
+    assert pii.spans(docs([(2, "a@b.c 17")]), nothing).first().spans == "email:0:5"
+
+
+def test_redaction_masks_spans_and_keeps_the_rest(spark, docs, model):
+    frame = docs([(1, "mail a@b.c or 1.2.3.4"), (2, None), (3, "clean text")]).withColumns({"n_chars": F.length("text").cast("long"), "spans": F.lit(1)})
+    got = {r.doc_id: r for r in pii.redact(frame, model, length_col="n_chars").collect()}
+    assert got[1].text == "mail [EMAIL] or [IP]" and got[1].n_chars == len(got[1].text)
+    assert got[2].text is None and got[2].n_chars is None and got[3].text == "clean text"
+    assert pii.masked("a+1 23", [(0, 3, 0), (1, 5, 3)]) == "[EMAIL]3"
