@@ -1,0 +1,104 @@
+"""Packed ids: round trips through files, random access, and the library's ids."""
+
+import glob
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from fleetledger.llm import packed
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+JSON = open(PATH, encoding="utf-8").read()
+
+
+@pytest.mark.parametrize("bits", [1, 2, 5, 7, 13, 16, 17, 31, 32, 47])
+def test_packing_is_a_round_trip(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 63, 64, 65, 1_000):
+        ids = rng.integers(0, 1 << bits, n, dtype=np.uint64)
+        data = packed.pack(ids, bits)
+        assert (packed.unpack(data, bits, n) == ids).all() and len(data) == -(-n // 64) * 8 * bits
+
+
+def test_bits_are_the_fewest():
+    assert [packed.bits_for(n) for n in (1, 2, 3, 49_408, 65_536, 65_537)] == [1, 1, 2, 16, 16, 17]
+
+
+def test_files_read_in_order_and_by_document(tmp_path, monkeypatch):
+    monkeypatch.setattr(packed, "BLOCK", 128)
+    rng = np.random.default_rng(0)
+    docs = [rng.integers(0, 50_000, n, dtype=np.uint32) for n in (0, 5, 128, 123, 0, 1_000, 1, 256)]
+    path = str(tmp_path / "deep" / "a.ids")
+    for _ in range(2):  # a task that is run again
+        writer = packed.Writer(path, 16)
+        for k, ids in enumerate(docs):
+            writer.add(k if k else None, ids)
+        writer.close()
+    assert glob.glob(str(tmp_path / "deep" / "*")) == [path]
+    reader = packed.Reader(path)
+    assert [x.tolist() for x in reader.documents()] == [x.tolist() for x in docs]
+    assert all(reader.document(k).tolist() == docs[k].tolist() for k in range(len(docs)))
+    assert reader.docs.tolist() == [packed.NO_ID, *range(1, 8)] and reader.ids == sum(map(len, docs))
+    assert not packed.Reader.__doc__ is None
+    with pytest.raises(ValueError):
+        (tmp_path / "b").write_bytes(b"x" * 100)
+        packed.Reader(str(tmp_path / "b"))
+
+
+LIBRARY = Tokenizer.from_file(PATH)
+ENCODER = packed.Encoder(JSON)
+
+
+def library(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def own(text):
+    return np.frombuffer(ENCODER.encode([text.encode()])[0], "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("abTé'’.,!<|>0 9\t\n\x0b\x1c\x85  ́ΣσİßǅÅ½²٣😀"), st.characters(codec="utf-8")), max_size=30))
+def test_ids_equal_the_library(text):
+    assert own(text) == library(text)
+
+
+@pytest.mark.parametrize("text", ["", " ", "It's I'LL don't", "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|>", "x" * 5_000, "WORD. word, Word", "ΑΣ ΑΣ.", "é ́a"])
+def test_chosen_texts_equal_the_library(text):
+    assert own(text) == library(text)
+
+
+def test_a_tokenizer_that_keeps_spaces_encodes_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = open(path, encoding="utf-8").read()
+    assert packed.splits_at_spaces(JSON) and not packed.splits_at_spaces(text)
+    encoder = packed.Encoder(text)
+    assert np.frombuffer(encoder.encode([b" a  b\nc"])[0], "<u4").tolist() == Tokenizer.from_file(path).encode(" a  b\nc", add_special_tokens=False).ids
+
+
+def test_the_table_is_read_back_from_the_files(spark, docs, tmp_path):
+    texts = [(k * 3, f"Document number {k} " * (k % 7)) for k in range(60)] + [(1_000, None), (1_001, ""), (7, "same"), (7, "same"), (7, "other"), (-5, "long text " * 30_000)]
+    frame = docs(texts).withColumns({"id": F.lit("mine"), "start": F.lit(0)})
+    files = packed.write(frame, JSON, end_id=1, folder=f"file://{tmp_path}/ids", files=5)
+    got = packed.read(spark, files).orderBy("start").collect()
+    assert [r.id for r in got] == sorted(i for i, _ in texts)
+    start = 0
+    by_id = {}
+    for i, t in texts:
+        by_id.setdefault(i, []).append(np.array([*library(t or ""), 1], "<u4"))
+    for r in got:
+        assert r.start == start
+        start += r.n_tokens
+        assert (r.n_tokens, r.ids_crc32) in [(len(x), zlib.crc32(x.tobytes())) for x in by_id[r.id]]
+    assert len(glob.glob(f"{tmp_path}/ids/*.ids")) == files.count()
+
+
+def test_null_ids_come_first_and_empty_tables_have_no_file(spark, docs):
+    got = packed.read(spark, packed.write(docs([(4, "b"), (None, "a")]), JSON, end_id=1)).orderBy("start").collect()
+    assert [(r.id, r.start) for r in got] == [(None, 0), (4, 2)]
+    assert packed.read(spark, packed.write(docs([]), JSON, end_id=1)).count() == 0
