@@ -90,12 +90,16 @@ class Linear:
 
 
 def fit(x: Sparse, earlier: list[np.ndarray], label: np.ndarray, weight: np.ndarray, width: int,
-        ridge: float = 3e-5, steps: int = 150, rate: float = 0.5) -> Linear:
-    """Weighted logistic regression by Adagrad."""
+        ridge: float = 3e-5, steps: int = 250, rate: float = 0.5) -> Linear:
+    """Weighted logistic regression by Adagrad; size and earlier log-odds are standardised."""
+    weight = weight / max(weight.sum(), 1e-9)
     dense = np.stack([np.ones(len(label)), x.size, *earlier], axis=1)
+    mean = weight @ dense
+    spread = np.sqrt(weight @ (dense - mean) ** 2) + 1e-6
+    mean[0], spread[0] = 0, 1
+    dense = (dense - mean) / spread
     words, other = np.zeros(width), np.zeros(dense.shape[1])
     seen_words, seen_other = np.full(width, 1e-8), np.full(dense.shape[1], 1e-8)
-    weight = weight / max(weight.sum(), 1e-9)
     for _ in range(steps):
         off = weight * (_sigmoid(x.sums(words) + dense @ other) - label)
         slope = np.bincount(x.column, off[x.row], width) + ridge * words
@@ -103,7 +107,9 @@ def fit(x: Sparse, earlier: list[np.ndarray], label: np.ndarray, weight: np.ndar
         seen_words += slope ** 2
         seen_other += slope_other ** 2
         words -= rate * slope / np.sqrt(seen_words)
-        other -= 0.2 * rate * slope_other / np.sqrt(seen_other)
+        other -= rate * slope_other / np.sqrt(seen_other)
+    other = other / spread
+    other[0] -= mean[1:] @ other[1:]
     return Linear(words, other)
 
 

@@ -52,7 +52,7 @@ def judged(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     rows = rows.select("id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     longest = sorted(rules, key=lambda r: -len(r[1] + r[2]))
-    found = F.lit(None)
+    found = F.lit(None).cast("struct<rule:string,decided:string>")
     for verdict, host, path in reversed(longest):
         fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(path)
         found = F.when(fits, F.struct(F.lit(host + path).alias("rule"), F.lit(verdict).alias("decided"))).otherwise(found)

@@ -1,0 +1,76 @@
+"""Exact top-k against all pairs."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from fleetledger.llm import maxscore
+from pyspark.sql import functions as F
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, is_query, k):
+    whole = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    found = []
+    for i, q in whole:
+        if is_query(i):
+            scored = sorted((-min(max(sum(a * b for a, b in zip(q, v)), -2 ** 63), 2 ** 63 - 1), j) for j, v in whole if j != i)[:k]
+            found += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored)]
+    return sorted(found)
+
+
+def got(frame, is_query, k):
+    return sorted((r.query_id, r.rank, r.id, r.score) for r in maxscore.top_k(frame, is_query, k).collect())
+
+
+def frame_of(spark, rows):
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    return frame.repartition(4) if rows else frame
+
+
+@pytest.mark.parametrize("shard,queries", [(8_192, 512), (7, 3)])
+def test_equal_to_brute_force_whatever_the_shards(spark, monkeypatch, shard, queries):
+    monkeypatch.setattr(maxscore, "SHARD", shard)
+    monkeypatch.setattr(maxscore, "QUERIES", queries)
+    rng = random.Random(2)
+    rows = [(k, [rng.gauss(0, 0.2) for _ in range(16)]) for k in range(300)]
+    rows += [(400 + k, rows[k % 5][1]) for k in range(30)]  # ties
+    frame = frame_of(spark, rows)
+    assert got(frame, F.col("vec_id") % 10 == 0, 7) == brute(rows, lambda i: i % 10 == 0, 7)
+
+
+def test_search_prunes_and_stays_exact():
+    rng = np.random.default_rng(1)
+    table = np.floor(64 * rng.normal(0, 0.15, (48, 3_000)) * np.linspace(2, 0.1, 48)[:, None])
+    ids = rng.permutation(3_000).astype(np.int64)
+    shard = maxscore.Shard(3_000, 48, ids.tobytes(), table.tobytes())
+    none = np.empty(0, np.int64), np.empty(0, np.int64)
+    for k in range(0, 200, 20):
+        score = (table[:, k] @ table).astype(np.int64)
+        order = [j for j in np.lexsort((ids, -score)) if j != k][:20]
+        top = shard.search(table[:, k], int(ids[k]), none, 20)
+        assert top[1].tolist() == ids[order].tolist() and top[0].tolist() == score[order].tolist()
+        again = shard.search(table[:, k], int(ids[k]), (np.full(20, 10 ** 9), np.arange(20)), 20)
+        assert again[0].tolist() == [10 ** 9] * 20  # nothing is competitive
+
+
+def test_odd_rows_have_their_defined_result(spark):
+    rows = [(0, [0.5, 0.25]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (None, [1.0, 1.0]),
+            (5, []), (6, [1.0]), (7, [1.0, 1.0, 9.0]), (8, [-0.01, -0.5]), (8, [-0.01, -0.5])]
+    everyone = F.lit(True)
+    assert got(frame_of(spark, rows), everyone, 3) == brute(rows, lambda i: True, 3)
+
+
+def test_few_candidates_none_and_empty_tables(spark):
+    assert got(frame_of(spark, [(1, [1.0])]), F.lit(True), 5) == []
+    assert got(frame_of(spark, [(1, [1.0]), (2, [0.5])]), F.lit(True), 5) == [(1, 1, 2, 2_048), (2, 1, 1, 2_048)]
+    assert got(frame_of(spark, []), F.lit(True), 5) == []
+    assert got(frame_of(spark, [(1, [1.0])]), F.lit(False), 5) == []
+
+
+def test_large_components_are_exact(spark):
+    rows = [(k, [float(3 ** k), float(2 ** (2 * k)), 1e30 if k == 20 else 1.0]) for k in range(24)]
+    assert got(frame_of(spark, rows), F.lit(True), 4) == brute(rows, lambda i: True, 4)

@@ -1,0 +1,92 @@
+"""The classifier chain: held-out accuracy, folds and odd input."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from fleetledger.llm import toxicity
+from pyspark.sql import functions as F
+
+CATEGORIES = ("rude", "threat", "both")
+LABELS = "doc_id long, rude int, threat int, both int"
+
+
+def corpus(n, seed):
+    rng = random.Random(seed)
+    words = random.Random(0)
+    vocabulary = ["".join(words.choices("etaoinshr", k=words.randint(2, 8))) for _ in range(300)]
+    rows, labels = [], []
+    for k in range(n):
+        text = rng.choices(vocabulary, k=rng.randint(5, 150))
+        rude, threat = rng.random() < 0.3, rng.random() < 0.3
+        for flag, extra in ((rude, ["fooly", "Dummest", "clod"]), (threat, ["smashing", "hurted"])):
+            if flag:
+                for _ in range(rng.randint(1, 4)):
+                    text.insert(rng.randint(0, len(text)), rng.choice(extra).upper() if rng.random() < 0.3 else rng.choice(extra))
+        rows.append((k, " ".join(text) + "."))
+        labels.append((k, int(rude), int(threat), int(rude and threat)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def chain(spark, docs):
+    rows, labels = corpus(1_500, 1)
+    return toxicity.train(docs(rows), spark.createDataFrame(labels, LABELS), CATEGORIES, "rude")
+
+
+def test_unseen_texts_are_told_apart(spark, docs, chain):
+    rows, labels = corpus(300, 8)
+    got = {r.id: r for r in toxicity.score(docs(rows), chain).collect()}
+    for at, (category, least) in enumerate(zip(CATEGORIES, (282, 282, 265)), 1):
+        right = sum((got[row[0]][category] >= 0.5) == bool(row[at]) for row in labels)
+        assert right >= least, category
+    # Texts of both kinds are ranked above the others.
+    with_both, without = ([got[row[0]]["both"] for row in labels if row[3] == v] for v in (1, 0))
+    assert np.mean([a > b for a in with_both for b in without]) > 0.95
+
+
+def test_later_models_use_earlier_probabilities(chain):
+    assert [len(m.dense) for m in chain.models] == [2, 3, 4]
+    assert chain.models[2].dense[2] > 0 and chain.models[2].dense[3] > 0
+
+
+def test_a_folds_own_texts_do_not_train_its_predictions():
+    x = toxicity.Sparse(np.arange(6), np.arange(6), np.ones(6))
+    label, fold = np.array([1.0, 0, 1, 0, 1, 0]), np.array([0, 0, 1, 1, 2, 2])
+    model = toxicity.fit(x, [], label, np.ones(6) * (fold != 0), 6)
+    assert model.words[0] == 0 and model.words[1] == 0 and model.words[2] > 0 > model.words[3]
+
+
+def test_features_are_distinct_words_and_beginnings():
+    def found(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return set(toxicity.features(raw, np.array([0, len(raw)]))[0].tolist())
+
+    assert found("Word WORD word, word!") == found("word") and len(found("wordy")) == 3
+    assert len(found("wordy") & found("words")) == 1  # they begin alike
+    assert found("") == set() and found("é1é") == found("é")
+
+
+def test_null_empty_long_and_repeated_rows(spark, docs, chain):
+    rows = [(1, None), (1, None), (2, ""), (None, "clod"), (3, "fine " * 100_000)]
+    got = toxicity.score(docs(rows).withColumns({"rude": F.lit("mine"), "features": F.lit(1)}), chain).collect()
+    assert len(got) == 5 and len({r.rude for r in got if r.id in (1, 2)}) == 1
+    assert toxicity.score(docs([]), chain).count() == 0
+
+
+def test_labels_missing_or_of_one_kind(spark, docs):
+    rows, _ = corpus(30, 2)
+    none = toxicity.train(docs(rows), spark.createDataFrame([], LABELS), CATEGORIES, "rude")
+    assert none.probabilities(pa.array(["x", None]))[1].tolist() == [0.5, 0.5]
+    odd = [(None, 1, 1, 1), (0, 1, 1, 1), (0, 0, 1, 0), (1, None, 1, 0), (2, 0, 0, 0), (3, 0, 0, 0), (3, 0, 0, 0)]
+    one = toxicity.train(docs(rows), spark.createDataFrame(odd, LABELS), CATEGORIES, "rude")
+    assert all(p < 0.5 for p in one.probabilities(pa.array([rows[2][1]]))[0])
+
+
+def test_the_same_rows_give_the_same_chain(spark, docs):
+    rows, labels = corpus(80, 3)
+    frame = spark.createDataFrame(labels, LABELS)
+    column = pa.array([t for _, t in rows])
+    a, b = (toxicity.train(docs(r), f, CATEGORIES, "rude").probabilities(column) for r, f in ((rows, frame), (rows[::-1], frame.repartition(3))))
+    assert all((x == y).all() for x, y in zip(a, b))
