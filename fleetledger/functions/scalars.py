@@ -112,12 +112,12 @@ def placeholder_address(client_id: Column | str) -> Column:
     return F.concat(F.lit("0x"), F.substring(F.sha2(text, 256), 1, 40))
 
 
-def pair_jitter(key: str, pair: str, seed: int) -> str:
-    """Uniform integer in [-SHARE_JITTER, SHARE_JITTER] from a trip id and a pair number, as SQL text.
+def segment_jitter(key: str, segment: str, seed: int) -> str:
+    """Uniform integer in [-SHARE_JITTER, SHARE_JITTER] for one segment of one trip, as SQL text.
 
-    Rounds of a multiplicative congruential generator modulo 2^31-1 in plain bigint
-    arithmetic, so that any retry, engine or partitioning gives the same draw.
+    The first 32 bits of an md5, so that every segment is drawn on its own, and any
+    retry, engine or partitioning gives the same draw. Trips without an id share theirs.
     """
-    prime = 2_147_483_647
-    x = f"pmod(pmod({key}, {prime}L) * 48271L + (pmod({pair}, {prime}L) + 1L) * 69621L + {int(seed)}L, {prime}L)"
-    return f"(pmod(pmod({x} * 16807L, {prime}L) * 48271L, {prime}L) % {2 * SHARE_JITTER + 1}L - {SHARE_JITTER}L)"
+    text = f"concat(coalesce(cast({key} as string), ''), '|', cast({segment} as string), '|{int(seed)}')"
+    drawn = f"cast(conv(substring(md5({text}), 1, 8), 16, 10) as bigint)"
+    return f"({drawn} % {2 * SHARE_JITTER + 1}L - {SHARE_JITTER}L)"

@@ -17,8 +17,8 @@ TRIP_ID, DEVICE = "k_ruta", "k_dispositivo"
 MIN_DISTANCE, MAX_DISTANCE = 0, 9_000_000
 MIN_DURATION, MAX_DURATION = 2, 90
 
-# Segments of one trip are generated in runs of this length, so no array grows with the trip.
-_RUN = 8_192
+# Segments of one trip are drawn and summed in runs of this length.
+_RUN = 1_024
 # Up to this many segments the time arithmetic fits a bigint.
 _EXACT_SEGMENTS = 300_000
 
@@ -78,26 +78,37 @@ def count_segments(df: DataFrame, max_distance: float, avg_distance: float) -> D
 def split(df: DataFrame, seed: int = 0, key: str = TRIP_ID) -> DataFrame:
     """Cut each trip into its ``segments``; adds ``segment`` (0, 1, ...).
 
-    Every segment's weight is uniform in 0.8-1.2 of the mean, drawn from the trip
-    id. Weights come in pairs 1+u, 1-u, so the weight of all earlier segments has a
-    closed form: each segment computes its own bounds, with no running sum, no
-    array of weights and no shuffle, for any number of segments. Times are exact
-    integer microseconds; the last segment ends at the trip's end by construction.
+    Every segment's weight is uniform in 0.8-1.2 of the mean and drawn by itself
+    from trip id, segment and seed. A segment starts after the weights before it:
+    sums of whole runs, then of its own run, all inside the trip's row, so nothing
+    is shuffled. Only the list of run sums grows with a trip, by one number per
+    ``_RUN`` segments. Times are exact integer microseconds; the last segment ends
+    at the trip's end.
     """
     require_columns(df, key, START, END, DISTANCE, "segments")
     unit = f"{scalars.SHARE_UNIT}L"
-    odd, own = "segment % 2 = 1", scalars.pair_jitter(key, "segment div 2", seed)
-    last = scalars.pair_jitter(key, "segments div 2", seed)
+    draw = scalars.segment_jitter(f"`{key}`", "s", seed)
     kept = [f"`{c}`" for c in df.columns if c not in (START, END, DISTANCE)]
-    each = (
-        df.selectExpr("*", f"explode(sequence(0L, (segments - 1) div {_RUN})) as _run")
-        .selectExpr("*", f"explode(sequence(_run * {_RUN}, least(_run * {_RUN} + {_RUN - 1}, segments - 1))) as segment",
-                    f"unix_micros({START}) as _t0", f"unix_micros({END}) - unix_micros({START}) as _t"))
-    drawn = each.selectExpr(
-        "*", f"if(segments > 1, {own}, 0L) as _u",
-        f"segments * {unit} + if(segments > 1 and segments % 2 = 1, {last}, 0L) as _all")
-    weighted = drawn.selectExpr(
-        "*", f"if({odd}, {unit} - _u, {unit} + _u) as _w", f"segment * {unit} + if({odd}, _u, 0L) as _before")
+
+    def members(run: str) -> str:
+        return f"sequence({run} * {_RUN}, least({run} * {_RUN} + {_RUN - 1}, segments - 1))"
+
+    sums = f"transform(sequence(0L, (segments - 1) div {_RUN}), r -> aggregate({members('r')}, 0L, (a, s) -> a + {draw}))"
+    added = "(a, x) -> a + x"
+    runs = (
+        df.selectExpr("*", f"if(segments = 1, array(0L), {sums}) as _sums",
+                      f"unix_micros({START}) as _t0", f"unix_micros({END}) - unix_micros({START}) as _t")
+        .selectExpr("*", "posexplode(_sums) as (_run, _own)")
+        .selectExpr("*", f"cast(_run as bigint) * {_RUN}L * {unit} + aggregate(slice(_sums, 1, _run), 0L, {added}) as _earlier",
+                    f"segments * {unit} + aggregate(_sums, 0L, {added}) as _all"))
+    weights = f"if(segments = 1, array({unit}), transform({members('cast(_run as bigint)')}, s -> {unit} + {draw}))"
+    prefix = ("aggregate(_weights, named_struct('p', cast(array() as array<bigint>), 'n', 0L), "
+              "(a, x) -> named_struct('p', concat(a.p, array(a.n)), 'n', a.n + x)).p")
+    weighted = (
+        runs.selectExpr("*", f"inline(array(named_struct('_weights', {weights})))")
+        .selectExpr("*", f"posexplode(arrays_zip(_weights, {prefix})) as (_at, _pair)")
+        .selectExpr("*", f"cast(_run as bigint) * {_RUN} + _at as segment", "_pair._weights as _w",
+                    "_earlier + _pair.p as _before"))
 
     def moment(cum: str) -> str:
         # _t * cum div _all without the large product, which only a decimal holds for very long trips

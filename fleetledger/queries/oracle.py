@@ -1,4 +1,4 @@
-"""The same results in ANSI SQL (DuckDB), written independently of the DataFrame plans."""
+"""The same results in ANSI SQL (DuckDB): own windows and sums, not the DataFrame plans'. Hashes are the same by need."""
 
 from __future__ import annotations
 
@@ -6,13 +6,9 @@ _UB = "(select cast(floor(max(user_id) * 14 / 15) as bigint) from events)"
 _GPS = "concat('GPS', lpad(cast({} as varchar), 5, '0'))"
 _DERIVED = "concat('0x', substr(sha256(concat('client|', cast({} as varchar))), 1, 40))"
 _PROTO = "'0x9999999999999999999999999999999999999999'"
-_PRIME = 2_147_483_647
-
-
-def _jitter(key: str, pair: str) -> str:
-    x = f"((({key} % {_PRIME}) * 48271 + ({pair} + 1) * 69621) % {_PRIME})"
-    x = f"(({x} * 16807) % {_PRIME})"
-    return f"((({x} * 48271) % {_PRIME}) % 4001 - 2000)"
+# A segment's weight: 0.8 to 1.2 of the mean, in steps of 1/10000.
+_DRAW = "(8000 + cast(concat('0x', substr(md5(concat(cast(k_ruta as varchar), '|', cast(i as varchar), '|0')), 1, 8)) as bigint) % 4001)"
+_BEFORE = "coalesce(sum(w) over (partition by k_ruta order by i rows between unbounded preceding and 1 preceding), 0)"
 
 
 # name -> (names it reads, SQL)
@@ -102,10 +98,8 @@ select *, case when d > 4200 then cast(round_even((d - d % 2000::double) / 2000:
   + case when d % 2000::double <> 0 then 1 else 0 end else 1 end as n
 from capped"""),
     "weighted": (("counted",), f"""
-select *, case when n = 1 then 10000 when i % 2 = 0 then 10000 + u else 10000 - u end as w,
-  i * 10000 + case when i % 2 = 1 then u else 0 end as before,
-  n * 10000 + case when n > 1 and n % 2 = 1 then last_u else 0 end as whole
-from (select *, {_jitter('k_ruta', '(i // 2)')} as u, {_jitter('k_ruta', '(n // 2)')} as last_u
+select *, cast({_BEFORE} as hugeint) as before, cast(sum(w) over (partition by k_ruta) as hugeint) as whole
+from (select *, case when n = 1 then 10000 else {_DRAW} end as w
   from (select *, unnest(range(0, n)) as i from counted))"""),
     "segments": (("weighted",), """
 select *, case when n = 1 then t0 else t0 + (t1 - t0) * before // whole end as s_us,
@@ -249,10 +243,8 @@ cross join (values ('unix'), ('%Y-%m-%d %H:%M')) f(format)""", "capped", "device
 parts as (select *, case when source = 'motorbike' and d > 4200 then cast(round_even((d - d % 2000::double) / 2000::double, 0) as bigint)
   + case when d % 2000::double <> 0 then 1 else 0 end else 1 end as n from kept),
 cut as (select *, unnest(range(0, n)) as i from parts),
-drawn as (select *, {_jitter('k_ruta', '(i // 2)')} as u, {_jitter('k_ruta', '(n // 2)')} as last_u from cut),
-shares as (select *, case when n = 1 then 10000 when i % 2 = 0 then 10000 + u else 10000 - u end as w,
-  i * 10000 + case when i % 2 = 1 then u else 0 end as before,
-  n * 10000 + case when n > 1 and n % 2 = 1 then last_u else 0 end as whole from drawn),
+drawn as (select *, case when n = 1 then 10000 else {_DRAW} end as w from cut),
+shares as (select *, cast({_BEFORE} as hugeint) as before, cast(sum(w) over (partition by k_ruta) as hugeint) as whole from drawn),
 rows as (select *, row_number() over (order by date, source, k_ruta, i) as rn from shares),
 addressed as (select r.*, case when m.celo_address is null and source = 'bicycle' and k_dispositivo in (select k_dispositivo from protos)
     then {_PROTO} else m.celo_address end as address from rows r left join device_map m using (k_dispositivo))

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fleetledger.queries.oracle import ORACLE
+from fleetledger.queries.registry import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -18,15 +20,16 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = [tuple(r) for r in df.select(*[f"`{c}`" for c in columns]).collect()]
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(ORACLE[name])
     found = [c[0] for c in cursor.description]
     assert sorted(found) == columns
     places = [found.index(c) for c in columns]

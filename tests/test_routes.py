@@ -241,3 +241,39 @@ def test_delivery_extract(spark):
     assert out.columns == ["gpsID", "timestampStart", "timestampEnd", "measuredDistance", "startLocation", "endLocation", "durationMinutes"]
     assert list(map(tuple, out.collect())) == [
         ("G1", "2023-01-05 07:05", "2023-01-05 07:35", 1200.0, "(-74.08, 4.71)", "(-74.09, 4.72)", 30.0)]
+
+
+def test_segments_are_drawn_one_by_one(spark):
+    """Shares spread over the whole range, and neighbours and halves of a pair don't follow each other."""
+    trips = spark.range(1, 201).selectExpr(
+        "id as k_ruta", "timestamp'2024-01-01 00:00:00' as o_fecha_inicial", "timestamp'2024-01-02 00:00:00' as o_fecha_final",
+        "100000.0D as f_distancia", "22L as segments")
+    rows = routes.split(trips).orderBy("k_ruta", "segment").collect()
+    shares = [[r.f_distancia for r in rows[k:k + 22]] for k in range(0, len(rows), 22)]
+    assert all(abs(sum(s) - 100_000) < 1e-6 for s in shares)
+    steps = {round(b - a) for s in shares for a, b in zip(s, s[1:])}
+    assert len(steps) > 500
+
+    def correlation(a, b):
+        ma, mb = sum(a) / len(a), sum(b) / len(b)
+        top = sum((x - ma) * (y - mb) for x, y in zip(a, b))
+        return top / (sum((x - ma) ** 2 for x in a) * sum((y - mb) ** 2 for y in b)) ** 0.5
+
+    for lag in (1, 2, 3):
+        assert abs(correlation([x for s in shares for x in s[:-lag]], [x for s in shares for x in s[lag:]])) < 0.1
+    assert abs(correlation([x for s in shares[:-1] for x in s], [x for s in shares[1:] for x in s])) < 0.06
+
+
+def test_long_trips_are_summed_over_runs_and_null_trip_ids_are_cut(spark):
+    trips = spark.sql("""select k_ruta, timestamp'2024-01-01 00:00:00' as o_fecha_inicial, timestamp'2024-02-01 00:00:00' as o_fecha_final,
+        1e6D as f_distancia, n as segments from values (cast(null as bigint), 5L), (3L, 5000L), (4L, 1024L), (5L, 1025L), (6L, 1L) as t(k_ruta, n)""")
+    found = {}
+    for r in routes.split(trips).collect():
+        found.setdefault(r.k_ruta, []).append(r)
+    assert {k: len(v) for k, v in found.items()} == {None: 5, 3: 5000, 4: 1024, 5: 1025, 6: 1}
+    for rows in found.values():
+        rows.sort(key=lambda r: r.segment)
+        assert [r.segment for r in rows] == list(range(len(rows)))
+        assert all(a.o_fecha_final == b.o_fecha_inicial for a, b in zip(rows, rows[1:]))
+        mean = 1e6 / len(rows)
+        assert len(rows) == 1 or all(0.75 * mean < r.f_distancia < 1.3 * mean for r in rows)
