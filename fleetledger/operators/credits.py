@@ -113,7 +113,7 @@ def apply_payments(credits: DataFrame, payments: DataFrame, hot_rows: int = HOT_
     valid = acceptable(payments)
     summed = running_total(
         dedup_payments(valid), "credit_id", ["payment_date", "payment_id"], "amount", "_paid",
-        leading=F.expr("payment_date div 86400"), sliced="payment_id", hot_rows=hot_rows, counted=valid,
+        hot_rows=hot_rows, counted=valid,
         per_group=credits.select("credit_id", F.col("total_repayment").alias("_owed")))
     return summed.withColumn("_left", F.expr("coalesce(_owed, 0) - _paid")).selectExpr(
         *[c for c in summed.columns if not c.startswith("_")],

@@ -11,8 +11,8 @@ from fleetledger.session import pin
 
 # A group above this many rows is spread over several tasks.
 HOT_ROWS = 1_000_000
-# Most slices a hot group is cut into per leading order value.
-MAX_SLICES = 4_096
+# A list of hot groups, or of their slices, is broadcast up to this many rows, and joined by a shuffle beyond.
+BROADCAST_ROWS = 1_000_000
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition number above these
 
@@ -53,57 +53,53 @@ def running_total(
     value: str,
     total: str,
     *,
-    leading: Column,
-    sliced: str,
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
     per_group: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``total``: the sum of ``value`` up to and including each row, per group.
-
-    Ordinary groups are one window each. A group of more than ``hot_rows`` rows is
-    cut into blocks that follow the order: one per ``leading`` value (a day number),
-    each again in equal slices of the ``sliced`` number, the next order key. Blocks
-    are summed separately and each gets the sum of the blocks before it. The list
-    of hot groups holds at most rows/hot_rows entries, hence its broadcast. Where
-    ``df`` is costly to compute, group sizes can be taken from ``counted``, a cheaper
-    table holding at least the same groups and rows.
-
-    ``per_group`` (one row per group) adds its columns, null for a group it lacks. It
-    is spread over the blocks instead of gathering the rows by group once more.
+    """Add ``total``: the sum of ``value`` up to and including each row, per group, nulls first.
+
+    Ordinary groups are one window each. Rows of groups with more than ``hot_rows`` rows
+    are range-partitioned by group and order into slices of about ``hot_rows``, whatever
+    the values are, and pinned; each slice is summed by itself and gets the sum of its
+    group's slices before it. The list of hot groups holds at most rows/hot_rows
+    entries, hence its broadcast. Where ``df`` is costly to compute, group sizes can
+    be taken from ``counted``, a cheaper table holding at least the same groups and rows.
+
+    ``per_group`` (one row per group) adds its columns, null for a group it lacks.
     """
-    size = (
-        (df if counted is None else counted).groupBy(group)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(sliced).alias("_lo"), F.max(sliced).alias("_hi"))
-        .where(F.col("_n") > hot_rows)
-        .withColumn("_slices", F.least(F.lit(MAX_SLICES), F.expr(f"_n div {int(hot_rows)}") + 1))
-        .withColumn("_width", F.expr("(_hi - _lo) div _slices") + 1)
-        .select(group, "_lo", "_width")
-    )
-    hot = F.col("_width").isNotNull()
-    blocked = (
-        df.join(F.broadcast(size), group, "left")
-        .withColumn("_lead", F.when(hot, leading.cast("bigint")).otherwise(F.lit(0)))
-        .withColumn("_slice", F.when(hot, F.expr(f"({sliced} - _lo) div _width")).otherwise(F.lit(0)))
-    )
-    keys = [group, "_lead", "_slice"]
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(group).orderBy("_lead", "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocked.where(hot)
-        .groupBy(*keys)
-        .agg(F.sum(value).alias("_block"))
-        .select(*keys, F.sum("_block").over(earlier).alias("_offset"))
-    )
-    if per_group is not None:
-        offsets = per_group.join(offsets, group, "full").withColumns(
-            {c: F.coalesce(c, F.lit(0)) for c in ("_lead", "_slice")})
-    return (
-        blocked.withColumn("_inside", F.sum(value).over(inside))
-        .join(offsets, keys, "left")
-        .withColumn(total, F.col("_inside") + F.coalesce("_offset", F.lit(0)))
-        .drop("_lo", "_width", "_lead", "_slice", "_inside", "_offset")
-    )
+    size = (df if counted is None else counted).groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    found = size.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).first()  # two numbers
+    extra = [] if per_group is None else [c for c in per_group.columns if c != group]
+
+    def owing(rows: DataFrame, table: DataFrame | None = per_group) -> DataFrame:
+        return rows if table is None else rows.join(table, group, "left")
+
+    def summed(rows: DataFrame) -> DataFrame:
+        own = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return owing(rows.withColumn(total, F.sum(value).over(own)))
+
+    if not found["groups"]:
+        return summed(df).select(*df.columns, *extra, total)
+    slices = int(found["rows"] // hot_rows) + 1
+    small = F.broadcast if found["groups"] + slices <= BROADCAST_ROWS else lambda table: table
+    hot = size.select(group, F.lit(True).alias("_hot"))
+    marked = df.join(small(hot), group, "left")
+    sliced = pin(
+        marked.where("_hot").drop("_hot").repartitionByRange(slices, group, *order)
+        .withColumn("_slice", F.spark_partition_id()))
+    inside = Window.partitionBy(group, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sliced.groupBy(group, "_slice").agg(F.sum(value).alias("_sum")).select(
+        group, "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    spread = (
+        sliced.withColumn("_inside", F.sum(value).over(inside))
+        .join(small(before), [group, "_slice"])
+        .withColumn(total, F.col("_inside") + F.col("_before")))
+    cold = summed(marked.where("_hot is null").drop("_hot"))
+    theirs = None if per_group is None else small(per_group.join(small(hot), group, "left_semi"))
+    columns = [*df.columns, *extra, total]
+    return cold.select(*columns).unionByName(owing(spread, theirs).select(*columns))
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -115,3 +115,12 @@ def test_payment_run(spark, records):
     assert {r.id: r.fields.published_staging for r in run.records.collect()} == {
         "p1": True, "p2": True, "p3": True, "p4": True, "p5": None, "p6": None}
     assert {r.credit_id: r.outstanding for r in run.outstanding.collect()}[4] == 0
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
+def test_balances_do_not_depend_on_how_large_a_credit_is(spark, hot_rows):
+    totals = spark.createDataFrame([(1, 100)], "credit_id bigint, total_repayment bigint")
+    rows = [("a", 1, 1, 30, None), ("b", 2, 1, 20, -5), ("c", 3, 1, 20, 200_000), ("d", 4, 1, 60, 300_000)]
+    payments = spark.createDataFrame(rows, "id string, payment_id bigint, credit_id bigint, amount bigint, payment_date bigint")
+    got = {r.id: (r.outcome, r.applied, r.balance) for r in credits.payment_outcomes(totals, payments, hot_rows).collect()}
+    assert got == {"a": ("applied_full", 30, 70), "b": ("applied_full", 20, 50), "c": ("applied_full", 20, 30), "d": ("clamped", 30, 0)}

@@ -38,7 +38,7 @@ def test_running_total_equals_brute_force(spark, hot_rows):
         rows.append((group, rng.choice([10, 10, 10, 11, 12]), i * 13 % 9001, rng.randrange(100)))
     df = spark.createDataFrame(rows, "g int, day bigint, id bigint, v bigint")
     got = {r.id: r.total for r in ordering.running_total(
-        df, "g", ["day", "id"], "v", "total", leading=F.col("day"), sliced="id", hot_rows=hot_rows).collect()}
+        df, "g", ["day", "id"], "v", "total", hot_rows=hot_rows).collect()}
     sums, expected = {}, {}
     for group, _, key, value in sorted(rows, key=lambda r: (r[1], r[2])):
         sums[group] = sums.get(group, 0) + value
@@ -48,11 +48,33 @@ def test_running_total_equals_brute_force(spark, hot_rows):
 
 def test_hot_group_is_spread_over_blocks(spark):
     df = spark.range(1000).selectExpr("1 as g", "0L as day", "id", "1L as v")
-    out = ordering.running_total(df, "g", ["day", "id"], "v", "total", leading=F.col("day"), sliced="id", hot_rows=100)
+    out = ordering.running_total(df, "g", ["day", "id"], "v", "total", hot_rows=100)
     assert [r.total for r in out.orderBy("id").collect()] == list(range(1, 1001))
     assert "_slice" in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_clustered_values_are_cut_by_rows(spark):
+    """Nearly all of a hot group's order values lie together; its slices are even all the same."""
+    df = spark.range(2_000).selectExpr("1 as g", "if(id = 0, -1000000000000L, id) as k", "1L as v")
+    out = ordering.running_total(df, "g", ["k"], "v", "total", hot_rows=100)
+    assert [r.total for r in out.orderBy("k").collect()] == list(range(1, 2_001))
+    pinned = next(line for line in out.inputFiles())
+    sizes = [r["count"] for r in spark.read.parquet(pinned.rsplit("/", 1)[0]).groupBy("_slice").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 400
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
+def test_the_size_of_a_group_changes_no_total(spark, hot_rows):
+    rows = [(1, None, 5, 30), (1, None, 6, 20), (1, -90_000, 9, 20), (1, -1, 2, 7), (1, 0, 1, 1), (1, 86_400, 1, 2), (2, None, 1, 4), (None, 1, 1, 8)]
+    df = spark.createDataFrame(rows, "g int, day bigint, id bigint, v bigint")
+    owed = spark.createDataFrame([(1, 100), (3, 5)], "g int, owed bigint")
+    got = sorted(map(str, ordering.running_total(df, "g", ["day", "id"], "v", "total", hot_rows=hot_rows, per_group=owed).collect()))
+    want = [(1, None, 5, 30, 100, 30), (1, None, 6, 20, 100, 50), (1, -90_000, 9, 20, 100, 70), (1, -1, 2, 7, 100, 77), (1, 0, 1, 1, 100, 78),
+            (1, 86_400, 1, 2, 100, 80), (2, None, 1, 4, None, 4), (None, 1, 1, 8, None, 8)]
+    frame = spark.createDataFrame(want, "g int, day bigint, id bigint, v bigint, owed bigint, total bigint")
+    assert got == sorted(map(str, frame.collect()))
+
+
 def test_first_per_key(spark):
     rows = [("a", 2, "x"), ("a", 1, "y"), ("a", 1, "z"), ("b", 5, None), ("b", 5, None)]
     df = spark.createDataFrame(rows, "k string, o int, v string")
