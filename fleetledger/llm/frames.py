@@ -7,6 +7,8 @@ follows ``GROUP_BYTES`` (and its longest single text), not the size of a partiti
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -71,6 +73,18 @@ def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(task, schema)
 
 
+def kept_by_worker(name: str, key: object, make: Callable[[], object]) -> object:
+    """What ``make`` made for ``key``, kept by the Python worker from task to task.
+
+    One thing is kept per name, so a worker's memory is bounded by what ``make`` bounds.
+    Results must not depend on what an earlier task left in it.
+    """
+    home = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if name not in home or home[name][0] != key:
+        home[name] = key, make()
+    return home[name][1]
+
+
 def texts(column: pa.Array) -> list[str]:
     """Python strings; null counts as empty."""
     return [x or "" for x in column.to_pylist()]

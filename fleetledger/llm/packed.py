@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import pin, work_dir
-from .frames import bounded_batches, shuffle_partitions, utf8
+from .frames import bounded_batches, kept_by_worker, shuffle_partitions, utf8
 
 MAGIC = b"PKIDS\x01"
 BLOCK = 1 << 16
@@ -229,13 +229,15 @@ class Encoder:
         """The ids of each text, as little-endian 32-bit integers."""
         if not self.word_wise:
             return [np.array(ids, "<u4").tobytes() for ids in self._ids([t.decode() for t in batch])]
-        words = [t.split() for t in batch]  # at white space of ASCII; further kinds stay inside a word
-        distinct = set().union(*words)
+        # At white space of ASCII; further kinds stay inside a word. Capitals only count in special tokens.
+        words = [(t.lower() if self.lowers and b"<" not in t else t).split() for t in batch]
         if len(self.young) > KEPT_WORDS:
             self.old, self.young = self.young, {}
-        for word in distinct & self.old.keys():
-            self.young.setdefault(word, self.old[word])
-        fresh = sorted(distinct - self.young.keys())
+        young, old = self.young, self.old
+        unseen = [w for w in set().union(*words) if w not in young]
+        young.update((w, old[w]) for w in unseen if w in old)
+        fresh = [w for w in unseen if w not in old]
+        fresh.sort()
         plain = [w for w in fresh if self.ends is not None and self._PLAIN.fullmatch(w.decode())]
         # Of a plain word, the marks at its end are a part of their own, and capitals may be all the same.
         halves = {}
@@ -243,16 +245,16 @@ class Encoder:
             same = word.lower() if self.lowers else word
             core = same.rstrip(self._MARKS)
             halves[word] = core, same[len(core):]
-        parts = sorted({h for pair in halves.values() for h in pair} - self.young.keys() - {b""})
+        parts = sorted({h for pair in halves.values() for h in pair if h and h not in young})
         for k in range(0, len(parts), JOINED_WORDS):
             self.young.update(self._joined(parts[k:k + JOINED_WORDS]))
-        self.young[b""] = b""
-        self.young.update((word, self.young[core] + self.young[marks]) for word, (core, marks) in halves.items())
-        self.young.update(self._alone([w for w in fresh if w not in self.young]))
-        found = [b"".join(map(self.young.__getitem__, own)) for own in words]
-        for word in distinct:
+        young[b""] = b""
+        young.update((word, young[core] + young[marks]) for word, (core, marks) in halves.items())
+        young.update(self._alone([w for w in fresh if w not in young]))
+        found = [b"".join(map(young.__getitem__, own)) for own in words]
+        for word in (*fresh, *parts):
             if len(word) > KEPT_BYTES:
-                del self.young[word]
+                young.pop(word, None)
         return found
 
 
@@ -269,7 +271,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     last = np.array([end_id], np.uint32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder, writer = TaskContext.get().partitionId(), Encoder(tokenizer), None
+        part, writer = TaskContext.get().partitionId(), None
+        encoder = kept_by_worker("packed", tokenizer, lambda: Encoder(tokenizer))
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
             data = raw.tobytes()
