@@ -235,10 +235,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
              bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component: the least id; of repeated rows any, of an id's texts one."""
     rows = near_copies(docs, id_col, text_col, shingle, bits)
+    # The joined columns are those by which repeated rows are dropped, so texts are shuffled once.
+    names = [unused(docs, c) for c in ("kept_none", "kept_id", "kept_text")]
+
+    def keys(none, key, text) -> list:
+        return [c.alias(n) for c, n in zip((none, F.coalesce(key, F.lit(0)), text), names)]
+
     first = (rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("k"))
-             .select(F.col("k.id").alias("kept_id"), F.col("k.text_key").alias("kept_key")))
-    key = unused(docs, "text_key")
-    keyed = docs.select(docs["*"], F.xxhash64(text_col).alias(key))
-    kept = keyed.join(first, keyed[id_col].cast("long").eqNullSafe(first["kept_id"]) & (keyed[key] == first["kept_key"]),
-                      "left_semi")
-    return kept.dropDuplicates([id_col, key]).select(*docs.columns)
+             .select(*keys(F.col("k.none"), F.col("k.id"), F.col("k.text_key"))))
+    own = F.col(id_col).cast("long")
+    keyed = docs.select(docs["*"], *keys(own.isNull(), own, F.xxhash64(text_col)))
+    return keyed.join(first, names, "left_semi").dropDuplicates(names).select(*docs.columns)
