@@ -63,8 +63,10 @@ def round_half_even(number: str) -> Column:
 
 
 def whole_number(number: str, strict: bool = True) -> Column:
-    """Toward zero, as an integer. What is no number raises when strict, else gives null."""
-    return F.expr(f"{'cast' if strict else 'try_cast'}({number} as bigint)")
+    """Toward zero, as an integer. What is missing or no number raises when strict, else gives null."""
+    if not strict:
+        return F.expr(f"try_cast({number} as bigint)")
+    return F.expr(f"coalesce(cast({number} as bigint), cast(raise_error('a required number is missing: {number}') as bigint))")
 
 
 def first_of(items: str) -> Column:

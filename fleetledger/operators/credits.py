@@ -78,6 +78,26 @@ def resolve_addresses(credits: DataFrame, contacts: DataFrame,
     return resolved, updates
 
 
+def issuable(credits: DataFrame, address: str = "address") -> DataFrame:
+    """Credits that can be issued at all: with an id and an owner."""
+    return credits.where(F.col("credit_id").isNotNull() & F.col(address).isNotNull())
+
+
+def attempted(credits: DataFrame, attempts: DataFrame | None) -> DataFrame:
+    """The credits a run has issued, by its attempts in order: those before the first failure.
+
+    An id that was already taken counts as issued; no message counts as a failure. Without
+    attempts every credit counts as issued.
+    """
+    if attempts is None:
+        return credits
+    status = F.coalesce(scalars.route_status("message"), F.lit("failed"))
+    tried = attempts.select("seq", "credit_id", status.alias("status"))
+    stop = tried.where("status = 'failed'").agg(F.min("seq")).first()[0]  # one number
+    done = tried if stop is None else tried.where(F.col("seq") < stop)
+    return credits.join(done.select("credit_id").distinct(), "credit_id", "left_semi")
+
+
 def issue(credits: DataFrame, address: str = "address") -> DataFrame:
     """Credit state after issuing in order of issuance: the first issue of an id stands."""
     events = credits.select(
@@ -155,7 +175,7 @@ def payment_outcomes(credits: DataFrame, payments: DataFrame, hot_rows: int = HO
     parts = (
         F.when(F.col("_won").isNotNull() & F.col("_won").eqNullSafe(record),
                F.when(F.col("copies") > 1, F.array(first, later)).otherwise(F.array(first)))
-        .when(F.col("_won").isNull() | F.col("amount").isNull() | (F.col("amount") < 0),
+        .when(F.col("_won").isNull() | F.col("credit_id").isNull() | F.col("amount").isNull() | (F.col("amount") < 0),
               F.array(part(F.lit("error"), F.col("copies"))))
         .otherwise(F.array(part(F.lit("duplicate"), F.col("copies")))))
     return (
@@ -165,7 +185,7 @@ def payment_outcomes(credits: DataFrame, payments: DataFrame, hot_rows: int = HO
 
 
 def repeated_outcomes(payments: DataFrame) -> DataFrame:
-    """Outcomes of records whose id was taken in an earlier run."""
+    """Outcomes of records whose id was taken in an earlier run; what cannot be recorded at all stays an error."""
     columns = ["id", "payment_id", "credit_id", "amount", "payment_date"]
     status = F.expr("if(amount >= 0 and credit_id is not null, 'duplicate', 'error')")
     return payments.groupBy(*columns).agg(F.count(F.lit(1)).alias("records")).select(

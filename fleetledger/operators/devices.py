@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetledger.functions import scalars
+from fleetledger.operators.ordering import number_rows
 
 DEVICE, ADDRESS = "k_dispositivo", "celo_address"
 Derive = Callable[[Column], Column]
@@ -92,12 +93,20 @@ def unassigned(routes: DataFrame, known: DataFrame, *by: str) -> DataFrame:
 
 
 def alert_texts(devices: DataFrame, *by: str, per_text: int = ALERT_DEVICES) -> DataFrame:
-    """Join device names into alert texts of at most ``per_text`` names, all names kept."""
+    """Join device names into alert texts of at most ``per_text`` names, in order, all names kept.
+
+    For the mail only: what is stored is a row per device. Names are numbered over all
+    groups at once, so no task sorts a whole group.
+    """
     named = devices.select(*by, DEVICE).where(F.col(DEVICE).isNotNull()).distinct()
-    order = Window.partitionBy(*by).orderBy(DEVICE)
-    part = F.floor((F.row_number().over(order) - 1) / per_text).cast("bigint")
+    numbered = number_rows(named, [*by, DEVICE], "_n")
+    first = numbered.groupBy(*by).agg(F.min("_n").alias("_first")).withColumnsRenamed({c: f"_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    part = F.floor((F.col("_n") - F.col("_first")) / per_text).cast("bigint")
     return (
-        named.withColumn("part", part).groupBy(*by, "part")
+        numbered.join(first, same).withColumn("part", part).groupBy(*by, "part")
         .agg(F.count(F.lit(1)).alias("devices"), F.array_join(F.sort_array(F.collect_list(DEVICE)), ", ").alias("device_list")))
 
 

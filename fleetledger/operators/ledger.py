@@ -16,6 +16,7 @@ BUDGET_SHARE = 0.9
 BLOCK = 65_536
 
 DONE = ("sent", "already_minted")
+SENT_FIELDS = ("nonce", "gas_price", "tx_hash")
 
 
 def pending(items: DataFrame, ledger: DataFrame, key: str = "route_id") -> DataFrame:
@@ -34,13 +35,10 @@ def classify(attempts: DataFrame, message: str = "message") -> DataFrame:
 
 
 def prefix_until_failure(results: DataFrame, day: str = "date", order: str = "seq") -> DataFrame:
-    """Rows of each day before its first failure; later rows stay pending.
-
-    The failure table has one row per calendar day, which bounds its broadcast.
-    """
+    """Rows of each day before its first failure; later rows stay pending."""
     stops = results.where("status = 'failed'").groupBy(day).agg(F.min(order).alias("_stop"))
     return (
-        results.join(F.broadcast(stops), day, "left")
+        results.join(stops, day, "left")
         .where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop")))
         .drop("_stop"))
 
@@ -49,25 +47,24 @@ def within_budget(items: DataFrame, budget: float, cost: str = "cost", day: str
                   block: int = BLOCK) -> DataFrame:
     """Rows of each day whose preceding rows cost at most 90 % of the budget.
 
-    Sums per block of the sequence come first. Rows behind the last block that starts
-    within the limit are dropped where they are read (one bound per calendar day is
-    broadcast); only the rest is shuffled, a day's rows spread over its blocks.
+    Sums per block of the sequence come first; only blocks that start within the limit
+    are looked into, and a day's rows are spread over its blocks.
     """
     limit = BUDGET_SHARE * budget
-    blocked = items.withColumn("_block", F.expr(f"{order} div {int(block)}"))
-    earlier = Window.partitionBy(day).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # Rows without a day are a day of their own; rows without a number come first in theirs.
+    blocked = items.withColumn("_block", F.expr(f"coalesce({order} div {int(block)}, -1L)")).withColumn("_day", F.col(day))
+    earlier = Window.partitionBy("_day").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        blocked.groupBy(day, "_block").agg(F.sum(cost).alias("_cost"))
-        .select(day, "_block", F.coalesce(F.sum("_cost").over(earlier), F.lit(0)).alias("_start"))
-        .where(F.col("_start") <= limit))
-    bounds = starts.groupBy(day).agg(F.max("_block").alias("_last"))
-    before = Window.partitionBy(day, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        blocked.groupBy("_day", "_block").agg(F.sum(cost).alias("_cost"))
+        .select("_day", "_block", F.coalesce(F.sum("_cost").over(earlier), F.lit(0)).alias("_start"))
+        .where(F.col("_start") <= limit).withColumnsRenamed({"_day": "_of", "_block": "_at"}))
+    before = Window.partitionBy("_day", "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("_day").eqNullSafe(F.col("_of")) & (F.col("_block") == F.col("_at"))
     return (
-        blocked.join(F.broadcast(bounds), day).where("_block <= _last").drop("_last")
-        .join(starts, [day, "_block"])
+        blocked.join(starts, same)
         .withColumn("spent", F.col("_start") + F.coalesce(F.sum(cost).over(before), F.lit(0)))
         .where(F.col("spent") <= limit)
-        .drop("_block", "_start"))
+        .drop("_block", "_start", "_day", "_of", "_at"))
 
 
 def assign_nonces(sent: DataFrame, base: int, order: Sequence[str] = ("date", "seq")) -> DataFrame:
@@ -82,7 +79,10 @@ def merge(ledger: DataFrame, results: DataFrame, key: str = "route_id", order: S
     ``new_only`` states that ``results`` come from ``pending`` items, which saves
     looking them up in the ledger again.
     """
-    done = results.where(F.col("status").isin(*DONE)).select(*[c for c in results.columns if c in (*ledger.columns, *order)])
+    # Only a route that was sent has a nonce, gas price and hash of its own.
+    sent = {c: F.when(F.col("status") == "sent", F.col(c)) for c in SENT_FIELDS if c in results.columns}
+    done = results.withColumns(sent) if sent else results
+    done = done.where(F.col("status").isin(*DONE)).select(*[c for c in results.columns if c in (*ledger.columns, *order)])
     fresh = first_per_key(done, key, order)
     fresh = fresh if new_only else pending(fresh, ledger, key)
     return ledger.unionByName(fresh.select([c for c in fresh.columns if c in ledger.columns]), allowMissingColumns=True)

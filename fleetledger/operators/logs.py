@@ -39,10 +39,11 @@ def word(line: Column | str, number: int) -> Column:
 def _dated(lines: DataFrame, stream: str, order: str, line: str, block: Column | None) -> DataFrame:
     """Lines with the last date seen inside their own block; null before the block's first date.
 
-    A block is a range of a stream's lines, so a stream of any length is spread
-    over as many tasks as it has blocks.
+    A block is a range of a stream's lines (the column ``block`` of lines that were read
+    from files), so a stream of any length is spread over as many tasks as it has blocks.
     """
-    block = F.expr(f"{order} div {BLOCK}") if block is None else block
+    if block is None:
+        block = F.col("block") if "block" in lines.columns else F.expr(f"{order} div {BLOCK}")
     mark = F.when(F.contains(F.col(line), F.lit(PARAMETERS)), word(line, DATE_FIELD))
     so_far = Window.partitionBy(stream, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return lines.withColumn("_block", block).withColumn("_date", F.last(mark, ignorenulls=True).over(so_far))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from hashlib import md5
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 # Formats and column names of the trip feed and of the routes table.
 INPUT_DATETIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 OUTPUT_DATETIME_FORMAT = "%Y-%m-%d %H:%M"
+# Seconds, as the routes table declares; text output is for extracts.
+ROUTES_TABLE_FORMAT = "unix"
 COLUMN_RENAME_MAP = (
     ("newID", "routeID"),
     ("k_dispositivo", "gpsID"),
@@ -48,7 +51,7 @@ class SplitRule:
 class SourceParams:
     source: str
     input_datetime_format: str = INPUT_DATETIME_FORMAT
-    output_datetime_format: str = OUTPUT_DATETIME_FORMAT
+    output_datetime_format: str = ROUTES_TABLE_FORMAT
     column_rename_map: tuple[tuple[str, str], ...] = COLUMN_RENAME_MAP
     distance: Range | None = None
     duration: Range | None = None
@@ -57,8 +60,11 @@ class SourceParams:
     prototype_address: str | None = None
 
     @classmethod
-    def from_document(cls, source: str, doc: Mapping[str, Any]) -> SourceParams:
-        """Build from a parameter document (the YAML sections, already parsed)."""
+    def from_document(cls, source: str, doc: Mapping[str, Any], address_section: str = "prototype_address") -> SourceParams:
+        """Build from a parameter document (the YAML sections, already parsed).
+
+        ``address_section`` names the section that holds the prototypes' fallback address.
+        """
 
         def bounds(section: str) -> Range | None:
             if section not in doc:
@@ -67,11 +73,11 @@ class SourceParams:
             return Range(float(doc[section]["min"]), float(top) if top else None)
 
         fix, cut = doc.get("distance_fix"), doc.get("split_big_routes")
-        fallback = next((v for k, v in doc.items() if k.endswith("_address") and isinstance(v, Mapping)), None)
+        fallback = doc.get(address_section)
         return cls(
             source=source,
             input_datetime_format=doc.get("input_datetime_format", INPUT_DATETIME_FORMAT),
-            output_datetime_format=doc.get("output_datetime_format", OUTPUT_DATETIME_FORMAT),
+            output_datetime_format=doc.get("output_datetime_format", ROUTES_TABLE_FORMAT),
             column_rename_map=tuple(doc.get("column_rename_map", dict(COLUMN_RENAME_MAP)).items()),
             distance=bounds("distance_filter"),
             duration=bounds("duration_filter"),
@@ -98,14 +104,12 @@ class ParamSet:
     def any(self, get: Callable[[SourceParams], object]) -> bool:
         return any(get(p) is not None for p in self.params)
 
-    def common(self, get: Callable[[SourceParams], Any]) -> Any:
-        """The value all sources share; raises when they differ."""
-        values = {get(p) for p in self.params}
-        if len(values) != 1:
-            raise ValueError("sources of one output table must share this parameter")
-        return values.pop()
+    def version(self, seed: int = 0) -> Column:
+        """What decides how a source's trips are cut, as a short text: cap, split rule and seed."""
+        return self.value(
+            lambda p: (p.max_per_hour, p.split), lambda rule: F.lit(md5(repr((*rule, seed)).encode()).hexdigest()[:12]))
 
-    def _by_value(self, get: Callable[[SourceParams], Any]) -> dict[Any, list[str]]:
+    def by_value(self, get: Callable[[SourceParams], Any]) -> dict[Any, list[str]]:
         groups: dict[Any, list[str]] = {}
         for p in self.params:
             groups.setdefault(get(p), []).append(p.source)
@@ -117,7 +121,7 @@ class ParamSet:
         Unlike a join with a parameter table or a CASE, this form reaches the
         file scan. Sources where ``get`` gives None pass unfiltered.
         """
-        groups = self._by_value(get)
+        groups = self.by_value(get)
         if len(groups) == 1:
             section = next(iter(groups))
             return F.lit(True) if section is None else build(section)
@@ -129,7 +133,7 @@ class ParamSet:
 
     def value(self, get: Callable[[SourceParams], Any], build: Callable[[Any], Column]) -> Column:
         """One column whose definition depends on the row's source."""
-        groups = self._by_value(get)
+        groups = self.by_value(get)
         if len(groups) == 1:
             return build(next(iter(groups)))
         out = F

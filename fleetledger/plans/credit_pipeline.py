@@ -9,16 +9,20 @@ from pyspark.sql import functions as F
 
 from fleetledger.functions import scalars
 from fleetledger.operators import credits as ops
+from fleetledger.operators import metrics
 from fleetledger.session import pin
 from fleetledger.sources import writers
 
 
 @dataclass(frozen=True)
 class CreditRun:
+    """``issued`` are the credits this run has issued, ``outcome`` one row: how many of how many."""
+
     issued: DataFrame
     state: DataFrame
     contacts: DataFrame
     records: DataFrame
+    outcome: DataFrame
 
 
 @dataclass(frozen=True)
@@ -30,19 +34,24 @@ class PaymentRun:
 
 
 def publish_credits(raw: DataFrame, contacts: DataFrame, env: str, derive: ops.Derive = scalars.placeholder_address,
-                    strict: bool = True) -> CreditRun:
+                    strict: bool = True, attempts: DataFrame | None = None) -> CreditRun:
     """Issue unpublished credits; returns the state and both record tables with their updates.
 
     Addresses are derived and written back before the publication test, as a
-    contact may need one although its credit is already issued.
+    contact may need one although its credit is already issued. Only credits that
+    ``attempts`` (the run's results in order; all, if none are given) have issued are in
+    the state and get their flag; the others, and those without id or owner, stay pending.
     """
     credits, updates = ops.resolve_addresses(ops.flatten_credits(raw, env, strict), contacts, derive)
-    issued = ops.unpublished(credits)
-    flags = issued.select("id", F.lit(True).alias(f"published_{env}"))
+    waiting = ops.unpublished(credits)
+    issued = ops.attempted(ops.issuable(waiting), attempts)
+    flags = issued.select("id", F.lit(True).alias(f"published_{env}")).distinct()
+    done = waiting.select("id", "credit_id").join(flags, "id", "left")
     return CreditRun(
         issued, ops.issue(issued),
         writers.upsert_fields(contacts, updates, ["celo_address"]),
-        writers.upsert_fields(raw, flags, [f"published_{env}"]))
+        writers.upsert_fields(raw, flags, [f"published_{env}"]),
+        metrics.run_outcome(done, f"published_{env} is not null"))
 
 
 def publish_payments(raw: DataFrame, credits_raw: DataFrame, env: str, strict: bool = True,

@@ -1,13 +1,16 @@
 """The daily jobs over stored tables: land, sync devices, process, publish, credits, payments.
 
-Each job reads only its day (yesterday unless named) and can be run again at any
-time. A day's routes and ledger entries are replaced; states only grow, by items not
-yet in them, and record flags are written last, so a run that broke off is completed
-by the next one.
+The route and ledger jobs read only their day (yesterday unless named, worked out once
+per job); the device, credit and payment jobs read their record tables whole. Any job can be
+run again at any time: a day's routes, reports and ledger entries are replaced; states only
+grow, by items not yet in them, and record flags are written last, so a run that broke
+off is completed by the next one.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +19,7 @@ from fleetledger import schemas
 from fleetledger.functions import scalars
 from fleetledger.operators import credits as credit_ops
 from fleetledger.operators import ids, ledger, metrics
-from fleetledger.params import ParamSet
+from fleetledger.params import ROUTES_TABLE_FORMAT, ParamSet
 from fleetledger.plans import credit_pipeline, device_sync, publication, route_pipeline
 from fleetledger.session import configure, pin
 from fleetledger.sources import readers, writers
@@ -30,9 +33,10 @@ class Incomplete(RuntimeError):
 def land(spark: SparkSession, documents: str, raw_root: str, source: str, day: Day = None) -> None:
     """Unpack one source's response documents into its raw partition. No rows raises."""
     configure(spark)
+    day = readers.day_text(day)
     record = T.StructType([f for f in schemas.ROUTES_RAW.fields if f.name not in ("date", "source")])
     rows = readers.land_envelope(spark, documents, record).withColumns(
-        {"date": F.lit(readers.day_text(day)).cast("date"), "source": F.lit(source)})
+        {"date": F.lit(day).cast("date"), "source": F.lit(source)})
     writers.write_partitioned(rows, raw_root, non_empty=True)
 
 
@@ -46,42 +50,65 @@ def sync_devices(spark: SparkSession, contacts_path: str, map_path: str,
     writers.write_table(pin(after), contacts_path)
 
 
-def process(spark: SparkSession, raw_root: str, routes_root: str, params: ParamSet, map_path: str,
-            known_path: str | None = None, prototypes_path: str | None = None, assignments_path: str | None = None,
-            day: Day = None, base: int = ids.FIRST_BASE) -> route_pipeline.RouteRun:
-    """Clean, split, number and attribute one day of all sources and replace that day's routes."""
+def process(spark: SparkSession, raw_root: str, routes_root: str, params: ParamSet, map_path: str, assignments_path: str,
+            known_path: str | None = None, prototypes_path: str | None = None, marks_path: str | None = None,
+            reports_root: str | None = None, day: Day = None, base: int = ids.FIRST_BASE,
+            strict: bool = False) -> route_pipeline.RouteRun:
+    """Clean, split, number and attribute one day of all sources and replace that day's routes.
+
+    ``assignments_path`` has the ids given so far by day, ``marks_path`` the last id of
+    every run, which a streaming job can share. What is not in the routes is in the
+    day's reports: quarantine (unless strict, which raises), devices to alert on, split summary.
+    """
     configure(spark)
+    day = readers.day_text(day)
+    if any(p.output_datetime_format != ROUTES_TABLE_FORMAT for p in params.params):
+        raise ValueError("the routes table holds seconds; other time formats are for extracts")
+    assignments_path, marks = assignments_path.rstrip("/"), marks_path or f"{assignments_path.rstrip('/')}_marks"
+    reports = reports_root or f"{routes_root.rstrip('/')}_reports"
 
     def device_list(path: str | None) -> DataFrame | None:
         return None if path is None else readers.read_or_empty(spark, path, schemas.DEVICE_LIST)
 
     raw = readers.read_partitioned(spark, raw_root, schemas.ROUTES_RAW, day=day)
-    given = None if assignments_path is None else readers.read_or_empty(spark, assignments_path, schemas.ID_ASSIGNMENTS)
+    given = readers.read_or_empty(spark, f"{assignments_path}/date={day}", schemas.ID_ASSIGNMENTS, root=assignments_path)
     run = route_pipeline.process(
         raw, params, spark.read.schema(schemas.DEVICE_MAP).parquet(map_path), device_list(known_path),
-        device_list(prototypes_path), base=base, assignments=given)
-    if assignments_path is not None:
-        # Recorded before use: a run that fails later finds the ids it gave.
-        writers.append_table(run.new_assignments, assignments_path)
+        device_list(prototypes_path), strict=strict, assignments=given,
+        base=lambda count: ids.reserve(spark, marks, f"{routes_root} {day} {uuid.uuid4().hex}", count, base))
+    # Recorded before use: a run that fails later finds the ids it gave.
+    writers.append_table(run.new_assignments, assignments_path, by=("date", "source"))
     writers.write_day(run.final, routes_root, day)
+    for name, rows in (("quarantine", run.quarantine), ("unowned_devices", run.unowned), ("split_summary", run.summary)):
+        writers.write_report(rows, reports, name, f"date={day}")
     return run
 
 
 def pending(spark: SparkSession, routes_root: str, ledger_path: str, environment: str,
             day: Day = None) -> tuple[DataFrame, DataFrame]:
     """One day's routes that can be sent, and those held back for want of an address."""
+    day = readers.day_text(day)
     routes = readers.read_partitioned(spark, routes_root, schemas.ROUTES_FINAL, day=day)
     done = readers.read_ledger(spark, ledger_path, environment, day).withColumnRenamed("route_id", "routeid")
     return ledger.publishable(ledger.pending(routes, done, "routeid"))
 
 
+def plan(spark: SparkSession, routes_root: str, ledger_path: str, environment: str, next_nonce: int,
+         budget: float | None = None, cost: float = 1, day: Day = None) -> DataFrame:
+    """The routes of one day that a run sends, within its budget, in order and with their nonces."""
+    ready, _ = pending(spark, routes_root, ledger_path, environment, day)
+    return publication.plan(ready.withColumn("cost", F.lit(cost)), next_nonce, budget)
+
+
 def record(spark: SparkSession, routes_root: str, ledger_path: str, environment: str, attempts: DataFrame,
            day: Day = None) -> None:
     """Fold a run's attempts into the ledger, then raise unless the whole day is published.
 
-    The ledger is written in either case, so the next run resumes behind it.
+    Sent routes enter with their nonce, gas price and hash. The ledger is written in
+    either case, so the next run resumes behind it.
     """
     configure(spark)
+    day = readers.day_text(day)
     routes = readers.read_partitioned(spark, routes_root, schemas.ROUTES_FINAL, day=day)
     done = readers.read_ledger(spark, ledger_path, environment, day)
     run = publication.reconcile(routes, done, readers.on_date(attempts, day), environment)
@@ -93,18 +120,25 @@ def record(spark: SparkSession, routes_root: str, ledger_path: str, environment:
 
 
 def publish_credits(spark: SparkSession, credits_path: str, contacts_path: str, state_path: str, env: str,
-                    derive: credit_ops.Derive = scalars.placeholder_address) -> None:
-    """Issue unpublished credits: state table, contact addresses and record flags."""
+                    derive: credit_ops.Derive = scalars.placeholder_address, attempts: DataFrame | None = None) -> None:
+    """Issue unpublished credits: state table, contact addresses and record flags.
+
+    Raises unless ``attempts`` (results in order; all done, if none are given) have issued
+    every one; those before the first failure are recorded, the others stay pending.
+    """
     configure(spark)
     raw = spark.read.schema(schemas.CREDITS_RAW).parquet(credits_path)
     contacts = spark.read.schema(schemas.CONTACTS).parquet(contacts_path)
     state = readers.read_or_empty(spark, state_path, schemas.CREDITS_STATE)
-    run = credit_pipeline.publish_credits(raw, contacts, env, derive)
+    run = credit_pipeline.publish_credits(raw, contacts, env, derive, attempts=attempts)
+    row = run.outcome.first()  # one row
     fresh = run.state.join(state.select("credit_id"), "credit_id", "left_anti")  # an issued id stays as it was
     people, records = pin(run.contacts), pin(run.records)
     writers.append_table(fresh, state_path)
     writers.write_table(people, contacts_path)
     writers.write_table(records, credits_path)
+    if not row.all_success:
+        raise Incomplete(f"only {row.published} of {row.total} credits are published")
 
 
 def publish_payments(spark: SparkSession, payments_path: str, credits_path: str, outcomes_path: str, env: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetledger.operators import ledger as ops
+from fleetledger.operators.ordering import number_rows
 
 
 @dataclass(frozen=True)
@@ -17,6 +18,17 @@ class PublicationRun:
     outcome: DataFrame
 
 
+def plan(ready: DataFrame, next_nonce: int, budget: float | None = None, cost: str = "cost") -> DataFrame:
+    """What one run sends: ready routes in order of day and id, as far as the budget goes, each with its nonce.
+
+    ``seq`` numbers the routes over all days. Routes need their expected ``cost`` where there is a budget.
+    """
+    numbered = number_rows(ready, ["date", "routeid"], "seq")
+    if budget is not None:
+        numbered = ops.within_budget(numbered, budget, cost)
+    return ops.assign_nonces(numbered, next_nonce)
+
+
 def reconcile(items: DataFrame, ledger: DataFrame, attempts: DataFrame, environment: str) -> PublicationRun:
     """Fold the attempts' results into the ledger.
 

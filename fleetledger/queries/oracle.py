@@ -41,12 +41,14 @@ select strftime(ts, '%Y-%m-%d') as date, event_id as seq, event_id + 1 as route_
   case when event_type = 'error' and event_id % 53 = 0 then 'nonce too low'
        when event_type = 'error' and event_id % 5 = 0 then 'execution reverted: ERC721: token already minted'
        else 'ok' end as message,
-  2 + event_id % 11 as cost
+  2 + event_id % 11 as cost, 7000 + event_id as nonce, 100 + event_id % 5 as gas_price,
+  concat('0x', md5(concat('sent', cast(event_id as varchar)))) as tx_hash
 from events"""),
     "ledger": ((), """
 select 'staging' as environment, strftime(ts, '%Y-%m-%d') as date, event_id + 1 as route_id,
   case when event_id % 6 = 0 then 'already_minted' else 'sent' end as status,
   case when event_id % 6 = 0 then null else event_id end as nonce,
+  case when event_id % 6 = 0 then null else 90 + event_id % 3 end as gas_price,
   case when event_id % 6 = 0 then null else concat('0x', md5(cast(event_id as varchar))) end as tx_hash
 from events where event_id % 3 = 0"""),
     "route_events": ((), """
@@ -81,7 +83,7 @@ select event_id // 100 as stream, event_id % 100 as line_no,
        when event_type = 'purchase' then concat('[INFO] t r Token already minted for route id ', cast(event_id as varchar))
        when event_type = 'error' then concat('[ERROR] t r     -> Error publishing route id ', cast(event_id as varchar), ': ',
          case event_id % 4 when 0 then 'insufficient funds for gas' when 1 then 'method handler crashed' when 2 then 'nonce too low' else 'replacement transaction underpriced' end)
-       else '[INFO] t r         -> still wating for transaction to be mined' end as line
+       else '[INFO] t r     -> no receipt yet' end as line
 from events"""),
     # routes
     "timed": (("routes_raw",), """
@@ -130,9 +132,11 @@ from attempts where route_id not in (select route_id from ledger)"""),
 select t.* from tried t left join (select date, min(seq) as stop from tried where status = 'failed' group by date) s using (date)
 where stop is null or seq < stop"""),
     "merged": (("ledger", "completed"), """
-select environment, date, route_id, status, nonce, tx_hash from ledger
+select environment, date, route_id, status, nonce, gas_price, tx_hash from ledger
 union all
-select 'staging', date, route_id, status, null, null from completed where status <> 'failed'"""),
+select 'staging', date, route_id, status, case when status = 'sent' then nonce end, case when status = 'sent' then gas_price end,
+  case when status = 'sent' then tx_hash end
+from completed where status <> 'failed'"""),
     # credits
     "accepted": (("payments",), """
 select * from (select *, row_number() over (partition by payment_id order by payment_date, payment_id, amount, id) as rn from payments) where rn = 1"""),
@@ -193,7 +197,8 @@ group by date having sum(publishing) > 0 order by date"""
 _FINAL = """
 select 100000 + rn as routeid, gpsid, timestampstart, timestampend, measureddistance, celo_address, date, source from final"""
 
-_LEDGER = "select environment, date, route_id, status, cast(nonce as varchar) as nonce, tx_hash from merged"
+_LEDGER = """select environment, date, route_id, status, cast(nonce as varchar) as nonce, cast(gas_price as varchar) as gas_price, tx_hash
+from merged"""
 
 _CONTACTS_AFTER = f"""
 select id, case when {{}} then coalesce(celo_address, {_DERIVED.format('client_id')}) else celo_address end as celo_address from contacts"""
@@ -220,8 +225,42 @@ from counted group by date, source""", "counted"),
     "route_over_long_segments": _with("select count(*) as over_long_segments from segments where seg_d > 4200", "segments"),
     "route_ids": _with('select 100000 + rn as "newID", k_ruta, i as segment from numbered', "numbered"),
     "route_ids_stable": _with("""
-select 100000 + dense_rank() over (order by case when source = 'motorbike' then 0 else 1 end, k_ruta, i) as "newID",
+select 100000 + dense_rank() over (order by case when source = 'motorbike' then 0 else 1 end, date, k_ruta, i) as "newID",
   source, k_ruta, i as segment from segments""", "segments"),
+    "route_ids_two_days": _with("""
+select 100000 + row_number() over (order by case when date <= '2024-01-15' then 0 else 1 end, date, source, k_ruta, i) as "newID",
+  source, k_ruta, i as segment from segments""", "segments"),
+    "route_accounting": _with("""
+select date, source, count(*) as came_in,
+  cast(sum(case when source = 'motorbike' and f_distancia > 147 and minutes > 2 and minutes <= 90 then 1 else 0 end) as bigint) as kept,
+  cast(sum(case when source <> 'motorbike' then 1 else 0 end) as bigint) as set_aside,
+  cast(sum(case when source = 'motorbike' and not (f_distancia > 147 and minutes > 2 and minutes <= 90) then 1 else 0 end) as bigint) as out_of_range
+from timed group by date, source""", "timed"),
+    "log_time_range": _with("""
+select cast(stream as varchar) as stream, concat(line_no, ' ', line) as line from publish_log
+where line_no % 10 <> 3 and 1704067200 + stream * 3600 + line_no >= epoch(timestamp '2024-01-01 02:00:00')
+  and 1704067200 + stream * 3600 + line_no < epoch(timestamp '2024-01-02 00:00:50')""", "publish_log"),
+    "log_multi_file": _with(_STATS, "dated"),
+    "routes_csv_scan": _with("select k_ruta, k_dispositivo, o_fecha_inicial, f_distancia from routes_raw", "routes_raw"),
+    "device_map_stored": _with("select k_dispositivo, celo_address from device_map", "device_map"),
+    "parameter_table": _with("""
+select source, count(*) as trips, max(case when source = 'motorbike' and f_distancia > minutes / 60::double * 60000::double
+  then minutes / 60::double * 60000::double else f_distancia end) as longest
+from timed where (source = 'motorbike' and f_distancia > 147 and minutes > 2 and minutes <= 90) or (source = 'bicycle' and minutes > 1)
+group by source""", "timed"),
+    "count_metrics": _with("""
+select count(*) as written, count(*) as rows, cast(sum(case when "Referencia" is null then 1 else 0 end) as bigint) as no_client from routes_raw""", "routes_raw"),
+    "routes_incremental": _with("""
+select source, count(*) as routes, count(*) as ids, cast(sum(measureddistance) as bigint) as distance from final group by source""", "final"),
+    "credit_run_outcome": _with("""
+, open as (select * from credits where not is_published),
+stop as (select coalesce(min(credit_id), 9223372036854775807) as s from open where credit_id % 1009 = 1000),
+done as (select * from open, stop where credit_id < s),
+first as (select * from (select *, row_number() over (partition by credit_id order by issuance_date, id) as rn from done) where rn = 1)
+select (select count(*) from open) as total, (select count(*) from done) as published,
+  case when (select count(*) from open) = (select count(*) from done) then 1 else 0 end as all_success,
+  (select count(*) from credits where is_published) + (select count(*) from done) as flagged,
+  (select count(*) from first) as issued, (select cast(sum(total_repayment) as bigint) from first) as outstanding""", "credits"),
     "route_gps_points": _with("""
 select k_ruta, lng_inicial / 1e8 as start_lng, lat_inicial / 1e8 as start_lat, lng_final / 1e8 as end_lng, lat_final / 1e8 as end_lat
 from routes_raw""", "routes_raw"),
@@ -333,12 +372,12 @@ where not is_published and credit_id in (select credit_id from credits where is_
     "payment_dedup": _with("select id, payment_id, credit_id, amount, payment_date from accepted", "accepted"),
     "payment_balances": _with("select id, payment_id, credit_id, amount, payment_date, balance, applied from applied", "applied"),
     "payment_outcomes": _with("""
-select id, payment_id, credit_id, amount, payment_date, outcome, applied, count(*) as records from (
-  select p.*, case when p.rn > 1 then 'duplicate' when a.applied = p.amount then 'applied_full' else 'clamped' end as outcome,
+select id, payment_id, credit_id, amount, payment_date, outcome, applied, balance, count(*) as records from (
+  select p.*, case when p.rn = 1 then a.balance end as balance, case when p.rn > 1 then 'duplicate' when a.applied = p.amount then 'applied_full' else 'clamped' end as outcome,
     case when p.rn > 1 then 0 else a.applied end as applied
   from (select *, row_number() over (partition by payment_id order by payment_date, payment_id, amount, id) as rn from payments) p
   left join applied a using (payment_id))
-group by id, payment_id, credit_id, amount, payment_date, outcome, applied""", "payments", "applied"),
+group by id, payment_id, credit_id, amount, payment_date, outcome, applied, balance""", "payments", "applied"),
     "payment_run_outcome": _with("""
 , waiting as (select * from payments where not is_published and credit_id in (select credit_id from credits where is_published)),
 ranked as (select *, row_number() over (partition by payment_id order by payment_date, payment_id, amount, id) as rn from waiting),

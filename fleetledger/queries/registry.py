@@ -6,6 +6,7 @@ across engines.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from fleetledger.params import ParamSet, Range, SourceParams
 from fleetledger.plans import credit_pipeline, delivery_extract, device_sync, publication, route_pipeline
 from fleetledger.session import pin, work_dir
 from fleetledger.sources import readers, writers
+from fleetledger.streaming import incremental
 from fleetledger.sources.fixtures import DISTANCE, DURATION, MAX_PER_HOUR, PROTOTYPE_ADDRESS, SPLIT, Fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +58,7 @@ def _counted(fx: Fixtures) -> DataFrame:
 
 
 def _device_map(fx: Fixtures) -> DataFrame:
-    return devices.build_map(fx.contacts())[0]
+    return device_sync.sync(fx.contacts())[0]  # raises where a device is claimed twice
 
 
 def _final(fx: Fixtures, base: int = ids.FIRST_BASE) -> DataFrame:
@@ -147,12 +149,39 @@ def route_ids(fx: Fixtures) -> DataFrame:
 @query
 def route_ids_stable(fx: Fixtures) -> DataFrame:
     """A rerun where motorbike trips already have ids: they keep them, bicycle trips get the next."""
-    cut = routes.split(_counted(fx))
+    cut = routes.split(_counted(fx)).withColumn("params_version", fx.params().version())
     none = fx.spark.createDataFrame([], schemas.ID_ASSIGNMENTS)
     _, first = ids.assign_stable(cut.where("source = 'motorbike'"), none)
     return ids.assign_stable(cut, first)[0].select("newID", "source", "k_ruta", "segment")
 
 
+@query
+def route_ids_two_days(fx: Fixtures) -> DataFrame:
+    """Two runs that share the marks: trips up to a day, then the later ones; no id is given twice."""
+    cut = routes.split(_counted(fx)).withColumn("params_version", fx.params().version())
+    marks, none = _scratch(fx, "marks"), fx.spark.createDataFrame([], schemas.ID_ASSIGNMENTS)
+    runs = []
+    for name, day in (("first", "<="), ("second", ">")):
+        base = lambda count, name=name: ids.reserve(fx.spark, marks, name, count)
+        runs.append(ids.assign_stable(cut.where(f"date {day} date'{DAY}'"), none, base=base)[0])
+    return runs[0].unionByName(runs[1]).select("newID", "source", "k_ruta", "segment")
+
+
+@query
+def route_accounting(fx: Fixtures) -> DataFrame:
+    """Per date and source: trips that came in, were kept, were set aside, and failed a range. None is missing."""
+    params = ParamSet([SourceParams("motorbike", distance=DISTANCE, duration=DURATION)])
+    cleaned = route_pipeline.clean(fx.routes_raw(), params)
+    parts = [(fx.routes_raw(), "came_in"), (cleaned.trips, "kept"), (cleaned.quarantine, "set_aside")]
+    names = [name for _, name in parts]
+    every = None
+    for df, name in parts:
+        part = df.select("date", "source", *[F.lit(int(n == name)).alias(n) for n in names])
+        every = part if every is None else every.unionByName(part)
+    counted = every.groupBy("date", "source").agg(*[F.sum(n).alias(n) for n in names])
+    return _text(counted.withColumn("out_of_range", F.expr("came_in - kept - set_aside")), "date")
+
+
 @query
 def route_gps_points(fx: Fixtures) -> DataFrame:
     return routes.gps_points(fx.routes_raw()).select(
@@ -304,7 +333,8 @@ def publish_prefix(fx: Fixtures) -> DataFrame:
 
 @query
 def ledger_merge(fx: Fixtures) -> DataFrame:
-    return _text(_run(fx).ledger.select("environment", "date", "route_id", "status", "nonce", "tx_hash"), "date", "nonce")
+    columns = ("environment", "date", "route_id", "status", "nonce", "gas_price", "tx_hash")
+    return _text(_run(fx).ledger.select(*columns), "date", "nonce", "gas_price")
 
 
 @query
@@ -373,6 +403,20 @@ def credit_flags(fx: Fixtures) -> DataFrame:
     return run.records.select("id", F.col("fields.published_staging").cast("int").alias("published"))
 
 
+@query
+def credit_run_outcome(fx: Fixtures) -> DataFrame:
+    """A credit run that met an error: what was issued before it, and the run's outcome."""
+    attempts = _credits(fx).where("not is_published").selectExpr(
+        "credit_id as seq", "credit_id", "case when credit_id % 1009 = 1000 then 'nonce too low' when credit_id % 7 = 0 "
+        f"then 'execution reverted: {scalars.ALREADY_MINTED}' else 'ok' end as message")
+    run = credit_pipeline.publish_credits(fx.credits_raw(), fx.contacts(), "staging", attempts=attempts)
+    flagged = run.records.agg(F.count_if("fields.published_staging").alias("flagged"))
+    state = run.state.agg(F.count("*").alias("issued"), F.sum("outstanding").alias("outstanding"))
+    one = F.lit(1).alias("one")
+    joined = run.outcome.withColumn("all_success", F.col("all_success").cast("int")).select("*", one)
+    return joined.join(flagged.select("*", one), "one").join(state.select("*", one), "one").drop("one")
+
+
 @query
 def credits_state(fx: Fixtures) -> DataFrame:
     resolved = credits.resolve_addresses(_credits(fx), fx.contacts())[0]
@@ -397,7 +441,7 @@ def payment_balances(fx: Fixtures) -> DataFrame:
 
 @query
 def payment_outcomes(fx: Fixtures) -> DataFrame:
-    return credits.payment_outcomes(_totals(fx), _payments(fx)).drop("balance")
+    return credits.payment_outcomes(_totals(fx), _payments(fx))
 
 
 @query
@@ -450,7 +494,81 @@ def publish_log_files(fx: Fixtures) -> DataFrame:
     path = _scratch(fx, "log")
     lines = fx.publish_log().repartitionByRange("stream").sortWithinPartitions("stream", "line_no")
     writers.write_table(lines.selectExpr("concat('EVENTS|1|2024|', stream, '|0|', line) as value"), path, "text")
-    return logs.publish_stats(readers.read_log_lines(fx.spark, path, stream_field=4), block=F.col("block"))
+    return logs.publish_stats(readers.read_log_lines(fx.spark, path, stream_field=4))
+
+
+@query
+def log_multi_file(fx: Fixtures) -> DataFrame:
+    """The same where every stream goes on over several files, in the order of their names."""
+    path = _scratch(fx, "logs")
+    lines = fx.publish_log().selectExpr("concat('EVENTS|1|2024|', stream, '|0|', line) as value", "stream", "line_no")
+    for part, where in enumerate(("line_no < 30", "line_no between 30 and 60", "line_no > 60")):
+        one = lines.where(where).repartition(1).sortWithinPartitions("stream", "line_no").select("value")
+        one.write.text(f"{path}/part={part}")
+    return logs.publish_stats(readers.read_log_lines(fx.spark, path, stream_field=4))
+
+
+@query
+def log_time_range(fx: Fixtures) -> DataFrame:
+    """Lines of a time range, from log files in which some lines have no readable time."""
+    path = _scratch(fx, "log")
+    at = "case when line_no % 10 = 3 then 'soon' else date_format(timestamp_seconds(1704067200 + stream * 3600 + line_no), 'yyyy-MM-dd HH:mm:ss') end"
+    timed = fx.publish_log().selectExpr(f"concat({at}, '|', stream, '|', line_no, ' ', line) as value")
+    writers.write_table(timed, path, "text")
+    found = readers.read_log_lines(fx.spark, path, field=3, stream_field=2, start="2024-01-01 02:00:00", end="2024-01-02 00:00:50", time_field=1)
+    return found.select("stream", "line")
+
+
+@query
+def routes_csv_scan(fx: Fixtures) -> DataFrame:
+    """One raw CSV file per source, read by its header."""
+    path = _scratch(fx, "csv")
+    fields = [f for f in schemas.ROUTES_RAW.fields if f.name not in ("date", "source")]
+    writers.write_table(fx.routes_raw().select(*[f.name for f in fields]), path, "csv")
+    return readers.read_csv(fx.spark, path, T.StructType(fields)).select("k_ruta", "k_dispositivo", "o_fecha_inicial", "f_distancia")
+
+
+@query
+def device_map_stored(fx: Fixtures) -> DataFrame:
+    """The device map written whole, twice, and read back."""
+    path = _scratch(fx, "map")
+    for _ in range(2):
+        writers.write_table(device_sync.sync(fx.contacts())[0], path)
+    return fx.spark.read.schema(schemas.DEVICE_MAP).parquet(path)
+
+
+@query
+def parameter_table(fx: Fixtures) -> DataFrame:
+    """Parameters from documents, applied to trips: rows and longest distance that pass, per source."""
+    documents = {"motorbike": {"distance_filter": {"min": 147}, "duration_filter": {"min": 2, "max": 90}, "distance_fix": {"expected_max_per_hour": 60000}},
+                 "bicycle": {"duration_filter": {"min": 1}}}
+    path = _scratch(fx, "params")
+    fx.spark.createDataFrame([(json.dumps(documents),)], "value string").coalesce(1).write.text(path)
+    stored = readers.read_document(fx.spark, path)
+    params = ParamSet([SourceParams.from_document(source, doc) for source, doc in stored.items()])
+    trips = route_pipeline.clean(fx.routes_raw(), params).trips
+    return trips.groupBy("source").agg(F.count("*").alias("trips"), F.max("f_distancia").alias("longest"))
+
+
+@query
+def count_metrics(fx: Fixtures) -> DataFrame:
+    """Counts observed while the trips are written: rows read and rows without a client."""
+    path = _scratch(fx, "observed")
+    watched, seen = metrics.observed(fx.routes_raw(), "trips", no_client=F.count_if(F.col("Referencia").isNull()))
+    writers.write_table(watched, path)
+    kept = fx.spark.read.parquet(path).agg(F.count("*").alias("written"))
+    return kept.withColumns({name: F.lit(value).cast("bigint") for name, value in sorted(seen.get.items())})
+
+
+@query
+def routes_incremental(fx: Fixtures) -> DataFrame:
+    """Newly landed files through the streaming job, each once: routes and their distance per source."""
+    landing, output = _scratch(fx, "landing"), _scratch(fx, "stream")
+    writers.write_table(fx.routes_raw(), landing)
+    incremental.run_available(fx.spark, landing, output, _scratch(fx, "checkpoint"), fx.params(), _device_map(fx),
+                              fx.known_unassigned(), fx.prototypes())
+    return fx.spark.read.parquet(output).groupBy("source").agg(
+        F.count("*").alias("routes"), F.count_distinct("routeid").alias("ids"), F.sum("measureddistance").alias("distance"))
 
 
 @query
@@ -486,7 +604,8 @@ def ledger_roundtrip(fx: Fixtures) -> DataFrame:
     merged = publication.reconcile(fx.attempts(), stored, fx.attempts(), "staging").ledger
     writers.write_ledger(merged, path)
     back = readers.read_ledger(fx.spark, path, "staging", every_day=True)
-    return _text(back.select("environment", "date", "route_id", "status", "nonce", "tx_hash"), "date", "nonce")
+    columns = ("environment", "date", "route_id", "status", "nonce", "gas_price", "tx_hash")
+    return _text(back.select(*columns), "date", "nonce", "gas_price")
 
 
 @query

@@ -23,7 +23,9 @@ ROUTES_FINAL = _struct(
     ("measureddistance", LONG), ("celo_address", TEXT), ("date", DATE), ("source", TEXT),
 )
 
-ID_ASSIGNMENTS = _struct(("source", TEXT), ("k_ruta", LONG), ("segment", LONG), ("route_id", LONG))
+ID_ASSIGNMENTS = _struct(
+    ("k_ruta", LONG), ("segment", LONG), ("params_version", TEXT), ("route_id", LONG), ("date", DATE), ("source", TEXT))
+ID_MARKS = _struct(("run", TEXT), ("start", LONG), ("mark", LONG))
 
 CONTACTS = _struct(
     ("id", TEXT),
@@ -38,7 +40,11 @@ LEDGER = _struct(
     ("status", TEXT), ("nonce", LONG), ("gas_price", LONG), ("tx_hash", TEXT),
 )
 
-ATTEMPTS = _struct(("date", DATE), ("seq", LONG), ("route_id", LONG), ("message", TEXT), ("cost", LONG))
+ATTEMPTS = _struct(
+    ("date", DATE), ("seq", LONG), ("route_id", LONG), ("message", TEXT), ("cost", LONG),
+    ("nonce", LONG), ("gas_price", LONG), ("tx_hash", TEXT))
+
+CREDIT_ATTEMPTS = _struct(("seq", LONG), ("credit_id", LONG), ("message", TEXT))
 
 LEDGER_EVENTS = _struct(
     ("event", TEXT), ("block", LONG), ("seq", LONG),

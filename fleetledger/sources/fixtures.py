@@ -71,7 +71,8 @@ select cast(ts as date) as date, event_id as seq, event_id + 1 as route_id,
   case when event_type = 'error' and event_id % 53 = 0 then 'nonce too low'
        when event_type = 'error' and event_id % 5 = 0 then 'execution reverted: ERC721: token already minted'
        else 'ok' end as message,
-  2 + event_id % 11 as cost
+  2 + event_id % 11 as cost, 7000 + event_id as nonce, 100 + event_id % 5 as gas_price,
+  concat('0x', md5(concat('sent', cast(event_id as string)))) as tx_hash
 from {events}
 """
 
@@ -79,6 +80,7 @@ _LEDGER = """
 select 'staging' as environment, cast(ts as date) as date, event_id + 1 as route_id,
   case when event_id % 6 = 0 then 'already_minted' else 'sent' end as status,
   case when event_id % 6 = 0 then null else event_id end as nonce,
+  case when event_id % 6 = 0 then null else 90 + event_id % 3 end as gas_price,
   case when event_id % 6 = 0 then null else concat('0x', md5(cast(event_id as string))) end as tx_hash
 from {events} where event_id % 3 = 0
 """
@@ -118,7 +120,7 @@ select event_id div 100 as stream, event_id % 100 as line_no,
        when event_type = 'purchase' then concat('[INFO] t r Token already minted for route id ', cast(event_id as string))
        when event_type = 'error' then concat('[ERROR] t r     -> Error publishing route id ', cast(event_id as string), ': ',
          case event_id % 4 when 0 then 'insufficient funds for gas' when 1 then 'method handler crashed' when 2 then 'nonce too low' else 'replacement transaction underpriced' end)
-       else '[INFO] t r         -> still wating for transaction to be mined' end as line
+       else '[INFO] t r     -> no receipt yet' end as line
 from {events}
 """
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,17 @@ def on_date(df: DataFrame, day: Day = None, column: str = "date") -> DataFrame:
     return df.where(F.col(column) == as_date(day))
 
 
+def strict_csv(reader: DataFrameReader, schema: T.StructType, partitioned: bool = False) -> DataFrameReader:
+    """CSV with a header that must name the schema's columns in order; malformed rows raise.
+
+    Of a ``date=/source=`` table the partition columns are in the folders, not in the header.
+    """
+    if partitioned:
+        schema = T.StructType([f for f in schema.fields if f.name not in ("date", "source")])
+    return (reader.format("csv").option("header", True).option("enforceSchema", False)
+            .option("mode", "FAILFAST").schema(schema))
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, strict: bool = True) -> DataFrame:
     """CSV with a header. Columns are matched by position and checked against the header.
 
@@ -52,7 +63,10 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", root: str | None = None) -> DataFrame:
     """A table that may not exist yet; ``root`` names the table when the path is one of its partitions."""
-    reader = spark.read.schema(schema).option("header", True).format(fmt)
+    if fmt == "csv":
+        reader = strict_csv(spark.read, schema, root is not None)
+    else:
+        reader = spark.read.schema(schema).format(fmt)
     if root is not None:
         reader = reader.option("basePath", root)
     try:
@@ -73,6 +87,7 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, fmt:
     root = root.rstrip("/")
     path = root if every_day else f"{root}/date={day_text(day)}"
     df = read_or_empty(spark, path, schema, fmt, root)
+    df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields])  # partition values come as read
     return df if source is None else df.where(F.col("source") == source)
 
 
@@ -124,15 +139,17 @@ def read_log_lines(spark: SparkSession, path: str, field: int = 6, stream_field:
     A stream is a file, or the value of ``stream_field`` where a file holds several.
     ``line_no`` follows the file's order without reading it in one task: a split's
     offset orders the splits, the row's place orders lines inside one. ``block`` is
-    that offset, so each split is one block of ``logs.publish_stats``. ``start`` and
-    ``end`` keep lines whose ``time_field`` is in that half-open range.
+    the file and that offset, so each split is one block of ``logs.publish_stats``, and a
+    stream goes on from one file to the next in the order of their names. ``start`` and
+    ``end`` keep lines whose ``time_field`` is in that half-open range; a line without a
+    readable time is in no range.
     """
     stream = F.col("_metadata.file_path") if stream_field is None else logs.cut_field("value", stream_field)
     raw = spark.read.text(path).select(
-        stream.alias("stream"), F.col("_metadata.file_block_start").alias("block"),
+        stream.alias("stream"), F.struct("_metadata.file_path", "_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"), "value")
     if time_field is not None:
-        at = F.to_timestamp(F.split_part("value", F.lit("|"), F.lit(time_field)))
+        at = F.try_to_timestamp(F.split_part("value", F.lit("|"), F.lit(time_field)))
         raw = raw if start is None else raw.where(at >= F.lit(start).cast("timestamp"))
         raw = raw if end is None else raw.where(at < F.lit(end).cast("timestamp"))
     return raw.select("stream", "block", "line_no", logs.cut_field("value", field).alias("line"))

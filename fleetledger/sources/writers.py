@@ -43,9 +43,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").option("header", True).format(fmt).save(path)
 
 
-def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def append_table(df: DataFrame, path: str, fmt: str = "parquet", by: Sequence[str] = ()) -> None:
     """Add rows to a table that only grows."""
-    df.write.mode("append").option("header", True).format(fmt).save(path)
+    writer = df.write.mode("append").option("header", True).format(fmt)
+    (writer.partitionBy(*by) if by else writer).save(path)
+
+
+def write_report(df: DataFrame, root: str, name: str, run: str, fmt: str = "parquet") -> None:
+    """Replace one run's part of a report: the folder ``name/run`` below ``root``, ``run`` being like ``date=2024-01-15``."""
+    df.drop(run.split("=")[0]).write.mode("overwrite").option("header", True).format(fmt).save(f"{root.rstrip('/')}/{name}/{run}")
 
 
 def write_day(df: DataFrame, root: str, day: readers.Day = None, fmt: str = "parquet") -> None:

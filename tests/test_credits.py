@@ -80,9 +80,11 @@ def test_credit_run(records, people):
     run = credit_pipeline.publish_credits(records, people, "staging", derive)
     got = {r.credit_id: (r.owner, r.principal, r.outstanding, r.issuance_date, r.term_days) for r in run.state.collect()}
     assert got == {1: ("0xA", 800, 1000, 1704153600, 28), 2: ("0xK", 800, 1000, 1704153600, 28),
-                   3: ("d12", 800, 1000, 1704153600, 28), 5: (None, 800, 1000, 1704153600, 28)}
+                   3: ("d12", 800, 1000, 1704153600, 28)}
     assert {r.id: r.fields.celo_address for r in run.contacts.collect()} == {"k1": "0xK", "k2": "d12", "k3": None}
-    assert {r.id: r.fields.published_staging for r in run.records.collect()} == dict.fromkeys(["c1", "c2", "c3", "c4", "c5"], True)
+    # A credit without an owner is not issued and not flagged.
+    assert {r.id: r.fields.published_staging for r in run.records.collect()} == {**dict.fromkeys(["c1", "c2", "c3", "c4"], True), "c5": False}
+    assert tuple(run.outcome.first()) == (4, 3, False)
     assert run.records.schema == records.schema
     assert credits.unpublished(credits.flatten_credits(records, "production")).count() == 5
 
@@ -124,3 +126,36 @@ def test_balances_do_not_depend_on_how_large_a_credit_is(spark, hot_rows):
     payments = spark.createDataFrame(rows, "id string, payment_id bigint, credit_id bigint, amount bigint, payment_date bigint")
     got = {r.id: (r.outcome, r.applied, r.balance) for r in credits.payment_outcomes(totals, payments, hot_rows).collect()}
     assert got == {"a": ("applied_full", 30, 70), "b": ("applied_full", 20, 50), "c": ("applied_full", 20, 30), "d": ("clamped", 30, 0)}
+
+
+def test_credits_without_an_id_raise_or_stay(spark, people):
+    raw = spark.createDataFrame([record("c1", None, ["k1"], ["0xA"], None), record("c2", None, ["k1"], ["0xB"], None), record("c3", 3, ["k1"], ["0xC"], None)],
+                                schemas.CREDITS_RAW)
+    with pytest.raises(PySparkException):
+        credit_pipeline.publish_credits(raw, people, "staging").state.collect()
+    run = credit_pipeline.publish_credits(raw, people, "staging", strict=False)
+    assert [r.credit_id for r in run.state.collect()] == [3]
+    assert {r.id: r.fields.published_staging for r in run.records.collect()} == {"c1": None, "c2": None, "c3": True}
+
+
+def test_a_credit_run_stops_at_its_first_failure(spark, people):
+    raw = spark.createDataFrame([record(f"c{k}", k, ["k1"], ["0xA"], None) for k in range(1, 7)] + [record("c1", 1, ["k1"], ["0xA"], None)], schemas.CREDITS_RAW)
+
+    def run(*messages):
+        rows = [(k, k, m) for k, m in enumerate(messages, 1)]
+        found = credit_pipeline.publish_credits(raw, people, "staging", attempts=spark.createDataFrame(rows, schemas.CREDIT_ATTEMPTS))
+        assert found.records.count() == raw.count()  # a repeated record stays as often as it was
+        return sorted(r.credit_id for r in found.state.collect()), tuple(found.outcome.first())
+
+    minted = "execution reverted: ERC721: token already minted"
+    assert run("ok", minted, "ok", "nonce too low", "ok", "ok") == ([1, 2, 3], (7, 4, False))
+    assert run("ok", "ok", None, "ok", "ok", "ok") == ([1, 2], (7, 3, False))  # no receipt
+    assert run(*["ok"] * 6) == ([1, 2, 3, 4, 5, 6], (7, 7, True))
+
+
+def test_a_taken_id_without_a_credit_is_an_error_in_either_run(spark):
+    totals = spark.createDataFrame([(1, 100)], "credit_id bigint, total_repayment bigint")
+    columns = "id string, payment_id bigint, credit_id bigint, amount bigint, payment_date bigint"
+    both = spark.createDataFrame([("a", 1, 1, 5, 0), ("b", 1, None, 5, 1)], columns)
+    assert {r.id: r.outcome for r in credits.payment_outcomes(totals, both).collect()} == {"a": "applied_full", "b": "error"}
+    assert credits.repeated_outcomes(both.where("id = 'b'")).first().outcome == "error"

@@ -2,8 +2,10 @@ import datetime
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 
 from fleetledger import schemas
+from fleetledger.params import ParamSet, SourceParams, SplitRule
 from fleetledger.plans import daily
 from fleetledger.sources import readers, writers
 from fleetledger.sources.fixtures import Fixtures
@@ -49,6 +51,10 @@ def test_route_day(spark, lake):
 
     run, first = process()
     assert {r[-1] for r in first} == {"motorbike", "bicycle"}
+    stored = spark.read.parquet(path("routes_reports/unowned_devices")).collect()
+    assert [(str(r.date), r.source, r.k_dispositivo) for r in stored] == [(DAY, "motorbike", "Z")]
+    assert spark.read.parquet(path("routes_reports/quarantine")).count() == 0
+    assert spark.read.parquet(path("routes_reports/split_summary")).agg({"original_routes": "sum"}).first()[0] == 19
     assert [r.device_list for r in run.alerts.collect()] == ["Z"]
     assert process()[1] == first  # a rerun keeps ids and rows
 
@@ -57,7 +63,7 @@ def test_route_day(spark, lake):
     assert {r.gpsid for r in held.collect()} == {"Z"}
 
     def attempt(ids, message="ok"):
-        rows = [(D, i, key, message if i == len(ids) - 1 else "ok", 1) for i, key in enumerate(ids)]
+        rows = [(D, i, key, message if i == len(ids) - 1 else "ok", 1, 70 + i, 9, f"0x{key}") for i, key in enumerate(ids)]
         return spark.createDataFrame(rows, schemas.ATTEMPTS)
 
     with pytest.raises(daily.Incomplete, match=f"only 3 of {len(first)}"):
@@ -70,6 +76,45 @@ def test_route_day(spark, lake):
     assert readers.read_ledger(spark, path("ledger"), "production", DAY).count() == 0
 
 
+def test_two_days_share_no_id_and_another_split_gives_new_ones(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    writers.write_table(spark.createDataFrame([("A", "0xA")], schemas.DEVICE_MAP), path("map"))
+    for day in (DAY, "2024-01-16"):
+        (tmp_path / "m.json").write_text(document(range(6), "A").replace(DAY, day))
+        daily.land(spark, path("m.json"), path("raw"), "motorbike", day)
+
+    def run(day, avg=2_000):
+        rule = ParamSet([SourceParams("motorbike", split=SplitRule(4_200, avg))])
+        daily.process(spark, path("raw"), path("routes"), rule, path("map"), path("ids"), day=day)
+        rows = readers.read_partitioned(spark, path("routes"), schemas.ROUTES_FINAL, day=day).collect()
+        return {r.routeid: (r.timestampstart, r.timestampend, r.measureddistance) for r in rows}
+
+    first, second = run(DAY), run("2024-01-16")
+    assert len(first) > 6 and not set(first) & set(second)
+    assert run(DAY) == first  # a rerun keeps them
+    other = run(DAY, 4_000)
+    assert not set(other) & (set(first) | set(second))  # other segments, other ids
+    assert run(DAY) == first
+    with pytest.raises(ValueError):
+        text = ParamSet([SourceParams("motorbike", output_datetime_format="%Y-%m-%d %H:%M")])
+        daily.process(spark, path("raw"), path("routes"), text, path("map"), path("ids"), day=DAY)
+
+
+def test_routes_and_reports_make_up_the_input(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    writers.write_table(spark.createDataFrame([("A", "0xA")], schemas.DEVICE_MAP), path("map"))
+    good = json.loads(document(range(4), "A"))["body"]
+    bad = [{**good[0], "k_ruta": 90, "o_fecha_inicial": "soon"}, {**good[0], "k_ruta": None}, {**good[0], "k_ruta": 92, "f_distancia": 1.0}]
+    (tmp_path / "m.json").write_text(json.dumps({"body": good + bad}))
+    daily.land(spark, path("m.json"), path("raw"), "motorbike", DAY)
+    daily.process(spark, path("raw"), path("routes"), Fixtures.params(), path("map"), path("ids"), day=DAY)
+    kept = spark.read.parquet(path("routes_reports/split_summary")).agg({"original_routes": "sum"}).first()[0]
+    aside = sorted(r.reason for r in spark.read.parquet(path("routes_reports/quarantine")).collect())
+    assert kept == 4 and aside == ["bad_time", "missing_trip_id"]  # the seventh fails the distance range
+    with pytest.raises(PySparkException):
+        daily.process(spark, path("raw"), path("routes"), Fixtures.params(), path("map"), path("ids"), day=DAY, strict=True)
+
+
 def test_a_source_without_rows_is_emptied(spark, tmp_path):
     root = str(tmp_path / "routes")
     rows = [(1, "A", 0, 1, 2, None, D, "m"), (2, "B", 0, 1, 2, None, D, "b")]

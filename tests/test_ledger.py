@@ -24,7 +24,7 @@ def stored(spark):
 def attempts(spark):
     rows = [(D1, 0, 1, BAD, 5), (D1, 1, 2, OK, 5), (D1, 2, 3, MINTED, 5), (D1, 3, 2, OK, 5), (D1, 4, 4, BAD, 5), (D1, 5, 5, OK, 5),
             (D2, 6, 6, OK, 5), (D2, 7, 9, OK, 5)]
-    return spark.createDataFrame(rows, schemas.ATTEMPTS)
+    return spark.createDataFrame([(*r, 50 + r[1], 9, f"0x{r[1]}") for r in rows], schemas.ATTEMPTS)
 
 
 def test_reconcile(spark, stored, attempts):
@@ -51,7 +51,7 @@ def test_merge_is_idempotent(stored, attempts):
 @pytest.mark.parametrize("block", [1, 7, 10_000])
 def test_budget_equals_loop(spark, block):
     rows = [(D1 if i % 3 else D2, i, i, OK, i * 7 % 13) for i in range(300)]
-    df = spark.createDataFrame(rows, schemas.ATTEMPTS)
+    df = spark.createDataFrame([(*r, None, None, None) for r in rows], schemas.ATTEMPTS)
     expected = []
     for day in (D1, D2):
         elapsed = 0
@@ -65,7 +65,7 @@ def test_budget_equals_loop(spark, block):
 
 
 def test_budget_bound_is_inclusive(spark):
-    df = spark.createDataFrame([(D1, i, i, OK, 9) for i in range(20)], schemas.ATTEMPTS)
+    df = spark.createDataFrame([(D1, i, i, OK, 9, None, None, None) for i in range(20)], schemas.ATTEMPTS)
     assert sorted(r.seq for r in ledger.within_budget(df, 100).collect()) == list(range(11))
 
 
@@ -76,7 +76,7 @@ def test_nonces_only_count_sent_rows(spark, stored, attempts):
 
 
 def test_prefix_without_failure(spark):
-    df = spark.createDataFrame([(D1, 1, 1, OK, 1), (D2, 2, 2, BAD, 1)], schemas.ATTEMPTS)
+    df = spark.createDataFrame([(D1, 1, 1, OK, 1, None, None, None), (D2, 2, 2, BAD, 1, None, None, None)], schemas.ATTEMPTS)
     assert [r.seq for r in ledger.prefix_until_failure(ledger.classify(df)).collect()] == [1]
 
 
@@ -104,3 +104,22 @@ def test_metrics(spark):
     watched, seen = metrics.observed(df, "export", unowned=F.count_if(F.col("celo_address").isNull()))
     watched.collect()
     assert seen.get == {"rows": 3, "unowned": 1}
+
+
+def test_sent_routes_enter_with_nonce_price_and_hash(spark, stored, attempts):
+    merged = publication.reconcile(attempts, stored, attempts, "staging").ledger
+    got = {r.route_id: (r.status, r.nonce, r.gas_price, r.tx_hash) for r in merged.collect()}
+    assert got[2] == ("sent", 51, 9, "0x1") and got[3] == ("already_minted", None, None, None) and got[1] == ("sent", 1, 1, "0x")
+
+
+def test_a_plan_numbers_what_the_budget_allows(spark):
+    ready = spark.createDataFrame([(D2, 7, 4), (D1, 3, 4), (D1, 1, 4), (D1, 2, 4), (None, 9, 4)], "date date, routeid bigint, cost bigint")
+    got = sorted(((r.seq, r.routeid, r.nonce) for r in publication.plan(ready, 100, budget=5).collect()))
+    assert got == [(0, 9, 100), (1, 1, 101), (2, 2, 102), (4, 7, 103)]  # the third route of the first day is over the budget
+    assert publication.plan(ready, 0).count() == 5
+
+
+def test_rows_without_day_or_number_stay_in_the_budget(spark):
+    rows = [(None, 0, 1), (None, 5, 1), (D1, None, 1), (D1, 3, 1)]
+    df = spark.createDataFrame(rows, "date date, seq bigint, cost bigint")
+    assert ledger.within_budget(df, 100).count() == 4

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from fleetledger import schemas
 from fleetledger.operators import ids, ordering
 
 
@@ -83,9 +84,10 @@ def test_first_per_key(spark):
 
 def test_stable_ids(spark):
     df = spark.createDataFrame(
-        [("2024-01-01", "m", k, s) for k in range(20) for s in range(2)], "date string, source string, k_ruta bigint, segment bigint")
-    none = spark.createDataFrame([], "source string, k_ruta bigint, segment bigint, route_id bigint")
-    first, added = ids.assign_stable(df.where("k_ruta < 10"), none)
+        [("2024-01-01", "m", k or None, s, "v1") for k in range(20) for s in range(2)],
+        "date string, source string, k_ruta bigint, segment bigint, params_version string").withColumn("date", F.col("date").cast("date"))
+    none = spark.createDataFrame([], schemas.ID_ASSIGNMENTS)
+    first, added = ids.assign_stable(df.where("k_ruta is null or k_ruta < 10"), none)
     assert sorted(r.newID for r in first.collect()) == list(range(100_001, 100_021))
     again, more = ids.assign_stable(df, added)
     old = {(r.k_ruta, r.segment): r.newID for r in first.collect()}
@@ -94,6 +96,18 @@ def test_stable_ids(spark):
     assert sorted(r.route_id for r in more.collect()) == list(range(100_021, 100_041))
     rerun, nothing = ids.assign_stable(df, added.unionByName(more))
     assert {(r.k_ruta, r.segment): r.newID for r in rerun.collect()} == new and nothing.count() == 0
+    other, _ = ids.assign_stable(df.withColumn("params_version", F.lit("v2")), added.unionByName(more))
+    assert not set(new.values()) & {r.newID for r in other.collect()}  # cut by other rules, they are other segments
+
+
+def test_runs_that_share_marks_share_no_id(spark, tmp_path):
+    marks = str(tmp_path / "marks")
+    assert [ids.reserve(spark, marks, run, n) for run, n in (("a", 5), ("b", 0), ("c", 7), ("a", 5), ("a", 6))] == [
+        100_000, 100_005, 100_005, 100_000, 100_012]
+    asked = []
+    df = spark.range(4).withColumnRenamed("id", "k")
+    got = ids.assign(df, ["k"], base=lambda count: asked.append(count) or 50).orderBy("k").collect()
+    assert asked == [4] and [r.newID for r in got] == [51, 52, 53, 54]
 
 
 def test_missing_order_column_raises(spark):

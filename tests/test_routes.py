@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from fleetledger import ParamSet, Range, SourceParams, SplitRule
+from fleetledger import schemas
 from fleetledger.operators import devices, routes
 from fleetledger.plans import delivery_extract, route_pipeline
 
@@ -166,7 +167,7 @@ def test_strict_processing_raises(spark, job):
 
 def test_stable_ids_in_the_job(spark, job):
     raw, params, owners, _ = job
-    none = spark.createDataFrame([], "source string, k_ruta bigint, segment bigint, route_id bigint")
+    none = spark.createDataFrame([], schemas.ID_ASSIGNMENTS)
     first = route_pipeline.process(raw, params, owners, assignments=none)
     again = route_pipeline.process(raw, params, owners, assignments=first.new_assignments)
     assert sorted(map(tuple, first.final.collect()), key=str) == sorted(map(tuple, again.final.collect()), key=str)
@@ -216,7 +217,8 @@ def test_parameters_from_documents(spark):
            "distance_filter": {"min": 147}, "duration_filter": {"min": 2, "max": 90},
            "distance_fix": {"expected_max_per_hour": 60000}, "split_big_routes": {"max_distance": 4200, "avg_distance": 2000},
            "proto_celo_address": {"address": "0x9"}}
-    p = SourceParams.from_document("m", doc)
+    assert SourceParams.from_document("m", doc).prototype_address is None  # the section must be named
+    p = SourceParams.from_document("m", doc, address_section="proto_celo_address")
     assert (p.distance, p.duration, p.max_per_hour, p.split, p.prototype_address) == (
         Range(147), Range(2, 90), 60000, SplitRule(4200, 2000), "0x9")
     bare = SourceParams.from_document("n", {})
@@ -277,3 +279,14 @@ def test_long_trips_are_summed_over_runs_and_null_trip_ids_are_cut(spark):
         assert all(a.o_fecha_final == b.o_fecha_inicial for a, b in zip(rows, rows[1:]))
         mean = 1e6 / len(rows)
         assert len(rows) == 1 or all(0.75 * mean < r.f_distancia < 1.3 * mean for r in rows)
+
+
+def test_each_source_has_its_own_output_form(spark, job):
+    raw, _, owners, _ = job
+    params = ParamSet([
+        SourceParams("m", output_datetime_format="unix"),
+        SourceParams("b", output_datetime_format="%Y-%m-%d %H:%M", column_rename_map=(("newID", "id"), ("k_dispositivo", "gpsID"), ("o_fecha_inicial", "timestampStart")))])
+    rows = route_pipeline.process(raw, params, owners).final.collect()
+    m, b = ([r for r in rows if r.source == s] for s in "mb")
+    assert m and b and all(r.timestampstart.isdigit() and r.id is None and r.routeid for r in m)
+    assert all("-" in r.timestampstart and r.id and r.routeid is None and r.timestampend is None for r in b)

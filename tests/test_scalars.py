@@ -49,12 +49,15 @@ def test_segment_count_is_exact(spark):
 def test_rounding_and_truncation(spark):
     got = values(spark, [(2.5,), (3.5,), (-2.5,), (2.51,)], "d double", scalars.round_half_even("d"))
     assert [r[0] for r in got] == [2, 4, -2, 3]
-    got = values(spark, [(2.9,), (-2.9,), (None,)], "d double", scalars.whole_number("d"))
+    got = values(spark, [(2.9,), (-2.9,), (None,)], "d double", scalars.whole_number("d", strict=False))
     assert [r[0] for r in got] == [2, -2, None]
+    assert [r[0] for r in values(spark, [(2.9,), (-2.9,)], "d double", scalars.whole_number("d"))] == [2, -2]
+    with pytest.raises(PySparkException):  # a required number is missing
+        values(spark, [(None,)], "d double", scalars.whole_number("d"))
 
 
 def test_term_days(spark):
-    rows = [("45 días (6 semanas)",), ("semanas: 6",), (None,), ("12",)]
+    rows = [("45 o bien 6 semanas",), ("semanas: 6",), (None,), ("12",)]
     assert [r[0] for r in values(spark, rows, "t string", scalars.term_days("t"))] == [315, 42, None, 84]
     assert values(spark, [("none",)], "t string", scalars.term_days("t", strict=False)) == [(None,)]
     with pytest.raises(PySparkException):
