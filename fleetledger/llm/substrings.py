@@ -29,6 +29,7 @@ nothing. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -79,13 +80,25 @@ class Openings:
         return self.at + place[self.at], least[self.at]
 
 
+def _opened(raw: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[int, int, int, Openings]]:
+    """Openings by groups of rows: the first row, its byte, the number of words before, and the group."""
+    words = 0
+    for a, b in groups(offsets):
+        found = Openings(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], size)
+        yield a, int(offsets[a]), words, found
+        words += len(found.words)
+
+
+def _stacked(parts: list[tuple[np.ndarray, ...]], kinds: str) -> list[np.ndarray]:
+    return [np.concatenate([np.empty(0, k), *column]) for k, column in zip(kinds.split(), zip(*parts) if parts else [()] * len(kinds.split()))]
+
+
 def _list_keys(batch: pa.RecordBatch, size: int, buckets: int) -> pa.RecordBatch:
     """Distinct (key, document), at most two documents a key and block, by bucket and block."""
     raw, offsets = utf8(batch.column(1))
     block = batch.column(2).to_numpy()
     keys, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for a, b in groups(offsets):
-        found = Openings(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], size)
+    for a, _, _, found in _opened(raw, offsets, size):
         place, key = found.keys()
         new = np.ones(len(place), bool)
         new[1:] = place[1:] != place[:-1]
@@ -152,21 +165,25 @@ def _cut_out(docs: pa.Table, kept: pa.Table, size: int, parts: int) -> pa.Table:
     known, frequent = _joined(kept["keys"]), _joined(kept["frequent"])
     raw, offsets = utf8(docs["text"])
     ids = _ids(docs["id"])
-    found = Openings(raw, offsets, size)
-    place, key = found.keys()
-    mine = np.flatnonzero(_among(key, known))
-    at, whole, key, doc = found.at[mine], found.whole[mine], key[mine], ids[found.row[mine]]
-    if not len(mine):
+    kept_parts = []
+    for a, byte, before, found in _opened(raw, offsets, size):
+        _, key = found.keys()
+        mine = np.flatnonzero(_among(key, known))
+        at = found.at[mine]
+        kept_parts.append((at + before, found.whole[mine], key[mine], ids[found.row[mine] + a],
+                           found.words.starts[at] + byte, found.words.ends[at + size - 1] + byte))
+    at, whole, key, doc, begin, end = _stacked(kept_parts, "i8 u8 u8 i8 i8 i8")
+    if not len(at):
         return pa.table(empty)
     order = np.lexsort((doc, whole))
     heads = np.flatnonzero(np.concatenate([[True], whole[order][1:] != whole[order][:-1]]))
     chosen = np.sort(order[heads])  # one place of each opening, of its least document
-    at, key, whole, doc = at[chosen], key[chosen], whole[chosen], doc[chosen]
+    at, key, whole, doc, begin, end = (x[chosen] for x in (at, key, whole, doc, begin, end))
     prefix = np.where(_among(key, frequent), whole, key)
     cut = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (prefix[1:] != prefix[:-1]) | (doc[1:] != doc[:-1])])
     heads = np.flatnonzero(cut)
     tails = np.append(heads[1:], len(at)) - 1
-    begin, end = found.words.starts[at[heads]], found.words.ends[at[tails] + size - 1]
+    begin, end = begin[heads], end[tails]
     data = raw.tobytes()
     return pa.table({"part": pa.array((prefix[heads] % np.uint64(parts)).astype(np.int64)),
                      "block": pa.array(np.full(len(heads), docs["block"][0].as_py()), pa.int64()),
@@ -221,11 +238,15 @@ def _subtrees(table: pa.Table, size: int) -> pa.Table:
 def _remove(docs: pa.Table, told: pa.Table, size: int) -> pa.Table:
     """A block's texts without the words of openings that start in a lesser document."""
     raw, offsets = utf8(docs["text"])
-    found = Openings(raw, offsets, size)
-    doc = _ids(docs["id"])[found.row]
-    covered = np.zeros(len(found.words) + 1, np.int64)
+    ids, parts, counts = _ids(docs["id"]), [], [np.zeros(1, np.int64)]
+    for a, _, before, found in _opened(raw, offsets, size):
+        parts.append((found.at + before, found.whole, ids[found.row + a]))
+        counts.append(np.diff(found.words.first))
+    at, whole, doc = _stacked(parts, "i8 u8 i8")
+    first = np.cumsum(np.concatenate(counts))
+    covered = np.zeros(int(first[-1]) + 1, np.int64)
     if len(doc):
-        known, inverse = np.unique(found.whole, return_inverse=True)
+        known, inverse = np.unique(whole, return_inverse=True)
         least = np.full(len(known), NO_ID)
         np.minimum.at(least, inverse, doc)
         if told.num_rows:
@@ -233,22 +254,16 @@ def _remove(docs: pa.Table, told: pa.Table, size: int) -> pa.Table:
             place = np.minimum(np.searchsorted(known, opening), len(known) - 1)
             np.minimum.at(least, place[known[place] == opening],
                           np.frombuffer(b"".join(told["least"].to_pylist()), np.int64)[known[place] == opening])
-        start = found.at[least[inverse] < doc]
+        start = at[least[inverse] < doc]
         np.add.at(covered, start, 1)
         np.add.at(covered, start + size, -1)
     out = np.cumsum(covered)[:-1] > 0
-    first = found.words.first
-    counts = np.concatenate([[0], np.cumsum(out)])
-    removed = counts[first[1:]] - counts[first[:-1]]
+    total = np.concatenate([[0], np.cumsum(out)])
+    removed = total[first[1:]] - total[first[:-1]]
     data, kept = raw.tobytes(), []
-    starts, ends = found.words.starts, found.words.ends
     for k, gone in enumerate(removed.tolist()):
-        if not gone:
-            kept.append(b" ".join(data[offsets[k]:offsets[k + 1]].split()))
-        else:
-            a, b = first[k], first[k + 1]
-            stay = np.flatnonzero(~out[a:b]) + a
-            kept.append(b" ".join([data[x:y] for x, y in zip(starts[stay].tolist(), ends[stay].tolist())]))
+        own = data[offsets[k]:offsets[k + 1]].split()
+        kept.append(b" ".join(compress(own, ~out[first[k]:first[k + 1]]) if gone else own))
     return pa.table({"id": docs["id"], "n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(removed, pa.int64()),
                      "kept": pa.array(kept, pa.binary()).cast(pa.string())})
 
@@ -259,6 +274,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     bounded_batches(spark)
     n = shuffle_partitions(spark)
     blocks = parts = BLOCKS_PER_PARTITION * n
+    buckets = n  # a bucket answers each block in one row, so buckets and blocks are kept few and large
     # Every step reads this one shuffle; the plans are equal up to it.
     dealt = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
              .withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
@@ -266,7 +282,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
 
     def list_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _list_keys(batch, min_words, parts)
+            yield _list_keys(batch, min_words, buckets)
 
     kept = (dealt.mapInArrow(list_keys, "bucket long, block long, keys binary")
             .groupBy("bucket").applyInArrow(_recurring, "block long, keys binary, frequent binary"))
