@@ -21,7 +21,7 @@ from fleetledger.operators import credits as credit_ops
 from fleetledger.operators import ids, ledger, metrics
 from fleetledger.params import ROUTES_TABLE_FORMAT, ParamSet
 from fleetledger.plans import credit_pipeline, device_sync, publication, route_pipeline
-from fleetledger.session import configure, pin
+from fleetledger.session import configure, estimated_bytes, job, pin
 from fleetledger.sources import readers, writers
 from fleetledger.sources.readers import Day
 
@@ -45,9 +45,11 @@ def sync_devices(spark: SparkSession, contacts_path: str, map_path: str,
     """Rebuild the device map and write derived addresses back to the contacts."""
     configure(spark)
     contacts = spark.read.schema(schemas.CONTACTS).parquet(contacts_path)
-    device_map, after = device_sync.sync(contacts, derive)
-    writers.write_table(device_map, map_path)
-    writers.write_table(pin(after), contacts_path)
+    configure(spark, estimated_bytes(contacts))
+    with job(spark):
+        device_map, after = device_sync.sync(contacts, derive)
+        writers.write_table(device_map, map_path)
+        writers.write_table(pin(after), contacts_path)
 
 
 def process(spark: SparkSession, raw_root: str, routes_root: str, params: ParamSet, map_path: str, assignments_path: str,
@@ -71,6 +73,7 @@ def process(spark: SparkSession, raw_root: str, routes_root: str, params: ParamS
         return None if path is None else readers.read_or_empty(spark, path, schemas.DEVICE_LIST)
 
     raw = readers.read_partitioned(spark, raw_root, schemas.ROUTES_RAW, day=day)
+    configure(spark, estimated_bytes(raw))
     given = readers.read_or_empty(spark, f"{assignments_path}/date={day}", schemas.ID_ASSIGNMENTS, root=assignments_path)
     run = route_pipeline.process(
         raw, params, spark.read.schema(schemas.DEVICE_MAP).parquet(map_path), device_list(known_path),
@@ -111,8 +114,10 @@ def record(spark: SparkSession, routes_root: str, ledger_path: str, environment:
     day = readers.day_text(day)
     routes = readers.read_partitioned(spark, routes_root, schemas.ROUTES_FINAL, day=day)
     done = readers.read_ledger(spark, ledger_path, environment, day)
+    configure(spark, estimated_bytes(routes))
     run = publication.reconcile(routes, done, readers.on_date(attempts, day), environment)
-    writers.write_ledger(run.ledger, ledger_path)
+    with job(spark):
+        writers.write_ledger(run.ledger, ledger_path)
     after = readers.read_ledger(spark, ledger_path, environment, day)
     row = ledger.outcome(routes, after).first()  # one day, one row
     if row is not None and not row.all_success:
@@ -130,13 +135,15 @@ def publish_credits(spark: SparkSession, credits_path: str, contacts_path: str,
     raw = spark.read.schema(schemas.CREDITS_RAW).parquet(credits_path)
     contacts = spark.read.schema(schemas.CONTACTS).parquet(contacts_path)
     state = readers.read_or_empty(spark, state_path, schemas.CREDITS_STATE)
-    run = credit_pipeline.publish_credits(raw, contacts, env, derive, attempts=attempts)
-    row = run.outcome.first()  # one row
-    fresh = run.state.join(state.select("credit_id"), "credit_id", "left_anti")  # an issued id stays as it was
-    people, records = pin(run.contacts), pin(run.records)
-    writers.append_table(fresh, state_path)
-    writers.write_table(people, contacts_path)
-    writers.write_table(records, credits_path)
+    configure(spark, estimated_bytes(raw, contacts))
+    with job(spark):
+        run = credit_pipeline.publish_credits(raw, contacts, env, derive, attempts=attempts)
+        row = run.outcome.first()  # one row
+        fresh = run.state.join(state.select("credit_id"), "credit_id", "left_anti")  # an issued id stays as it was
+        people, records = pin(run.contacts), pin(run.records)
+        writers.append_table(fresh, state_path)
+        writers.write_table(people, contacts_path)
+        writers.write_table(records, credits_path)
     if not row.all_success:
         raise Incomplete(f"only {row.published} of {row.total} credits are published")
 
@@ -150,10 +157,12 @@ def publish_payments(spark: SparkSession, payments_path: str, credits_path: str,
     raw = spark.read.schema(schemas.PAYMENTS_RAW).parquet(payments_path)
     credits = spark.read.schema(schemas.CREDITS_RAW).parquet(credits_path)
     recorded = readers.read_or_empty(spark, outcomes_path, schemas.PAYMENT_OUTCOMES)
-    run = credit_pipeline.publish_payments(raw, credits, env, recorded=recorded)
-    records = pin(run.records)
-    writers.append_table(run.outcomes.where("outcome <> 'error'"), outcomes_path)
-    writers.write_table(records, payments_path)
-    row = metrics.run_outcome(run.outcomes, "outcome <> 'error'", "records").first()
+    configure(spark, estimated_bytes(raw, credits))
+    with job(spark):
+        run = credit_pipeline.publish_payments(raw, credits, env, recorded=recorded)
+        records = pin(run.records)
+        writers.append_table(run.outcomes.where("outcome <> 'error'"), outcomes_path)
+        writers.write_table(records, payments_path)
+        row = metrics.run_outcome(run.outcomes, "outcome <> 'error'", "records").first()
     if not row.all_success:
         raise Incomplete(f"only {row.published} of {row.total} payments are published")

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: dict[str, tempfile.TemporaryDirectory] = {}
+_open_jobs: list[list[str]] = []
 
 
 # Shuffle partitions are sized for this many bytes each, up to a count the driver can track;
 # adaptive execution joins small ones.
 PARTITION_BYTES = 256 << 20
 MAX_PARTITIONS = 50_000
+UNKNOWN_BYTES = 1 << 60
 
 
 def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
@@ -31,6 +35,15 @@ def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSe
     return spark
 
 
+def estimated_bytes(*tables: DataFrame) -> int:
+    """The size of tables by Spark's plan statistics (file sizes, after partition pruning); nothing is read.
+
+    A table that no file backs, of which Spark only knows that it may be huge, counts nothing.
+    """
+    sizes = (int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in tables)
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
 def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
@@ -58,5 +71,19 @@ def pin(df: DataFrame) -> DataFrame:
     pruning for the readers.
     """
     path = f"{work_dir(df.sparkSession)}/fleetledger/{uuid.uuid4().hex}"
+    if _open_jobs:
+        _open_jobs[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Tables pinned inside are deleted at the end, also after a failure; results must be stored by then."""
+    _open_jobs.append([])
+    try:
+        yield
+    finally:
+        for path in _open_jobs.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
-from fleetledger import schemas
+from fleetledger import schemas, session
 from fleetledger.params import ParamSet, SourceParams, SplitRule
 from fleetledger.plans import daily
 from fleetledger.sources import readers, writers
@@ -157,3 +157,30 @@ def test_credit_and_payment_runs(spark, tmp_path):
         payments((6, 6, 1, -1.0, "2024-02-05"), (7, 7, 1, 0.0, "2024-02-05"))
     flags = {r.id: r.fields.published_staging for r in spark.read.parquet(path("payments")).collect()}
     assert flags["p6"] is None and flags["p7"] is True
+
+
+def test_a_job_deletes_what_it_pinned(spark, tmp_path):
+    import os
+
+    with session.job(spark):
+        kept = session.pin(spark.range(5))
+        folder = kept.inputFiles()[0].removeprefix("file:").removeprefix("//").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    with pytest.raises(RuntimeError):
+        with session.job(spark):
+            folder = session.pin(spark.range(5)).inputFiles()[0].removeprefix("file:").removeprefix("//").rsplit("/", 1)[0]
+            raise RuntimeError
+    assert not os.path.exists(folder)
+
+
+def test_shuffles_are_sized_from_the_tables(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert 1_000 < session.estimated_bytes(stored) < 100_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.configure(spark, 100 * session.PARTITION_BYTES)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
