@@ -24,9 +24,15 @@ def pending(items: DataFrame, ledger: DataFrame, key: str = "route_id") -> DataF
     return items.join(ledger.select(key), key, "left_anti")
 
 
+def held_back(items: DataFrame, address: str = "celo_address") -> DataFrame:
+    """Add ``held``: whether an item cannot be sent for want of an address."""
+    return items.withColumn("held", F.col(address).isNull())
+
+
 def publishable(items: DataFrame, address: str = "celo_address") -> tuple[DataFrame, DataFrame]:
-    """Split into items that can be sent and items held back for want of an address."""
-    return items.where(F.col(address).isNotNull()), items.where(F.col(address).isNull())
+    """Split into items that can be sent and items held back."""
+    marked = held_back(items, address)
+    return marked.where("not held").drop("held"), marked.where("held").drop("held")
 
 
 def classify(attempts: DataFrame, message: str = "message") -> DataFrame:
