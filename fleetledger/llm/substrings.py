@@ -40,9 +40,12 @@ from .frames import Words, bounded_batches, groups, runs_hash, shuffle_partition
 
 MIN_WORDS = 13
 GRAM = 5
-# A keying run listed more often than this is lengthened to the whole opening.
-FREQUENT = 200_000
+# A keying run listed more often than this is lengthened to the whole opening. It is listed
+# twice at most for a batch and block, so a group gets at most so many halves of blocks.
+FREQUENT = 1_000
 BLOCKS_PER_PARTITION = 4
+# A task takes the groups of suffixes that it is dealt in so many turns.
+TURNS = 8
 NO_ID = 2 ** 63 - 1
 
 
@@ -159,7 +162,7 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _cut_out(docs: pa.Table, kept: pa.Table, size: int, parts: int) -> pa.Table:
     """A block's suffixes under recurring keys: runs of distinct openings, and the least document of each."""
-    empty = {"part": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "words": pa.array([], pa.binary()), "least": pa.array([], pa.binary())}
+    empty = {"part": pa.array([], pa.int64()), "turn": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "words": pa.array([], pa.binary()), "least": pa.array([], pa.binary())}
     if not kept.num_rows or not docs.num_rows:
         return pa.table(empty)
     known, frequent = _joined(kept["keys"]), _joined(kept["frequent"])
@@ -185,7 +188,9 @@ def _cut_out(docs: pa.Table, kept: pa.Table, size: int, parts: int) -> pa.Table:
     tails = np.append(heads[1:], len(at)) - 1
     begin, end = begin[heads], end[tails]
     data = raw.tobytes()
-    return pa.table({"part": pa.array((prefix[heads] % np.uint64(parts)).astype(np.int64)),
+    group = prefix[heads] % np.uint64(parts * TURNS)
+    return pa.table({"part": pa.array((group % np.uint64(parts)).astype(np.int64)),
+                     "turn": pa.array((group // np.uint64(parts)).astype(np.int64)),
                      "block": pa.array(np.full(len(heads), docs["block"][0].as_py()), pa.int64()),
                      "words": pa.array([data[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()),
                      "least": pa.array([doc[a:b + 1].tobytes() for a, b in zip(heads.tolist(), tails.tolist())], pa.binary())})
@@ -209,7 +214,21 @@ def sorted_suffixes(ids: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndar
 
 
 def _subtrees(table: pa.Table, size: int) -> pa.Table:
-    """A group's deep nodes: for each block whose document is not a node's least, the opening and that least."""
+    """The deep nodes of a task's groups: for each block whose document is not a node's least, the opening and that least."""
+    turn = table["turn"].to_numpy()
+    found = [_deep_nodes(table.filter(pa.array(turn == t)), size) for t in np.unique(turn)]
+    home, whole, lowest = _stacked(found, "i8 u8 i8")
+    by = np.argsort(home, kind="stable")
+    home, whole, lowest = home[by], whole[by], lowest[by]
+    heads = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]])) if len(home) else np.empty(0, np.int64)
+    parts = list(zip(heads, np.append(heads[1:], len(home))))
+    return pa.table({"block": pa.array(home[heads], pa.int64()),
+                     "openings": pa.array([whole[a:b].tobytes() for a, b in parts], pa.binary()),
+                     "least": pa.array([lowest[a:b].tobytes() for a, b in parts], pa.binary())})
+
+
+def _deep_nodes(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(block, opening, least document) of the leaves under deep nodes that are not their node's least."""
     data = table["words"].to_pylist()
     offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
     raw = np.frombuffer(b"".join(data), np.uint8)
@@ -225,14 +244,7 @@ def _subtrees(table: pa.Table, size: int) -> pa.Table:
     lowest = np.minimum.reduceat(least[order], heads)[node]
     told = np.flatnonzero(lowest < least[order])
     leaf = order[told]
-    home, whole, lowest = block[leaf], runs_hash(hashes, size)[at[leaf]], lowest[told]
-    by = np.argsort(home, kind="stable")
-    home, whole, lowest = home[by], whole[by], lowest[by]
-    heads = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]])) if len(home) else np.empty(0, np.int64)
-    parts = list(zip(heads, np.append(heads[1:], len(home))))
-    return pa.table({"block": pa.array(home[heads], pa.int64()),
-                     "openings": pa.array([whole[a:b].tobytes() for a, b in parts], pa.binary()),
-                     "least": pa.array([lowest[a:b].tobytes() for a, b in parts], pa.binary())})
+    return block[leaf], runs_hash(hashes, size)[at[leaf]], lowest[told]
 
 
 def _remove(docs: pa.Table, told: pa.Table, size: int) -> pa.Table:
@@ -273,8 +285,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     spark = docs.sparkSession
     bounded_batches(spark)
     n = shuffle_partitions(spark)
-    blocks = parts = BLOCKS_PER_PARTITION * n
-    buckets = n  # a bucket answers each block in one row, so buckets and blocks are kept few and large
+    blocks = BLOCKS_PER_PARTITION * n
+    buckets = parts = n  # each answers a block in one row, so they are kept few and large
     # Every step reads this one shuffle; the plans are equal up to it.
     dealt = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
              .withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
@@ -288,7 +300,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
             .groupBy("bucket").applyInArrow(_recurring, "block long, keys binary, frequent binary"))
     suffixes = (dealt.groupBy("block").cogroup(kept.groupBy("block"))
                 .applyInArrow(lambda left, right: _cut_out(left, right, min_words, parts),
-                              "part long, block long, words binary, least binary"))
+                              "part long, turn long, block long, words binary, least binary"))
     told = suffixes.groupBy("part").applyInArrow(lambda t: _subtrees(t, min_words), "block long, openings binary, least binary")
     return (dealt.groupBy("block").cogroup(told.groupBy("block"))
             .applyInArrow(lambda left, right: _remove(left, right, min_words), "id long, n_words long, n_removed long, kept string"))
