@@ -117,9 +117,12 @@ def placeholder_address(client_id: Column | str) -> Column:
 def segment_jitter(key: str, segment: str, seed: int) -> str:
     """Uniform integer in [-SHARE_JITTER, SHARE_JITTER] for one segment of one trip, as SQL text.
 
-    The first 32 bits of an md5, so that every segment is drawn on its own, and any
-    retry, engine or partitioning gives the same draw. Trips without an id share theirs.
+    The cube, modulo the prime 2^31-1, of a number made of trip, segment and seed: in plain
+    bigint arithmetic, so that any retry, engine or partitioning gives the same draw, and
+    not linear, so that neighbouring segments and trips are drawn independently. Trips
+    without an id draw as trip 0.
     """
-    text = f"concat(coalesce(cast({key} as string), ''), '|', cast({segment} as string), '|{int(seed)}')"
-    drawn = f"cast(conv(substring(md5({text}), 1, 8), 16, 10) as bigint)"
-    return f"({drawn} % {2 * SHARE_JITTER + 1}L - {SHARE_JITTER}L)"
+    prime = "2147483647L"
+    x = (f"pmod(pmod(coalesce({key}, 0L), {prime}) * 48271L + pmod({segment}, {prime}) * 69621L "
+         f"+ {int(seed) % 2_147_483_647 * 7_919 + 1}L, {prime})")
+    return f"(({x} * {x} % {prime}) * {x} % {prime} % {2 * SHARE_JITTER + 1}L - {SHARE_JITTER}L)"

@@ -17,8 +17,9 @@ TRIP_ID, DEVICE = "k_ruta", "k_dispositivo"
 MIN_DISTANCE, MAX_DISTANCE = 0, 9_000_000
 MIN_DURATION, MAX_DURATION = 2, 90
 
-# Segments of one trip are drawn and summed in runs of this length.
-_RUN = 1_024
+# Segments of one trip are generated in blocks, so no array of them grows with the trip, and
+# their weights are summed in runs of these lengths.
+_BLOCK, _RUN = 8_192, 256
 # Up to this many segments the time arithmetic fits a bigint.
 _EXACT_SEGMENTS = 300_000
 
@@ -80,35 +81,35 @@ def split(df: DataFrame, seed: int = 0, key: str = TRIP_ID) -> DataFrame:
 
     Every segment's weight is uniform in 0.8-1.2 of the mean and drawn by itself
     from trip id, segment and seed. A segment starts after the weights before it:
-    sums of whole runs, then of its own run, all inside the trip's row, so nothing
-    is shuffled. Only the list of run sums grows with a trip, by one number per
-    ``_RUN`` segments. Times are exact integer microseconds; the last segment ends
+    sums of whole runs, then of its own run, all from the trip's row, so nothing
+    is shuffled. Only a long trip has a list of sums, one number per ``_RUN``
+    segments. Times are exact integer microseconds; the last segment ends
     at the trip's end.
     """
     require_columns(df, key, START, END, DISTANCE, "segments")
     unit = f"{scalars.SHARE_UNIT}L"
-    draw = scalars.segment_jitter(f"`{key}`", "s", seed)
     kept = [f"`{c}`" for c in df.columns if c not in (START, END, DISTANCE)]
 
-    def members(run: str) -> str:
-        return f"sequence({run} * {_RUN}, least({run} * {_RUN} + {_RUN - 1}, segments - 1))"
+    def drawn(first: str, last: str) -> str:
+        """The sum of the draws of these segments."""
+        return f"aggregate(sequence({first}, {last}), 0L, (a, s) -> a + {scalars.segment_jitter(f'`{key}`', 's', seed)})"
 
-    sums = f"transform(sequence(0L, (segments - 1) div {_RUN}), r -> aggregate({members('r')}, 0L, (a, s) -> a + {draw}))"
-    added = "(a, x) -> a + x"
-    runs = (
-        df.selectExpr("*", f"if(segments = 1, array(0L), {sums}) as _sums",
+    run = f"segment div {_RUN}"
+    sums = f"transform(sequence(0L, (segments - 1) div {_RUN}), r -> {drawn(f'r * {_RUN}', f'least(r * {_RUN} + {_RUN - 1}, segments - 1)')})"
+    starts = (f"aggregate({sums}, named_struct('p', array(0L), 'n', 0L), "
+              "(a, x) -> named_struct('p', concat(a.p, array(a.n + x)), 'n', a.n + x)).p")
+    whole = (
+        df.selectExpr("*", f"if(segments > {_RUN}, {starts}, null) as _starts",
                       f"unix_micros({START}) as _t0", f"unix_micros({END}) - unix_micros({START}) as _t")
-        .selectExpr("*", "posexplode(_sums) as (_run, _own)")
-        .selectExpr("*", f"cast(_run as bigint) * {_RUN}L * {unit} + aggregate(slice(_sums, 1, _run), 0L, {added}) as _earlier",
-                    f"segments * {unit} + aggregate(_sums, 0L, {added}) as _all"))
-    weights = f"if(segments = 1, array({unit}), transform({members('cast(_run as bigint)')}, s -> {unit} + {draw}))"
-    prefix = ("aggregate(_weights, named_struct('p', cast(array() as array<bigint>), 'n', 0L), "
-              "(a, x) -> named_struct('p', concat(a.p, array(a.n)), 'n', a.n + x)).p")
-    weighted = (
-        runs.selectExpr("*", f"inline(array(named_struct('_weights', {weights})))")
-        .selectExpr("*", f"posexplode(arrays_zip(_weights, {prefix})) as (_at, _pair)")
-        .selectExpr("*", f"cast(_run as bigint) * {_RUN} + _at as segment", "_pair._weights as _w",
-                    "_earlier + _pair.p as _before"))
+        .selectExpr("*", f"segments * {unit} + case when segments = 1 then 0L when segments <= {_RUN} then {drawn('0L', 'segments - 1')} "
+                         f"else element_at(_starts, -1) end as _all"))
+    each = (
+        whole.selectExpr("*", f"explode(sequence(0L, (segments - 1) div {_BLOCK})) as _block")
+        .selectExpr("*", f"explode(sequence(_block * {_BLOCK}, least(_block * {_BLOCK} + {_BLOCK - 1}, segments - 1))) as segment"))
+    weighted = each.selectExpr(
+        "*", f"{unit} + if(segments = 1, 0L, {scalars.segment_jitter(f'`{key}`', 'segment', seed)}) as _w",
+        f"segment * {unit} + if({run} = 0, 0L, element_at(_starts, int({run}) + 1)) "
+        f"+ if(segment % {_RUN} = 0, 0L, {drawn(f'{run} * {_RUN}', 'segment - 1')}) as _before")
 
     def moment(cum: str) -> str:
         # _t * cum div _all without the large product, which only a decimal holds for very long trips

@@ -7,7 +7,8 @@ _GPS = "concat('GPS', lpad(cast({} as varchar), 5, '0'))"
 _DERIVED = "concat('0x', substr(sha256(concat('client|', cast({} as varchar))), 1, 40))"
 _PROTO = "'0x9999999999999999999999999999999999999999'"
 # A segment's weight: 0.8 to 1.2 of the mean, in steps of 1/10000.
-_DRAW = "(8000 + cast(concat('0x', substr(md5(concat(cast(k_ruta as varchar), '|', cast(i as varchar), '|0')), 1, 8)) as bigint) % 4001)"
+_X = "((k_ruta * 48271 + i * 69621 + 1) % 2147483647)"
+_DRAW = f"(8000 + ({_X} * {_X} % 2147483647) * {_X} % 2147483647 % 4001)"
 _BEFORE = "coalesce(sum(w) over (partition by k_ruta order by i rows between unbounded preceding and 1 preceding), 0)"
 
 
