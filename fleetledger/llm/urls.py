@@ -2,8 +2,10 @@
 
 Built-in functions and Spark's own trees only. The longest rule that fits decides;
 urls without one are judged by trees trained on urls that have a label (in the
-registered query: those a rule decides). Training reads about ``TRAIN_ROWS`` labelled
-urls of least hash; features, statistics and verdicts are row-local.
+registered query: those a rule decides). The statistics of the hosts' last labels (suffixes)
+are counted over all labelled urls, each suffix by itself, and joined on. Only the fit reads
+a sample, of about ``TRAIN_ROWS`` labelled urls: half of it of each kind, or all of a kind
+that has fewer, weighted by how many urls each stands for. Copies are drawn by their number.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and no rule
 of a host; of equally long rules that fit, the first in the given list decides. With labels of
@@ -25,8 +27,9 @@ from ..session import pin
 TRAIN_ROWS = 20_000
 TREES = 10
 DEPTH = 4
-SUFFIXES = 256
 PRIOR_ROWS = 20
+# Suffix statistics up to this size are broadcast; larger ones meet the urls in a shuffle.
+BROADCAST_BYTES = 8 << 20
 
 # Fixed values of the host rule: A-Z are lower-cased.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,7 +79,7 @@ def _count(text: Column, marks: str) -> Column:
 
 
 def lexical(rows: DataFrame) -> DataFrame:
-    """``rows`` with the features of url, host and path, and the bucket of the host's last label."""
+    """``rows`` with the features of url, host and path."""
     url, host, path = F.coalesce(F.col("url"), F.lit("")), F.col("host"), F.col("path")
     asked = F.regexp_extract(url, r"\?([^#]*)", 1)
     features = {
@@ -95,8 +98,7 @@ def lexical(rows: DataFrame) -> DataFrame:
         "secure": url.startswith("https:").cast("double"),
         "fragment": F.contains(url, F.lit("#")).cast("double"),
     }
-    return rows.select("*", *[c.alias(name) for name, c in features.items()],
-                       F.pmod(F.xxhash64(F.substring_index(host, ".", -1)), F.lit(SUFFIXES)).cast("int").alias("suffix"))
+    return rows.select("*", *[c.alias(name) for name, c in features.items()])
 
 
 _PLAIN = ("url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digits", "hyphens", "other_marks",
@@ -106,40 +108,67 @@ _SUFFIX = ("suffix_rate", "suffix_weight")
 
 @dataclass(frozen=True)
 class Model:
-    """Trees, or a verdict where the labels were of one kind; and the suffix statistics."""
+    """Trees, or a verdict where the labels were of one kind; and the suffix statistics.
+
+    ``suffixes`` has a row (suffix, suffix_rate, suffix_weight) for every suffix of a labelled url;
+    ``overall`` is the rate of the others.
+    """
 
     trees: GBTClassificationModel | None
     default: str
-    rate: tuple[float, ...] = ()
-    weight: tuple[float, ...] = ()
+    suffixes: DataFrame | None = None
+    overall: float = 0.0
+
+
+def suffix_of(host: Column) -> Column:
+    return F.substring_index(host, ".", -1)
 
 
-def _vectors(rows: DataFrame, rate: tuple[float, ...], weight: tuple[float, ...]) -> DataFrame:
-    at = F.col("suffix") + 1
-    known = rows.withColumns({"suffix_rate": F.element_at(F.array(*map(F.lit, rate)), at),
-                              "suffix_weight": F.element_at(F.array(*map(F.lit, weight)), at)})
+def _vectors(rows: DataFrame, suffixes: DataFrame, overall: float) -> DataFrame:
+    known = lexical(rows).withColumn("suffix", suffix_of(F.col("host"))).join(suffixes, "suffix", "left")
+    known = known.fillna({"suffix_rate": overall, "suffix_weight": 0.0})
     return VectorAssembler(inputCols=[*_PLAIN, *_SUFFIX], outputCol="features").transform(known)
 
 
+def drawn(rows: DataFrame, count: dict[float, int]) -> DataFrame:
+    """(id, url, host, path, label, weight): about ``TRAIN_ROWS`` of the labelled rows, of which ``count`` has each label's number.
+
+    Of n equal rows (id, url, label) a class's share of n is drawn, rounded up or down by hash. A row's
+    weight is the number of rows that it stands for.
+    """
+    fewer = min(count, key=count.get)
+    quota = {fewer: min(count[fewer], TRAIN_ROWS // 2)}
+    quota |= {c: min(count[c], TRAIN_ROWS - quota[fewer]) for c in count if c != fewer}
+    share = F.lit(0.0)
+    for c in count:
+        share = F.when(F.col("label") == c, quota[c] / count[c]).otherwise(share)
+    place = F.xxhash64("label", "id", "url", F.lit("train")) / 2.0 ** 64 + 0.5
+    copies = rows.groupBy("id", "url", "host", "path", "label").count()
+    taken = copies.withColumn("share", share).withColumn(
+        "taken", F.least("count", F.floor(F.col("count") * F.col("share") + place)).cast("int"))
+    return taken.filter("taken > 0").select("id", "url", "host", "path", "label", (1 / F.col("share")).alias("weight"),
+                                            F.explode(F.sequence(F.lit(1), "taken")).alias("copy")).drop("copy")
+
+
 def train(labelled: DataFrame) -> Model:
-    """Fit on (url, host, path, decided) rows; ``decided`` is allow or block."""
-    rows = labelled.select("url", "host", "path", (F.col("decided") == "block").cast("double").alias("label"))
-    count = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}  # two rows
-    total = sum(count.values())
-    if len(count) < 2:
-        return Model(None, "block" if 1.0 in count else "allow")
-    share = TRAIN_ROWS / total
-    if share < 1:
-        rows = rows.filter(F.xxhash64("url", F.lit("train")) <= int(-2 ** 63 + share * 2 ** 64))
-    sample = pin(lexical(rows))
-    overall = count[1.0] / total
-    rate, weight = [overall] * SUFFIXES, [0.0] * SUFFIXES
-    for r in sample.groupBy("suffix").agg(F.sum("label").alias("blocked"), F.count("*").alias("n")).collect():  # SUFFIXES rows at most
-        rate[r.suffix] = (r.blocked + PRIOR_ROWS * overall) / (r.n + PRIOR_ROWS)
-        weight[r.suffix] = r.n / TRAIN_ROWS
-    learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False)
-    return Model(learner.fit(_vectors(sample, tuple(rate), tuple(weight)).select("features", "label")),
-                 "allow", tuple(rate), tuple(weight))
+    """Fit on (id, url, host, path, decided) rows; ``decided`` is allow or block."""
+    rows = labelled.select("id", "url", "host", "path", (F.col("decided") == "block").cast("double").alias("label"))
+    counts = pin(rows.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(F.sum("label").alias("blocked"), F.count("*").alias("n")))
+    all_rows = counts.agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"),
+                          F.sum(F.octet_length("suffix") + 32).alias("bytes")).first()
+    total, blocked = all_rows.n or 0, int(all_rows.blocked or 0)
+    if blocked in (0, total):
+        return Model(None, "block" if blocked else "allow")
+    overall = blocked / total
+    suffixes = counts.select("suffix", ((F.col("blocked") + PRIOR_ROWS * overall) / (F.col("n") + PRIOR_ROWS)).alias("suffix_rate"),
+                             (F.col("n") / total).alias("suffix_weight"))
+    if all_rows.bytes <= BROADCAST_BYTES:
+        suffixes = F.broadcast(suffixes)
+    # Sorted, so that the trees do not depend on the order in which the shuffle came in.
+    sample = pin(_vectors(drawn(rows, {0.0: total - blocked, 1.0: blocked}), suffixes, overall)
+                 .sortWithinPartitions("label", "id", "url").select("features", "label", "weight"))
+    learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False, weightCol="weight")
+    return Model(learner.fit(sample), "allow", suffixes, overall)
 
 
 def verdicts(rows: DataFrame, model: Model) -> DataFrame:
@@ -147,6 +176,6 @@ def verdicts(rows: DataFrame, model: Model) -> DataFrame:
     if model.trees is None:
         guessed = rows.withColumn("guess", F.lit(model.default))
     else:
-        scored = model.trees.transform(_vectors(lexical(rows), model.rate, model.weight))
+        scored = model.trees.transform(_vectors(rows, model.suffixes, model.overall))
         guessed = scored.withColumn("guess", F.when(F.col("prediction") == 1, "block").otherwise("allow"))
     return guessed.select("id", "host", "path", "rule", F.coalesce("decided", "guess").alias("verdict"))

@@ -83,3 +83,44 @@ def test_labels_of_one_kind_or_none(spark, kind, default):
     rows = urls.judged(spark.createDataFrame([(1, "http://a.org/", "")], PAGES), [])
     known = rows.withColumn("decided", F.lit(kind).cast("string")).filter(F.col("decided").isNotNull())
     assert urls.verdicts(rows, urls.train(known)).first().verdict == default
+
+
+def test_suffixes_are_counted_over_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TRAIN_ROWS", 100)
+    rows = [(k, f"http://h{k}.t{k % 400}/", "block" if k % 400 < 100 else "allow") for k in range(2_000)]
+    frame = urls.judged(spark.createDataFrame(rows, "page_id long, url string, x string"), [])
+    model = urls.train(frame.withColumn("decided", F.when(F.col("id") % 400 < 100, "block").otherwise("allow")))
+    got = {r.suffix: (r.suffix_rate, r.suffix_weight) for r in model.suffixes.collect()}
+    assert len(got) == 400 and model.overall == 0.25
+    for k in range(400):
+        assert got[f"t{k}"] == pytest.approx(((5 * (k < 100) + 20 * 0.25) / 25, 5 / 2_000))
+
+
+def test_suffix_statistics_too_large_to_broadcast_give_the_same_verdicts(spark, model):
+    frame = urls.judged(spark.createDataFrame(labelled(100, 5), "page_id long, url string, x string"), [])
+    joined = urls.Model(model.trees, model.default, model.suffixes.hint("merge"), model.overall)
+    assert sorted(urls.verdicts(frame, model).collect()) == sorted(urls.verdicts(frame, joined).collect())
+
+
+def test_a_class_of_one_url_stays_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TRAIN_ROWS", 100)
+    for seed in range(3):
+        good = [(k, u, "allow") for k, u, said in labelled(3_000, seed) if said == "allow"]
+        bad = [(5_000 + k, f"http://win-777-free{seed}.asite.xyz/a/bb?p0=12345&p1=6789&p2=1", "block") for k in range(60)]
+        frame = spark.createDataFrame(good + bad, "page_id long, url string, decided string")
+        rows = urls.judged(frame, []).drop("decided").join(frame.select(F.col("page_id").alias("id"), "decided"), "id")
+        model = urls.train(rows)
+        new = [(k, u, "") for k, u, said in labelled(100, 50 + seed) if said == "block"]
+        found = urls.verdicts(urls.judged(spark.createDataFrame(new, "page_id long, url string, x string"), []), model)
+        assert found.filter("verdict = 'block'").count() >= 0.9 * len(new)
+
+
+def test_copies_are_drawn_one_by_one_and_stand_for_all(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TRAIN_ROWS", 100)
+    same = [(None if k % 2 else 7, "http://a.com/", 0.0) for k in range(1_000)] + [(k, "http://a.com/", 0.0) for k in range(1_000)]
+    other = [(k, f"http://b{k}.com/", 0.0) for k in range(4_000)] + [(k, "http://c.net/", 1.0) for k in range(30)]
+    frame = spark.createDataFrame([(i, u, "", "", y) for i, u, y in same + other], "id long, url string, host string, path string, label double")
+    got = urls.drawn(frame, {0.0: 6_000, 1.0: 30}).collect()
+    assert sum(r.label == 1 for r in got) == 30 and 50 <= sum(r.label == 0 for r in got) <= 95
+    assert 15 <= sum(r.url == "http://a.com/" for r in got) <= 35
+    assert {r.weight for r in got if r.label} == {1.0} and sum(r.weight for r in got) == pytest.approx(6_030, rel=0.3)
