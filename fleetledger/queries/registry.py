@@ -503,8 +503,8 @@ def log_multi_file(fx: Fixtures) -> DataFrame:
     path = _scratch(fx, "logs")
     lines = fx.publish_log().selectExpr("concat('EVENTS|1|2024|', stream, '|0|', line) as value", "stream", "line_no")
     for part, where in enumerate(("line_no < 30", "line_no between 30 and 60", "line_no > 60")):
-        one = lines.where(where).repartition(1).sortWithinPartitions("stream", "line_no").select("value")
-        one.write.text(f"{path}/part={part}")
+        ordered = lines.where(where).repartitionByRange("stream", "line_no").sortWithinPartitions("stream", "line_no")
+        ordered.select("value").write.text(f"{path}/part={part}")
     return logs.publish_stats(readers.read_log_lines(fx.spark, path, stream_field=4))
 
 

@@ -87,3 +87,21 @@ def test_fields(spark):
     got = df.select(logs.cut_field("line", 3), logs.word(F.col("line"), 2)).collect()
     assert [r[0] for r in got] == ["c", "plain", "", "  x  y "]
     assert [r[1] for r in got] == ["", "", "", "y"]
+
+
+def test_each_part_of_a_log_is_written_by_several_tasks(spark, monkeypatch, tmp_path):
+    from fleetledger.queries import registry
+
+    expected = sorted(map(tuple, registry.QUERIES["publish_log_stats"](spark, "/root/testdata/sf0.001").collect()))
+    monkeypatch.setattr(registry, "_scratch", lambda fx, name: str(tmp_path / name))
+    joined = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sorted(map(tuple, registry.QUERIES["log_multi_file"](spark, "/root/testdata/sf0.001").collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", joined)
+    for part in range(3):
+        files = sorted((tmp_path / "logs" / f"part={part}").glob("part-*"))
+        firsts = [f.read_text().splitlines() for f in files]
+        streams = [int(line.split("|")[3]) for lines in firsts for line in lines]
+        assert sum(map(bool, firsts)) > 1 and streams == sorted(streams)
