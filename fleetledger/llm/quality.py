@@ -36,6 +36,9 @@ FOLDS = 3
 PIECE = 1_024
 PIECES = 4
 DICT_BYTES = 64 << 10
+# A dictionary has a byte for so many of the smaller class's sample, up to DICT_BYTES.
+SAMPLE_PER_DICT = 4
+LEAST_DICT = 256  # zstandard's own
 LEVEL = 3
 THRESHOLD = 0.7
 
@@ -95,11 +98,26 @@ def calibrate(found: np.ndarray, label: np.ndarray, ridge: float = 0.3, steps: i
     return tuple(w.tolist())
 
 
-def dictionary(samples: list[bytes]) -> bytes:
-    """A trained dictionary, or the samples' last bytes as a raw one where they are too few to train on."""
-    if sum(map(len, samples)) < 20 * DICT_BYTES or len(samples) < 100:
-        return b"".join(samples)[-DICT_BYTES:]
-    return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
+def _trained(samples: list[bytes], size: int) -> bytes | None:
+    """A trained dictionary, or nothing where zstandard refuses."""
+    try:
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        return None
+
+
+def dictionaries(*classes: list[bytes]) -> list[bytes]:
+    """A dictionary of each class's pieces, all trained at one size, which follows the smallest class that has any.
+
+    Where zstandard refuses a class (a few pieces), its joined pieces serve raw, and the others are trained at their size.
+    """
+    total = [sum(map(len, c)) for c in classes]
+    size = max(LEAST_DICT, min(DICT_BYTES, min(filter(None, total), default=0) // SAMPLE_PER_DICT))
+    made = [_trained(c, size) for c in classes]
+    if refused := [n for d, n in zip(made, total) if n and d is None]:
+        size = min(DICT_BYTES, *refused)
+        made = [d and _trained(c, size) for c, d in zip(classes, made)]
+    return [d or b"".join(c)[-size:] for c, d in zip(classes, made)]
 
 
 def _labelled_ids(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
@@ -127,11 +145,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = sample.select("train_label", "fold", "draw", F.slice(F.array_sort(cut), 1, PIECES)["piece"].alias("pieces")).collect()
     rows.sort(key=lambda r: (r.draw, r.pieces))
 
-    def built(fold: int, label: int) -> bytes:
-        pieces = (p.encode() for r in rows if r.fold != fold and r.train_label == label for p in r.pieces if p)
-        return dictionary(list(dict.fromkeys(pieces)))
+    def pieces(fold: int, label: int) -> list[bytes]:
+        return list(dict.fromkeys(p.encode() for r in rows if r.fold != fold and r.train_label == label for p in r.pieces if p))
 
-    pairs = [Pair(built(f, 1), built(f, 0)) for f in range(FOLDS)]
+    pairs = [Pair(*dictionaries(pieces(f, 1), pieces(f, 0))) for f in range(FOLDS)]
 
     def task(batch: pa.RecordBatch) -> pa.RecordBatch:
         fold, data, offsets = batch.column(0).to_numpy(), *utf8(batch.column(2))

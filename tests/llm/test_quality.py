@@ -82,3 +82,23 @@ def test_held_out_rows_are_the_crc_of_the_id_as_text(spark):
 
     got = spark.range(200).select("id", quality.held_out(F.col("id")).alias("out")).collect()
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in got)
+
+
+TRAINED = bytes.fromhex("37a430ec")  # how zstandard marks a trained dictionary
+
+
+def test_small_and_uneven_classes_train_dictionaries_of_one_size(spark, docs):
+    rows, labels = corpus(700, seed=3)
+    bad = [i for i, q, _ in labels if not q][:60]  # a rare class beside a common one
+    labels = [row for row in labels if row[1] or row[0] in bad]
+    for pair in quality.train(docs(rows), spark.createDataFrame(labels, LABELS)):
+        assert pair.good[:4] == pair.bad[:4] == TRAINED
+        assert len(pair.good) == len(pair.bad) < quality.DICT_BYTES
+
+
+def test_a_class_too_small_to_train_keeps_all_its_pieces():
+    texts = [text.encode() for _, text in corpus(300)[0]]
+    few, many = quality.dictionaries(texts[:3], texts[3:])
+    assert few == b"".join(texts[:3]) and many[:4] == TRAINED and len(many) <= len(few)
+    assert quality.dictionaries([], texts)[0] == b"" and quality.dictionaries([], []) == [b"", b""]
+    assert quality.dictionaries([b"a"], [b"b"]) == [b"a", b"b"]
