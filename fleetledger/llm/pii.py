@@ -2,11 +2,13 @@
 
 The patterns give the base spans, which always stay. A document's tokens with a digit
 or an ``@`` then form a graph: neighbours are chained, and distant tokens that repeat
-or resemble each other (same text, same last digits) share an edge from each to its next
-occurrence. Loopy message passing over that graph, with the base spans observed, gives
+or resemble each other (same text, same last digits, also those of a number written in
+several groups) share an edge from each to the occurrence before it and to the first one, so
+any two are a few links apart. Loopy message passing over that graph, with the base spans
+observed, goes on in each document until its messages stand still and gives
 every token its label probabilities; tokens that are surely of a kind, and in no base
 span, become further spans of that kind. Each batch's documents are one graph, so
-messages are whole numpy arrays, and a text of n tokens has at most 3n edges.
+messages are whole numpy arrays, and a token has at most two edges back for each of its keys.
 
 The field's weights are fitted here by pseudo-likelihood on a bounded sample, labelled
 by the base spans: at most ``TRAIN_TOKENS`` tokens of least hash, out of the about
@@ -42,12 +44,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRAIN_DOCS = 100_000
 TRAIN_TOKENS = 20_000
 FEATURES = 1 << 12
-ROUNDS = 12
+# Messages are at rest when none changes by more than STILL; ROUNDS bounds those that swing for ever.
+STILL = 1e-3
+ROUNDS = 200
+TAIL = 7  # digits at the end by which numbers resemble each other
 SURE = 0.9
 
 _MARKS = byte_class(b"0123456789@")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"\S+")
+_LETTER = re.compile(r"[^\W\d_]")
 _EDGE_MARKS = ".,;:!?\"'()[]{}<>|"
 
 Span = tuple[int, int, int]  # start, end, number of the kind
@@ -110,9 +116,29 @@ def _features(token: str, before: str, after: str) -> list[int]:
 
 
 def _likeness(token: str) -> list[str]:
-    """Tokens with a key in common are linked: same core, or same last seven digits."""
+    """Tokens with a key in common are linked: same core, or same last digits."""
     core, digits = token.strip(_EDGE_MARKS).lower(), _digits(token)
-    return ([f"t{core}"] if len(core) >= 6 else []) + ([f"d{digits[-7:]}"] if len(digits) >= 7 else [])
+    return ([f"t{core}"] if len(core) >= 6 else []) + ([f"d{digits[-TAIL:]}"] if len(digits) >= TAIL else [])
+
+
+def _group_keys(groups: list[str]) -> list[list[str]]:
+    """Further keys of neighbouring groups of digits, as of '802 555 9869': the last digits of the groups up to each,
+    for that group and, with the digits that follow, for those before it that hold the rest of them."""
+    keys: list[list[str]] = [[] for _ in groups]
+    for k, own in enumerate(groups):
+        if len(own) >= TAIL:
+            continue
+        first, joined = k, own
+        while first and len(joined) < TAIL:
+            first -= 1
+            joined = groups[first] + joined
+        if len(joined) < TAIL:
+            continue
+        tail, after = f"d{joined[-TAIL:]}", 0
+        for m in range(k, first - 1, -1):
+            keys[m].append(f"{tail}<{after}" if after else tail)
+            after += len(groups[m])
+    return keys
 
 
 @dataclass
@@ -128,8 +154,15 @@ class Graph:
 
     def add(self, owner: int, text: str, spans: list[Span]) -> None:
         words = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
-        latest: dict[str, int] = {}
-        before, next_span = -2, 0
+        keys: list[list[str]] = []
+        run: list[str] = []  # the groups of digits that the last tokens are
+        first_node, before, next_span = len(self.owner), -2, 0
+
+        def close() -> None:
+            for own, more in zip(keys[len(keys) - len(run):], _group_keys(run)):
+                own += more
+            run.clear()
+
         for k, (a, b) in enumerate(words):
             token = text[a:b]
             if "@" not in token and not _DIGIT.search(token):
@@ -145,10 +178,22 @@ class Graph:
                                            text[slice(*words[k + 1])] if k + 1 < len(words) else ""))
             if before == k - 1:
                 self.chain.append((node - 1, node))
+            grouped = not _LETTER.search(token) and "@" not in token
+            if before != k - 1 or not grouped:
+                close()
             before = k
-            links = {latest[key] for key in _likeness(token) if key in latest}
-            self.skip.extend((other, node) for other in links)
-            latest.update(dict.fromkeys(_likeness(token), node))
+            keys.append(_likeness(token))
+            if grouped:
+                run.append(_digits(token))
+        close()
+        first: dict[str, int] = {}
+        latest: dict[str, int] = {}
+        for node, own in enumerate(keys, first_node):
+            links = {seen[key] for key in own for seen in (first, latest) if key in seen}
+            self.skip.extend((other, node) for other in sorted(links))
+            for key in own:
+                first.setdefault(key, node)
+                latest[key] = node
 
 
 LABELS = len(KINDS) + 1
@@ -210,14 +255,25 @@ def marginals(graph: Graph, model: Field, rounds: int = ROUNDS, damping: float =
         (model.chain, len(chain)), (model.skip, len(skip)), (model.chain.T, len(chain)), (model.skip.T, len(skip)))])
     back = np.concatenate([np.arange(half, 2 * half), np.arange(half)])
     message = np.zeros((2 * half, LABELS))
-    for _ in range(rounds if half else 0):
+    owner = np.array(graph.owner, np.int64)[target]
+    moving, pairs = np.arange(2 * half), pair  # the edges of documents that are not at rest
+    for _ in range(rounds):
+        if not len(moving):
+            break
         total = unary.copy()
-        np.add.at(total, target, message)
-        sent = (total[source] - message[back])[:, :, None] + pair
+        np.add.at(total, target[moving], message[moving])
+        sent = (total[source[moving]] - message[back[moving]])[:, :, None] + pairs
         top = sent.max(axis=1)
         fresh = top + np.log(np.exp(sent - top[:, None, :]).sum(axis=1))
         fresh -= fresh.max(axis=1, keepdims=True)
-        message = damping * message + (1 - damping) * fresh
+        fresh = damping * message[moving] + (1 - damping) * fresh
+        change = np.zeros(owner.max() + 1)
+        np.maximum.at(change, owner[moving], np.abs(fresh - message[moving]).max(axis=1))
+        message[moving] = fresh
+        rest = change[owner[moving]] <= STILL
+        if rest.any():
+            moving = moving[~rest]
+            pairs = pair[moving]
     np.add.at(unary, target, message)
     return _normal(unary) if n else unary
 

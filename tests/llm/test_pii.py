@@ -120,3 +120,39 @@ def test_redaction_masks_spans_and_keeps_the_rest(spark, docs, model):
     assert got[1].text == "mail [EMAIL] or [IP]" and got[1].n_chars == len(got[1].text)
     assert got[2].text is None and got[2].n_chars is None and got[3].text == "clean text"
     assert pii.masked("a+1 23", [(0, 3, 0), (1, 5, 3)]) == "[EMAIL]3"
+
+
+def test_numbers_in_groups_are_linked():
+    for text in ("call 802 555 9869 x y z 802 555 9869.", "4111 1111 1111 1112 a b 4111 1111 1111 1112"):
+        graph = pii.Graph()
+        graph.add(0, text, [])
+        half = len(graph.owner) // 2
+        assert {(k, k + half) for k in range(1, half)} <= set(graph.skip)
+    graph = pii.Graph()
+    graph.add(0, "+1 (802) 555-9869 or 802 555 9869, not 17 555 x 9869", [])
+    assert (2, 5) in graph.skip and all(b <= 5 for _, b in graph.skip)
+    graph = pii.Graph()
+    graph.add(0, "1 2 " * 5_000, [])
+    assert len(graph.skip) <= 16 * len(graph.owner)
+
+
+def test_messages_reach_every_occurrence_and_come_to_rest():
+    field = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), 4 * np.eye(pii.LABELS))
+    graph = pii.Graph()
+    graph.add(0, "555-123456 x " * 60, [(0, 10, 3)])
+    assert (pii.marginals(graph, field)[:, 4] > 0.9).all()
+    line = pii.Graph(owner=[0] * 60, features=[[]] * 60, label=[4] + [0] * 59, chain=[(k, k + 1) for k in range(59)])
+    chained = pii.Field(field.node, 12 * np.eye(pii.LABELS), field.skip)
+    assert (pii.marginals(line, chained)[:, 4] > 0.9).all()
+
+
+def test_a_document_is_judged_alike_in_any_batch():
+    rng = np.random.default_rng(3)
+    field = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(pii.LABELS, pii.LABELS)), np.eye(pii.LABELS))
+    alone, both = pii.Graph(), pii.Graph()
+    text = "802 555 9869 a 802 555 9869 b 1.2.3.4 1.2.3.4"
+    alone.add(0, text, [])
+    both.add(0, text, [])
+    both.add(1, "555-123456 1 2 " * 50, [(0, 10, 3)])
+    own = pii.marginals(alone, field)
+    assert (pii.marginals(both, field)[:len(own)] == own).all()
