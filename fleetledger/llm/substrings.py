@@ -1,18 +1,19 @@
-"""Repeated passages of words, by suffix trees partitioned by prefix.
+"""Repeated passages of words, by openings of fixed depth grouped by minimiser.
 
 A suffix matters only if its first ``min_words`` words, its opening, recur in another
-document: then it hangs under an internal node of at least that depth. The work goes so:
+document: then it would hang under a node of at least that depth of a suffix tree. No tree is
+built below that depth, and maximal repeats are not formed. The work goes so:
 
 1. Each opening is keyed by its least run of ``GRAM`` words (by hash). Neighbouring
    openings mostly share that run, so they travel together. Runs of one document only
    are dropped: per batch they are listed once, and groups by hash find what recurs.
 2. The remaining suffixes are cut out, each distinct opening once per block of
-   documents, with the least document that has it, and partitioned by a prefix of variable
-   length: the keying run, or the whole opening where the run is so frequent that its
-   suffixes might outgrow a task.
-3. Each group sorts its suffixes; common prefixes of neighbours give the subtree.
-   The leaves under a node of depth ``min_words`` or more are one repeat; blocks whose
-   document is not the node's least learn about that one.
+   documents, with the least document that has it, and partitioned by the keying run,
+   which may lie anywhere in the opening, or by the whole opening where the run is so
+   frequent that its suffixes might outgrow a task.
+3. Each group sorts its suffixes by their first ``min_words`` words. Those that share all of
+   them, the leaves under one node, are one repeat; blocks whose document is not the node's
+   least learn about that one.
 4. Blocks mark the words of every opening that starts in a lesser document too.
 
 Blocks of documents are dealt by hash and are read in every step from one shuffle. A
