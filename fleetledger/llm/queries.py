@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, maxscore, packed, pieces, pii, quality, simhash, substrings, toxicity, urls
+from . import chat, decontaminate, maxscore, packed, pieces, pii, quality, ranking, resample, simhash, substrings, toxicity, urls
 from .frames import table
 
 
@@ -93,6 +93,23 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
                         (F.size("hits") > 0).alias("contaminated"))
 
 
+def op11_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    clashing = spark.sql("""select * from values (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+                            as t(conv_id, turn, role, text)""")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(clashing)
+    return chat.digests(chat.read_back(chat.conversations(rows))).withColumnRenamed("conv", "conv_id")
+
+
+def op12_best_position_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = ranking.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii_skip_chain": op2_pii_skip_chain,
@@ -104,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_token_ids": op8_packed_token_ids,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_chat_round_trip": op11_chat_round_trip,
+    "op12_best_position_search": op12_best_position_search,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 # Only what SQL can express; the others are held against brute force in tests/llm.
@@ -162,4 +182,40 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_chat_round_trip": r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+    SELECT *, regexp_replace(text, '([<\[])(\\*(?:/?s>|</?SYS>>|/?(?:INST|ROLE|SAYS)\]))', '\1\\\2', 'g') AS body,
+           regexp_replace(role, '([<\[])(\\*(?:/?s>|</?SYS>>|/?(?:INST|ROLE|SAYS)\]))', '\1\\\2', 'g') AS name
+    FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(body) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                               ELSE 26 + length(name) END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op12_best_position_search": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+c AS (SELECT count(*) AS n_all, sum(len(w)) AS l_all FROM d WHERE len(w) > 0),
+q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+t AS (SELECT row_id, doc_id, n, term, count(*) AS tf
+      FROM (SELECT row_number() OVER () AS row_id, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * max(n_all) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+      FROM t, c GROUP BY term),
+p AS (
+    SELECT q.item_id, t.row_id, t.doc_id,
+           CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * CAST(10 + (90 * n * n_all) // l_all AS BIGINT)))) AS BIGINT) AS score
+    FROM q JOIN f USING (term) JOIN t USING (term), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM p WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10""",
 }

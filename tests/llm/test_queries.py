@@ -21,7 +21,7 @@ FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"create view {name} as select * from '{FOLDER}/{name}.parquet'")
     return con
 
@@ -48,7 +48,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_quality(spark, duck, texts):
