@@ -22,6 +22,8 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,43 +67,49 @@ def _tail(role: Column) -> Column:
     return _by_role(role, 1, F.lit(SAYS[1]))
 
 
-def _pairs(text: Column) -> tuple[Column, Column]:
-    """A formatted text's pairs (open, body, before), and whether it keeps to the grammar."""
-    marks, pieces = F.regexp_extract_all(text, F.lit(CONTROL), 0), F.split(text, CONTROL, -1)
-    closing = F.create_map(*[F.lit(m) for pair in (*MARKS.values(), NAME, SAYS) for m in pair])
-    count = F.floor(F.size(marks) / 2).cast("int")
-    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    pairs = F.transform(numbers, lambda k: F.struct(
-        F.get(marks, 2 * k).alias("open"), F.get(pieces, 2 * k + 1).alias("body"),
-        F.when(k > 0, F.get(pieces, F.greatest(2 * k - 1, F.lit(0)))).alias("before")))
-    said = lambda k: F.coalesce(F.get(marks, 2 * k) == SAYS[0], F.lit(False))
-    sound = F.forall(numbers, lambda k: (F.get(pieces, 2 * k) == "")
-                     & F.coalesce(F.element_at(closing, F.get(marks, 2 * k)) == F.get(marks, 2 * k + 1), F.lit(False))
-                     & ((F.get(marks, 2 * k) == NAME[0]) == said(k + 1)))
-    whole = (F.size(marks) == 2 * count) & (F.element_at(pieces, -1) == "") & ~said(F.lit(0))
-    return pairs, whole & sound
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def parse(text: Column) -> Column:
     """The turns (role, text) of a formatted text; null if it doesn't keep to the grammar."""
-    pairs, sound = _pairs(text)
-    role = lambda p: F.when(p["open"] == SAYS[0], unescape(p["before"]))
-
-    def known(p: Column) -> Column:
-        found = role(p)
+    closing = F.create_map(*[F.lit(m) for pair in (*MARKS.values(), NAME, SAYS) for m in pair])
+    cut = F.struct(F.regexp_extract_all(text, F.lit(CONTROL), 0).alias("marks"), F.split(text, CONTROL, -1).alias("pieces"))
+
+    def paired(c: Column) -> Column:
+        """(open, close, gap, body) of each pair of marks, by number; an odd mark at the end has no closing one."""
+        numbers = F.when(F.size(c["marks"]) > 0, F.sequence(F.lit(0), F.floor((F.size(c["marks"]) - 1) / 2).cast("int"))).otherwise(
+            F.array().cast("array<int>"))
+        pairs = F.transform(numbers, lambda k: F.struct(
+            F.get(c["marks"], 2 * k).alias("open"), F.get(c["marks"], 2 * k + 1).alias("close"),
+            F.get(c["pieces"], 2 * k).alias("gap"), F.get(c["pieces"], 2 * k + 1).alias("body"),
+            F.when(k > 0, F.get(c["marks"], F.greatest(2 * k - 2, F.lit(0)))).alias("last"),
+            F.when(k > 0, F.get(c["pieces"], F.greatest(2 * k - 1, F.lit(0)))).alias("before")))
+        return F.struct(pairs.alias("pairs"), F.element_at(c["pieces"], -1).alias("rest"), F.get(c["marks"], F.size(c["marks"]) - 2).alias("opened"))
+
+    def sound(p: Column) -> Column:
+        """Nothing between pairs, each closed by its own mark, and a name always followed by what it says."""
+        return ((p["gap"] == "") & F.coalesce(F.element_at(closing, p["open"]) == p["close"], F.lit(False))
+                & (F.coalesce(p["last"] == NAME[0], F.lit(False)) == (p["open"] == SAYS[0])))
+
+    def turn(p: Column) -> Column:
+        role = F.when(p["open"] == SAYS[0], unescape(p["before"]))
         for name, marks in MARKS.items():
-            found = F.when(p["open"] == marks[0], F.lit(name)).otherwise(found)
-        return found
+            role = F.when(p["open"] == marks[0], F.lit(name)).otherwise(role)
+        return F.struct(role.alias("role"), unescape(p["body"]).alias("text"))
+
+    def read(c: Column) -> Column:
+        whole = F.forall(c["pairs"], sound) & (c["rest"] == "") & F.coalesce(c["opened"] != NAME[0], F.lit(True))
+        return F.when(whole, F.transform(F.filter(c["pairs"], lambda p: p["open"] != NAME[0]), turn))
 
-    turns = F.transform(F.filter(pairs, lambda p: p["open"] != NAME[0]),
-                        lambda p: F.struct(known(p).alias("role"), unescape(p["body"]).alias("text")))
-    return F.when(sound, turns)
+    return _let(_let(cut, paired), read)
 
 
 def _recovered(role: Column, text: Column, body: Column) -> Column:
     """Whether a turn with this body is read back as its role and text, and as nothing else."""
-    turns = parse(F.concat(_lead(role), body, _tail(role)))
-    return F.coalesce((F.size(turns) == 1) & (F.get(turns, F.lit(0)) == F.struct(role.alias("role"), text.alias("text"))), F.lit(False))
+    source = F.array(F.struct(role.alias("role"), text.alias("text")))
+    return F.coalesce(_let(F.concat(_lead(role), body, _tail(role)), parse) == source, F.lit(False))
 
 
 def turns(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
