@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from fleetledger.queries.registry import QUERIES
+from fleetledger.queries import QUERIES
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

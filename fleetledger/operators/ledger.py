@@ -41,12 +41,12 @@ def classify(attempts: DataFrame, message: str = "message") -> DataFrame:
 
 
 def prefix_until_failure(results: DataFrame, day: str = "date", order: str = "seq") -> DataFrame:
-    """Rows of each day before its first failure; later rows stay pending."""
-    stops = results.where("status = 'failed'").groupBy(day).agg(F.min(order).alias("_stop"))
+    """Rows of each day before its first failure; later rows stay pending. Rows without a day are a day of their own."""
+    stops = results.where("status = 'failed'").groupBy(F.col(day).alias("_of")).agg(F.min(order).alias("_stop"))
     return (
-        results.join(stops, day, "left")
+        results.join(stops, F.col(day).eqNullSafe(F.col("_of")), "left")
         .where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop")))
-        .drop("_stop"))
+        .drop("_stop", "_of"))
 
 
 def within_budget(items: DataFrame, budget: float, cost: str = "cost", day: str = "date", order: str = "seq",
@@ -95,10 +95,10 @@ def merge(ledger: DataFrame, results: DataFrame, key: str = "route_id", order: S
 
 
 def outcome(items: DataFrame, ledger: DataFrame, day: str = "date") -> DataFrame:
-    """Per day: items, published so far (older entries count) and whether the run is complete."""
+    """Per day: items, published so far (older entries count) and whether the run is complete. No day is a day too."""
     total = items.groupBy(day).agg(F.count(F.lit(1)).alias("total"))
-    done = ledger.where(F.col("status").isin(*DONE)).groupBy(day).agg(F.count(F.lit(1)).alias("published"))
-    return total.join(done, day, "left").select(
+    done = ledger.where(F.col("status").isin(*DONE)).groupBy(F.col(day).alias("_of")).agg(F.count(F.lit(1)).alias("published"))
+    return total.join(done, F.col(day).eqNullSafe(F.col("_of")), "left").select(
         day, "total", F.coalesce("published", F.lit(0)).alias("published"),
         (F.coalesce("published", F.lit(0)) >= F.col("total")).alias("all_success"))
 

@@ -16,13 +16,18 @@ from fleetledger.sources import writers
 
 @dataclass(frozen=True)
 class CreditRun:
-    """``issued`` are the credits this run has issued, ``outcome`` one row: how many of how many."""
+    """``issued`` are the credits this run has issued, ``outcome`` one row: how many of how many.
+
+    ``addresses`` and ``flags`` are the values to write back to contacts and records; those two have them applied.
+    """
 
     issued: DataFrame
     state: DataFrame
     contacts: DataFrame
     records: DataFrame
     outcome: DataFrame
+    addresses: DataFrame
+    flags: DataFrame
 
 
 @dataclass(frozen=True)
@@ -51,7 +56,7 @@ def publish_credits(raw: DataFrame, contacts: DataFrame, env: str, derive: ops.D
         issued, ops.issue(issued),
         writers.upsert_fields(contacts, updates, ["celo_address"]),
         writers.upsert_fields(raw, flags, [f"published_{env}"]),
-        metrics.run_outcome(done, f"published_{env} is not null"))
+        metrics.run_outcome(done, f"published_{env} is not null"), updates, flags)
 
 
 def publish_payments(raw: DataFrame, credits_raw: DataFrame, env: str, strict: bool = True,

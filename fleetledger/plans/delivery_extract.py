@@ -52,3 +52,8 @@ def extract(raw: DataFrame, columns: ExportColumns = ExportColumns(), input_form
     df = df.withColumns({c: times.format_time(c, output_format) for c in (start, end)})
     df = writers.pairs_as_text(df, "startLocation", "endLocation")
     return df.select(*[df[plain.get(a, a)].alias(b) for a, b in columns.rename])
+
+
+def write(rows: DataFrame, path: str) -> None:
+    """The extract as CSV files with a header."""
+    writers.write_table(rows, path, "csv")

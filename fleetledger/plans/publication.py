@@ -40,3 +40,18 @@ def reconcile(items: DataFrame, ledger: DataFrame, attempts: DataFrame, environm
     completed = ops.prefix_until_failure(tried)
     merged = ops.merge(ledger, completed.withColumn("environment", F.lit(environment)), new_only=True)
     return PublicationRun(completed, merged, ops.outcome(items, merged))
+
+
+def recorded_events(routes: DataFrame, completed: DataFrame) -> DataFrame:
+    """A ``RouteRecorded`` event for each route that was sent, in the form of the event log.
+
+    ``routes`` are finished routes. The block is the attempt's ``block`` where it names one, else its nonce, else its
+    place: each orders events as they were sent. A route that was recorded before sends no event.
+    """
+    sent = completed.where("status = 'sent'")
+    places = [F.col(c) for c in ("block", "nonce", "seq") if c in sent.columns]
+    at = sent.select(F.col("route_id").alias("_route"), F.coalesce(*places).cast("bigint").alias("block"), "seq")
+    args = F.struct(F.col("celo_address").alias("to"), F.col("routeid").alias("token_id"), F.col("timestampstart").alias("timestamp_start"),
+                    F.col("timestampend").alias("timestamp_end"), F.col("measureddistance").alias("distance"))
+    return routes.join(at, routes["routeid"] == at["_route"]).select(
+        F.lit("RouteRecorded").alias("event"), "block", "seq", args.alias("args"))

@@ -76,3 +76,15 @@ PAYMENT_OUTCOMES = _struct(
     ("id", TEXT), ("payment_id", LONG), ("credit_id", LONG), ("amount", LONG), ("payment_date", LONG),
     ("outcome", TEXT), ("applied", LONG), ("balance", LONG), ("records", LONG),
 )
+
+# What stores keep: a credit's debt and payments, recorded payment ids, recorded routes, partial sums.
+BALANCES = _struct(("credit_id", LONG), ("total_repayment", LONG), ("paid", LONG))
+TAKEN = _struct(("payment_id", LONG), ("id", TEXT), ("credit_id", LONG), ("amount", LONG), ("payment_date", LONG))
+ROUTE_STATE = _struct(("token_id", LONG), ("block", LONG), ("seq", LONG), ("to", TEXT), ("timestamp_start", LONG),
+                      ("timestamp_end", LONG), ("distance", LONG))
+ROUTES_PER_DAY = _struct(("date", DATE), ("routes", LONG))
+DRIVER_DAYS = _struct(("celo_address", TEXT), ("date", DATE), ("routes", LONG), ("total_seconds", LONG), ("total_distance", LONG))
+
+TRIPS_TAKEN = _struct(("k_ruta", LONG), ("date", DATE), ("source", TEXT), ("batch", LONG))
+JOB_COUNTS = _struct(("job", TEXT), ("run", TEXT), ("step", TEXT), ("name", TEXT), ("value", LONG))
+LOG_FILES = _struct(("path", TEXT), ("modified", T.TimestampType()), ("least", T.TimestampType()), ("greatest", T.TimestampType()))

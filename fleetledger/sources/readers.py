@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from fleetledger import schemas
 from fleetledger.functions import times
 from fleetledger.operators import logs
+from fleetledger.sources.marks import file_system
 
 Day = str | datetime.date | None
 
@@ -63,18 +64,16 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", root: str | None = None) -> DataFrame:
     """A table that may not exist yet; ``root`` names the table when the path is one of its partitions."""
+    fs, place = file_system(spark, path)
+    if not fs.exists(place):
+        return spark.createDataFrame([], schema)
     if fmt == "csv":
         reader = strict_csv(spark.read, schema, root is not None)
     else:
         reader = spark.read.schema(schema).format(fmt)
     if root is not None:
         reader = reader.option("basePath", root)
-    try:
-        return reader.load(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return reader.load(path)
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "parquet",
@@ -91,6 +90,12 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, fmt:
     return df if source is None else df.where(F.col("source") == source)
 
 
+def read_report(spark: SparkSession, root: str, name: str, run: str) -> DataFrame:
+    """One run's part of a report, with the run's column; ``run`` is like ``date=2024-01-15``."""
+    folder = f"{root.rstrip('/')}/{name}"
+    return spark.read.option("basePath", folder).parquet(f"{folder}/{run}")
+
+
 def read_ledger(spark: SparkSession, path: str, environment: str, day: Day = None, every_day: bool = False) -> DataFrame:
     """One environment's publication ledger; empty before the first run."""
     path = path.rstrip("/")
@@ -104,6 +109,18 @@ def land_envelope(spark: SparkSession, path: str, record: T.StructType, body: st
     return unpack_envelope(spark.read.schema(envelope).option("mode", "FAILFAST").json(path), body)
 
 
+def land_envelope_or_quarantine(spark: SparkSession, path: str, record: T.StructType, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """The same, without ending at a document that can't be read: the rows of the others, and (document, file) of the bad ones."""
+    envelope = T.StructType([T.StructField(body, T.ArrayType(record), True), T.StructField("_bad", T.StringType(), True)])
+    lines = spark.read.text(path).where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("file"))
+    # The text is parsed once, by a generator that no filter is copied into.
+    parsed = F.from_json("value", envelope, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    documents = lines.select("value", "file", F.inline(F.array(F.struct(parsed.alias("_doc")))))
+    good = documents.where("_doc is not null and _doc._bad is null").select("_doc.*")
+    bad = documents.where("_doc is null or _doc._bad is not null").select(F.col("value").alias("document"), "file")
+    return unpack_envelope(good, body), bad
+
+
 def unpack_envelope(documents: DataFrame, body: str = "body") -> DataFrame:
     return documents.select(F.explode(body).alias("_row")).select("_row.*")
 
@@ -123,6 +140,40 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType, fields: S
     return df if fields is None else df.select("id", F.struct(*[F.col(f"fields.{f}") for f in fields]).alias("fields"))
 
 
+@dataclass(frozen=True)
+class View:
+    """A stored view of a record table: which rows, and which of their fields."""
+
+    fields: tuple[str, ...] | None = None
+    formula: str | None = None
+
+
+def read_views(spark: SparkSession, path: str) -> dict[str, View]:
+    """Views by name from a parameter document: ``{name: {fields: [...], formula: "..."}}``."""
+    stored = read_document(spark, path)
+    return {name: View(tuple(v["fields"]) if v.get("fields") else None, v.get("formula")) for name, v in stored.items()}
+
+
+def read_view(spark: SparkSession, path: str, schema: T.StructType, views: Mapping[str, View], name: str, fmt: str = "json") -> DataFrame:
+    """The records of a named view; a name that no view has raises."""
+    if name not in views:
+        raise ValueError(f"no view {name}; there are: {', '.join(sorted(views)) or 'none'}")
+    return read_records(spark, path, schema, views[name].fields, views[name].formula, fmt)
+
+
+def declare_table(spark: SparkSession, name: str, root: str, schema: T.StructType, by: Sequence[str] = ("date", "source")) -> DataFrame:
+    """Register a ``date=/source=`` folder as an external table, with all partitions it has by now.
+
+    Partitions are then found in the catalog, and a join with a list of dates prunes them while the query runs.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = ", ".join(f"`{c}`" for c in by)
+    place = root.rstrip("/").replace("'", "\\'")
+    spark.sql(f"create table if not exists {name} ({columns}) using parquet partitioned by ({parts}) location '{place}'")
+    spark.sql(f"msck repair table {name} sync partitions")
+    return spark.table(name)
+
+
 def read_events(spark: SparkSession, path: str, name: str, from_block: int = 0, to_block: int | None = None,
                 schema: T.StructType = schemas.LEDGER_EVENTS, fmt: str = "parquet") -> DataFrame:
     """Ledger events of one type in a block range."""
@@ -132,7 +183,7 @@ def read_events(spark: SparkSession, path: str, name: str, from_block: int = 0,
     return df.select("block", "seq", "args.*")
 
 
-def read_log_lines(spark: SparkSession, path: str, field: int = 6, stream_field: int | None = None,
+def read_log_lines(spark: SparkSession, path: str | Sequence[str], field: int = 6, stream_field: int | None = None,
                    start: str | None = None, end: str | None = None, time_field: int | None = None) -> DataFrame:
     """Log files as (stream, block, line_no, line), the line being one ``|``-separated field.
 
@@ -145,7 +196,7 @@ def read_log_lines(spark: SparkSession, path: str, field: int = 6, stream_field:
     readable time is in no range.
     """
     stream = F.col("_metadata.file_path") if stream_field is None else logs.cut_field("value", stream_field)
-    raw = spark.read.text(path).select(
+    raw = spark.read.text(path if isinstance(path, str) else list(path)).select(
         stream.alias("stream"), F.struct("_metadata.file_path", "_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"), "value")
     if time_field is not None:

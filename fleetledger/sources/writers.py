@@ -49,6 +49,11 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", by: Sequence[st
     (writer.partitionBy(*by) if by else writer).save(path)
 
 
+def by_block(events: DataFrame) -> DataFrame:
+    """Ledger events in ranges of their block, sorted, so that a reader of some blocks skips the other files and row groups."""
+    return events.repartitionByRange("block", "seq").sortWithinPartitions("block", "seq")
+
+
 def write_report(df: DataFrame, root: str, name: str, run: str, fmt: str = "parquet") -> None:
     """Replace one run's part of a report: the folder ``name/run`` below ``root``, ``run`` being like ``date=2024-01-15``."""
     df.drop(run.split("=")[0]).write.mode("overwrite").option("header", True).format(fmt).save(f"{root.rstrip('/')}/{name}/{run}")

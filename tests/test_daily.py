@@ -6,8 +6,8 @@ from pyspark.errors import PySparkException
 
 from fleetledger import schemas, session
 from fleetledger.params import ParamSet, SourceParams, SplitRule
-from fleetledger.plans import daily
-from fleetledger.sources import readers, writers
+from fleetledger.plans import daily, payment_store
+from fleetledger.sources import readers, store, writers
 from fleetledger.sources.fixtures import Fixtures
 from test_credits import record
 
@@ -39,8 +39,8 @@ def test_route_day(spark, lake):
     contacts = [("r1", (1, ["A"], None)), ("r2", (2, ["B"], "0xB"))]
     writers.write_table(spark.createDataFrame(contacts, schemas.CONTACTS), path("contacts"))
     daily.sync_devices(spark, path("contacts"), path("map"))
-    address = {r.k_dispositivo: r.celo_address for r in spark.read.parquet(path("map")).collect()}
-    stored = {r.id: r.fields.celo_address for r in spark.read.parquet(path("contacts")).collect()}
+    address = {r.k_dispositivo: r.celo_address for r in store.read_table(spark, path("map"), schemas.DEVICE_MAP).collect()}
+    stored = {r.id: r.fields.celo_address for r in store.read_table(spark, path("contacts"), schemas.CONTACTS).collect()}
     assert stored == {"r1": address["A"], "r2": "0xB"} and len(address["A"]) == 42
 
     def process():
@@ -136,26 +136,26 @@ def test_credit_and_payment_runs(spark, tmp_path):
     writers.write_table(spark.createDataFrame([("k1", (7, [], None))], schemas.CONTACTS), path("contacts"))
     for _ in range(2):  # the second run finds nothing to do
         daily.publish_credits(spark, path("credits"), path("contacts"), path("state"), "staging")
-    state = spark.read.parquet(path("state")).collect()
-    owner = spark.read.parquet(path("contacts")).first().fields.celo_address
+    state = store.read_table(spark, path("state"), schemas.CREDITS_STATE).collect()
+    owner = store.read_table(spark, path("contacts"), schemas.CONTACTS).first().fields.celo_address
     assert sorted((r.credit_id, r.owner, r.outstanding) for r in state) == [(1, owner, 100), (2, owner, 50)]
-    assert all(r.fields.published_staging for r in spark.read.parquet(path("credits")).collect())
+    assert all(r.fields.published_staging for r in store.read_table(spark, path("credits"), schemas.CREDITS_RAW).collect())
 
     def payments(*rows):
         table = spark.createDataFrame([(f"p{i}", (pid, cid, amount, day, None, None)) for i, pid, cid, amount, day in rows],
                                       schemas.PAYMENTS_RAW)
-        writers.append_table(table, path("payments"))
+        store.add_records(table, path("payments"))
         daily.publish_payments(spark, path("payments"), path("credits"), path("outcomes"), "staging")
-        return sorted((r.id, r.outcome, r.applied) for r in spark.read.parquet(path("outcomes")).collect())
+        return sorted((r.id, r.outcome, r.applied) for r in payment_store.outcomes(spark, path("outcomes")).collect())
 
     first = payments((1, 1, 1, 70.0, "2024-02-01"), (2, 2, 2, 10.0, "2024-02-01"))
     assert first == [("p1", "applied_full", 70), ("p2", "applied_full", 10)]
     second = payments((3, 3, 1, 70.0, "2024-02-02"), (4, 2, 2, 10.0, "2024-02-03"), (5, 5, 2, 40.0, "2024-02-04"))
     assert second == first + [("p3", "clamped", 30), ("p4", "duplicate", 0), ("p5", "applied_full", 40)]
-    assert all(r.fields.published_staging for r in spark.read.parquet(path("payments")).collect())
+    assert all(r.fields.published_staging for r in store.read_table(spark, path("payments"), schemas.PAYMENTS_RAW).collect())
     with pytest.raises(daily.Incomplete, match="only 1 of 2"):
         payments((6, 6, 1, -1.0, "2024-02-05"), (7, 7, 1, 0.0, "2024-02-05"))
-    flags = {r.id: r.fields.published_staging for r in spark.read.parquet(path("payments")).collect()}
+    flags = {r.id: r.fields.published_staging for r in store.read_table(spark, path("payments"), schemas.PAYMENTS_RAW).collect()}
     assert flags["p6"] is None and flags["p7"] is True
 
 

@@ -4,8 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from fleetledger.queries.oracle import ORACLE
-from fleetledger.queries.registry import QUERIES
+from fleetledger.queries import ORACLE, QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"

@@ -1,0 +1,184 @@
+"""Stores: whole or not at all, bucket by bucket, and safe for writers at once."""
+
+import os
+import subprocess
+import sys
+import threading
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from fleetledger import schemas
+from fleetledger.operators import ids
+from fleetledger.plans import daily
+from fleetledger.sources import marks, store
+from fleetledger.sources.store import BUCKET, RECORDS, Conflict, Store, bucket_of
+
+ROWS = "id string, fields struct<celo_address:string,client_id:bigint,gps_id_list:array<string>>"
+
+
+def contacts(spark, n, address="0x"):
+    return spark.range(n).select(F.concat(F.lit("r"), "id").alias("id"), F.struct(
+        F.col("id").alias("client_id"), F.array(F.concat(F.lit("G"), "id")).alias("gps_id_list"),
+        F.when(F.col("id") % 10 != 0, F.concat(F.lit(address), "id")).alias("celo_address")).alias("fields"))
+
+
+def files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def told(df):
+    return sorted(map(str, df.collect()))
+
+
+def failing(spark, df):
+    """The same rows, of which reading the last fails."""
+    return df.where(F.when(F.col("id") == "r9", F.raise_error(F.lit("lost"))).otherwise(F.lit(True)))
+
+
+def test_a_replacement_that_breaks_off_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.replace_table(contacts(spark, 10), path)
+    before = told(store.read_table(spark, path, schemas.CONTACTS))
+    with pytest.raises(PySparkException):
+        store.replace_table(failing(spark, contacts(spark, 10, "0y")), path)
+    assert told(store.read_table(spark, path, schemas.CONTACTS)) == before
+    lost = Store(spark, path).vacuum(0)
+    assert len(lost) == 1 and told(store.read_table(spark, path, schemas.CONTACTS)) == before
+
+
+@pytest.mark.parametrize("step", ["write", "claim", "forget"])
+def test_an_update_broken_at_any_step_leaves_a_whole_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    contacts(spark, 40).write.parquet(path)
+    updates = spark.createDataFrame([("r0", "new")], "id string, celo_address string")
+    store.update_records(spark, path, schemas.CONTACTS, updates, ["celo_address"])
+    before = told(store.read_table(spark, path, schemas.CONTACTS))
+
+    def broken(*_, **__):
+        raise RuntimeError("broke off")
+
+    with monkeypatch.context() as m:
+        m.setattr(*{"write": (Store, "write"), "claim": (marks, "claim"), "forget": (Store, "_forget")}[step], broken)
+        with pytest.raises(RuntimeError):
+            again = spark.createDataFrame([("r10", "newer")], "id string, celo_address string")
+            store.update_records(spark, path, schemas.CONTACTS, again, ["celo_address"])
+    now = {r.id: r.fields.celo_address for r in store.read_table(spark, path, schemas.CONTACTS).collect()}
+    assert len(now) == 40 and now["r0"] == "new"
+    assert (now["r10"] == "newer") == (step == "forget")  # shown by then
+    if step != "forget":
+        assert told(store.read_table(spark, path, schemas.CONTACTS)) == before
+
+
+def test_a_job_that_breaks_off_leaves_records_and_map_whole(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    contacts(spark, 20).write.parquet(path("contacts"))
+    daily.sync_devices(spark, path("contacts"), path("map"))
+    extra = contacts(spark, 21).where("id = 'r20'").withColumn("fields", F.col("fields").withField("celo_address", F.lit(None).cast("string")))
+    store.add_records(extra, path("contacts"))  # one that lacks an address
+    before = [told(store.read_table(spark, path(n), s)) for n, s in (("contacts", schemas.CONTACTS), ("map", schemas.DEVICE_MAP))]
+    with pytest.raises(PySparkException):
+        daily.sync_devices(spark, path("contacts"), path("map"), derive=lambda c: F.raise_error(F.lit("no address")).cast("string"))
+    after = [told(store.read_table(spark, path(n), s)) for n, s in (("contacts", schemas.CONTACTS), ("map", schemas.DEVICE_MAP))]
+    assert after == before
+
+
+def test_an_update_writes_only_the_buckets_it_touches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table, by = Store(spark, path), {BUCKET: bucket_of("id", 32)}
+    table.replace(RECORDS, contacts(spark, 400), by, {BUCKET: 32})
+    before = files(path)
+    updates = spark.createDataFrame([("r17", "a"), ("r23", None), ("nobody", "b")], "id string, celo_address string")
+    store.update_records(spark, path, schemas.CONTACTS, updates, ["celo_address"])
+    parts = store.touched(updates, "id", 32)
+    after = files(path)
+    assert 1 <= len(parts) <= 3 and all(after[f] == t for f, t in before.items())
+    assert all(any(p in f for p in parts) for f in set(after) - set(before))
+    found = {r.id: r.fields.celo_address for r in store.read_table(spark, path, schemas.CONTACTS).collect()}
+    assert len(found) == 400 and found["r17"] == "a" and found["r23"] == "0x23"
+    read = table.read(RECORDS, schemas.CONTACTS, parts)
+    assert len(read.inputFiles()) <= len(parts)  # no other bucket is opened
+    assert store.update_records(spark, path, schemas.CONTACTS, updates.limit(0), ["celo_address"]).number == 2
+
+
+def test_two_changes_of_one_part_conflict_and_of_two_parts_do_not(spark, tmp_path):
+    table = Store(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v bigint")
+    before = table.replace("t", rows, {"k": "k"})
+    version, parts = table.write("t", rows.where("k = 'a'"), {"k": "k"})
+    other, theirs = table.write("t", rows.where("k = 'b'"), {"k": "k"})
+    table.commit({"t": {p: {version: version} for p in parts}}, before)
+    table.commit({"t": {p: {other: other} for p in theirs}}, before)
+    with pytest.raises(Conflict):
+        table.commit({"t": {p: {other: other} for p in parts}}, before)
+    assert table.read("t", rows.schema).count() == 2
+
+
+def test_pieces_replace_their_name_and_compaction_keeps_rows(spark, tmp_path):
+    table = Store(spark, str(tmp_path / "t"))
+    schema = spark.createDataFrame([("a", 1)], "k string, v bigint").schema
+    piece = lambda *rows: spark.createDataFrame(list(rows), schema)
+    table.add("t", piece(("a", 1), ("b", 1)), "one", {"k": "k"})
+    table.add("t", piece(("a", 2)), "two", {"k": "k"})
+    table.add("t", piece(("c", 3)), "one", {"k": "k"})  # its earlier rows go, also from parts it has no more
+    assert sorted(map(tuple, table.read("t", schema).collect())) == [("a", 2), ("c", 3)]
+    for n in range(5):
+        table.add("t", piece(("a", 10 + n), (None, n)), f"n{n}", {"k": "k"})
+    want = sorted(map(str, table.read("t", schema).collect()))
+    assert table.compact("t", schema, {"k": "k"}, pieces=3)
+    assert sorted(map(str, table.read("t", schema).collect())) == want
+    assert {len(p) for p in table.snapshot().parts["t"].values()} <= {1, 2, 3}
+
+
+def test_old_versions_go_once_nobody_reads_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = store.replace_table(contacts(spark, 5), path)
+    held = store.read_table(spark, path, schemas.CONTACTS)
+    store.replace_table(contacts(spark, 6), path)
+    assert held.count() == 5  # a reader that began before goes on
+    for n in (7, 8):
+        store.replace_table(contacts(spark, n), path)
+    assert first.parts[RECORDS][""].keys().isdisjoint(os.listdir(f"{path}/_data")) or not files(
+        f"{path}/_data/{next(iter(first.parts[RECORDS]['']))}")
+    assert len(marks.numbers(spark, f"{path}/_snapshots")) == store.KEPT
+
+
+def test_a_mark_is_given_once(spark, tmp_path):
+    folder, won = str(tmp_path / "m"), []
+
+    def run(name):
+        won.extend(n for n in range(1, 11) if marks.claim(spark, folder, n, name))
+
+    threads = [threading.Thread(target=run, args=(f"w{k}",)) for k in range(6)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(won) == list(range(1, 11)) and marks.numbers(spark, folder) == list(range(1, 11))
+    assert [n for n in marks.names(spark, folder) if n.startswith("_")] == []
+
+
+_RESERVE = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from fleetledger.operators import ids
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+print("GIVEN", [ids.reserve(spark, {marks!r}, f"{{sys.argv[1]}} {{k}}", 7) for k in range(25)])
+"""
+
+
+def test_two_processes_reserve_at_once_and_share_no_id(spark, tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = _RESERVE.format(root=root, marks=str(tmp_path / "marks"))
+    running = [subprocess.Popen([sys.executable, "-c", code, name], stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True)
+               for name in ("a", "b")]
+    given = [int(x) for p in running for line in p.communicate(timeout=300)[0].splitlines() if line.startswith("GIVEN")
+             for x in line.split("[")[1].rstrip("]").split(",")]
+    assert len(given) == 50 and sorted(given) == [100_000 + 7 * k for k in range(50)]
+
+
+def test_marks_of_an_earlier_release_go_on(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    spark.createDataFrame([("old", 100_000, 100_250)], schemas.ID_MARKS).write.parquet(path)
+    assert ids.reserve(spark, path, "new", 5) == 100_250
+    assert ids.reserve(spark, path, "newer", 5) == 100_255

@@ -4,7 +4,7 @@ import pytest
 
 from fleetledger import schemas
 from fleetledger.operators import ids
-from fleetledger.sources import readers
+from fleetledger.sources import marks
 from fleetledger.sources.fixtures import Fixtures
 from fleetledger.streaming import incremental
 
@@ -49,22 +49,22 @@ def test_batch_that_is_retried_overwrites_itself(spark, tmp_path):
     got = spark.read.schema(OUT).parquet(output)
     assert got.count() == got.select("routeid").distinct().count()
     assert got.agg({"routeid": "min"}).first()[0] == 100_001
-    assert readers.read_or_empty(spark, output + "_marks", schemas.ID_MARKS).count() == 1
+    assert len(marks.numbers(spark, output + "_marks")) == 1
 
 
 def test_what_is_no_route_is_reported(spark, tmp_path):
-    landing, output, marks = (str(tmp_path / n) for n in ("landing", "output", "marks"))
+    landing, output, shared = (str(tmp_path / n) for n in ("landing", "output", "marks"))
     owners = spark.createDataFrame([("G0", "0x0")], schemas.DEVICE_MAP)
     land(spark, landing, range(6))
     bad = [(7, "G0", "soon", "2024-01-01 11:00:00", 1000.0, None, 0, 0, 0, 0, "motorbike", DAY),
            (None, "G0", "2024-01-01 10:00:00", "2024-01-01 11:00:00", 1000.0, None, 0, 0, 0, 0, "motorbike", DAY)]
     spark.createDataFrame(bad, schemas.ROUTES_RAW).write.mode("append").parquet(landing)
-    incremental.run_available(spark, landing, output, str(tmp_path / "c"), Fixtures.params(), owners, marks_path=marks)
+    incremental.run_available(spark, landing, output, str(tmp_path / "c"), Fixtures.params(), owners, marks_path=shared)
     report = lambda name: spark.read.parquet(f"{output}_reports/{name}")
     assert sorted((str(r.k_ruta), r.reason) for r in report("quarantine").collect()) == [("7", "bad_time"), ("None", "missing_trip_id")]
     assert {r.k_dispositivo for r in report("unowned_devices").collect()} == {"G1", "G2"}
     assert report("split_summary").first().original_routes == 6
     top = spark.read.schema(OUT).parquet(output).agg({"routeid": "max"}).first()[0]
-    assert ids.reserve(spark, marks, "a daily run", 1) == top  # the two kinds of job share the marks
+    assert ids.reserve(spark, shared, "a daily run", 1) == top  # the two kinds of job share the marks
     with pytest.raises(Exception):
         incremental.run_available(spark, landing, output, str(tmp_path / "d"), Fixtures.params(), owners, strict=True)
