@@ -16,11 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import estimated_bytes
+
 # Arrow batches hold at most so many rows and bytes, and tasks work on so many bytes of text at once.
 BATCH_ROWS = 2_000
 BATCH_BYTES = 16 << 20
 GROUP_BYTES = 1 << 20
 
+# A shuffle partition gets so many bytes at most, as they are stored (texts are about three times that in memory).
+STORED_BYTES = 32 << 20
+
 # Fixed values of the word rule [^\x20\x09-\x0D]+.
 SPACES = b"\x09\x0a\x0b\x0c\x0d\x20"
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -58,6 +63,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partitions_for(df: DataFrame) -> int:
+    """How many partitions a shuffle of ``df`` gets: the session's number, or more where its stored size asks for it."""
+    return max(shuffle_partitions(df.sparkSession), -(-estimated_bytes(df) // STORED_BYTES))
+
+
 def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``df`` through ``rows``, batch by batch."""
     bounded_batches(df.sparkSession)

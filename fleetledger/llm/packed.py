@@ -26,6 +26,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +37,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import pin, work_dir
-from .frames import bounded_batches, kept_by_worker, shuffle_partitions, utf8
+from .frames import IS_SPACE, LOWER, UPPER, Words, bounded_batches, byte_class, groups, kept_by_worker, partitions_for, shuffle_partitions, utf8
 
 MAGIC = b"PKIDS\x01"
 BLOCK = 1 << 16
+# Texts are encoded by groups of so many bytes, so that a word is looked up once for many places.
+GROUP_BYTES = 8 << 20
 GROUP = 64
+# An encoder keeps the words of up to two spans of so many distinct ones (or so many ids), but no longer words.
 KEPT_WORDS = 400_000
+KEPT_IDS = 8_000_000
 KEPT_BYTES = 64
 JOINED_WORDS = 1_000
 NO_ID = -2 ** 63
@@ -91,13 +96,16 @@ class Writer:
         self.passing = f"{self.path}.{uuid.uuid4().hex}"
         self.out = self.files.open_output_stream(self.passing)
         self.bits, self.held, self.waiting = bits, [], 0
-        self.docs: list[tuple[int, int]] = []
+        self.docs: list[np.ndarray] = []
+        self.n_docs = 0
         self.offsets: list[int] = []
         self.ids = 0
         self.out.write(MAGIC + bytes([bits]))
 
-    def add(self, doc: int | None, ids: np.ndarray) -> None:
-        self.docs.append((NO_ID if doc is None else doc, len(ids)))
+    def add(self, docs: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Documents (``NO_ID`` for null), their numbers of ids, and all ids one after the other."""
+        self.docs.append(np.stack([docs, lengths], axis=1).astype("<i8"))
+        self.n_docs += len(docs)
         self.held.append(ids)
         self.waiting += len(ids)
         if self.waiting >= BLOCK:
@@ -114,9 +122,10 @@ class Writer:
     def close(self) -> None:
         self._flush(self.waiting)
         tail = self.out.tell()
-        self.out.write(np.array(self.docs, "<i8").tobytes())
+        for listed in self.docs:
+            self.out.write(listed.tobytes())
         self.out.write(np.array(self.offsets, "<i8").tobytes())
-        self.out.write(np.array([len(self.docs), len(self.offsets), self.ids, tail], "<i8").tobytes())
+        self.out.write(np.array([self.n_docs, len(self.offsets), self.ids, tail], "<i8").tobytes())
         self.out.close()
         if self.files.get_file_info(self.path).type != fs.FileType.NotFound:
             self.files.delete_file(self.path)  # an earlier run of this task; the content is the same
@@ -179,83 +188,142 @@ def splits_at_spaces(tokenizer: str) -> bool:
                 for r in rules.get("normalizers", [rules] if rules else []))
     plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"])
                     for t in spec.get("added_tokens", []))
-    return bool(dropped and local and plain)
+    return bool(dropped and local and plain and not spec.get("truncation") and not spec.get("padding"))
+
+
+class Met:
+    """Words met so far: the place of each one's ids in one flat array."""
+
+    def __init__(self):
+        self.slots: dict[bytes, int] = {}
+        self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.ids = np.zeros(4096, np.uint32)
+        self.words = self.used = 0
+
+    def add(self, words: list[bytes], ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Keep these words' ids, given one after the other; returns their slots."""
+        slots = np.arange(self.words, self.words + len(words))
+        self.first, self.count = _roomy(self.first, self.words + len(words)), _roomy(self.count, self.words + len(words))
+        self.ids = _roomy(self.ids, self.used + len(ids))
+        self.first[slots], self.count[slots] = self.used + np.cumsum(count) - count, count
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.slots.update(zip(words, slots.tolist()))
+        self.words, self.used = self.words + len(words), self.used + len(ids)
+        return slots
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The words' slots, -1 for one not met."""
+        return np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+
+    def spelled(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these slots, one after the other, and how many each has."""
+        count = self.count[slots]
+        ends = np.cumsum(count)
+        at = np.repeat(self.first[slots] - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return self.ids[at], count
+
+
+def _roomy(held: np.ndarray, size: int) -> np.ndarray:
+    """``held`` with room for so many values."""
+    if size <= len(held):
+        return held
+    grown = np.zeros(max(size, 2 * len(held)), held.dtype)
+    grown[:len(held)] = held
+    return grown
 
 
 class Encoder:
-    """Ids of whole texts. Where words are independent, those met before are not encoded again."""
+    """Ids of whole texts. Where words are independent, only distinct ones not met before are encoded."""
 
-    # Words of these characters are split into letters, single digits and runs of other marks.
-    _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\\[-`{-~]+")
-    _PARTS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
-    _MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+    # Fixed value: the split of the given tokenizer, which parts marks from the letters and digits before them.
+    PARTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _MARKS = byte_class(b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")
+    _LETTERS = byte_class(b"0123456789" + UPPER + LOWER)
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        spec = json.loads(tokenizer)
         self.word_wise = splits_at_spaces(tokenizer)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        rules = json.loads(tokenizer).get("normalizer") or {}
-        self.lowers = any(r.get("type") == "Lowercase" for r in rules.get("normalizers", [rules]))
-        end = json.loads(tokenizer)["model"].get("end_of_word_suffix") if self.word_wise else None
-        self.ends = None
-        if end:
-            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-            self.ends[[k for token, k in self.tokenizer.get_vocab().items() if token.endswith(end)]] = True
-
-    def _ids(self, batch: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-
-    def _joined(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Plain words, encoded together and parted where as many tokens end a part as the word has parts."""
-        text = [w.decode() for w in words]
-        parts = np.cumsum([len(self._PARTS.findall(t)) for t in text])
-        ids = np.array(self._ids([" ".join(text)])[0], np.uint32)
-        ends = np.flatnonzero(self.ends[ids])
-        if len(ends) != parts[-1]:
-            yield from self._alone(words)
-            return
-        cuts = [0, *(ends[parts - 1] + 1).tolist()]
-        packed = ids.astype("<u4").tobytes()
-        for word, a, b in zip(words, cuts, cuts[1:]):
-            yield word, packed[4 * a:4 * b]
-
-    def _alone(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        for word, ids in zip(words, self._ids([w.decode() for w in words])):
-            yield word, np.array(ids, "<u4").tobytes()
-
-    def encode(self, batch: list[bytes]) -> list[bytes]:
-        """The ids of each text, as little-endian 32-bit integers."""
+        self.young, self.old = Met(), Met()
+        rules = spec.get("normalizer") or {}
+        parts = spec.get("pre_tokenizer") or {}
+        first = (parts.get("pretokenizers") or [parts])[0]
+        self.parts_marks = (first.get("pattern") or {}).get("Regex") == self.PARTING
+        # A word with the first character of an added token is taken as it is, since it may hold that token.
+        starts = b"".join(t["content"][:1].encode() for t in spec.get("added_tokens", []))
+        self.kept_bytes = byte_class(starts + b"'")
+        lowers = any(r.get("type") == "Lowercase" for r in rules.get("normalizers", [rules]))
+        self.lowered = np.arange(256, dtype=np.uint8)
+        if lowers:
+            self.lowered[np.frombuffer(UPPER, np.uint8)] = np.frombuffer(LOWER, np.uint8)
+
+    def _pieces(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Words, marks at their ends apart where the tokenizer parts them; and for each row its first piece (one more than rows).
+
+        Words end at white space of ASCII; further kinds stay inside a word.
+        """
+        words = Words(raw, offsets)
+        inner = ~IS_SPACE[raw]
+        plain = raw[inner]
+        ends = np.cumsum(words.ends - words.starts)
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        special = np.zeros(len(starts), bool)
+        found = np.flatnonzero(self.kept_bytes[plain])
+        special[np.searchsorted(ends, found, side="right")] = True
+        kept = np.repeat(special, ends - starts)
+        plain = np.where(kept, plain, self.lowered[plain])
+        first = np.zeros(len(plain) + 1, bool)
+        first[starts] = True
+        if self.parts_marks and len(plain):
+            last = np.maximum.accumulate(np.where(self._MARKS[plain], -1, np.arange(len(plain))))[ends - 1]
+            cut = (last >= starts) & (last + 1 < ends) & ~special
+            at = last[cut]
+            letter = self._LETTERS[plain[at]]
+            # A letter of U+00C0 to U+00FF; its two other signs are no letters.
+            latin = (plain[np.maximum(at - 1, 0)] == 0xC3) & (plain[at] >= 0x80) & (plain[at] != 0x97) & (plain[at] != 0xB7) & (at > starts[cut])
+            first[at[letter | latin] + 1] = True
+        begin = np.flatnonzero(first)
+        bounds = np.append(begin, len(plain)).astype(np.int32)
+        column = pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(plain))])
+        return column, np.searchsorted(begin, np.append(starts, len(plain))[words.first])
+
+    def _fresh(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that were not met before, and how many each has."""
+        ids, count = [np.empty(0, np.uint32)], np.zeros(len(words), np.int64)
+        for k in range(0, len(words), JOINED_WORDS):
+            some = [w.decode() for w in words[k:k + JOINED_WORDS]]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            np.add.at(count, k + np.array(found.word_ids, np.int64), 1)
+        return np.concatenate(ids), count
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
         if not self.word_wise:
-            return [np.array(ids, "<u4").tobytes() for ids in self._ids([t.decode() for t in batch])]
-        # At white space of ASCII; further kinds stay inside a word. Capitals only count in special tokens.
-        words = [(t.lower() if self.lowers and b"<" not in t else t).split() for t in batch]
-        if len(self.young) > KEPT_WORDS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        unseen = [w for w in set().union(*words) if w not in young]
-        young.update((w, old[w]) for w in unseen if w in old)
-        fresh = [w for w in unseen if w not in old]
-        fresh.sort()
-        plain = [w for w in fresh if self.ends is not None and self._PLAIN.fullmatch(w.decode())]
-        # Of a plain word, the marks at its end are a part of their own, and capitals may be all the same.
-        halves = {}
-        for word in plain:
-            same = word.lower() if self.lowers else word
-            core = same.rstrip(self._MARKS)
-            halves[word] = core, same[len(core):]
-        parts = sorted({h for pair in halves.values() for h in pair if h and h not in young})
-        for k in range(0, len(parts), JOINED_WORDS):
-            self.young.update(self._joined(parts[k:k + JOINED_WORDS]))
-        young[b""] = b""
-        young.update((word, young[core] + young[marks]) for word, (core, marks) in halves.items())
-        young.update(self._alone([w for w in fresh if w not in young]))
-        found = [b"".join(map(young.__getitem__, own)) for own in words]
-        for word in (*fresh, *parts):
-            if len(word) > KEPT_BYTES:
-                young.pop(word, None)
-        return found
+            data = raw.tobytes()
+            found = self.tokenizer.encode_batch_fast([data[a:b].decode() for a, b in zip(offsets, offsets[1:])], add_special_tokens=False)
+            own = [np.array(e.ids, np.uint32) for e in found]
+            return np.concatenate([np.empty(0, np.uint32), *own]), np.array([len(x) for x in own], np.int64)
+        if len(self.young.slots) > KEPT_WORDS or self.young.used > KEPT_IDS:
+            self.old, self.young = self.young, Met()
+        column, first = self._pieces(raw, offsets)
+        coded = column.dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        slots = self.young.find(words)
+        lacking = np.flatnonzero(slots < 0)
+        if len(lacking):
+            unseen = [words[k] for k in lacking.tolist()]
+            known = self.old.find(unseen)
+            for some, (ids, count) in ((np.flatnonzero(known >= 0), self.old.spelled(known[known >= 0])),
+                                       (new := np.flatnonzero(known < 0), self._fresh([unseen[k] for k in new.tolist()]))):
+                slots[lacking[some]] = self.young.add([unseen[k] for k in some.tolist()], ids, count)
+            for word in unseen:
+                if len(word) > KEPT_BYTES:
+                    del self.young.slots[word]
+        ids, count = self.young.spelled(slots[codes])
+        total = np.concatenate([[0], np.cumsum(count)])
+        return ids, np.diff(total[first])
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, files: int | None = None,
@@ -268,29 +336,27 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     spark = docs.sparkSession
     folder = folder or f"{work_dir(spark)}/fleetledger/ids-{uuid.uuid4().hex}"
     bits = bits_for(max(Tokenizer.from_str(tokenizer).get_vocab_size(), end_id + 1))
-    last = np.array([end_id], np.uint32)
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, writer = TaskContext.get().partitionId(), None
         encoder = kept_by_worker("packed", tokenizer, lambda: Encoder(tokenizer))
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
-            data = raw.tobytes()
-            own = encoder.encode([data[a:b] for a, b in zip(offsets, offsets[1:])])
+            docs = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             writer = writer or Writer(f"{folder}/part-{part:06d}.ids", bits)
-            for doc, ids in zip(batch.column(0).to_pylist(), own):
-                writer.add(doc, np.concatenate([np.frombuffer(ids, "<u4"), last]))
+            for a, b in groups(offsets, GROUP_BYTES):
+                ids, count = encoder.encode(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                writer.add(docs[a:b], count + 1, np.insert(ids, np.cumsum(count), np.uint32(end_id)))
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/part-{part:06d}.ids"],
-                                              "n_docs": [len(writer.docs)], "n_ids": [writer.ids]})
+                                              "n_docs": [writer.n_docs], "n_ids": [writer.ids]})
 
     bounded_batches(spark)
     # Equal ids are told apart by text, and equal rows by where they were read, so that no range is one key.
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                         F.xxhash64(text_col).alias("text_key"), F.monotonically_increasing_id().alias("at"))
     order = ["id", "text_key", "at"]
-    listed = pin(keyed.repartitionByRange(files or shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    listed = pin(keyed.repartitionByRange(files or partitions_for(docs), *order).sortWithinPartitions(*order)
                  .select("id", "text").mapInArrow(task, "part long, path string, n_docs long, n_ids long"))
     rows = sorted(listed.collect())  # one row per file
     starts = np.cumsum([0, *(r.n_ids for r in rows)]).tolist()

@@ -1,12 +1,15 @@
 """Packed ids: round trips through files, random access, and the library's ids."""
 
 import glob
+import json
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from fleetledger.llm import packed
+from fleetledger.llm.frames import utf8
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -36,8 +39,9 @@ def test_files_read_in_order_and_by_document(tmp_path, monkeypatch):
     path = str(tmp_path / "deep" / "a.ids")
     for _ in range(2):  # a task that is run again
         writer = packed.Writer(path, 16)
-        for k, ids in enumerate(docs):
-            writer.add(k if k else None, ids)
+        for some in (range(3), range(3, 8)):
+            own = [docs[k] for k in some]
+            writer.add(np.array([k if k else packed.NO_ID for k in some]), np.array([len(x) for x in own]), np.concatenate(own))
         writer.close()
     assert glob.glob(str(tmp_path / "deep" / "*")) == [path]
     reader = packed.Reader(path)
@@ -58,8 +62,14 @@ def library(text):
     return LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def encoded(encoder, texts):
+    ids, count = encoder.encode(*utf8(pa.array(texts, pa.string())))
+    assert len(count) == len(texts) and count.sum() == len(ids)
+    return [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
+
+
 def own(text):
-    return np.frombuffer(ENCODER.encode([text.encode()])[0], "<u4").tolist()
+    return encoded(ENCODER, [text])[0]
 
 
 @settings(max_examples=300, deadline=None)
@@ -77,8 +87,44 @@ def test_a_tokenizer_that_keeps_spaces_encodes_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     text = open(path, encoding="utf-8").read()
     assert packed.splits_at_spaces(JSON) and not packed.splits_at_spaces(text)
+    assert encoded(packed.Encoder(text), [" a  b\nc", "", None]) == [Tokenizer.from_file(path).encode(" a  b\nc", add_special_tokens=False).ids, [], []]
+
+
+ODD = ["the cat sat. 123 a_", "foo-bar mat. 1234", "It's, isn't; DON'T!", "a<|endoftext|>.b C<|ENDOFTEXT|>", "—, é. ×! x÷? ñ...", "", None,
+       "a\u00a0b\u2003c", "[UNK] [unk].", "x" * 300 + ", " + "y." * 200, "...", "'.'", "word's's.", "e\u0301. É."]
+
+
+def respelled(change):
+    """The given tokenizer with other rules around its vocabulary."""
+    spec = json.loads(JSON)
+    change(spec)
+    return json.dumps(spec)
+
+
+@pytest.mark.parametrize("text", [
+    JSON, open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read(),
+    respelled(lambda s: s.update(pre_tokenizer={"type": "WhitespaceSplit"})),
+    respelled(lambda s: s.update(pre_tokenizer={"type": "Whitespace"})),
+    respelled(lambda s: s.update(normalizer=None)),
+    respelled(lambda s: s["added_tokens"].append({"id": 100, "content": "C", "single_word": False, "lstrip": False, "rstrip": False,
+                                                   "normalized": False, "special": True})),
+    respelled(lambda s: s["pre_tokenizer"]["pretokenizers"][0].update(pattern={"Regex": r"[\p{L}.]+|[^\s]"}))],
+    ids=["given", "bytes", "at spaces", "words", "as written", "a letter as token", "another split"])
+def test_any_tokenizer_gives_the_librarys_ids(text):
+    library = Tokenizer.from_str(text)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in ODD]
     encoder = packed.Encoder(text)
-    assert np.frombuffer(encoder.encode([b" a  b\nc"])[0], "<u4").tolist() == Tokenizer.from_file(path).encode(" a  b\nc", add_special_tokens=False).ids
+    assert encoded(encoder, ODD) == want and encoded(encoder, ODD) == want and encoded(encoder, ODD[::-1]) == want[::-1]
+
+
+def test_an_encoder_forgets_and_stays_right(monkeypatch):
+    monkeypatch.setattr(packed, "KEPT_WORDS", 5)
+    monkeypatch.setattr(packed, "KEPT_IDS", 40)
+    encoder = packed.Encoder(JSON)
+    for k in range(30):
+        texts = [f"word{j}, other{k % 4} again. {'z' * 100}" for j in range(k % 5, k % 5 + 4)]
+        assert encoded(encoder, texts) == [library(t) for t in texts]
+        assert len(encoder.young.slots) < 40
 
 
 def test_the_table_is_read_back_from_the_files(spark, docs, tmp_path):
