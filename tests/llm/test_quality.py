@@ -1,8 +1,11 @@
 """The compression classifier: held-out accuracy, bounds and odd input."""
 
+import math
 import random
 
+import numpy as np
 import pytest
+import zstandard
 from fleetledger.llm import quality
 from pyspark.sql import functions as F
 
@@ -102,3 +105,42 @@ def test_a_class_too_small_to_train_keeps_all_its_pieces():
     assert few == b"".join(texts[:3]) and many[:4] == TRAINED and len(many) <= len(few)
     assert quality.dictionaries([], texts)[0] == b"" and quality.dictionaries([], []) == [b"", b""]
     assert quality.dictionaries([b"a"], [b"b"]) == [b"a", b"b"]
+
+
+def test_a_score_equals_a_plain_computation(spark, docs):
+    """Every piece compressed by itself with either dictionary, the features and their weighted sum written out."""
+    rng = random.Random(6)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(2, 8)))
+    rows = [(k, " ".join(word("aeinrst" if k % 2 else "qxzjkw#") for _ in range(rng.randint(1, 400)))) for k in range(120)]
+    model = quality.train(docs(rows), spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int"))
+    asked = [(500 + k, t) for k, (_, t) in enumerate(rows[:20])] + [(600, ""), (601, None), (602, "é" * 5_000)]
+    got = {r.id: r.score for r in quality.score(docs(asked), model).collect()}
+    for i, text in asked:
+        data, odds = (text or "").encode(), []
+        for pair in model:
+            both = []
+            for held in (pair.good, pair.bad):
+                tool = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(held), write_content_size=False, write_dict_id=False)
+                both.append(sum(len(tool.compress(data[a:a + 1_024])) for a in range(0, len(data), 1_024)))
+            good, bad = both
+            lean, ratio, length = (bad - good) / max(1, bad + good), good / max(1, len(data)), math.log(1 + len(data))
+            x = [1, lean, lean * length, length, ratio, ratio * length, min(ratio, 0.2)]
+            odds.append(min(30, max(-30, sum(w * v for w, v in zip(pair.weights, x)))))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-sum(odds) / len(odds))), abs=1e-9)
+
+
+def test_the_calibration_is_at_the_bottom_of_its_loss():
+    rng = np.random.default_rng(2)
+    found = np.stack([rng.integers(50, 500, 300), rng.integers(50, 500, 300), rng.integers(500, 2_000, 300)], axis=1).astype(float)
+    label = (found[:, 0] + rng.normal(0, 100, 300) < found[:, 1]).astype(float)
+    weights = quality.calibrate(found, label)
+    x = quality.features(found)
+    spread = x.std(axis=0) + 1e-9
+
+    def loss(w):
+        odds = x @ np.array(w)
+        return (np.log1p(np.exp(odds)) - label * odds).sum() + 0.15 * ((np.array(w) * spread)[1:] ** 2).sum()
+
+    best = loss(weights)
+    for _ in range(50):
+        assert loss(np.array(weights) + rng.normal(0, 0.02, len(weights)) / np.maximum(spread, 1e-3)) > best - 0.05
