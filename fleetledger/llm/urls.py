@@ -3,7 +3,8 @@
 Built-in functions and Spark's own trees only. The longest rule that fits decides;
 urls without one are judged by trees trained on urls that have a label (in the
 registered query: those a rule decides). The statistics of the hosts' last labels (suffixes)
-are counted over all labelled urls, each suffix by itself, and joined on. Only the fit reads
+are counted over all labelled urls, each suffix by itself, and joined on. In the fit a url's
+suffix is judged by the urls of the other folds only, so that its own label is no input. Only the fit reads
 a sample, of about ``TRAIN_ROWS`` labelled urls: half of it of each kind, or all of a kind
 that has fewer, weighted by how many urls each stands for. Copies are drawn by their number.
 
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ TRAIN_ROWS = 20_000
 TREES = 10
 DEPTH = 4
 PRIOR_ROWS = 20
+FOLDS = 5
 # Suffix statistics up to this size are broadcast; larger ones meet the urls in a shuffle.
 BROADCAST_BYTES = 8 << 20
 
@@ -124,8 +127,14 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
+def fold_of(url: Column) -> Column:
+    """The fold of a url: that of its copies too."""
+    return F.pmod(F.xxhash64(url), F.lit(FOLDS)).cast("int")
+
+
 def _vectors(rows: DataFrame, suffixes: DataFrame, overall: float) -> DataFrame:
-    known = lexical(rows).withColumn("suffix", suffix_of(F.col("host"))).join(suffixes, "suffix", "left")
+    known = lexical(rows).withColumns({"suffix": suffix_of(F.col("host")), "fold": fold_of(F.col("url"))}).join(
+        suffixes, [c for c in ("suffix", "fold") if c in suffixes.columns], "left")
     known = known.fillna({"suffix_rate": overall, "suffix_weight": 0.0})
     return VectorAssembler(inputCols=[*_PLAIN, *_SUFFIX], outputCol="features").transform(known)
 
@@ -150,32 +159,56 @@ def drawn(rows: DataFrame, count: dict[float, int]) -> DataFrame:
                                             F.explode(F.sequence(F.lit(1), "taken")).alias("copy")).drop("copy")
 
 
+def _rates(counts: DataFrame, overall: float, total: int) -> DataFrame:
+    """Suffix statistics from numbers of labelled urls and blocked ones among them."""
+    return counts.select(*[c for c in ("suffix", "fold") if c in counts.columns],
+                         ((F.col("blocked") + PRIOR_ROWS * overall) / (F.col("n") + PRIOR_ROWS)).alias("suffix_rate"),
+                         (F.col("n") / total).alias("suffix_weight"))
+
+
 def train(labelled: DataFrame) -> Model:
     """Fit on (id, url, host, path, decided) rows; ``decided`` is allow or block."""
     rows = labelled.select("id", "url", "host", "path", (F.col("decided") == "block").cast("double").alias("label"))
-    counts = pin(rows.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(F.sum("label").alias("blocked"), F.count("*").alias("n")))
+    by_fold = pin(rows.groupBy(suffix_of(F.col("host")).alias("suffix"), fold_of(F.col("url")).alias("fold"))
+                  .agg(F.sum("label").alias("blocked"), F.count("*").alias("n")))
+    counts = by_fold.groupBy("suffix").agg(F.sum("blocked").alias("blocked"), F.sum("n").alias("n"))
     all_rows = counts.agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"),
                           F.sum(F.octet_length("suffix") + 32).alias("bytes")).first()
     total, blocked = all_rows.n or 0, int(all_rows.blocked or 0)
     if blocked in (0, total):
         return Model(None, "block" if blocked else "allow")
     overall = blocked / total
-    suffixes = counts.select("suffix", ((F.col("blocked") + PRIOR_ROWS * overall) / (F.col("n") + PRIOR_ROWS)).alias("suffix_rate"),
-                             (F.col("n") / total).alias("suffix_weight"))
+    # Of each suffix and fold, the urls of the other folds.
+    others = (counts.withColumnsRenamed({"blocked": "all_blocked", "n": "all_n"}).join(by_fold, "suffix")
+              .select("suffix", "fold", (F.col("all_blocked") - F.col("blocked")).alias("blocked"), (F.col("all_n") - F.col("n")).alias("n")))
+    suffixes, unseen = _rates(counts, overall, total), _rates(others, overall, total)
     if all_rows.bytes <= BROADCAST_BYTES:
-        suffixes = F.broadcast(suffixes)
+        suffixes, unseen = F.broadcast(suffixes), F.broadcast(unseen)  # the second has at most a row for each fold
     # Sorted, so that the trees do not depend on the order in which the shuffle came in.
-    sample = pin(_vectors(drawn(rows, {0.0: total - blocked, 1.0: blocked}), suffixes, overall)
+    sample = pin(_vectors(drawn(rows, {0.0: total - blocked, 1.0: blocked}), unseen, overall)
                  .sortWithinPartitions("label", "id", "url").select("features", "label", "weight"))
     learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False, weightCol="weight")
     return Model(learner.fit(sample), "allow", suffixes, overall)
 
 
 def verdicts(rows: DataFrame, model: Model) -> DataFrame:
-    """(id, host, path, rule, verdict): the rule's verdict, else the trees'."""
+    """(id, host, path, rule, verdict, probability): the rule's verdict, else the trees' and their probability of block."""
     if model.trees is None:
-        guessed = rows.withColumn("guess", F.lit(model.default))
+        guessed = rows.withColumns({"guess": F.lit(model.default), "chance": F.lit(float(model.default == "block"))})
     else:
         scored = model.trees.transform(_vectors(rows, model.suffixes, model.overall))
-        guessed = scored.withColumn("guess", F.when(F.col("prediction") == 1, "block").otherwise("allow"))
-    return guessed.select("id", "host", "path", "rule", F.coalesce("decided", "guess").alias("verdict"))
+        guessed = scored.withColumns({"guess": F.when(F.col("prediction") == 1, "block").otherwise("allow"),
+                                      "chance": vector_to_array("probability")[1]})
+    return guessed.select("id", "host", "path", "rule", F.coalesce("decided", "guess").alias("verdict"),
+                          F.when(F.col("decided").isNull(), F.col("chance")).alias("probability"))
+
+
+def accuracy(labelled: DataFrame, held_out: int = 0) -> DataFrame:
+    """(suffix, decided, n, right) of the labelled urls whose hosts are in one fold, judged by a model of the other hosts."""
+    fold = F.pmod(F.xxhash64("host"), F.lit(FOLDS))
+    model = train(labelled.filter(fold != held_out))
+    own = labelled.filter(fold == held_out)
+    judged_blind = verdicts(own.withColumn("said", F.col("decided")).withColumn("decided", F.lit(None).cast("string"))
+                            .select("id", "url", "host", "path", F.col("said").alias("rule"), "decided"), model)
+    return (judged_blind.groupBy(suffix_of(F.col("host")).alias("suffix"), F.col("rule").alias("decided"))
+            .agg(F.count("*").alias("n"), F.sum((F.col("verdict") == F.col("rule")).cast("long")).alias("right")))

@@ -124,3 +124,37 @@ def test_copies_are_drawn_one_by_one_and_stand_for_all(spark, monkeypatch):
     assert sum(r.label == 1 for r in got) == 30 and 50 <= sum(r.label == 0 for r in got) <= 95
     assert 15 <= sum(r.url == "http://a.com/" for r in got) <= 35
     assert {r.weight for r in got if r.label} == {1.0} and sum(r.weight for r in got) == pytest.approx(6_030, rel=0.3)
+
+
+def test_a_urls_own_label_is_no_input_of_its_fit(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(urls, "_vectors", lambda rows, suffixes, overall, make=urls._vectors: seen.append(suffixes) or make(rows, suffixes, overall))
+    rows = [(k, f"http://h{k}.t{k % 3}/", "block" if k % 3 == 0 else "allow") for k in range(90)] + [(100, "http://only.here/", "block")] * 3
+    frame = spark.createDataFrame(rows, "page_id long, url string, said string")
+    rows_in = urls.judged(frame, []).drop("decided").join(frame.select(F.col("page_id").alias("id"), F.col("said").alias("decided")).distinct(), "id")
+    model = urls.train(rows_in)
+    told = {(r.suffix, r.fold): (r.suffix_rate, r.suffix_weight) for r in seen[0].collect()}
+    counted = collections.defaultdict(lambda: [0, 0])
+    for r in rows_in.select("host", "decided", urls.fold_of(F.col("url")).alias("fold")).collect():
+        counted[r.host.rsplit(".", 1)[-1], r.fold][0] += r.decided == "block"
+        counted[r.host.rsplit(".", 1)[-1], r.fold][1] += 1
+    total, blocked = 93, 33
+    for (suffix, fold), found in told.items():
+        others = [v for (s, f), v in counted.items() if s == suffix and f != fold]
+        b, n = sum(v[0] for v in others), sum(v[1] for v in others)
+        assert found == pytest.approx(((b + 20 * blocked / total) / (n + 20), n / total))
+    assert told.keys() == counted.keys() and [v for (s, _), v in told.items() if s == "here"] == [pytest.approx((blocked / total, 0))]
+    whole = {r.suffix: r.suffix_weight for r in model.suffixes.collect()}
+    assert whole["here"] == pytest.approx(3 / total)
+
+
+def test_probabilities_and_held_out_accuracy(spark, model):
+    rows = urls.judged(spark.createDataFrame(labelled(150, 9), "page_id long, url string, x string"), [])
+    for r in urls.verdicts(rows, model).collect():
+        assert 0 <= r.probability <= 1 and (r.probability > 0.5) == (r.verdict == "block")
+    ruled = urls.verdicts(urls.judged(spark.createDataFrame([(1, "http://x.com/", "")], PAGES), URL_RULES), model).first()
+    assert (ruled.verdict, ruled.probability) == ("allow", None)
+    frame = spark.createDataFrame(labelled(600, 4), "page_id long, url string, said string")
+    known = urls.judged(frame, []).drop("decided").join(frame.select(F.col("page_id").alias("id"), F.col("said").alias("decided")), "id")
+    found = urls.accuracy(known).collect()
+    assert sum(r.right for r in found) / sum(r.n for r in found) > 0.9 and {r.suffix for r in found} <= {"org", "xyz"}
