@@ -74,3 +74,39 @@ def test_few_candidates_none_and_empty_tables(spark):
 def test_large_components_are_exact(spark):
     rows = [(k, [float(3 ** k), float(2 ** (2 * k)), 1e30 if k == 20 else 1.0]) for k in range(24)]
     assert got(frame_of(spark, rows), F.lit(True), 4) == brute(rows, lambda i: True, 4)
+
+
+def test_components_beyond_a_double_take_part(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(1, [1e307, 1e307]), (2, [1.0, -1.0]), (3, [-1e307, 0.5]), (4, [0.0, 1.0]), (5, [1e307, -1.7976931348623157e308]), (6, [])]
+    whole = [(i, [math.floor(64 * int(x)) if abs(x) > 1e300 else math.floor(64 * x) for x in v]) for i, v in rows]
+    want = []
+    for i, q in whole:
+        scored = sorted((-min(max(sum(a * b for a, b in zip(q, v)), -2 ** 63), 2 ** 63 - 1), j) for j, v in whole if j != i)[:4]
+        want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored)]
+    frame = spark.createDataFrame(rows, schema).repartition(2)
+    assert got(frame, F.lit(True), 4) == sorted(want)
+
+
+@pytest.mark.parametrize("cells", [1, 50])
+def test_any_dealing_of_cells_gives_the_same(spark, monkeypatch, cells):
+    monkeypatch.setattr(maxscore, "SHARD", 9)
+    monkeypatch.setattr(maxscore, "QUERIES", 2)
+    monkeypatch.setattr(maxscore, "SHARDS_TOGETHER", 2)
+    monkeypatch.setattr(maxscore, "CELLS_PER_CORE", cells)
+    rng = random.Random(4)
+    rows = [(k, [rng.gauss(0, 0.2) for _ in range(6)]) for k in range(120)]
+    assert got(frame_of(spark, rows), F.col("vec_id") % 5 == 0, 6) == brute(rows, lambda i: i % 5 == 0, 6)
+
+
+def test_clashing_columns_and_wide_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.normal(0, 0.1, 60_000 if k % 3 else 5).astype(np.float32).tolist()) for k in range(9)]
+    clashing = {c: F.lit("mine") for c in ("id", "rank", "score", "group", "block", "cell", "number", "other", "vector")}
+    assert got(frame_of(spark, rows).withColumns(clashing), F.lit(True), 3) == brute(rows, lambda i: True, 3)
+
+
+def test_wide_vectors_make_small_blocks(spark):
+    rows = spark.range(10).select(F.col("id"), F.array_repeat(F.lit(0.5), 1 << 20).alias("vector")).repartition(1)
+    sizes = [r.n for r in maxscore._pack(rows, 512).select("n").collect()]
+    assert sum(sizes) == 10 and max(sizes) <= maxscore.BLOCK_BYTES // (8 << 20)
