@@ -7,7 +7,9 @@ earlier probabilities are predicted by models that haven't seen it.
 
 Training reads a bounded sample, ``SAMPLE_TEXTS`` labelled texts of least id hash for each value of the
 last single category, weighted back to their shares; of the features the
-``SELECTED`` that tell a category most are kept. Scoring reads every text whole.
+``SELECTED`` that tell a category most are kept. Features are counted and picked where the texts are, so
+the driver gets a line per feature and at most ``SELECTED`` places per text. The models of a category, one for each
+fold and one for all, are fitted in a task each. Scoring reads every text whole.
 
 Defined cases: a null text counts as empty and gets the score of no features. Ids that
 are null, labelled more than one way, or without a label of some category don't train; without any
@@ -17,13 +19,15 @@ ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import pin
 from .frames import UPPER, Words, bounded_batches, byte_class, groups, least_hashes, map_batches, spans_hash, utf8
 
 SAMPLE_TEXTS = 6_000
@@ -130,16 +134,17 @@ class Chain:
         return [_sigmoid(o) for o in odds]
 
 
-def _selected(found: np.ndarray, first: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Numbers of the features that differ most between a category's texts and the others (chi-square)."""
-    rows, each = len(first) - 1, SELECTED // len(labels)
-    total = np.bincount(found, minlength=SPACE)
+def _selected(total: np.ndarray, with_label: np.ndarray, texts: int, labelled: np.ndarray) -> np.ndarray:
+    """Numbers of the features that differ most between a category's texts and the others (chi-square).
+
+    ``total`` counts the texts with each feature, ``with_label`` those of each category; ``labelled`` are a category's texts.
+    """
+    each = SELECTED // len(with_label)
     chosen: set[int] = set()
-    for label in labels:
-        n1 = max(1.0, label.sum())
-        with_label = np.bincount(found, np.repeat(label, np.diff(first)), SPACE)
-        expected = total * n1 / max(rows, 1)
-        score = np.where(total >= 3, (with_label - expected) ** 2 / np.maximum(expected * (1 - n1 / max(rows, 1)), 1e-9), 0)
+    for own, n in zip(with_label, labelled):
+        share = max(1.0, float(n)) / max(texts, 1)
+        expected = total * share
+        score = np.where(total >= 3, (own - expected) ** 2 / np.maximum(expected * (1 - share), 1e-9), 0)
         best = np.argsort(-score, kind="stable")[:each]
         chosen.update(best[score[best] > 0].tolist())
     places = np.full(SPACE, -1, np.int16)
@@ -147,6 +152,22 @@ def _selected(found: np.ndarray, first: np.ndarray, labels: np.ndarray) -> np.nd
     return places
 
 
+def _fits(spark: SparkSession, x: Sparse, earlier: list[np.ndarray], label: np.ndarray, weights: list[np.ndarray], width: int) -> list[Linear]:
+    """A model for each of the weightings, each fitted in a task of its own."""
+    held = spark.sparkContext.broadcast((x, earlier, label, weights, width))  # bounded by the sample
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, earlier, label, weights, width = held.value
+        for batch in batches:
+            models = [fit(x, earlier, label, weights[k], width) for k in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([v.tobytes() for v in side], pa.binary()) for side in (
+                [m.words for m in models], [m.dense for m in models])]], names=["id", "words", "dense"])
+
+    found = spark.range(0, len(weights), 1, len(weights)).mapInArrow(task, "id long, words binary, dense binary").collect()
+    held.unpersist()
+    return [Linear(np.frombuffer(r.words), np.frombuffer(r.dense)) for r in sorted(found)]
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], stratum: str, id_col: str = "doc_id",
           text_col: str = "text") -> Chain:
     """Fit the chain on ``labels`` (id, one 0/1 column per category, sampled per value of ``stratum``)."""
@@ -171,34 +192,65 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], strat
     texts = docs.select(F.col(id_col).cast("long").alias("train_id"), F.col(text_col).cast("string").alias("body"))
     # At most two samples of narrow rows are broadcast.
     sample = texts.join(F.broadcast(drawn), "train_id").select("draw", *categories, "body")
-    schema = "draw long, " + ", ".join(f"{c} int" for c in categories) + ", features array<int>"
-    table = map_batches(sample, rows, schema).toArrow().combine_chunks()
-    lists = table["features"].combine_chunks()
-    order = np.lexsort((lists.value_lengths().to_numpy(), table["draw"].to_numpy()))
-    table = table.take(pa.array(order))
-    lists = table["features"].combine_chunks()
-    found = lists.flatten().to_numpy().astype(np.int64)
-    first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+    named = ", ".join(f"{c} int" for c in categories)
+    held = pin(map_batches(sample, rows, f"draw long, {named}, features array<int>"))
+
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column(batch.num_columns - 1)
+        flat, many = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+        feature, place = np.unique(flat, return_inverse=True)
+        weights = [np.ones(len(flat)), *[np.repeat(batch.column(k + 1).to_numpy(zero_copy_only=False), many) for k in range(len(categories))]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(feature, pa.int32()), *[pa.array(np.bincount(place, w, len(feature)).astype(np.int64)) for w in weights]],
+            names=["feature", "n", *[f"n_{k}" for k in range(len(categories))]])
+
+    sums = ["n", *[f"n_{k}" for k in range(len(categories))]]
+    lines = (map_batches(held, counted, "feature int, " + ", ".join(f"{c} long" for c in sums))
+             .groupBy("feature").agg(*[F.sum(c).alias(c) for c in sums]).toArrow())  # at most SPACE lines
+    counts = np.zeros((len(sums), SPACE))
+    counts[:, lines["feature"].to_numpy()] = [lines[c].to_numpy() for c in sums]
+    size = held.agg(F.count("*").alias("texts"), *[F.sum(c).alias(f"n_{k}") for k, c in enumerate(categories)]).first()
+    places = _selected(counts[0], counts[1:], size.texts, np.array([size[f"n_{k}"] or 0 for k in range(len(categories))]))
+    width = int(places.max()) + 1
+
+    def picked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column(batch.num_columns - 1)
+        many = lists.value_lengths().to_numpy(zero_copy_only=False)
+        column = places[lists.flatten().to_numpy(zero_copy_only=False)]
+        row = np.repeat(np.arange(batch.num_rows), many)[column >= 0]
+        first = np.searchsorted(row, np.arange(batch.num_rows + 1))
+        own = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(column[column >= 0], pa.int16()))
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(many, pa.int32()), own],
+                                          names=[*batch.schema.names[:-1], "size", "columns"])
+
+    table = map_batches(held, picked, f"draw long, {named}, size int, columns array<smallint>").toArrow().combine_chunks()
+    lists = table["columns"].combine_chunks()
+    spelled = [x.tobytes() for x in np.split(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1])]
+    draw, total_size = table["draw"].to_numpy(), table["size"].to_numpy()
+    order = sorted(range(len(draw)), key=lambda k: (draw[k], total_size[k], spelled[k]))
+    table = table.take(pa.array(order, pa.int64()))
+    lists = table["columns"].combine_chunks()
     label = {c: table[c].to_numpy().astype(float) for c in categories}
-    weight = np.ones(len(first) - 1)
+    weight = np.ones(table.num_rows)
     for v, n in total.items():
         own = label[stratum] == v
         weight[own] = n / max(1, own.sum())
     fold = table["draw"].to_numpy() % FOLDS
-    places = _selected(found, first, np.stack([label[c] for c in categories]))
-    width = int(places.max()) + 1
-    whole = Sparse.of(found, first, places)
+    whole = Sparse(np.repeat(np.arange(table.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False)),
+                   lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.log1p(table["size"].to_numpy()))
     earlier: list[np.ndarray] = []
     models = []
     for c in categories:
-        models.append(fit(whole, earlier, label[c], weight, width))
-        if c == categories[-1]:
-            break
-        out = np.zeros(len(fold))
-        for f in range(FOLDS):
-            # Only the others' weights count, so the fold's own texts don't train.
-            out[fold == f] = fit(whole, earlier, label[c], weight * (fold != f), width).odds(whole, earlier)[fold == f]
-        earlier = [*earlier, np.clip(out, -8, 8)]
+        last = c == categories[-1]
+        # Only the others' weights count, so a fold's own texts don't train what predicts them.
+        weights = [weight, *([] if last else [weight * (fold != f) for f in range(FOLDS)])]
+        model, *without = _fits(docs.sparkSession, whole, earlier, label[c], weights, width)
+        models.append(model)
+        if not last:
+            out = np.zeros(len(fold))
+            for f, other in enumerate(without):
+                out[fold == f] = other.odds(whole, earlier)[fold == f]
+            earlier = [*earlier, np.clip(out, -8, 8)]
     return Chain(tuple(categories), places, tuple(models))
 
 

@@ -1,6 +1,7 @@
 """The classifier chain: held-out accuracy, folds and odd input."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -90,3 +91,54 @@ def test_the_same_rows_give_the_same_chain(spark, docs):
     column = pa.array([t for _, t in rows])
     a, b = (toxicity.train(docs(r), f, CATEGORIES, "rude").probabilities(column) for r, f in ((rows, frame), (rows[::-1], frame.repartition(3))))
     assert all((x == y).all() for x, y in zip(a, b))
+
+
+def plain_features(text):
+    """Distinct words and beginnings, spelled out."""
+    words = re.findall(r"[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    return {(k, w.encode()[:n]) for w in words for k, n in enumerate((10 ** 9, *toxicity.BEGINNINGS))}
+
+
+def test_scores_equal_a_plain_computation(chain):
+    """Each probability from the features one by one, the sums written out."""
+    rows, _ = corpus(40, 21)
+    column = pa.array([t for _, t in rows] + ["", None])
+    got = chain.probabilities(column)
+    for k, text in enumerate(column.to_pylist()):
+        found = set()
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        found, _ = toxicity.features(raw, np.array([0, len(raw)]))
+        assert len(found) == len(plain_features(text or ""))  # no two features of these texts share a hash
+        odds = []
+        for model, p in zip(chain.models, got):
+            own = sum(model.words[chain.places[f]] for f in found.tolist() if chain.places[f] >= 0)
+            own += sum(w * x for w, x in zip(model.dense, [1.0, np.log1p(len(found)), *odds]))
+            odds.append(min(8.0, max(-8.0, own)))
+            assert abs(p[k] - 1 / (1 + np.exp(-odds[-1]))) < 1e-9
+
+
+def test_models_are_at_the_bottom_of_their_loss(spark, docs, chain):
+    """The fitted weights beat any small change of them."""
+    rng = np.random.default_rng(0)
+    x = toxicity.Sparse(np.repeat(np.arange(200), 3), rng.integers(0, 20, 600), rng.random(200))
+    label = (rng.random(200) < 0.4).astype(float)
+    weight = rng.random(200) + 0.1
+    model = toxicity.fit(x, [], label, weight, 20, ridge=0.01, steps=4_000)
+
+    def loss(words, dense):
+        p = 1 / (1 + np.exp(-toxicity.Linear(words, dense).odds(x, [])))
+        return -(weight / weight.sum() * (label * np.log(p) + (1 - label) * np.log(1 - p))).sum() + 0.005 * (words ** 2).sum()
+
+    best = loss(model.words, model.dense)
+    for _ in range(30):
+        assert loss(model.words + rng.normal(0, 0.05, 20), model.dense + rng.normal(0, 0.05, 2)) > best - 1e-5
+
+
+def test_fits_in_tasks_equal_fits_here(spark):
+    rng = np.random.default_rng(1)
+    x = toxicity.Sparse(np.repeat(np.arange(50), 2), rng.integers(0, 6, 100), rng.random(50))
+    label, earlier = (rng.random(50) < 0.5).astype(float), [rng.normal(size=50)]
+    weights = [np.ones(50), np.arange(50) % 2 + 0.0]
+    for model, weight in zip(toxicity._fits(spark, x, earlier, label, weights, 6), weights):
+        here = toxicity.fit(x, earlier, label, weight, 6)
+        assert (model.words == here.words).all() and (model.dense == here.dense).all()
