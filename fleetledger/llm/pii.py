@@ -7,12 +7,18 @@ several groups) share an edge from each to the occurrence before it and to the f
 any two are a few links apart. Loopy message passing over that graph, with the base spans
 observed, goes on in each document until its messages stand still and gives
 every token its label probabilities; tokens that are surely of a kind, and in no base
-span, become further spans of that kind. Each batch's documents are one graph, so
-messages are whole numpy arrays, and a token has at most two edges back for each of its keys.
+span, become further spans of that kind. Documents share a graph up to ``GRAPH_TOKENS`` tokens, so
+messages are whole numpy arrays of a bounded size, and a token has at most two edges back for each of its keys.
+A document of more tokens is taken in windows of so many: links go within a window, and a token that
+resembles a base span elsewhere in the document gets that span's message all the same.
 
 The field's weights are fitted here by pseudo-likelihood on a bounded sample, labelled
 by the base spans: at most ``TRAIN_TOKENS`` tokens of least hash, out of the about
-``TRAIN_DOCS`` documents of least id hash.
+``TRAIN_DOCS`` documents of least id hash. Every token is learned from twice: as it is, and as a repeat
+whose form is hidden behind that of a token without kind, so that only its links tell what it is. That
+teaches the field to call repeats that no pattern matches.
+
+Messages that swing for ever end after ``ROUNDS`` rounds; ``at_rest`` tells for each row whether they stood still.
 
 Defined cases: null counts as empty and has no spans; without a token to train on,
 the field adds nothing; spans of different kinds may overlap, those of one kind don't.
@@ -49,6 +55,7 @@ STILL = 1e-3
 ROUNDS = 200
 TAIL = 7  # digits at the end by which numbers resemble each other
 SURE = 0.9
+GRAPH_TOKENS = 20_000
 
 _MARKS = byte_class(b"0123456789@")
 _DIGIT = re.compile(r"[0-9]")
@@ -141,6 +148,87 @@ def _group_keys(groups: list[str]) -> list[list[str]]:
     return keys
 
 
+Token = tuple[int, int, int, str, str]  # number, start, end, token before, token after
+
+
+def _tokens(text: str) -> Iterator[Token]:
+    """The tokens with a digit or an @, with their neighbours."""
+    number, before, found = -1, "", None
+    for m in _TOKEN.finditer(text):
+        token = m[0]
+        if found is not None:
+            yield (*found, token)
+            found = None
+        number += 1
+        if "@" in token or _DIGIT.search(token):
+            found = number, m.start(), m.end(), before
+        before = token
+    if found is not None:
+        yield (*found, "")
+
+
+class _Document:
+    """One document's tokens on their way into graphs: their labels, and the keys by which they are linked."""
+
+    def __init__(self, text: str, spans: list[Span]):
+        self.text, self.spans, self.next_span, self.last = text, spans, 0, -2
+        self.keys: list[list[str]] = []
+        self.run: list[str] = []  # the groups of digits that the last tokens are
+
+    def label(self, a: int, b: int) -> int:
+        """The kind (from 1) of the first base span that a token is in; 0 for none. Tokens must follow one another."""
+        while self.next_span < len(self.spans) and self.spans[self.next_span][1] <= a:
+            self.next_span += 1
+        for start, end, kind in self.spans[self.next_span:]:
+            if start >= b:  # spans go by their start
+                return 0
+            if end > a:
+                return kind + 1
+        return 0
+
+    def link(self, number: int, token: str) -> bool:
+        """Take in the token's keys; whether it follows the one before it."""
+        follows = self.last == number - 1
+        grouped = not _LETTER.search(token) and "@" not in token
+        if not follows or not grouped:
+            self.close()
+        self.last = number
+        self.keys.append(_likeness(token))
+        if grouped:
+            self.run.append(_digits(token))
+        return follows
+
+    def close(self) -> None:
+        for own, more in zip(self.keys[len(self.keys) - len(self.run):], _group_keys(self.run)):
+            own += more
+        self.run.clear()
+
+    def taken(self) -> list[list[str]]:
+        """The keys of the tokens since the last call."""
+        self.close()
+        keys, self.keys, self.last = self.keys, [], -2
+        return keys
+
+
+def _evidence(text: str, spans: list[Span]) -> dict[str, int]:
+    """The label of each key that a token of a base span has, the first one's."""
+    document, found, labels = _Document(text, spans), {}, []
+
+    def note() -> None:
+        for keys, label in zip(document.taken(), labels):
+            for key in keys if label else ():
+                found.setdefault(key, label)
+        labels.clear()
+
+    for number, a, b, _, _ in _tokens(text):
+        labels.append(document.label(a, b))
+        document.link(number, text[a:b])
+        if len(labels) == GRAPH_TOKENS:
+            note()
+    note()
+    return found
+
+
 @dataclass
 class Graph:
     """The tokens of some documents; label 0 is none, k + 1 is kind k."""
@@ -151,51 +239,74 @@ class Graph:
     label: list[int] = field(default_factory=list)
     chain: list[tuple[int, int]] = field(default_factory=list)
     skip: list[tuple[int, int]] = field(default_factory=list)
+    # Tokens that resemble a base span outside the graph, and its label.
+    hints: list[tuple[int, int]] = field(default_factory=list)
 
     def add(self, owner: int, text: str, spans: list[Span]) -> None:
-        words = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
-        keys: list[list[str]] = []
-        run: list[str] = []  # the groups of digits that the last tokens are
-        first_node, before, next_span = len(self.owner), -2, 0
-
-        def close() -> None:
-            for own, more in zip(keys[len(keys) - len(run):], _group_keys(run)):
-                own += more
-            run.clear()
-
-        for k, (a, b) in enumerate(words):
-            token = text[a:b]
-            if "@" not in token and not _DIGIT.search(token):
-                continue
-            node = len(self.owner)
-            while next_span < len(spans) and spans[next_span][1] <= a:
-                next_span += 1
-            own = next((kind + 1 for s, e, kind in spans[next_span:next_span + 8] if s < b and e > a), 0)
-            self.owner.append(owner)
-            self.bounds.append((a, b))
-            self.label.append(own)
-            self.features.append(_features(token, text[slice(*words[k - 1])] if k else "",
-                                           text[slice(*words[k + 1])] if k + 1 < len(words) else ""))
-            if before == k - 1:
-                self.chain.append((node - 1, node))
-            grouped = not _LETTER.search(token) and "@" not in token
-            if before != k - 1 or not grouped:
-                close()
-            before = k
-            keys.append(_likeness(token))
-            if grouped:
-                run.append(_digits(token))
-        close()
+        """A whole document."""
+        document = _Document(text, spans)
+        first = len(self.owner)
+        for token in _tokens(text):
+            self._take(owner, document, token)
+        self._link(first, document, {})
+
+    def _take(self, owner: int, document: _Document, found: Token) -> None:
+        number, a, b, before, after = found
+        node, token = len(self.owner), document.text[a:b]
+        self.owner.append(owner)
+        self.bounds.append((a, b))
+        self.label.append(document.label(a, b))
+        self.features.append(_features(token, before, after))
+        if document.link(number, token):
+            self.chain.append((node - 1, node))
+
+    def cut(self, first: int) -> Graph:
+        """Take the nodes from ``first`` on, which are not linked yet, into a graph of their own."""
+        kept = Graph(self.owner[first:], self.bounds[first:], self.features[first:], self.label[first:],
+                     [(a - first, b - first) for a, b in self.chain if a >= first])
+        for column in (self.owner, self.bounds, self.features, self.label):
+            del column[first:]
+        self.chain = [(a, b) for a, b in self.chain if b < first]
+        return kept
+
+    def _link(self, first_node: int, document: _Document, evidence: dict[str, int]) -> None:
         first: dict[str, int] = {}
         latest: dict[str, int] = {}
-        for node, own in enumerate(keys, first_node):
+        for node, own in enumerate(document.taken(), first_node):
             links = {seen[key] for key in own for seen in (first, latest) if key in seen}
             self.skip.extend((other, node) for other in sorted(links))
+            if evidence and not self.label[node]:
+                self.hints.extend((node, label) for label in {evidence[key] for key in own if key in evidence and key not in first})
             for key in own:
                 first.setdefault(key, node)
                 latest[key] = node
 
 
+def graphs(documents: Iterator[tuple[int, str, list[Span]]], most: int | None = None) -> Iterator[Graph]:
+    """Graphs of at most ``most`` tokens, whole documents together; one with more tokens in windows of its own."""
+    most = most or GRAPH_TOKENS
+    graph = Graph()
+    for owner, text, spans in documents:
+        document, first = _Document(text, spans), len(graph.owner)
+        evidence: dict[str, int] | None = None
+        for token in _tokens(text):
+            if len(graph.owner) == most:
+                if first:  # what came before goes first; the document begins anew in the next graph
+                    kept = graph.cut(first)
+                    yield graph
+                    graph, first = kept, 0
+                else:
+                    if evidence is None:
+                        evidence = _evidence(text, spans)
+                    graph._link(0, document, evidence)
+                    yield graph
+                    graph = Graph()
+            graph._take(owner, document, token)
+        graph._link(first, document, evidence or {})
+    if graph.owner:
+        yield graph
+
+
 LABELS = len(KINDS) + 1
 
 
@@ -240,10 +351,18 @@ def fit(features: list[list[int]], label: np.ndarray, before: np.ndarray, after:
 
 def marginals(graph: Graph, model: Field, rounds: int = ROUNDS, damping: float = 0.5) -> np.ndarray:
     """Label probabilities of every token by loopy message passing; tokens of base spans are observed."""
+    return _passed(graph, model, rounds, damping)[0]
+
+
+def _passed(graph: Graph, model: Field, rounds: int = ROUNDS, damping: float = 0.5) -> tuple[np.ndarray, set[int]]:
+    """The same, and the documents whose messages did not come to rest."""
     n = len(graph.owner)
     unary = np.zeros((n, LABELS))
     row = np.repeat(np.arange(n), [len(f) for f in graph.features])
     np.add.at(unary, row, model.node[np.fromiter((c for f in graph.features for c in f), np.int64, len(row))])
+    if graph.hints:
+        node, told = np.array(graph.hints, np.int64).T
+        np.add.at(unary, node, model.skip[told])
     label = np.array(graph.label, np.int64)
     unary[label > 0] = -20.0
     unary[label > 0, label[label > 0]] = 20.0
@@ -251,31 +370,33 @@ def marginals(graph: Graph, model: Field, rounds: int = ROUNDS, damping: float =
     source = np.concatenate([chain[:, 0], skip[:, 0], chain[:, 1], skip[:, 1]])
     target = np.concatenate([chain[:, 1], skip[:, 1], chain[:, 0], skip[:, 0]])
     half = len(source) // 2
-    pair = np.concatenate([np.broadcast_to(m, (k, LABELS, LABELS)) for m, k in (
-        (model.chain, len(chain)), (model.skip, len(skip)), (model.chain.T, len(chain)), (model.skip.T, len(skip)))])
+    # One matrix for each kind of edge and direction.
+    tables = (model.chain, model.skip, model.chain.T, model.skip.T)
+    kind = np.repeat(np.arange(4, dtype=np.int8), [len(chain), len(skip)] * 2)
     back = np.concatenate([np.arange(half, 2 * half), np.arange(half)])
     message = np.zeros((2 * half, LABELS))
     owner = np.array(graph.owner, np.int64)[target]
-    moving, pairs = np.arange(2 * half), pair  # the edges of documents that are not at rest
+    moving = np.arange(2 * half)  # the edges of documents that are not at rest
     for _ in range(rounds):
         if not len(moving):
             break
         total = unary.copy()
         np.add.at(total, target[moving], message[moving])
-        sent = (total[source[moving]] - message[back[moving]])[:, :, None] + pairs
-        top = sent.max(axis=1)
-        fresh = top + np.log(np.exp(sent - top[:, None, :]).sum(axis=1))
+        sent = total[source[moving]] - message[back[moving]]
+        fresh, kinds = np.empty_like(sent), kind[moving]
+        for k, table in enumerate(tables):
+            mine = np.flatnonzero(kinds == k)
+            scores = sent[mine][:, :, None] + table
+            top = scores.max(axis=1)
+            fresh[mine] = top + np.log(np.exp(scores - top[:, None, :]).sum(axis=1))
         fresh -= fresh.max(axis=1, keepdims=True)
         fresh = damping * message[moving] + (1 - damping) * fresh
         change = np.zeros(owner.max() + 1)
         np.maximum.at(change, owner[moving], np.abs(fresh - message[moving]).max(axis=1))
         message[moving] = fresh
-        rest = change[owner[moving]] <= STILL
-        if rest.any():
-            moving = moving[~rest]
-            pairs = pair[moving]
+        moving = moving[change[owner[moving]] > STILL]
     np.add.at(unary, target, message)
-    return _normal(unary) if n else unary
+    return (_normal(unary) if n else unary), set(owner[moving].tolist())
 
 
 def added_spans(graph: Graph, sure: np.ndarray, texts: dict[int, str]) -> dict[int, list[Span]]:
@@ -308,20 +429,45 @@ def _marked(column: pa.Array) -> Iterator[tuple[int, str]]:
         yield k, data[offsets[k]:offsets[k + 1]].decode()
 
 
-def find(column: pa.Array, model: Field) -> dict[int, tuple[list[Span], list[Span]]]:
-    """(base, all) spans of the rows that have any."""
-    graph, base, texts = Graph(), {}, {}
-    for k, text in _marked(column):
-        base[k], texts[k] = base_spans(text), text
-        graph.add(k, text, base[k])
-    more = added_spans(graph, marginals(graph, model), texts) if graph.owner else {}
+def find(column: pa.Array, model: Field) -> dict[int, tuple[list[Span], list[Span], bool]]:
+    """(base, all, at rest) of the rows that have a digit or an @."""
+    base: dict[int, list[Span]] = {}
+    texts: dict[int, str] = {}
+    more: dict[int, list[Span]] = {}
+    moving: set[int] = set()
+
+    def documents() -> Iterator[tuple[int, str, list[Span]]]:
+        for k, text in _marked(column):
+            base[k], texts[k] = base_spans(text), text
+            yield k, text, base[k]
+
+    for graph in graphs(documents()):
+        sure, unsettled = _passed(graph, model)
+        moving |= unsettled
+        for k, own in added_spans(graph, sure, texts).items():
+            more.setdefault(k, []).extend(own)
+        for k in [k for k in texts if k < graph.owner[-1]]:
+            del texts[k]
     found = {}
     for k, own in base.items():
-        clear = [s for s in more.get(k, []) if not any(s[0] < e and b < s[1] for b, e, _ in own)] if k in more else []
-        found[k] = own, sorted(own + clear, key=lambda s: (s[0], s[2]))
+        found[k] = own, sorted(own + _clear(more[k], own), key=lambda s: (s[0], s[2])) if k in more else own, k not in moving
     return found
 
 
+def _clear(spans: list[Span], base: list[Span]) -> list[Span]:
+    """Those of ``spans`` (by start) that no base span meets."""
+    if not base:
+        return spans
+    starts = np.array([a for a, _, _ in base])
+    reach = np.maximum.accumulate([b for _, b, _ in base])  # the furthest end so far
+    kept = []
+    for span in spans:
+        before = int(np.searchsorted(starts, span[1])) - 1  # the last base span that starts before this one ends
+        if before < 0 or reach[before] <= span[0]:
+            kept.append(span)
+    return kept
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Fit the field on a sample of the tokens of ``docs``."""
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -350,8 +496,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
     tokens = map_batches(plain, rows, "draw long, at long, label long, before long, after long, linked array<long>, features array<long>")
     sample = (tokens.orderBy(F.xxhash64("draw", "at"), "draw", "at", "label", "before", "after").limit(TRAIN_TOKENS).collect())
     label, before, after = (np.array([r[c] for r in sample], np.int64) for c in ("label", "before", "after"))
-    return fit([r.features for r in sample], label, before, after,
-               np.array([r.linked for r in sample], float).reshape(-1, LABELS))
+    linked = np.array([r.linked for r in sample], float).reshape(-1, LABELS)
+    # Once more as repeats in another form: of a base span's token, linked to one of its kind, only the form of a token
+    # without kind shows, and of others only the bias.
+    bias = _features("0", "", "")[:1]
+    plain_forms = [r.features for r in sample if not r.label] or [bias]
+    forms = [plain_forms[k % len(plain_forms)] if own else bias for k, own in enumerate(label)]
+    hidden = linked.copy()
+    hidden[label > 0, label[label > 0]] = np.maximum(hidden[label > 0, label[label > 0]], 1)
+    alone = (before == label) | (after == label)  # its neighbours are of the same span, and would be hidden too
+    return fit([*[r.features for r in sample], *forms], np.concatenate([label, label]),
+               np.concatenate([before, np.where(alone, -1, before)]), np.concatenate([after, np.where(alone, -1, after)]),
+               np.concatenate([linked, hidden]))
 
 
 def _joined(spans: list[Span]) -> str:
@@ -359,20 +515,20 @@ def _joined(spans: list[Span]) -> str:
 
 
 def spans(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base, spans) of every row; the counts are of base spans."""
+    """(id, n_email, n_ip, n_card, n_phone, base, spans, at_rest) of every row; the counts are of base spans."""
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, found = batch.num_rows, find(batch.column(1), model)
-        counts, base, every = np.zeros((len(KINDS), n), np.int64), [""] * n, [""] * n
-        for k, (own, all_own) in found.items():
+        counts, base, every, rest = np.zeros((len(KINDS), n), np.int64), [""] * n, [""] * n, [True] * n
+        for k, (own, all_own, still) in found.items():
             for _, _, kind in own:
                 counts[kind, k] += 1
-            base[k], every[k] = _joined(own), _joined(all_own)
+            base[k], every[k], rest[k] = _joined(own), _joined(all_own), still
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), *map(pa.array, counts), pa.array(base, pa.string()), pa.array(every, pa.string())],
-            names=["id", *(f"n_{k}" for k in KINDS), "base", "spans"])
+            [batch.column(0), *map(pa.array, counts), pa.array(base, pa.string()), pa.array(every, pa.string()), pa.array(rest, pa.bool_())],
+            names=["id", *(f"n_{k}" for k in KINDS), "base", "spans", "at_rest"])
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(plain, rows, "id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
+    return map_batches(plain, rows, "id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string, at_rest boolean")
 
 
 def masked(text: str, found: list[Span]) -> str:
@@ -393,11 +549,11 @@ def redact(docs: DataFrame, model: Field, text_col: str = "text", length_col: st
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(at)
         found = find(column, model)
-        if not any(every for _, every in found.values()):
+        if not any(every for _, every, _ in found.values()):
             return batch
         text = column.to_pylist()
         length = batch.column(length_at).to_pylist() if length_at is not None else []
-        for k, (_, every) in found.items():
+        for k, (_, every, _) in found.items():
             text[k] = masked(text[k], every)
             if every and length:
                 length[k] = len(text[k])

@@ -1,9 +1,12 @@
 """Base spans against the plain patterns, and what the field adds to them."""
 
+import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fleetledger.llm import pii
 from hypothesis import given, settings
@@ -156,3 +159,85 @@ def test_a_document_is_judged_alike_in_any_batch():
     both.add(1, "555-123456 1 2 " * 50, [(0, 10, 3)])
     own = pii.marginals(alone, field)
     assert (pii.marginals(both, field)[:len(own)] == own).all()
+
+
+def enumerated(graph, field):
+    """Exact marginals: every labelling, weighed."""
+    n, total = len(graph.owner), np.zeros((len(graph.owner), pii.LABELS))
+    for labels in itertools.product(range(pii.LABELS), repeat=n):
+        if any(own and own != given for own, given in zip(graph.label, labels)):
+            continue
+        score = sum(field.node[f, y] for y, fs in zip(labels, graph.features) for f in fs)
+        score += sum(field.chain[labels[a], labels[b]] for a, b in graph.chain) + sum(field.skip[labels[a], labels[b]] for a, b in graph.skip)
+        for k, y in enumerate(labels):
+            total[k, y] += np.exp(score)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_marginals_are_exact_where_no_links_form_a_ring(seed):
+    rng = np.random.default_rng(seed)
+    link = rng.normal(size=(pii.LABELS, pii.LABELS))
+    field = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(pii.LABELS, pii.LABELS)), link + link.T)
+    graph = pii.Graph(owner=[0] * 6, features=[[k, 7] for k in range(6)], label=[0, 0, 2, 0, 0, 0], chain=[(0, 1), (1, 2), (3, 4)], skip=[(1, 3), (0, 5)])
+    assert np.abs(pii.marginals(graph, field) - enumerated(graph, field)).max() < 5e-3
+    ring = pii.Graph(owner=[0] * 5, features=[[k] for k in range(5)], label=[0, 4, 0, 0, 0], chain=[(0, 1), (1, 2)], skip=[(0, 2), (2, 3), (3, 4)])
+    assert np.abs(pii.marginals(ring, field) - enumerated(ring, field)).max() < 0.15  # loopy: near, not exact
+
+
+def repeated(n=200, seed=11):
+    """Documents that name a number in full, and once more in a form that no pattern matches."""
+    rng, rows = random.Random(seed), []
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 8)))
+    for k in range(n):
+        a, b, c = rng.randint(200, 999), rng.randint(200, 999), rng.randint(1000, 9999)
+        partial = [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a} {b} {c}", f"{a}.{b}.{c}"][k % 4]
+        words = [word() for _ in range(60)] + [str(rng.randint(1, 99)), f"v{rng.randint(1, 9)}.0"]
+        words.insert(rng.randrange(20), f"+1 {a} {b} {c}")
+        words.insert(rng.randrange(30, 60), partial)
+        rows.append((k, " ".join(words), f"{b}" if k % 4 in (0, 2) else partial, f"{c}"))
+    return rows
+
+
+def test_repeats_that_no_pattern_matches_are_found(spark, docs, model):
+    rows = repeated()
+    got = {r.doc_id: r for r in pii.spans(docs([(i, t) for i, t, _, _ in rows]), model).withColumnRenamed("id", "doc_id").collect()}
+    hit = clean = 0
+    for i, text, _, last in rows:
+        base = [(a, b) for a, b, _ in plain(text)]
+        added = [(int(a), int(b)) for k, a, b in (x.split(":") for x in got[i].spans.split(",")) if k == "phone" and (int(a), int(b)) not in base]
+        assert got[i].base == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, b, k in plain(text)) and got[i].at_rest
+        hit += any(last in text[a:b] for a, b in added)
+        clean += all(last in text[a:b] or str(text[a:b]).strip("().-").isdigit() or "-" in text[a:b] for a, b in added)
+    assert hit / len(rows) >= 0.9 and clean / len(rows) > 0.95
+
+
+def test_windows_of_a_long_document_bear_on_one_another(monkeypatch):
+    field = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), 4 * np.eye(pii.LABELS))
+    text = " ".join(["555-123456 x"] + [f"{k:04d} y" for k in range(300)] + ["555-123456"])
+    spans = [(0, 10, 3)]
+    made = list(pii.graphs(iter([(0, "1 a 2", []), (1, text, spans), (2, "3 b", [])]), 50))
+    assert [len(g.owner) for g in made] == [2, 50, 50, 50, 50, 50, 50, 3]
+    assert [o for g in made for o in dict.fromkeys(g.owner)] == [0, *[1] * 6, 1, 2]
+    assert pii.marginals(made[-1], field)[-2].argmax() == 4 and made[-1].hints == [(1, 4)]
+    backwards = " ".join(["555-123456 x"] + [f"{k:04d} y" for k in range(300)] + ["555-123456"])
+    first = next(pii.graphs(iter([(1, backwards, [(len(backwards) - 10, len(backwards), 3)])]), 50))
+    assert pii.marginals(first, field)[0].argmax() == 4
+    whole = pii.Graph()
+    whole.add(1, text, spans)
+    assert sum(len(g.owner) for g in made[1:]) == len(whole.owner) + 1
+
+
+def test_a_batch_of_numbers_takes_bounded_memory():
+    text = " ".join(f"{k:07d}" for k in range(60_000))
+    assert max(len(g.owner) for g in pii.graphs(iter([(0, text, [])]))) == pii.GRAPH_TOKENS
+    model = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), np.eye(pii.LABELS))
+    tracemalloc.start()
+    pii.find(pa.array([text]), model)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
+def test_a_span_is_clear_of_base_spans_or_goes():
+    base = [(5, 9, 0), (6, 30, 1), (40, 50, 2)]
+    assert pii._clear([(0, 5, 3), (0, 6, 3), (25, 28, 3), (30, 40, 3), (49, 55, 3), (50, 60, 3)], base) == [(0, 5, 3), (30, 40, 3), (50, 60, 3)]
