@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 from .components import components
-from .frames import LOWER, UPPER, groups, map_batches, mix, shuffle_partitions, unused, utf8
+from .frames import LOWER, UPPER, groups, map_batches, mix, partitions_for, unused, utf8
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -205,7 +205,7 @@ def links(prints: DataFrame, bits: int = MAX_BITS, pivots: int = PIVOTS, bucket:
         found = bucket_links(table["bucket"].to_numpy(), table["fingerprint"].to_numpy().view(np.uint64), bits, references)
         return pa.table({"u": found[0].view(np.int64), "v": found[1].view(np.int64)})
 
-    parts = 4 * shuffle_partitions(prints.sparkSession)
+    parts = 4 * partitions_for(prints)  # a fingerprint is in four buckets
     return (_buckets(prints, bits, bucket)
             .select(F.pmod("bucket", F.lit(parts)).alias("part"), "bucket", "fingerprint")
             .groupBy("part").applyInArrow(task, "u long, v long"))
