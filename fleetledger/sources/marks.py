@@ -23,7 +23,8 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def _read(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
     fs, place = file_system(spark, path)
     stream = fs.open(place)
     try:
@@ -57,7 +58,7 @@ def numbers(spark: SparkSession, folder: str) -> list[int]:
 
 
 def content(spark: SparkSession, folder: str, name: int | str) -> str:
-    return _read(spark, f"{folder}/{_named(name)}/{_FILE}").split("\n", 1)[1]
+    return read_text(spark, f"{folder}/{_named(name)}/{_FILE}").split("\n", 1)[1]
 
 
 def latest(spark: SparkSession, folder: str) -> tuple[int, str] | None:
@@ -75,7 +76,7 @@ def claim(spark: SparkSession, folder: str, name: int | str, text: str) -> bool:
         return False
     _write(spark, f"{passing}/{_FILE}", f"{token}\n{text}")
     fs.rename(file_system(spark, passing)[1], place)
-    won = _read(spark, f"{target}/{_FILE}").startswith(token)
+    won = read_text(spark, f"{target}/{_FILE}").startswith(token)
     if not won:
         delete(spark, passing)
         delete(spark, f"{target}/_{token}")

@@ -184,7 +184,8 @@ def read_events(spark: SparkSession, path: str, name: str, from_block: int = 0,
 
 
 def read_log_lines(spark: SparkSession, path: str | Sequence[str], field: int = 6, stream_field: int | None = None,
-                   start: str | None = None, end: str | None = None, time_field: int | None = None) -> DataFrame:
+                   start: str | None = None, end: str | None = None, time_field: int | None = None,
+                   modified_after: str | None = None, modified_before: str | None = None) -> DataFrame:
     """Log files as (stream, block, line_no, line), the line being one ``|``-separated field.
 
     A stream is a file, or the value of ``stream_field`` where a file holds several.
@@ -193,10 +194,14 @@ def read_log_lines(spark: SparkSession, path: str | Sequence[str], field: int =
     the file and that offset, so each split is one block of ``logs.publish_stats``, and a
     stream goes on from one file to the next in the order of their names. ``start`` and
     ``end`` keep lines whose ``time_field`` is in that half-open range; a line without a
-    readable time is in no range.
+    readable time is in no range. ``modified_after`` and ``modified_before`` (``YYYY-MM-DDTHH:MM:SS``) leave out
+    files by the time they were written, before any is opened.
     """
     stream = F.col("_metadata.file_path") if stream_field is None else logs.cut_field("value", stream_field)
-    raw = spark.read.text(path if isinstance(path, str) else list(path)).select(
+    reader = spark.read
+    for option, at in (("modifiedAfter", modified_after), ("modifiedBefore", modified_before)):
+        reader = reader if at is None else reader.option(option, at)
+    raw = reader.text(path if isinstance(path, str) else list(path)).select(
         stream.alias("stream"), F.struct("_metadata.file_path", "_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"), "value")
     if time_field is not None:

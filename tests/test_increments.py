@@ -194,6 +194,18 @@ def test_trips_that_land_again_add_nothing(spark, tmp_path):
     assert alone is None and incremental.routes(spark, fresh + "_out").count() == len(second)
 
 
+def test_a_new_checkpoint_overwrites_nothing_and_adds_nothing(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    for k in range(3):
+        land(spark, landing, range(10 * k, 10 * k + 10))
+        rows = stream(spark, tmp_path)
+    (tmp_path / "checkpoint").rename(tmp_path / "lost")
+    assert stream(spark, tmp_path) == rows  # all files are read again, in one batch
+    land(spark, landing, range(25, 35))
+    after = stream(spark, tmp_path)
+    assert set(rows) < set(after) and {r[-1] for r in after} == {0, 1, 2, 4}
+
+
 def test_a_trip_that_was_set_aside_may_come_again(spark, tmp_path):
     landing = str(tmp_path / "landing")
     bad = [(3, "G0", "soon", "2024-01-01 11:00:00", 1000.0, None, 0, 0, 0, 0, "motorbike", datetime.date(2024, 1, 1))]
@@ -251,6 +263,10 @@ def test_a_log_range_opens_the_files_of_its_times(spark, tmp_path):
     want = readers.read_log_lines(spark, logs, time_field=1, start=span[0], end=span[1])
     assert sorted(r.line for r in found.collect()) == sorted(r.line for r in want.collect()) and found.count() == 9
     assert log_index.read_range(spark, index, 1, "2025-01-01").count() == 0
+    oldest = min((tmp_path / "a log").glob("part-*"), key=os.path.getmtime)
+    os.utime(oldest, (1_700_000_000, 1_700_000_000))
+    assert len(readers.read_log_lines(spark, logs, modified_after="2023-12-01T00:00:00").inputFiles()) == 4
+    assert readers.read_log_lines(spark, logs, modified_before="2023-12-01T00:00:00").inputFiles()[0].endswith(oldest.name)
 
 
 def test_a_list_of_dates_prunes_the_catalog_table(spark, tmp_path):
