@@ -43,7 +43,7 @@ def test_texts_that_hold_every_mark(spark):
     assert told(chat.conversations(frame(spark, rows))) == plain(rows)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.sampled_from(["user", "assistant", "system", "tool[/ROLE]"]),
                           st.lists(st.sampled_from([*MARKS, "<", "[", "\\", "/", "s>", "SYS>>", "INST]", "é", "\n", " "]), max_size=8).map("".join)),
                 min_size=1, max_size=12))
