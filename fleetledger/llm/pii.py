@@ -6,8 +6,8 @@ or resemble each other (same text, same last digits, also those of a number writ
 several groups) share an edge from each to the occurrence before it and to the first one, so
 any two are a few links apart. Loopy message passing over that graph, with the base spans
 observed, goes on in each document until its messages stand still and gives
-every token its label probabilities; tokens that are surely of a kind, and in no base
-span, become further spans of that kind. Documents share a graph up to ``GRAPH_TOKENS`` tokens, so
+every token its label probabilities; tokens that are surely of a kind that the document has a
+base span of, and in no base span, become further spans of that kind. Documents share a graph up to ``GRAPH_TOKENS`` tokens, so
 messages are whole numpy arrays of a bounded size, and a token has at most two edges back for each of its keys.
 A document of more tokens is taken in windows of so many: links go within a window, and a token that
 resembles a base span elsewhere in the document gets that span's message all the same.
@@ -450,7 +450,9 @@ def find(column: pa.Array, model: Field) -> dict[int, tuple[list[Span], list[Spa
             del texts[k]
     found = {}
     for k, own in base.items():
-        found[k] = own, sorted(own + _clear(more[k], own), key=lambda s: (s[0], s[2])) if k in more else own, k not in moving
+        kinds = {kind for _, _, kind in own}  # a document's own spans bear out what is added
+        borne = [s for s in more.get(k, []) if s[2] in kinds]
+        found[k] = own, sorted(own + _clear(borne, own), key=lambda s: (s[0], s[2])) if borne else own, k not in moving
     return found
 
 

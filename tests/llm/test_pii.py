@@ -241,3 +241,9 @@ def test_a_batch_of_numbers_takes_bounded_memory():
 def test_a_span_is_clear_of_base_spans_or_goes():
     base = [(5, 9, 0), (6, 30, 1), (40, 50, 2)]
     assert pii._clear([(0, 5, 3), (0, 6, 3), (25, 28, 3), (30, 40, 3), (49, 55, 3), (50, 60, 3)], base) == [(0, 5, 3), (30, 40, 3), (50, 60, 3)]
+
+
+def test_nothing_is_added_that_no_base_span_of_the_document_bears_out(spark, docs, model):
+    text = "WORD TOKEN = 9233A8ECF7C5B09FE5949719B6B82BC439E9329B X 5927243074273351 Y " * 6
+    row = pii.spans(docs([(1, text)]), model).first()
+    assert row.spans == row.base == ""
