@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ..session import pin, work_dir
+from ..session import pin, scratch
 from .frames import IS_SPACE, LOWER, UPPER, Words, bounded_batches, byte_class, groups, kept_by_worker, partitions_for, shuffle_partitions, utf8
 
 MAGIC = b"PKIDS\x01"
@@ -334,7 +334,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     of all files before. ``tokenizer`` is the JSON of a tokenizer, ``folder`` a place that all executors share.
     """
     spark = docs.sparkSession
-    folder = folder or f"{work_dir(spark)}/fleetledger/ids-{uuid.uuid4().hex}"
+    folder = folder or scratch(spark, "ids")
     bits = bits_for(max(Tokenizer.from_str(tokenizer).get_vocab_size(), end_id + 1))
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, writer = TaskContext.get().partitionId(), None
