@@ -167,7 +167,7 @@ def routes_by_date_list(fx: Fixtures) -> DataFrame:
     """Raw trips of the days on a list, from a table of the catalog whose partitions the join prunes."""
     path = _scratch(fx, "catalog")
     writers.write_partitioned(fx.routes_raw(), path)
-    table = readers.declare_table(fx.spark, f"trips_{path.rsplit('-', 1)[1]}", path, schemas.ROUTES_RAW)
+    table = readers.declare_table(fx.spark, f"trips_{path.split('/')[-2].split('-')[-1]}", path, schemas.ROUTES_RAW)
     listed = fx.attempts().where("message = 'nonce too low'").select("date").distinct()
     return _text(table.join(listed, "date", "left_semi").select("k_ruta", "k_dispositivo", "source", "date"), "date")
 

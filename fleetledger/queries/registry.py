@@ -7,7 +7,6 @@ across engines.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from fleetledger.functions import scalars
 from fleetledger.operators import credits, devices, ids, ledger, logs, metrics, routes
 from fleetledger.params import ParamSet, Range, SourceParams
 from fleetledger.plans import credit_pipeline, delivery_extract, device_sync, publication, route_pipeline
-from fleetledger.session import pin, work_dir
+from fleetledger.session import pin, scratch
 from fleetledger.sources import readers, writers
 from fleetledger.streaming import incremental
 from fleetledger.sources.fixtures import DISTANCE, DURATION, MAX_PER_HOUR, PROTOTYPE_ADDRESS, SPLIT, Fixtures
@@ -42,7 +41,7 @@ def _text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _scratch(fx: Fixtures, name: str) -> str:
-    return f"{work_dir(fx.spark)}/fleetledger/{name}-{uuid.uuid4().hex}"
+    return scratch(fx.spark, name)
 
 
 def _timed(fx: Fixtures) -> DataFrame:

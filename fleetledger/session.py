@@ -13,8 +13,8 @@ _local_dir: dict[str, tempfile.TemporaryDirectory] = {}
 _open_jobs: list[list[str]] = []
 
 
-# Shuffle partitions are sized for this many bytes each, up to a count the driver can track;
-# adaptive execution joins small ones.
+# Shuffle partitions are sized for this many bytes each, up to a count the driver can track (beyond
+# 12 TB in one shuffle they grow, and tasks spill); adaptive execution joins small ones.
 PARTITION_BYTES = 256 << 20
 MAX_PARTITIONS = 50_000
 UNKNOWN_BYTES = 1 << 60
@@ -68,15 +68,32 @@ def pin(df: DataFrame) -> DataFrame:
 
     The result survives lost executors and is the same for every later reader,
     unlike a recomputed plan whose row positions may move. Parquet keeps column
-    pruning for the readers.
+    pruning for the readers. The copy goes with the job it was made in, else with the application.
     """
     path = f"{work_dir(df.sparkSession)}/fleetledger/{uuid.uuid4().hex}"
     if _open_jobs:
         _open_jobs[-1].append(path)
     df.write.parquet(path)
+    if not _open_jobs:
+        drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder, which must be there by now, when the application's driver ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, not there yet, that goes with the application, as does what is written beside it."""
+    folder = f"{work_dir(spark)}/fleetledger/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    drop_at_exit(spark, folder)
+    return f"{folder}/{name}"
+
+
 @contextmanager
 def job(spark: SparkSession) -> Iterator[None]:
     """Tables pinned inside are deleted at the end, also after a failure; results must be stored by then."""

@@ -174,6 +174,25 @@ def test_a_job_deletes_what_it_pinned(spark, tmp_path):
     assert not os.path.exists(folder)
 
 
+def test_what_belongs_to_no_job_goes_with_the_application(tmp_path):
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import os, sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from fleetledger.session import pin, scratch
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+assert pin(spark.range(5)).count() == 5
+spark.range(3).write.parquet(scratch(spark, "mine"))
+print("HELD", len(os.listdir({str(tmp_path / "fleetledger")!r})))
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200, check=True)
+    assert "HELD 2" in run.stdout and os.listdir(tmp_path / "fleetledger") == []
+
+
 def test_shuffles_are_sized_from_the_tables(spark, tmp_path):
     spark.range(1000).write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
