@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetledger.functions import scalars, times
-from fleetledger.operators.ordering import HOT_ROWS, first_per_key, running_total
-from fleetledger.session import require_utc
+from fleetledger.operators.ordering import BROADCAST_ROWS, HOT_ROWS, first_per_key, running_total
+from fleetledger.session import pin, require_utc
 
 # Date formats of the record tables.
 DISBURSED_FORMAT = "%Y-%m-%dT%H:%M:%S.%f"
@@ -17,6 +18,8 @@ PAYMENT_DATE_FORMAT = "%Y-%m-%d"
 
 Derive = Callable[[Column], Column]
 PAYMENT_ORDER = ("payment_date", "payment_id", "amount", "id")
+RECORD = ("id", "payment_id", "credit_id", "amount", "payment_date")
+ACCEPTABLE = "amount >= 0 and payment_id is not null and credit_id is not null"
 
 
 def flatten_credits(raw: DataFrame, env: str, strict: bool = True) -> DataFrame:
@@ -120,7 +123,30 @@ def dedup_payments(payments: DataFrame) -> DataFrame:
 
 def acceptable(payments: DataFrame) -> DataFrame:
     """Records that can be recorded at all: an amount that is not negative, and both ids."""
-    return payments.where("amount >= 0 and payment_id is not null and credit_id is not null")
+    return payments.where(ACCEPTABLE)
+
+
+def shared_ids(*tables: DataFrame) -> DataFrame:
+    """Payment ids that more than one row of these tables has; only ids are moved."""
+    ids = reduce(DataFrame.union, [t.select("payment_id") for t in tables])
+    several = ids.groupBy("payment_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 and payment_id is not null")
+    return pin(several.select("payment_id"))
+
+
+def of_ids(payments: DataFrame, shared: DataFrame, found: int) -> DataFrame:
+    """At least the payments of ``found`` ids; all, where the ids are too many to be sent to every task."""
+    return payments.join(F.broadcast(shared), "payment_id", "left_semi") if found <= BROADCAST_ROWS else payments
+
+
+def split_by(payments: DataFrame, shared: DataFrame, found: int) -> tuple[DataFrame, DataFrame | None]:
+    """Payments whose id is not among ``found`` ids, and those whose id is; no table if there are no ids."""
+    if not found:
+        return payments, None
+    if found <= BROADCAST_ROWS:
+        return payments.join(F.broadcast(shared), "payment_id", "left_anti"), of_ids(payments, shared, found)
+    # Moved once for both parts.
+    marked = pin(payments.join(shared.withColumn("_several", F.lit(True)), "payment_id", "left"), "zstd")
+    return marked.where("_several is null").drop("_several"), marked.where("_several").drop("_several")
 
 
 def apply_payments(credits: DataFrame, payments: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -131,9 +157,14 @@ def apply_payments(credits: DataFrame, payments: DataFrame, hot_rows: int = HOT_
     balance is max(total - running sum, 0), which needs no row-by-row state.
     """
     valid = acceptable(payments)
+    return _applied(credits, dedup_payments(valid), valid, hot_rows)
+
+
+def _applied(credits: DataFrame, first: DataFrame, counted: DataFrame, hot_rows: int) -> DataFrame:
+    """The same for acceptable payments of which each id has one; ``counted`` as in ``running_total``."""
     summed = running_total(
-        dedup_payments(valid), "credit_id", ["payment_date", "payment_id"], "amount", "_paid",
-        hot_rows=hot_rows, counted=valid,
+        first, "credit_id", ["payment_date", "payment_id"], "amount", "_paid",
+        hot_rows=hot_rows, counted=counted,
         per_group=credits.select("credit_id", F.col("total_repayment").alias("_owed")))
     return summed.withColumn("_left", F.expr("coalesce(_owed, 0) - _paid")).selectExpr(
         *[c for c in summed.columns if not c.startswith("_")],
@@ -155,39 +186,51 @@ def payment_outcomes(credits: DataFrame, payments: DataFrame, hot_rows: int = HO
 
     applied_full, clamped (also to zero), duplicate (the id was taken) or error (a
     record that cannot be recorded). Equal records are counted in ``records``
-    rather than repeated, so many copies of one record are combined before they
-    meet; only the first of them can be other than a duplicate.
+    rather than repeated.
     """
-    columns = ["id", "payment_id", "credit_id", "amount", "payment_date"]
-    record = F.struct(*columns)
-    distinct = payments.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
-    winners = apply_payments(credits, payments, hot_rows).select(
-        "payment_id", record.alias("_won"), "balance", "applied")
-    nothing, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+    valid = acceptable(payments)
+    shared = shared_ids(valid)
+    alone, together = split_by(valid.select(*RECORD), shared, shared.count())
+    return recorded_outcomes(credits, alone, together, hot_rows).unionByName(unrecordable(payments))
+
 
-    def part(outcome: Column, records: Column, applied: Column = nothing, balance: Column = none) -> Column:
-        return F.struct(outcome.alias("outcome"), applied.alias("applied"), balance.alias("balance"),
-                        records.cast("bigint").alias("records"))
+def recorded_outcomes(credits: DataFrame, alone: DataFrame, together: DataFrame | None = None,
+                      hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Outcomes of acceptable records: ``alone`` those whose id no other has, ``together`` those of shared ids.
 
+    Records with an id of their own meet no others but those of their credit. Many copies of one
+    record are combined before they meet; only the first of them can be other than a duplicate.
+    """
+    first = counted = alone.select(*RECORD)
+    if together is not None:
+        won = dedup_payments(together).select(*RECORD)
+        first, counted = first.unionByName(won), counted.unionByName(together.select(*RECORD))
     status = F.when(F.col("applied") == F.col("amount"), "applied_full").otherwise("clamped")
-    first = part(status, F.lit(1), F.col("applied"), F.col("balance"))
-    later = part(F.lit("duplicate"), F.col("copies") - 1)
-    parts = (
-        F.when(F.col("_won").isNotNull() & F.col("_won").eqNullSafe(record),
-               F.when(F.col("copies") > 1, F.array(first, later)).otherwise(F.array(first)))
-        .when(F.col("_won").isNull() | F.col("credit_id").isNull() | F.col("amount").isNull() | (F.col("amount") < 0),
-              F.array(part(F.lit("error"), F.col("copies"))))
-        .otherwise(F.array(part(F.lit("duplicate"), F.col("copies")))))
-    return (
-        distinct.join(winners, "payment_id", "left")
-        .select(*[F.col(c) for c in columns], F.explode(parts).alias("_part"))
-        .select(*columns, "_part.*"))
+    recorded = _applied(credits, first, counted, hot_rows).select(
+        *RECORD, status.alias("outcome"), "applied", "balance", F.lit(1).cast("bigint").alias("records"))
+    if together is None:
+        return recorded
+    record = F.struct(*RECORD)
+    distinct = together.groupBy(*RECORD).agg(F.count(F.lit(1)).alias("_copies"))
+    later = (
+        distinct.join(won.select("payment_id", record.alias("_won")), "payment_id")
+        .withColumn("_later", F.col("_copies") - F.when(F.col("_won").eqNullSafe(record), 1).otherwise(0)).where("_later > 0"))
+    return recorded.unionByName(_without_effect(later, F.lit("duplicate"), "_later"))
+
+
+def unrecordable(payments: DataFrame) -> DataFrame:
+    """Outcomes of the records that are not ``acceptable``."""
+    refused = payments.where(~F.coalesce(F.expr(ACCEPTABLE), F.lit(False)))
+    return _without_effect(refused.groupBy(*RECORD).agg(F.count(F.lit(1)).alias("_n")), F.lit("error"), "_n")
 
 
 def repeated_outcomes(payments: DataFrame) -> DataFrame:
     """Outcomes of records whose id was taken in an earlier run; what cannot be recorded at all stays an error."""
-    columns = ["id", "payment_id", "credit_id", "amount", "payment_date"]
     status = F.expr("if(amount >= 0 and credit_id is not null, 'duplicate', 'error')")
-    return payments.groupBy(*columns).agg(F.count(F.lit(1)).alias("records")).select(
-        *columns, status.alias("outcome"), F.lit(0).cast("bigint").alias("applied"),
-        F.lit(None).cast("bigint").alias("balance"), "records")
+    return _without_effect(payments.groupBy(*RECORD).agg(F.count(F.lit(1)).alias("_n")), status, "_n")
+
+
+def _without_effect(records: DataFrame, outcome: Column, count: str) -> DataFrame:
+    return records.select(
+        *RECORD, outcome.alias("outcome"), F.lit(0).cast("bigint").alias("applied"),
+        F.lit(None).cast("bigint").alias("balance"), F.col(count).cast("bigint").alias("records"))

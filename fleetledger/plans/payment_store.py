@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetledger import schemas
 from fleetledger.operators import credits as ops
 from fleetledger.session import pin
-from fleetledger.sources.store import BUCKET, Snapshot, Store, bucket_count, bucket_of, touched
+from fleetledger.sources.store import BUCKET, CODEC, Snapshot, Store, bucket_count, bucket_of, touched
 
 BALANCES, TAKEN, OUTCOMES = "balances", "taken", "outcomes"
 RECORD = ("payment_id", "id", "credit_id", "amount", "payment_date")
@@ -33,7 +33,8 @@ def open_credits(spark: SparkSession, path: str, issued: DataFrame, buckets: int
     issued = pin(issued.select("credit_id", "total_repayment"))
     count = int(now.facts.get(BUCKET) or buckets or bucket_count(issued))
     known = store.read(BALANCES, schemas.BALANCES, touched(issued, "credit_id", count), now)
-    fresh = issued.join(known.select("credit_id"), "credit_id", "left_anti").withColumn("paid", F.lit(0).cast("bigint"))
+    fresh = issued if known.isEmpty() else issued.join(known.select("credit_id"), "credit_id", "left_anti")
+    fresh = fresh.withColumn("paid", F.lit(0).cast("bigint"))
     version, parts = store.write(BALANCES, fresh, {BUCKET: bucket_of("credit_id", count)})
     have = now.parts.get(BALANCES, {})
     return store.commit({BALANCES: {p: {**have.get(p, {}), version: version} for p in parts}}, now, facts={BUCKET: count})
@@ -56,34 +57,61 @@ def record(spark: SparkSession, path: str, pending: DataFrame, run: str | None =
     store = Store(spark, path)
     now = store.snapshot()
     buckets = int(now.facts[BUCKET])
-    pending = pin(pending.select(*RECORD))
-    taken = store.read(TAKEN, schemas.TAKEN, touched(pending, "payment_id", buckets), now)
-    earlier = taken.select("payment_id", F.struct(*RECORD).alias("_taken"))
-    met = pin(pending.join(earlier, "payment_id", "left").select(*RECORD, "_taken"))
-    fresh = met.where("_taken is null").drop("_taken")
-    repeated = met.where(F.col("_taken").isNotNull() & (F.col("_taken") != F.struct(*RECORD))).drop("_taken")
-    balances = store.read(BALANCES, schemas.BALANCES, touched(fresh, "credit_id", buckets), now)
+    pending = pin(pending.select(*RECORD), CODEC)
+    valid = ops.acceptable(pending)
+    taken = store.read(TAKEN, schemas.TAKEN, touched(valid, "payment_id", buckets), now)
+    # Only records whose id another has, here or in an earlier run, are compared with others.
+    shared = ops.shared_ids(valid, taken)
+    several = shared.count()
+    alone, together = ops.split_by(valid, shared, several)
+    repeated = None
+    if together is not None:
+        # Of a taken record only a digest is moved; records of one digest are then compared in full.
+        taken, digest = ops.of_ids(taken, shared, several), F.xxhash64(*RECORD)
+        met = pin(together.join(taken.select("payment_id", digest.alias("_taken")), "payment_id", "left"), CODEC)
+        together, known = met.where("_taken is null").drop("_taken"), met.where("_taken is not null")
+        repeated, alike = known.where(F.col("_taken") != digest), known.where(F.col("_taken") == digest)
+        if not alike.isEmpty():
+            full = taken.select("payment_id", F.struct(*RECORD).alias("_full"))
+            repeated = repeated.unionByName(
+                alike.join(full, "payment_id").where(F.col("_full") != F.struct(*RECORD)).drop("_full"))
+        repeated = repeated.drop("_taken")
+    balances = store.read(BALANCES, schemas.BALANCES, touched(valid, "credit_id", buckets), now)
     state = balances.selectExpr("credit_id", "total_repayment - paid as total_repayment")
-    outcomes = pin(ops.payment_outcomes(state, fresh).unionByName(ops.repeated_outcomes(repeated)))
+    found = ops.recorded_outcomes(state, alone, together)
+    if repeated is not None:
+        found = found.unionByName(ops.repeated_outcomes(repeated))
+    # Written once: what follows reads the outcomes where they stay.
+    run = run or uuid.uuid4().hex
+    version, parts = store.write(OUTCOMES, found)
+    have = now.parts.get(OUTCOMES, {})
+    change = {OUTCOMES: {p: {**have.get(p, {}), run: version} for p in parts}}
+    recorded = store.written(OUTCOMES, schemas.PAYMENT_OUTCOMES, version)
+    outcomes = recorded.unionByName(pin(ops.unrecordable(pending)))
 
-    accepted = pin(outcomes.where("outcome in ('applied_full', 'clamped')").select(*RECORD, "applied"))
+    accepted = recorded.where("outcome in ('applied_full', 'clamped')")
     paying = touched(accepted, "credit_id", buckets)
     paid = accepted.groupBy("credit_id").agg(F.sum("applied").alias("_paid"))
-    after = store.read(BALANCES, schemas.BALANCES, paying, now).join(paid, "credit_id", "left").selectExpr(
-        "credit_id", "total_repayment", "paid + coalesce(_paid, 0) as paid")
-    run = run or uuid.uuid4().hex
-    version, parts = store.write(BALANCES, after, {BUCKET: bucket_of("credit_id", buckets)})
-    change = {BALANCES: {p: {version: version} for p in parts}}
+    after = _paid_off(store.read(BALANCES, schemas.BALANCES, paying, now), paid, buckets)
+    version, parts = store.write(BALANCES, after, {BUCKET: BUCKET}, even=False, leave=[BUCKET])
+    change[BALANCES] = {p: {version: version} for p in parts}
     version, parts = store.write(TAKEN, accepted.select(*RECORD), {BUCKET: bucket_of("payment_id", buckets)})
     have = now.parts.get(TAKEN, {})
     change[TAKEN] = {p: {**have.get(p, {}), version: version} for p in parts}
-    version, parts = store.write(OUTCOMES, outcomes.where("outcome <> 'error'"))
-    have = now.parts.get(OUTCOMES, {})
-    change[OUTCOMES] = {p: {**have.get(p, {}), run: version} for p in parts}
     store.commit(change, now)
     return outcomes
 
 
+def _paid_off(balances: DataFrame, paid: DataFrame, buckets: int) -> DataFrame:
+    """The balances after payments (credit_id, _paid), each moved once, to the task that writes its bucket."""
+    own = F.col("_paid").isNull()
+    every = balances.withColumn("_paid", F.lit(None).cast("bigint")).unionByName(paid, allowMissingColumns=True)
+    dealt = every.withColumn(BUCKET, bucket_of("credit_id", buckets)).repartition(buckets, BUCKET)
+    now = F.sum("_paid").over(Window.partitionBy(BUCKET, "credit_id"))
+    return dealt.withColumn("_now", now).where(own).selectExpr(
+        "credit_id", "total_repayment", "paid + coalesce(_now, 0) as paid", BUCKET)
+
+
 def compact(spark: SparkSession, path: str, pieces: int = 8) -> None:
     """Write buckets of many small pieces anew."""
     store = Store(spark, path)

@@ -78,6 +78,34 @@ def test_a_payment_run_opens_only_the_buckets_it_touches(spark, tmp_path):
     assert payment_store.balances(spark, path).agg(F.sum("paid")).first()[0] == 70
 
 
+def test_payment_runs_in_a_row_equal_one_run_where_many_ids_are_shared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(credits, "BROADCAST_ROWS", 0)  # too many ids to send to every task
+    test_payment_runs_in_a_row_equal_one_run(spark, tmp_path, seed=2)
+
+
+def test_records_with_an_id_of_their_own_are_kept_once_on_the_way(spark, tmp_path, monkeypatch):
+    path, kept = str(tmp_path / "store"), []
+    pin = payment_store.pin
+    monkeypatch.setattr(payment_store, "pin", lambda df, *more: kept.append(pin(df, *more)) or kept[-1])
+    owed = spark.range(50).select(F.col("id").alias("credit_id"), F.lit(100).cast("bigint").alias("total_repayment"))
+    payment_store.open_credits(spark, path, owed)
+    kept.clear()
+    rows = spark.createDataFrame([(f"p{k}", k, k % 60, 30, k // 10) for k in range(300)], PAYMENT)
+    found = payment_store.record(spark, path, rows)
+    assert sum(df.count() for df in kept) == 300 and found.count() == 300
+    assert sum(r.paid for r in payment_store.balances(spark, path).collect()) == 50 * 100
+
+
+def test_equal_digests_are_no_proof_of_equal_records(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    payment_store.open_credits(spark, path, spark.createDataFrame([(1, 100)], "credit_id bigint, total_repayment bigint"))
+    payment_store.record(spark, path, spark.createDataFrame([("a", 1, 1, 70, None), ("b", 2, 1, 70, 1)], PAYMENT))
+    plain = F.xxhash64
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(7).cast("bigint") if len(columns) > 1 else plain(*columns))
+    again = payment_store.record(spark, path, spark.createDataFrame([("a", 1, 1, 70, None), ("c", 2, 1, 70, 1)], PAYMENT))
+    assert [(r.id, r.outcome, r.records) for r in again.collect()] == [("c", "duplicate", 1)]
+
+
 def test_payments_of_a_credit_issued_later_wait(spark, tmp_path):
     path = lambda name: str(tmp_path / name)
     from test_credits import record
