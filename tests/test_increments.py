@@ -205,6 +205,21 @@ def stream(spark, tmp_path, **more):
     return sorted(map(tuple, incremental.routes(spark, str(tmp_path / "output")).collect()), key=repr)
 
 
+def test_a_batch_reads_the_device_map_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(address):
+        read.add(1)
+        return address
+
+    land(spark, str(tmp_path / "landing"), range(10))
+    owners = spark.createDataFrame([(f"G{k}", f"0x{k}") for k in range(5)], schemas.DEVICE_MAP)
+    owners = owners.withColumn("celo_address", F.udf(counted, "string")("celo_address"))
+    incremental.run_available(spark, str(tmp_path / "landing"), str(tmp_path / "output"), str(tmp_path / "checkpoint"),
+                              Fixtures.params(), owners)
+    assert read.value == 5
+
+
 def test_trips_that_land_again_add_nothing(spark, tmp_path):
     landing = str(tmp_path / "landing")
     land(spark, landing, range(10))
